@@ -16,79 +16,70 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tableferry.functions.text import NULL_MARKER, canonical_text
+from tableferry.functions.text import canonical_sql, quoted
 
-HALF = 1 << 16
+# The NULL marker as SQL; written so that it does not depend on how literals are escaped.
+_NULL_SQL = "char(92) || 'N'"
 
 
 def row_text(
     df: DataFrame, columns: Sequence[str], double_scale: int = 4, micros: bool = False
-) -> Column:
-    """Canonical text of a row: fields joined by ``|``, NULL as the marker.
+) -> str:
+    """Expression for the canonical text of a row: fields joined by ``|``, NULL as the marker.
 
     Strings carry their length in front (``3:abc``), so no text can run into its neighbour or
-    pass for NULL. The other types have no ``|`` in their text and need no prefix.
+    pass for NULL. The other types have no ``|`` in their text and need no prefix. One SQL
+    expression, because a plan over many wide tables would else spend its time on building
+    columns.
     """
     fields = []
     for name in columns:
-        kind, value = df.schema[name].dataType, F.col(name)
-        text = canonical_text(value, kind, double_scale, micros)
+        kind, value = df.schema[name].dataType, quoted(name)
+        text = canonical_sql(value, kind, double_scale, micros)
         if isinstance(kind, T.StringType):
-            text = F.concat(F.char_length(value).cast("string"), F.lit(":"), text)
-        fields.append(F.coalesce(text, F.lit(NULL_MARKER)))
-    return F.concat_ws("|", *fields)
+            text = f"char_length({value}) || ':' || {value}"
+        fields.append(f"coalesce({text}, {_NULL_SQL})")
+    return f"concat_ws('|', {', '.join(fields)})"
 
 
 def row_md5(
     df: DataFrame, columns: Sequence[str], double_scale: int = 4, micros: bool = False
 ) -> Column:
-    return F.md5(row_text(df, columns, double_scale, micros))
+    return F.expr(f"md5({row_text(df, columns, double_scale, micros)})")
 
 
 def row_hash(columns: Sequence[str]) -> Column:
     """64-bit hash of typed columns. ``xxhash64`` skips NULLs, so each column's NULL flag is
     hashed along; otherwise (1, NULL) and (NULL, 1) would agree."""
-    parts = [part for name in columns for part in (F.col(name), F.col(name).isNull())]
-    return F.xxhash64(*parts)
+    names = [quoted(name) for name in columns]
+    return F.expr(f"xxhash64({', '.join(f'{name}, {name} IS NULL' for name in names)})")
 
 
-def _word(md5_text: Column, start: int) -> Column:
-    return F.conv(F.substring(md5_text, start, 8), 16, 10).cast("bigint")
+def md5_word(md5_text: str, start: int) -> str:
+    """Expression for the 32 bits that begin at a hexadecimal digit of an MD5."""
+    return f"CAST(conv(substring({md5_text}, {start}, 8), 16, 10) AS BIGINT)"
 
 
-def checksum_of(df: DataFrame, md5_text: Column, *labels: Column) -> DataFrame:
-    """``n_rows`` and an order-free ``checksum`` per ``labels``; a repeated row changes both.
+def checksum_of(df: DataFrame, md5_text: Column) -> DataFrame:
+    """One row: ``n_rows`` and an order-free ``checksum``; a repeated row changes both.
 
     The first two 32-bit words of each MD5 are added up. Words are added in 16-bit halves: those
     sums stay within a bigint for 2**47 rows, and the aggregate keeps to fixed-width buffers, so
     one small row per task reaches the shuffle.
     """
-    names = ["a_high", "a_low", "b_high", "b_low"]
-    hashed = df.select(*labels, md5_text.alias("md5_text"))
-    worded = hashed.select(
-        *[F.col(name) for name in hashed.columns[:-1]],
-        _word(F.col("md5_text"), 1).alias("a"),
-        _word(F.col("md5_text"), 9).alias("b"),
+    words = df.select(md5_text.alias("h")).selectExpr(
+        f"{md5_word('h', 1)} AS a", f"{md5_word('h', 9)} AS b"
     )
     halves = [
-        F.sum(part).alias(name)
-        for name, part in zip(
-            names,
-            [
-                F.shiftright("a", 16), F.col("a").bitwiseAND(F.lit(HALF - 1)),
-                F.shiftright("b", 16), F.col("b").bitwiseAND(F.lit(HALF - 1)),
-            ],
-        )
+        f"coalesce(sum({half}), 0) AS {word}_{part}"
+        for word in ("a", "b")
+        for part, half in (("high", f"shiftright({word}, 16)"), ("low", f"{word} & 65535"))
+    ]
+    summed = words.selectExpr("count(1) AS n_rows", *halves)
+    totals = [
+        f"CAST(CAST({word}_high AS DECIMAL(28,0)) * 65536 + {word}_low AS DECIMAL(38,0))"
+        for word in ("a", "b")
     ]
-    keys = hashed.columns[:-1]
-    summed = worded.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows"), *halves)
-
-    def total(high: str, low: str) -> Column:
-        wide = T.DecimalType(28, 0)
-        whole = F.coalesce(F.col(high), F.lit(0)).cast(wide) * F.lit(HALF) + F.coalesce(
-            F.col(low), F.lit(0)
-        ).cast(wide)
-        return whole.cast(T.DecimalType(38, 0)).cast("string")
-
-    parts = [F.col("n_rows").cast("string"), total("a_high", "a_low"), total("b_high", "b_low")]
-    return summed.select(*keys, "n_rows", F.md5(F.concat_ws("|", *parts)).alias("checksum"))
+    return summed.selectExpr(
+        "n_rows", f"md5(n_rows || '|' || {totals[0]} || '|' || {totals[1]}) AS checksum"
+    )

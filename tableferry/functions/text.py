@@ -19,31 +19,34 @@ HEX_PATTERN = "^([0-9a-fA-F]{2})*$"
 HEX_DIGITS = "^[0-9a-fA-F]*$"
 
 
+def quoted(name: str) -> str:
+    """A column name for use in a SQL expression."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def hex_text(value: Column) -> Column:
     return F.lower(F.hex(value))
 
 
-def canonical_text(
-    value: Column, kind: T.DataType, double_scale: int = 4, micros: bool = False
-) -> Column:
-    """One text per value, the same whichever engine or type width holds it. NULL stays NULL.
+def canonical_sql(value: str, kind: T.DataType, double_scale: int = 4, micros: bool = False) -> str:
+    """Expression for one text per value, the same whichever engine or type width holds it.
 
     Doubles are compared at ``double_scale`` decimals; those that do not fit a decimal (and NaN,
-    infinity) fall back to their own text.
+    infinity) fall back to their own text. NULL stays NULL.
     """
     if isinstance(kind, T.BooleanType):
-        return value.cast("tinyint").cast("string")
+        return f"CAST(CAST({value} AS TINYINT) AS STRING)"
     if isinstance(kind, (T.FloatType, T.DoubleType)):
-        fixed = value.try_cast(T.DecimalType(38, double_scale)).cast("string")
-        return F.coalesce(fixed, value.cast("string"))
+        fixed = f"CAST(TRY_CAST({value} AS DECIMAL(38,{double_scale})) AS STRING)"
+        return f"coalesce({fixed}, CAST({value} AS STRING))"
     if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
         pattern = TIMESTAMP_FORMAT + (".SSSSSS" if micros else "")
-        return F.date_format(value, pattern)
+        return f"date_format({value}, '{pattern}')"
     if isinstance(kind, T.DateType):
-        return F.date_format(value, DATE_FORMAT)
+        return f"date_format({value}, '{DATE_FORMAT}')"
     if isinstance(kind, T.BinaryType):
-        return hex_text(value)
-    return value.cast("string")
+        return f"lower(hex({value}))"
+    return f"CAST({value} AS STRING)"
 
 
 def export_text(value: Column, kind: T.DataType) -> Column:

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import datetime
 import uuid
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 from urllib.parse import unquote
 
@@ -161,6 +161,30 @@ def _in_places(by: Sequence[str], places: Sequence[Row]) -> Column:
     return reduce(Column.__or__, alike)
 
 
+def _point_to(
+    spark: SparkSession,
+    table: str,
+    clauses: Sequence[str],
+    folders: Mapping[str, str],
+    depth: int,
+) -> None:
+    """Make the catalog read partitions from new folders; those without a folder are dropped."""
+    listed = {row[0] for row in spark.sql(f"SHOW PARTITIONS {table}").collect()}
+    added = []
+    for clause in clauses:
+        if clause not in folders:
+            spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({clause})")
+            continue
+        place = f"LOCATION '{_quoted(folders[clause])}'"
+        if "/".join(folders[clause].split("/")[-depth:]) in listed:
+            spark.sql(f"ALTER TABLE {table} PARTITION ({clause}) SET {place}")
+        else:
+            added.append(f"PARTITION ({clause}) {place}")
+    for start in range(0, len(added), 500):
+        some = " ".join(added[start : start + 500])
+        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {some}")
+
+
 def upsert_partitions(
     spark: SparkSession,
     table: str,
@@ -216,13 +240,7 @@ def upsert_partitions(
         .collect()
     )
     folders = {_partition_clause(row, fields): unquote(row["_folder"]) for row in found}
-    for clause in clauses:
-        if clause in folders:
-            place = f"LOCATION '{_quoted(folders[clause])}'"
-            spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS PARTITION ({clause}) {place}")
-            spark.sql(f"ALTER TABLE {table} PARTITION ({clause}) SET {place}")
-        else:
-            spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({clause})")
+    _point_to(spark, table, clauses, folders, len(by))
     spark.catalog.refreshTable(table)
     return len(clauses)
 

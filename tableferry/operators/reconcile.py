@@ -14,8 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tableferry.functions.fingerprint import checksum_of, row_hash, row_md5
-from tableferry.functions.text import canonical_text
+from tableferry.functions.fingerprint import checksum_of, md5_word, row_hash, row_md5, row_text
+from tableferry.functions.text import canonical_sql, quoted
 
 Tables = Mapping[str, DataFrame]
 
@@ -50,11 +50,8 @@ def table_checksums(
     parts = []
     for name, df in tables.items():
         fingerprint = row_md5(df, columns.get(name, df.columns), double_scale, micros)
-        parts.append(
-            checksum_of(df, fingerprint).select(
-                F.lit(name).alias("table_name"), "n_rows", "checksum"
-            )
-        )
+        checksum = checksum_of(df, fingerprint)
+        parts.append(checksum.select(F.lit(name).alias("table_name"), "n_rows", "checksum"))
     return _stack(parts)
 
 
@@ -122,9 +119,8 @@ def rows_by_key_share(
 
     Decided row by row from the key's MD5: no sort, no shuffle, and as large as wanted.
     """
-    limit = int(share * (1 << 32))
-    word = F.conv(F.substring(row_md5(df, keys, double_scale), 1, 8), 16, 10).cast("bigint")
-    return df.where(word < F.lit(limit))
+    word = md5_word(f"md5({row_text(df, keys, double_scale)})", 1)
+    return df.where(f"{word} < {int(share * (1 << 32))}")
 
 
 def sampled_checksums(
@@ -190,7 +186,8 @@ def comparable(
         common = _common_type(one, other)
         for side, kind in ((left, one), (right, other)):
             value = F.col(name)
-            shared = canonical_text(value, kind) if common is None else value.cast(common)
+            text = F.expr(canonical_sql(quoted(name), kind))
+            shared = text if common is None else value.cast(common)
             side.append(shared.alias(name))
     return source.select(*left), target.select(*right)
 
@@ -328,23 +325,23 @@ def changed_values(
         .join(renamed(right, "t_"), same_key("k_", "t_"))
     )
     fields = []
-    for name in columns:
+    for index, name in enumerate(columns):
         kind = left.schema[name].dataType
-        one, other = F.col("s_" + name), F.col("t_" + name)
+        one, other = quoted("s_" + name), quoted("t_" + name)
+        shown = [canonical_sql(end, kind, double_scale, micros=True) for end in (one, other)]
         fields.append(
-            F.when(
-                ~one.eqNullSafe(other),
-                F.struct(
-                    F.lit(name).alias("column_name"),
-                    canonical_text(one, kind, double_scale, micros=True).alias("source_value"),
-                    canonical_text(other, kind, double_scale, micros=True).alias("target_value"),
-                ),
-            )
+            f"IF({one} <=> {other}, NULL, named_struct('column_index', {index}, "
+            f"'source_value', {shown[0]}, 'target_value', {shown[1]}))"
         )
+    names = F.array(*[F.lit(name) for name in columns])
     key_columns = [F.col("k_" + name).alias(name) for name in keys]
-    return joined.select(
-        *key_columns, F.explode(F.array_compact(F.array(*fields))).alias("field")
-    ).select(*keys, "field.*")
+    found = F.expr(f"explode(array_compact(array({', '.join(fields)})))")
+    return joined.select(*key_columns, found.alias("field")).select(
+        *keys,
+        F.get(names, "field.column_index").alias("column_name"),
+        "field.source_value",
+        "field.target_value",
+    )
 
 
 # -- tables without a key -------------------------------------------------------------------

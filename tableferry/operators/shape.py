@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tableferry.functions import types as rules
-from tableferry.functions.types import IGNORED_WORDS, TYPE_MAP, ColumnSpec
+from tableferry.functions.text import quoted
+from tableferry.functions.types import IGNORED_WORDS, TYPE_MAP
 
 
 def ignored_columns(df: DataFrame, words: Sequence[str] = IGNORED_WORDS) -> list[str]:
@@ -35,14 +36,16 @@ def conform_table(
     """
     expressions = expressions or {}
 
-    def conformed(spec: ColumnSpec) -> Column:
+    def conformed(field: T.StructField) -> Column | str:
+        spec = rules.spec_of_field(field)
         if spec.name in expressions:
             return expressions[spec.name].alias(spec.name)
         kind = rules.spark_type(spec, type_map, strict_decimal)
-        value = F.col(spec.name)
-        return value if kind is None else value.cast(kind).alias(spec.name)
+        if kind is None or kind == field.dataType:
+            return quoted(spec.name)
+        return F.col(quoted(spec.name)).cast(kind).alias(spec.name)
 
-    return df.select(*[conformed(spec) for spec in rules.specs_of(df)])
+    return df.select(*[conformed(field) for field in df.schema.fields])
 
 
 def schema_changes(

@@ -70,10 +70,15 @@ def conformed(
     return conform_table(pruned, settings.type_map, strict_decimal=settings.strict_decimal)
 
 
-def _run_tables(tables: Sequence[str], work: Callable[[str], None], settings: Settings) -> dict:
+def _run_tables(
+    spark: SparkSession,
+    tables: Sequence[str],
+    work: Callable[[str], None],
+    settings: Settings,
+) -> dict[str, str]:
     """Run ``work`` for several tables at once, so that the last tasks of one table do not leave
     the cluster idle. Returns the error message per failed table."""
-    guarded = inheritable_thread_target(work)
+    guarded = inheritable_thread_target(spark)(work)
     errors: dict[str, str] = {}
     with ThreadPoolExecutor(max_workers=settings.parallel_tables) as pool:
         jobs = {name: pool.submit(guarded, name) for name in tables}
@@ -109,7 +114,7 @@ def migrate(
         )
         target.reload(rows, table)
 
-    return _run_tables(chosen_tables(tables, settings), load, settings)
+    return _run_tables(spark, chosen_tables(tables, settings), load, settings)
 
 
 def ignored_by_table(
@@ -176,7 +181,7 @@ def export_tables(
         schemas[table] = rows.schema
         write_export(rows, f"{folder}/{table}")
 
-    _run_tables(chosen_tables(tables, settings), export, settings)
+    _run_tables(spark, chosen_tables(tables, settings), export, settings)
     return schemas
 
 
@@ -205,4 +210,4 @@ def import_tables(
         )
         target.reload(parse_export(texts, schema), table)
 
-    return _run_tables(list(schemas), load, settings or Settings())
+    return _run_tables(spark, list(schemas), load, settings or Settings())

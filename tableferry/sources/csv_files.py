@@ -74,6 +74,7 @@ def read_export(
     """All columns as text, plus the raw line of rows with a wrong number of fields.
 
     ``line_breaks=False`` is for tables without free text: their files can be split freely.
+    ``keep_bad_rows=False`` fails on the first such row instead.
     """
     schema = T.StructType([T.StructField(name, T.StringType()) for name in columns])
     reader = (
@@ -82,6 +83,8 @@ def read_export(
         .option("escape", escape)
         .option("nullValue", null_marker)
         .option("multiLine", line_breaks)
+        # Fields are counted only while all columns are parsed.
+        .option("columnPruning", False)
         .option("mode", "PERMISSIVE" if keep_bad_rows else "FAILFAST")
     )
     if keep_bad_rows:

@@ -41,7 +41,7 @@ class MarkStore:
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
-            return spark.createDataFrame([], MARK_SCHEMA)
+            return _marks(spark, 0, None, None, 0, "")
 
     def latest(self, spark: SparkSession) -> DataFrame:
         return latest_marks(self.all_marks(spark))
@@ -61,11 +61,31 @@ class MarkStore:
         last_sync_count: int,
         status: str = "success",
     ) -> None:
-        row = (table, last_sync_time, last_sync_count, status, datetime.datetime.now())
-        spark.createDataFrame([row], MARK_SCHEMA).coalesce(1).write.mode("append").parquet(
-            self.path
-        )
+        row = _marks(spark, 1, table, last_sync_time, last_sync_count, status)
+        row.coalesce(1).write.mode("append").parquet(self.path)
 
     def reset(self, spark: SparkSession, table: str) -> None:
         """Forget the marks of one table, so that its next load takes everything."""
         self.save(spark, table, None, 0, "reset")
+
+
+def _marks(
+    spark: SparkSession,
+    n_rows: int,
+    table: str | None,
+    last_sync_time: datetime.datetime | None,
+    last_sync_count: int,
+    status: str,
+) -> DataFrame:
+    values = [
+        table,
+        last_sync_time.isoformat(sep=" ") if last_sync_time else None,
+        last_sync_count,
+        status,
+        datetime.datetime.now().isoformat(sep=" "),
+    ]
+    columns = [
+        F.lit(value).cast(field.dataType).alias(field.name)
+        for value, field in zip(values, MARK_SCHEMA.fields)
+    ]
+    return spark.range(n_rows).select(*columns)
