@@ -105,8 +105,7 @@ def upsert(
     Several staged rows of one key count once, the newest by ``version``. Applying the same
     stage again changes nothing.
     """
-    newest = dedupe_stage(stage, keys, version)
-    return _without(target, newest, keys).unionByName(newest)
+    return _without(target, stage, keys).unionByName(dedupe_stage(stage, keys, version))
 
 
 def delete_insert(target: DataFrame, stage: DataFrame, keys: Sequence[str]) -> DataFrame:

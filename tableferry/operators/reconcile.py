@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -106,10 +106,29 @@ def reconcile_checksums(
 # -- samples --------------------------------------------------------------------------------
 
 
-def first_rows(df: DataFrame, keys: Sequence[str], size: int = 1000) -> DataFrame:
-    """The ``size`` rows with the smallest keys. Each task keeps its own smallest rows, so the
-    table is not sorted; for large samples use ``rows_by_key_share``."""
-    return df.orderBy(*keys).limit(size)
+# More scan tasks than this are merged (without a shuffle) before each hands over its smallest
+# keys, so that the one task that picks among them gets a bounded number.
+_HANDOVERS = 20_000
+
+
+def last_sampled_key(df: DataFrame, keys: Sequence[str], size: int = 1000) -> Row | None:
+    """The ``size``-th smallest key. Only the key columns are read, and every task passes on its
+    ``size`` smallest keys without sorting; None for an empty table."""
+    smallest = df.select(*keys).coalesce(_HANDOVERS).orderBy(*keys).limit(size)
+    return smallest.agg(F.max(F.struct(*keys))).first()[0]
+
+
+def rows_up_to_key(df: DataFrame, keys: Sequence[str], last: Row | None) -> DataFrame:
+    """The rows with keys up to ``last``, NULL keys first; the leading key filters the scan."""
+    if last is None:
+        return df
+    lead = F.col(keys[0])
+    wanted = F.lit(True) if last[0] is None else lead <= F.lit(last[0])
+    if len(keys) > 1:
+        limit = F.struct(*[F.lit(value).cast(df.schema[k].dataType) for k, value in zip(keys, last)])
+        wanted = wanted & (F.struct(*keys) <= limit)
+        return df.where(wanted | (lead.isNull() & (F.struct(*keys) <= limit)))
+    return df.where(lead.isNull() if last[0] is None else wanted | lead.isNull())
 
 
 def rows_by_key_share(
@@ -130,19 +149,22 @@ def sampled_checksums(
     size: int = 1000,
     share: float | None = None,
 ) -> DataFrame:
-    """``reconcile_checksums`` over a sample that both ends draw alike."""
+    """``reconcile_checksums`` over a sample that both ends draw alike.
 
-    def sample(name: str, df: DataFrame) -> DataFrame:
+    By default the rows up to the ``size``-th key of the source (one small query per table finds
+    it); with ``share``, that share of all keys, which also suits very large samples.
+    """
+    ours, theirs = {}, {}
+    for name, df in sources.items():
+        key = keys[name]
         if share is not None:
-            return rows_by_key_share(df, keys[name], share)
-        return first_rows(df, keys[name], size)
-
-    columns = {name: df.columns for name, df in sources.items()}
-    return reconcile_checksums(
-        {name: sample(name, df) for name, df in sources.items()},
-        {name: sample(name, df) for name, df in targets.items()},
-        columns,
-    )
+            ours[name] = rows_by_key_share(df, key, share)
+            theirs[name] = rows_by_key_share(targets[name], key, share)
+        else:
+            last = last_sampled_key(df, key, size)
+            ours[name] = rows_up_to_key(df, key, last)
+            theirs[name] = rows_up_to_key(targets[name], key, last)
+    return reconcile_checksums(ours, theirs, {name: df.columns for name, df in sources.items()})
 
 
 # -- rows and columns -----------------------------------------------------------------------

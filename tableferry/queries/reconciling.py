@@ -243,7 +243,8 @@ SQL = {
     ),
     "sampled_checksum": _sampled_sql(
         f"SELECT * FROM orders ORDER BY o_orderkey LIMIT {SAMPLE_ROWS}",
-        f"SELECT * FROM faulty_orders ORDER BY o_orderkey LIMIT {SAMPLE_ROWS}",
+        "SELECT * FROM faulty_orders WHERE o_orderkey <= (SELECT max(o_orderkey) FROM "
+        f"(SELECT o_orderkey FROM orders ORDER BY o_orderkey LIMIT {SAMPLE_ROWS}))",
     ),
     "sampled_checksum_by_key": _sampled_sql(
         f"SELECT * FROM orders WHERE {_KEY_WORD} < {_SHARE_LIMIT}",
