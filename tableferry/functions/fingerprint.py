@@ -60,16 +60,18 @@ def md5_word(md5_text: str, start: int) -> str:
     return f"CAST(conv(substring({md5_text}, {start}, 8), 16, 10) AS BIGINT)"
 
 
-def checksum_of(df: DataFrame, md5_text: Column) -> DataFrame:
+def checksum_of(df: DataFrame, fingerprint: Column) -> DataFrame:
     """One row: ``n_rows`` and an order-free ``checksum``; a repeated row changes both.
 
-    The first two 32-bit words of each MD5 are added up. Words are added in 16-bit halves: those
-    sums stay within a bigint for 2**47 rows, and the aggregate keeps to fixed-width buffers, so
-    one small row per task reaches the shuffle.
+    ``fingerprint`` is a ``row_md5`` or a ``row_hash``; its first 64 bits are added up as two
+    words. Words are added in 16-bit halves: those sums stay within a bigint for 2**47 rows, and
+    the aggregate keeps to fixed-width buffers, so one small row per task reaches the shuffle.
     """
-    words = df.select(md5_text.alias("h")).selectExpr(
-        f"{md5_word('h', 1)} AS a", f"{md5_word('h', 9)} AS b"
-    )
+    marked = df.select(fingerprint.alias("h"))
+    if isinstance(marked.schema["h"].dataType, T.LongType):
+        words = marked.selectExpr("shiftrightunsigned(h, 32) AS a", "h & 4294967295L AS b")
+    else:
+        words = marked.selectExpr(f"{md5_word('h', 1)} AS a", f"{md5_word('h', 9)} AS b")
     halves = [
         f"coalesce(sum({half}), 0) AS {word}_{part}"
         for word in ("a", "b")

@@ -31,17 +31,24 @@ def hex_text(value: Column) -> Column:
 def canonical_sql(value: str, kind: T.DataType, double_scale: int = 4, micros: bool = False) -> str:
     """Expression for one text per value, the same whichever engine or type width holds it.
 
-    Doubles are compared at ``double_scale`` decimals; those that do not fit a decimal (and NaN,
-    infinity) fall back to their own text. NULL stays NULL.
+    Doubles become a whole number of units of ``10**-double_scale``, by arithmetic every engine
+    does alike; those too large for that (and NaN, infinity) keep their own text. NULL stays NULL.
     """
     if isinstance(kind, T.BooleanType):
         return f"CAST(CAST({value} AS TINYINT) AS STRING)"
     if isinstance(kind, (T.FloatType, T.DoubleType)):
-        fixed = f"CAST(TRY_CAST({value} AS DECIMAL(38,{double_scale})) AS STRING)"
-        return f"coalesce({fixed}, CAST({value} AS STRING))"
+        units = f"CAST(floor(CAST({value} AS DOUBLE) * 1e{double_scale}D + 0.5D) AS STRING)"
+        return f"IF(abs({value}) < 1e{18 - double_scale}D, {units}, CAST({value} AS STRING))"
     if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
         pattern = TIMESTAMP_FORMAT + (".SSSSSS" if micros else "")
         return f"date_format({value}, '{pattern}')"
+    return shown_sql(value, kind)
+
+
+def shown_sql(value: str, kind: T.DataType) -> str:
+    """Expression for the full value as a text a reader can compare."""
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        return f"date_format({value}, '{TIMESTAMP_FORMAT}.SSSSSS')"
     if isinstance(kind, T.DateType):
         return f"date_format({value}, '{DATE_FORMAT}')"
     if isinstance(kind, T.BinaryType):

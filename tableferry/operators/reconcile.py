@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tableferry.functions.fingerprint import checksum_of, md5_word, row_hash, row_md5, row_text
-from tableferry.functions.text import canonical_sql, quoted
+from tableferry.functions.text import canonical_sql, quoted, shown_sql
 
 Tables = Mapping[str, DataFrame]
 
@@ -44,12 +44,18 @@ def table_checksums(
     columns: Mapping[str, Sequence[str]] | None = None,
     double_scale: int = 4,
     micros: bool = False,
+    typed: bool = False,
 ) -> DataFrame:
-    """``table_name, n_rows, checksum`` over all rows of each table, in any order."""
+    """``table_name, n_rows, checksum`` over all rows of each table, in any order.
+
+    The checksum is made of MD5s any engine can compute. ``typed=True`` hashes the typed values
+    instead: much cheaper, but only Spark can repeat it, and only for columns of equal types.
+    """
     columns = columns or {}
     parts = []
     for name, df in tables.items():
-        fingerprint = row_md5(df, columns.get(name, df.columns), double_scale, micros)
+        chosen = columns.get(name, df.columns)
+        fingerprint = row_hash(chosen) if typed else row_md5(df, chosen, double_scale, micros)
         checksum = checksum_of(df, fingerprint)
         parts.append(checksum.select(F.lit(name).alias("table_name"), "n_rows", "checksum"))
     return _stack(parts)
@@ -88,15 +94,25 @@ def reconcile_checksums(
     columns: Mapping[str, Sequence[str]] | None = None,
     double_scale: int = 4,
     micros: bool = False,
+    typed: bool = False,
 ) -> DataFrame:
     """``table_name, source_checksum, target_checksum, matched``, over whole tables.
 
-    Hand in conformed tables, so that true and 1 have the same text.
+    Hand in conformed tables, so that true and 1 have the same text. ``typed`` as in
+    ``table_checksums``; the types of the two ends are brought together first.
     """
     columns = columns or {name: df.columns for name, df in sources.items()}
+    if typed:
+        shared = {
+            name: comparable(sources[name], targets[name], columns[name])
+            for name in sources
+            if name in targets
+        }
+        sources = {**sources, **{name: pair[0] for name, pair in shared.items()}}
+        targets = {**targets, **{name: pair[1] for name, pair in shared.items()}}
     both = _both_ends(
-        table_checksums(sources, columns, double_scale, micros),
-        table_checksums(targets, columns, double_scale, micros),
+        table_checksums(sources, columns, double_scale, micros, typed),
+        table_checksums(targets, columns, double_scale, micros, typed),
         ["checksum"],
     )
     matched = F.coalesce(F.col("source_checksum") == F.col("target_checksum"), F.lit(False))
@@ -322,7 +338,6 @@ def changed_values(
     keys: Sequence[str],
     diff: DataFrame,
     columns: Sequence[str] | None = None,
-    double_scale: int = 4,
 ) -> DataFrame:
     """Key, ``column_name``, ``source_value``, ``target_value`` of every field that differs.
 
@@ -350,7 +365,7 @@ def changed_values(
     for index, name in enumerate(columns):
         kind = left.schema[name].dataType
         one, other = quoted("s_" + name), quoted("t_" + name)
-        shown = [canonical_sql(end, kind, double_scale, micros=True) for end in (one, other)]
+        shown = [shown_sql(end, kind) for end in (one, other)]
         fields.append(
             f"IF({one} <=> {other}, NULL, named_struct('column_index', {index}, "
             f"'source_value', {shown[0]}, 'target_value', {shown[1]}))"
@@ -369,24 +384,12 @@ def changed_values(
 # -- tables without a key -------------------------------------------------------------------
 
 
-def multiset_diff(
-    source: DataFrame,
-    target: DataFrame,
-    columns: Sequence[str] | None = None,
-    double_scale: int = 4,
-    micros: bool = False,
-) -> DataFrame:
-    """``fingerprint, n_source, n_target`` of every row value the ends hold in unequal number.
-
-    Stacked and grouped by row MD5. Copies of one row are counted before the shuffle, and only
-    the fingerprint travels.
-    """
-    columns = list(columns or source.columns)
-    left, right = comparable(source, target, columns)
+def _unequal(left: DataFrame, right: DataFrame, by: Sequence[str]) -> DataFrame:
+    """``by, n_source, n_target`` of the values the ends hold in unequal number."""
 
     def side(df: DataFrame, in_source: int) -> DataFrame:
         return df.select(
-            row_md5(df, columns, double_scale, micros).alias("fingerprint"),
+            *by,
             F.lit(in_source).alias("_in_source"),
             F.lit(1 - in_source).alias("_in_target"),
         )
@@ -394,32 +397,60 @@ def multiset_diff(
     return (
         side(left, 1)
         .unionAll(side(right, 0))
-        .groupBy("fingerprint")
+        .groupBy(*by)
         .agg(F.sum("_in_source").alias("n_source"), F.sum("_in_target").alias("n_target"))
         .where("n_source <> n_target")
     )
 
 
-def multiset_diff_rows(
+def multiset_suspects(
+    source: DataFrame, target: DataFrame, columns: Sequence[str] | None = None
+) -> DataFrame:
+    """``row_hash, n_source, n_target`` of every hash the ends hold in unequal number.
+
+    Copies of a row are counted before the shuffle, and only 64-bit hashes travel. Written
+    (``session.written``), the result says which rows ``multiset_diff`` has to look at.
+    """
+    columns = list(columns or source.columns)
+    left, right = comparable(source, target, columns)
+    hashed = [df.select(row_hash(columns).alias("row_hash")) for df in (left, right)]
+    return _unequal(*hashed, ["row_hash"])
+
+
+def multiset_diff(
     source: DataFrame,
     target: DataFrame,
-    diff: DataFrame,
+    suspects: DataFrame,
     columns: Sequence[str] | None = None,
-    double_scale: int = 4,
-    micros: bool = False,
 ) -> DataFrame:
-    """One row per distinct row value in ``diff`` with ``n_source`` and ``n_target``.
+    """One row per distinct row value the ends hold in unequal number: the columns,
+    ``n_source``, ``n_target``.
 
-    As in ``changed_values``, hand in a written ``diff``. Copies are removed before and after
-    the join, each time combined before the shuffle.
+    Only rows with a suspect hash are compared, and those by their values, so rows that merely
+    share a hash with a difference are not reported.
     """
     columns = list(columns or source.columns)
     left, right = comparable(source, target, columns)
-    marked = [
-        df.withColumn("fingerprint", row_md5(df, columns, double_scale, micros)).join(
-            diff.select("fingerprint"), "fingerprint", "left_semi"
-        )
+    wanted = suspects.select("row_hash")
+    found = [
+        df.withColumn("row_hash", row_hash(columns)).join(wanted, "row_hash", "left_semi")
         for df in (left, right)
     ]
-    values = marked[0].unionAll(marked[1]).dropDuplicates(["fingerprint"])
-    return values.join(diff, "fingerprint").select(*columns, "n_source", "n_target")
+    return _unequal(*found, columns)
+
+
+def fingerprint_diff(
+    source: DataFrame,
+    target: DataFrame,
+    columns: Sequence[str] | None = None,
+    double_scale: int = 4,
+    micros: bool = False,
+) -> DataFrame:
+    """``fingerprint, n_source, n_target``: as ``multiset_suspects``, by MD5s other engines can
+    compute as well, with doubles and timestamps at the precision of the checksums."""
+    columns = list(columns or source.columns)
+    marked = [
+        df.select(row_md5(df, columns, double_scale, micros).alias("fingerprint"))
+        for df in comparable(source, target, columns)
+    ]
+    return _unequal(*marked, ["fingerprint"])

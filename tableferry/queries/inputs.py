@@ -88,7 +88,7 @@ def plain_sql(column: str) -> str:
 
 
 def double_sql(column: str) -> str:
-    return f"coalesce(CAST({column} AS DECIMAL(38,4))::VARCHAR, '\\N')"
+    return f"coalesce(CAST(floor({column} * 10000 + 0.5) AS BIGINT)::VARCHAR, '\\N')"
 
 
 def moment_sql(column: str) -> str:

@@ -116,14 +116,26 @@ def changed_values(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def multiset_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     lineitem = table(spark, sf_dir, "lineitem")
-    return reconcile.multiset_diff(lineitem, faulty_lineitem(lineitem))
+    faulty = faulty_lineitem(lineitem)
+    suspects = written(reconcile.multiset_suspects(lineitem, faulty), "suspects")
+    return reconcile.multiset_diff(lineitem, faulty, suspects)
 
 
-def multiset_diff_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+def fingerprint_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     lineitem = table(spark, sf_dir, "lineitem")
-    faulty = faulty_lineitem(lineitem)
-    diff = written(reconcile.multiset_diff(lineitem, faulty), "multiset-diff")
-    return reconcile.multiset_diff_rows(lineitem, faulty, diff)
+    return reconcile.fingerprint_diff(lineitem, faulty_lineitem(lineitem))
+
+
+def typed_checksum(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether the typed checksums agree; their values are Spark's own."""
+    sources, targets = _ends(spark, sf_dir)
+    names = ["customer", "orders", "lineitem"]
+    found = reconcile.reconcile_checksums(
+        {name: sources[name] for name in names},
+        {name: targets[name] for name in names},
+        typed=True,
+    )
+    return found.select("table_name", "matched")
 
 
 QUERIES = {
@@ -132,6 +144,7 @@ QUERIES = {
     "load_report": report_of_load,
     "load_report_totals": totals_of_load,
     "reconcile_checksum": reconcile_checksum,
+    "reconcile_checksum_typed": typed_checksum,
     "sampled_checksum": sampled_checksum,
     "sampled_checksum_by_key": sampled_checksum_by_key,
     "row_diff": row_diff,
@@ -140,7 +153,7 @@ QUERIES = {
     "column_diff": column_diff,
     "changed_values": changed_values,
     "multiset_diff": multiset_diff,
-    "multiset_diff_rows": multiset_diff_rows,
+    "multiset_diff_fingerprints": fingerprint_diff,
 }
 
 _COUNTS = f"""
@@ -188,7 +201,7 @@ _COMPARED = ["o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_ord
 _SHOWN = {
     "o_custkey": "{0}::VARCHAR",
     "o_orderstatus": "{0}",
-    "o_totalprice": "CAST({0} AS DECIMAL(38,4))::VARCHAR",
+    "o_totalprice": "{0}::VARCHAR",
     "o_orderdate": "strftime({0}, '%Y-%m-%d %H:%M:%S.%f')",
     "o_orderpriority": "{0}",
 }
@@ -241,6 +254,14 @@ SQL = {
             _checksum_row("lineitem", "lineitem", "faulty_lineitem", LINEITEM_MD5),
         ]
     ),
+    "reconcile_checksum_typed": " UNION ALL ".join(
+        f"SELECT '{name}' AS table_name, {matched} AS matched"
+        for name, matched in (
+            ("customer", "TRUE"),
+            ("orders", "NOT EXISTS (SELECT 1 FROM orders WHERE o_orderkey % 97 = 0)"),
+            ("lineitem", "NOT EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey % 97 = 0)"),
+        )
+    ),
     "sampled_checksum": _sampled_sql(
         f"SELECT * FROM orders ORDER BY o_orderkey LIMIT {SAMPLE_ROWS}",
         "SELECT * FROM faulty_orders WHERE o_orderkey <= (SELECT max(o_orderkey) FROM "
@@ -278,7 +299,7 @@ SQL = {
         f"{_JOINED} WHERE s.{name} IS DISTINCT FROM t.{name}"
         for name in _COMPARED
     ),
-    "multiset_diff": f"""
+    "multiset_diff_fingerprints": f"""
         WITH {FAULTY_LINEITEM},
         s AS (SELECT {LINEITEM_MD5} AS fingerprint, count(*) AS n FROM lineitem GROUP BY 1),
         t AS (SELECT {LINEITEM_MD5} AS fingerprint, count(*) AS n FROM faulty_lineitem GROUP BY 1)
@@ -286,7 +307,7 @@ SQL = {
                coalesce(s.n, 0) AS n_source, coalesce(t.n, 0) AS n_target
         FROM s FULL OUTER JOIN t ON s.fingerprint = t.fingerprint
         WHERE s.n IS DISTINCT FROM t.n""",
-    "multiset_diff_rows": f"""
+    "multiset_diff": f"""
         WITH {FAULTY_LINEITEM},
         both_ends AS (SELECT {_LINES}, 1 AS s, 0 AS t FROM lineitem
                       UNION ALL SELECT {_LINES}, 0, 1 FROM faulty_lineitem)
