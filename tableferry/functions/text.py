@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 DELIMITER = ","
 QUOTE = '"'
 ESCAPE = "\\"
+LINE_END = "\n"
 NULL_MARKER = "\\N"
 TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss"
 DATE_FORMAT = "yyyy-MM-dd"

@@ -34,14 +34,7 @@ def _null_in_key(keys: Sequence[str]) -> Column:
     return reduce(Column.__or__, [F.col(name).isNull() for name in keys])
 
 
-def dedupe_stage(
-    stage: DataFrame, keys: Sequence[str], version: Sequence[str] | None = None
-) -> DataFrame:
-    """The newest staged row per key: highest ``version``, then highest remaining columns.
-
-    Spark keeps one row per key in every task before the shuffle, so a key staged very often
-    does not load one task. NULL never equals NULL in a key, so such rows are all kept.
-    """
+def _newest(stage: DataFrame, keys: Sequence[str], version: Sequence[str] | None) -> DataFrame:
     version = list(version or [])
     rest = [
         field.name
@@ -50,13 +43,21 @@ def dedupe_stage(
         and not isinstance(field.dataType, (T.MapType, T.VariantType))
     ]
     newest_first = Window.partitionBy(*keys).orderBy(*[F.desc(name) for name in version + rest])
-    newest = (
-        stage.where(~_null_in_key(keys))
-        .withColumn("_nth", F.row_number().over(newest_first))
-        .where("_nth = 1")
-        .drop("_nth")
+    return (
+        stage.withColumn("_nth", F.row_number().over(newest_first)).where("_nth = 1").drop("_nth")
     )
-    return newest.unionByName(stage.where(_null_in_key(keys)))
+
+
+def dedupe_stage(
+    stage: DataFrame, keys: Sequence[str], version: Sequence[str] | None = None
+) -> DataFrame:
+    """The newest staged row per key: highest ``version``, then highest remaining columns.
+
+    Spark keeps one row per key in every task before the shuffle, so a key staged very often
+    does not load one task. NULL never equals NULL in a key, so such rows are all kept.
+    """
+    nulls = _null_in_key(keys)
+    return _newest(stage.where(~nulls), keys, version).unionByName(stage.where(nulls))
 
 
 def _without(target: DataFrame, stage: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -103,7 +104,7 @@ def upsert(
     """Target with each staged row replacing the row of the same key, or added.
 
     Several staged rows of one key count once, the newest by ``version``. Applying the same
-    stage again changes nothing.
+    stage again changes nothing, unless it has NULL in a key: such a row matches no other.
     """
     return _without(target, stage, keys).unionByName(dedupe_stage(stage, keys, version))
 
@@ -200,7 +201,8 @@ def upsert_partitions(
     which the staged keys live now (only keys are read to find them), so a row may move. The new
     files go to a folder of their own and the catalog is pointed there partition by partition:
     readers never see a half-written partition, a lost job leaves the old files in place, and
-    running it again gives the same table. Returns the number of partitions rewritten.
+    running it again gives the same table. A stage with NULL in a key is refused, for its rows
+    could not be found again. Returns the number of partitions rewritten.
 
     The partition names (not rows) come to the driver, which issues one catalog change for each;
     beyond ``max_partitions`` the call is refused in favour of ``staged_reload``.
@@ -208,7 +210,9 @@ def upsert_partitions(
     target = spark.table(table)
     by = list(partition_by)
     fields = [target.schema[name] for name in by]
-    newest = written(_in_order(dedupe_stage(stage, keys, version), target), f"{table}-stage")
+    newest = written(_in_order(_newest(stage, keys, version), target), f"{table}-stage")
+    if not newest.where(_null_in_key(keys)).isEmpty():
+        raise LoadRefused(f"staged rows have NULL in the key {list(keys)}")
     concerned = newest.select(*by)
     if not key_fixes_partition:
         staged = newest.select(*keys).distinct()

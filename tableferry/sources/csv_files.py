@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from tableferry.functions.text import (
     DELIMITER,
     ESCAPE,
+    LINE_END,
     NULL_MARKER,
     QUOTE,
     TIMESTAMP_FORMAT,
@@ -52,6 +53,7 @@ def write_export(
         .write.option("sep", delimiter)
         .option("quote", quote)
         .option("escape", escape)
+        .option("lineSep", LINE_END)
         .option("nullValue", null_marker)
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)
@@ -83,6 +85,8 @@ def read_export(
         .option("escape", escape)
         .option("nullValue", null_marker)
         .option("multiLine", line_breaks)
+        # Named, because otherwise the parser guesses it and rewrites other breaks within texts.
+        .option("lineSep", LINE_END)
         # Fields are counted only while all columns are parsed.
         .option("columnPruning", False)
         .option("mode", "PERMISSIVE" if keep_bad_rows else "FAILFAST")
