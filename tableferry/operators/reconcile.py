@@ -27,15 +27,17 @@ def _stack(frames: Sequence[DataFrame]) -> DataFrame:
 # -- whole tables ---------------------------------------------------------------------------
 
 
+def labelled(one_row_frames: Tables) -> DataFrame:
+    """One-row results of several tables as one plan, with their ``table_name`` in front."""
+    return _stack(
+        [df.select(F.lit(name).alias("table_name"), "*") for name, df in one_row_frames.items()]
+    )
+
+
 def table_counts(tables: Tables) -> DataFrame:
     """``table_name, n_rows``, as one plan over all tables."""
-    return _stack(
-        [
-            df.agg(F.count(F.lit(1)).alias("n_rows")).select(
-                F.lit(name).alias("table_name"), "n_rows"
-            )
-            for name, df in tables.items()
-        ]
+    return labelled(
+        {name: df.agg(F.count(F.lit(1)).alias("n_rows")) for name, df in tables.items()}
     )
 
 
@@ -52,13 +54,13 @@ def table_checksums(
     instead: much cheaper, but only Spark can repeat it, and only for columns of equal types.
     """
     columns = columns or {}
-    parts = []
-    for name, df in tables.items():
+
+    def checksum(name: str, df: DataFrame) -> DataFrame:
         chosen = columns.get(name, df.columns)
         fingerprint = row_hash(chosen) if typed else row_md5(df, chosen, double_scale, micros)
-        checksum = checksum_of(df, fingerprint)
-        parts.append(checksum.select(F.lit(name).alias("table_name"), "n_rows", "checksum"))
-    return _stack(parts)
+        return checksum_of(df, fingerprint)
+
+    return labelled({name: checksum(name, df) for name, df in tables.items()})
 
 
 def _both_ends(source: DataFrame, target: DataFrame, facts: Sequence[str]) -> DataFrame:
@@ -77,17 +79,23 @@ def _both_ends(source: DataFrame, target: DataFrame, facts: Sequence[str]) -> Da
     return sides.groupBy("table_name").agg(*picked)
 
 
-def reconcile_counts(sources: Tables, targets: Tables) -> DataFrame:
-    """``table_name, source_count, target_count, matched``."""
+def compare_counts(source: DataFrame, target: DataFrame) -> DataFrame:
+    """``table_name, source_count, target_count, matched`` from two results of ``table_counts``
+    (or of counts taken elsewhere, such as by a database)."""
     both = _both_ends(
-        table_counts(sources).withColumnRenamed("n_rows", "count"),
-        table_counts(targets).withColumnRenamed("n_rows", "count"),
+        source.withColumnRenamed("n_rows", "count"),
+        target.withColumnRenamed("n_rows", "count"),
         ["count"],
     )
     matched = F.coalesce(F.col("source_count") == F.col("target_count"), F.lit(False))
     return both.withColumn("matched", matched)
 
 
+def reconcile_counts(sources: Tables, targets: Tables) -> DataFrame:
+    """``table_name, source_count, target_count, matched``."""
+    return compare_counts(table_counts(sources), table_counts(targets))
+
+
 def reconcile_checksums(
     sources: Tables,
     targets: Tables,

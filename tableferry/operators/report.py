@@ -43,3 +43,8 @@ def report_totals(report: DataFrame) -> DataFrame:
         F.sum("total").alias("total"),
         F.coalesce(rate, F.lit(0)).cast("decimal(9,4)").alias("error_percent"),
     )
+
+
+def write_report(report: DataFrame, path: str, format: str = "json") -> None:
+    """Write a report (one row per table) as a single file."""
+    report.coalesce(1).write.format(format).mode("overwrite").save(path)

@@ -18,6 +18,25 @@ def ignored_columns(df: DataFrame, words: Sequence[str] = IGNORED_WORDS) -> list
     return [spec.name for spec in rules.specs_of(df) if rules.is_ignored(spec, words)]
 
 
+def column_plan(
+    df: DataFrame,
+    type_map: Mapping[str, str] = TYPE_MAP,
+    words: Sequence[str] = IGNORED_WORDS,
+) -> list[tuple[str, str, str | None, str]]:
+    """``(column, source type, target type, note)`` per column, so that nothing is left out or
+    guessed in silence. Notes: ``ignored``, ``unmapped``, ``unsized_decimal``."""
+    plan = []
+    for spec in rules.specs_of(df):
+        if rules.is_ignored(spec, words):
+            plan.append((spec.name, spec.data_type, None, "ignored"))
+            continue
+        note = "" if rules.is_mapped(spec, type_map) else "unmapped"
+        if rules.is_unsized_decimal(spec):
+            note = "unsized_decimal"
+        plan.append((spec.name, spec.data_type, rules.target_type(spec, type_map), note))
+    return plan
+
+
 def prune_unsupported(df: DataFrame, words: Sequence[str] = IGNORED_WORDS) -> DataFrame:
     """The table without those columns; they are not read from the source either."""
     return df.drop(*ignored_columns(df, words))

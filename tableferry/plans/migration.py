@@ -14,8 +14,9 @@ from tableferry.functions import types as rules
 from tableferry.functions.types import IGNORED_WORDS, TYPE_MAP, ColumnSpec
 from tableferry.operators.audits import hex_audit
 from tableferry.operators.reconcile import (
+    compare_counts,
+    labelled,
     reconcile_checksums,
-    reconcile_counts,
     sampled_checksums,
 )
 from tableferry.operators.report import load_report
@@ -51,6 +52,15 @@ def chosen_tables(tables: Sequence[str], settings: Settings) -> list[str]:
     return [name for name in tables if name not in settings.exclude_tables]
 
 
+def scan(
+    spark: SparkSession, store: Store, table: str, settings: Settings, split_key: str | None
+) -> DataFrame:
+    """A stored table; JDBC tables with a ``split_key`` are read over several connections."""
+    if isinstance(store, JdbcStore) and split_key:
+        return store.read_partitioned(spark, table, split_key, settings.partitions_per_table)
+    return store.read(spark, table)
+
+
 def conformed(
     spark: SparkSession,
     source: Store,
@@ -59,12 +69,8 @@ def conformed(
     specs: Sequence[ColumnSpec] | None = None,
     split_key: str | None = None,
 ) -> DataFrame:
-    """A source table as the target will hold it. JDBC tables with a ``split_key`` are read over
-    several connections."""
-    if isinstance(source, JdbcStore) and split_key:
-        df = source.read_partitioned(spark, table, split_key, settings.partitions_per_table)
-    else:
-        df = source.read(spark, table)
+    """A source table as the target will hold it."""
+    df = scan(spark, source, table, settings, split_key)
     described = rules.describe(df, specs) if specs else df
     pruned = prune_unsupported(described, settings.ignore_words)
     return conform_table(pruned, settings.type_map, strict_decimal=settings.strict_decimal)
@@ -144,22 +150,31 @@ def validate(
     settings: Settings | None = None,
     specs: Mapping[str, Sequence[ColumnSpec]] | None = None,
     keys: Mapping[str, Sequence[str]] | None = None,
+    split_keys: Mapping[str, str] | None = None,
 ) -> dict[str, DataFrame]:
     """``counts``, ``checksums`` and ``load`` reports, one row per table.
 
-    Checksums cover whole tables unless the settings name a ``sample_size`` (which needs keys).
+    Each store counts its own rows. Checksums cover whole tables unless the settings name a
+    ``sample_size`` (which needs keys).
     """
-    settings, specs = settings or Settings(), specs or {}
+    settings, specs, split_keys = settings or Settings(), specs or {}, split_keys or {}
     chosen = chosen_tables(tables, settings)
-    ours = {t: conformed(spark, source, t, settings, specs.get(t)) for t in chosen}
-    theirs = {t: target.read(spark, t) for t in chosen}
     reports = {}
     if settings.check_count:
-        reports["counts"] = reconcile_counts(ours, theirs)
+        reports["counts"] = compare_counts(
+            labelled({t: source.count(spark, t) for t in chosen}),
+            labelled({t: target.count(spark, t) for t in chosen}),
+        )
         reports["load"] = load_report(reports["counts"])
-    if settings.check_checksum and settings.sample_size and keys:
+    if not settings.check_checksum:
+        return reports
+    ours = {
+        t: conformed(spark, source, t, settings, specs.get(t), split_keys.get(t)) for t in chosen
+    }
+    theirs = {t: scan(spark, target, t, settings, split_keys.get(t)) for t in chosen}
+    if settings.sample_size and keys:
         reports["checksums"] = sampled_checksums(ours, theirs, keys, settings.sample_size)
-    elif settings.check_checksum:
+    else:
         reports["checksums"] = reconcile_checksums(ours, theirs)
     return reports
 

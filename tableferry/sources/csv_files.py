@@ -41,7 +41,7 @@ def write_export(
     null_marker: str = NULL_MARKER,
     quote: str = QUOTE,
     escape: str = ESCAPE,
-    max_rows_per_file: int = 2_000_000,
+    max_rows_per_file: int = 1_000_000,
 ) -> None:
     """Write one table as CSV part files.
 

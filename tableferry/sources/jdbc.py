@@ -50,6 +50,12 @@ class JdbcStore:
     def count_query(self, table: str) -> str:
         return f"SELECT COUNT(*) AS n_rows FROM {self._name(table)}"
 
+    def count(self, spark: SparkSession, table: str) -> DataFrame:
+        """One row, ``n_rows``, counted by the database: no table row crosses the network."""
+        return self.query(spark, self.count_query(table)).selectExpr(
+            "CAST(n_rows AS BIGINT) AS n_rows"
+        )
+
     def bounds_query(self, table: str, key: str) -> str:
         return f"SELECT MIN({key}) AS low_key, MAX({key}) AS high_key FROM {self._name(table)}"
 

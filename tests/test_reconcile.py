@@ -2,9 +2,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from tableferry.operators import reconcile
-from tableferry.operators.report import load_report, report_totals
+from tableferry.operators.report import load_report, report_totals, write_report
 from tableferry.operators.shape import conform_table
-from tableferry.session import written
+from tableferry.session import new_folder, written
 
 
 def one_checksum(df, **options):
@@ -66,6 +66,9 @@ def test_counts_and_report(spark):
     assert {row.table_name: row.status for row in report.collect()} == {
         "a": "success", "b": "partial", "c": "skipped", "d": "failed",
     }
+    folder = new_folder(spark, "report")
+    write_report(report, folder)
+    assert spark.read.json(folder).count() == 4
     totals = report_totals(report).first()
     assert (totals.n_tables, totals.failed, totals.total) == (4, 15, 205)
     assert float(totals.error_percent) == pytest.approx(15 / 205 * 100, abs=1e-4)

@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tableferry import session
+from tableferry.functions.text import marker_to_null
 from tableferry.session import new_folder
 from tableferry.sources import ranges
 from tableferry.sources.csv_files import (
@@ -38,6 +39,11 @@ def test_a_text_equal_to_the_marker_is_refused(spark):
     assert read_export(spark, folder, ["t"], null_marker="<null>").first().t == "\\N"
 
 
+def test_marker_to_null(spark):
+    rows = spark.createDataFrame([("\\N",), ("N",)], "t string")
+    assert [r[0] for r in rows.select(marker_to_null(F.col("t"))).collect()] == [None, "N"]
+
+
 def test_types_survive_the_round_trip(spark):
     rows = spark.sql(
         """SELECT 1 AS i, true AS b, 1.50BD AS d, 2.5D AS f, DATE'2024-02-29' AS day,

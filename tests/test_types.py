@@ -5,6 +5,7 @@ from pyspark.sql import types as T
 from tableferry.functions import types as rules
 from tableferry.functions.types import ColumnSpec
 from tableferry.operators.shape import (
+    column_plan,
     conform_table,
     evolve_table,
     ignored_columns,
@@ -143,6 +144,8 @@ def test_conform_and_prune(spark):
     )
     described = rules.describe(users, USERS)
     assert ignored_columns(described) == ["profile_data", "tags"]
+    assert column_plan(described)[2] == ("is_active", "boolean", "TINYINT(1)", "")
+    assert column_plan(described)[5] == ("tags", "ARRAY", None, "ignored")
     done = conform_table(prune_unsupported(described))
     assert [f.dataType for f in done.schema.fields] == [
         T.IntegerType(), T.StringType(), T.ByteType(), T.TimestampNTZType(),
@@ -190,3 +193,11 @@ def test_evolve(spark):
     bare = T.StructType([T.StructField("x", T.IntegerType(), False)])
     with pytest.raises(ValueError, match="needs a default"):
         evolve_table(now, bare)
+
+
+def test_plan_flags_what_needs_a_look(spark):
+    rows = spark.sql("SELECT 'x' AS a, 1.5BD AS b")
+    described = rules.describe(rows, [ColumnSpec("a", "inet"), ColumnSpec("b", "numeric")])
+    assert [(p[2], p[3]) for p in column_plan(described)] == [
+        ("INET", "unmapped"), ("DECIMAL(10,0)", "unsized_decimal"),
+    ]
