@@ -69,15 +69,18 @@ def _without(target: DataFrame, stage: DataFrame, keys: Sequence[str]) -> DataFr
 
 def append_conflicts(target: DataFrame, stage: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys that appending ``stage`` would repeat (or that are NULL), with the number of rows
-    they would have."""
-    marked = target.select(*keys, F.lit(0).alias("_staged")).unionAll(
-        stage.select(*keys, F.lit(1).alias("_staged"))
-    )
+    they would have.
+
+    Of the target only the rows with a staged key are counted; a small stage is broadcast to
+    find them, so the target is not shuffled.
+    """
+    staged = stage.select(*keys)
+    held = target.select(*keys).join(staged.distinct(), list(keys), "left_semi")
     return (
-        marked.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("n_rows"), F.sum("_staged").alias("n_staged"))
-        .where(((F.col("n_rows") > 1) | _null_in_key(keys)) & (F.col("n_staged") > 0))
-        .drop("n_staged")
+        held.unionAll(staged)
+        .groupBy(*keys)
+        .agg(F.count(F.lit(1)).alias("n_rows"))
+        .where((F.col("n_rows") > 1) | _null_in_key(keys))
     )
 
 

@@ -93,6 +93,10 @@ def row_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reconcile.row_diff(*_orders(spark, sf_dir), KEY)
 
 
+def row_diff_by_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reconcile.row_diff_by_range(*_orders(spark, sf_dir), KEY[0])
+
+
 def row_diff_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reconcile.row_diff_summary(*_orders(spark, sf_dir), KEY)
 
@@ -148,6 +152,7 @@ QUERIES = {
     "sampled_checksum": sampled_checksum,
     "sampled_checksum_by_key": sampled_checksum_by_key,
     "row_diff": row_diff,
+    "row_diff_by_range": row_diff_by_range,
     "row_diff_summary": row_diff_summary,
     "row_diff_repeated_keys": row_diff_repeated_keys,
     "column_diff": column_diff,
@@ -273,6 +278,8 @@ SQL = {
     ),
     "row_diff": _ROW_STATUS
     + "SELECT o_orderkey, status, n_source, n_target FROM pairs WHERE status <> 'same'",
+    "row_diff_by_range": _ROW_STATUS
+    + "SELECT o_orderkey, status, n_source, n_target FROM pairs WHERE status <> 'same'",
     "row_diff_summary": _ROW_STATUS
     + "SELECT status, count(*) AS n_keys FROM pairs GROUP BY status",
     "row_diff_repeated_keys": f"""

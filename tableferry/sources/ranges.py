@@ -30,6 +30,38 @@ def split_number(key: str, lower: int, upper: int, parts: int) -> Column:
     return F.coalesce(F.expr(f"(`{key}` - {lower}) div {width}"), F.lit(0)).cast("int")
 
 
+def bounded_split_number(key: str, lower: int, upper: int, parts: int) -> Column:
+    """``split_number`` for keys that may lie outside: -1 below ``lower`` (and for NULL),
+    ``parts`` above ``upper``."""
+    inside = split_number(key, lower, upper, parts)
+    value = F.col(key)
+    return (
+        F.when(value.isNull() | (value < lower), -1).when(value > upper, parts).otherwise(inside)
+    )
+
+
+def in_splits(key: str, lower: int, upper: int, parts: int, numbers: Sequence[int]) -> Column:
+    """Rows of the given intervals, as ranges of the key that filter a scan. Neighbouring
+    intervals make one range, so the filter stays short where the numbers are dense."""
+    width, value = interval_width(lower, upper, parts), F.col(key)
+    wanted = F.lit(False)
+    chosen = sorted(set(numbers))
+    inside = [number for number in chosen if 0 <= number < parts]
+    first = None
+    for position, number in enumerate(inside):
+        first = number if first is None else first
+        if position + 1 < len(inside) and inside[position + 1] == number + 1:
+            continue
+        end = min(lower + (number + 1) * width - 1, upper)
+        wanted = wanted | value.between(lower + first * width, end)
+        first = None
+    if -1 in chosen:
+        wanted = wanted | value.isNull() | (value < lower)
+    if parts in chosen:
+        wanted = wanted | (value > upper)
+    return wanted
+
+
 def balanced_cuts(df: DataFrame, key: str, parts: int, accuracy: int = 10000) -> list:
     """Like ``equal_cuts``, but each interval holds about as many rows: key gaps do not matter.
 

@@ -175,3 +175,28 @@ def test_sample_with_two_part_and_null_keys(spark):
 def test_key_share_is_about_the_share(spark):
     n = reconcile.rows_by_key_share(spark.range(20000), ["id"], 0.25).count()
     assert 4500 < n < 5500
+
+
+def test_row_diff_by_range_reads_only_what_differs(spark):
+    source = spark.range(10, 5010).select("id", F.md5(F.col("id").cast("string")).alias("v"))
+    target = (
+        source.where("id <> 1000")
+        .withColumn("v", F.when(F.col("id") == 3000, "x").otherwise(F.col("v")))
+        .unionAll(spark.sql("SELECT 9999L, 'new' UNION ALL SELECT 3L, 'low'"))
+        .unionAll(spark.sql("SELECT CAST(NULL AS BIGINT), 'null'"))
+    )
+    numbers, bounds = reconcile.differing_ranges(source, target, "id", 100)
+    assert numbers == [-1, (1000 - 10) // 50, (3000 - 10) // 50, 100]
+    assert bounds == (10, 5009)
+    wanted = sorted(map(str, reconcile.row_diff(source, target, ["id"]).collect()))
+    for parts in (1, 7, 100, 4000):
+        found = reconcile.row_diff_by_range(source, target, "id", parts)
+        assert sorted(map(str, found.collect())) == wanted
+    assert reconcile.row_diff_by_range(source, source, "id").isEmpty()
+    assert reconcile.row_diff_by_range(source.limit(0), target, "id").count() == target.count()
+
+
+def test_ranges_see_rows_that_swapped_values(spark):
+    source = spark.sql("SELECT * FROM VALUES (1L, 'a'), (2L, 'b') AS t(id, v)")
+    target = spark.sql("SELECT * FROM VALUES (1L, 'b'), (2L, 'a') AS t(id, v)")
+    assert reconcile.row_diff_by_range(source, target, "id", 1).count() == 2
