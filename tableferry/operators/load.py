@@ -60,11 +60,16 @@ def dedupe_stage(
     return _newest(stage.where(~nulls), keys, version).unionByName(stage.where(nulls))
 
 
-def _without(target: DataFrame, stage: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Target rows whose key is not staged. The staged keys are made distinct first; whether they
-    are broadcast is left to the planner, which checks their size."""
-    staged = stage.select(*keys).distinct()
-    return target.join(staged, list(keys), "left_anti").select(*target.columns)
+def _staged_keys(stage: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The distinct staged keys, written: the planner broadcasts them only if the files are
+    small, and else can split a target key that holds very many rows (it does so only for joins
+    that read their shuffles directly, not through an aggregate)."""
+    return written(stage.select(*keys).distinct(), "staged-keys")
+
+
+def _without(target: DataFrame, staged: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Target rows whose key is not among the (distinct) staged keys."""
+    return target.join(staged.select(*keys), list(keys), "left_anti").select(*target.columns)
 
 
 def append_conflicts(target: DataFrame, stage: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -74,10 +79,9 @@ def append_conflicts(target: DataFrame, stage: DataFrame, keys: Sequence[str]) -
     Of the target only the rows with a staged key are counted; a small stage is broadcast to
     find them, so the target is not shuffled.
     """
-    staged = stage.select(*keys)
-    held = target.select(*keys).join(staged.distinct(), list(keys), "left_semi")
+    held = target.select(*keys).join(_staged_keys(stage, keys), list(keys), "left_semi")
     return (
-        held.unionAll(staged)
+        held.unionAll(stage.select(*keys))
         .groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("n_rows"))
         .where((F.col("n_rows") > 1) | _null_in_key(keys))
@@ -109,7 +113,8 @@ def upsert(
     Several staged rows of one key count once, the newest by ``version``. Applying the same
     stage again changes nothing, unless it has NULL in a key: such a row matches no other.
     """
-    return _without(target, stage, keys).unionByName(dedupe_stage(stage, keys, version))
+    kept = _without(target, _staged_keys(stage, keys), keys)
+    return kept.unionByName(dedupe_stage(stage, keys, version))
 
 
 def delete_insert(target: DataFrame, stage: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -117,12 +122,12 @@ def delete_insert(target: DataFrame, stage: DataFrame, keys: Sequence[str]) -> D
 
     Unlike ``upsert`` the key need not be unique: a staged group replaces the whole group.
     """
-    return _without(target, stage, keys).unionByName(stage)
+    return _without(target, _staged_keys(stage, keys), keys).unionByName(stage)
 
 
 def deleted_rows(target: DataFrame, stage: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The rows ``delete_insert`` deletes."""
-    staged = stage.select(*keys).distinct()
+    staged = _staged_keys(stage, keys)
     return target.join(staged, list(keys), "left_semi").select(*target.columns)
 
 
@@ -218,8 +223,8 @@ def upsert_partitions(
         raise LoadRefused(f"staged rows have NULL in the key {list(keys)}")
     concerned = newest.select(*by)
     if not key_fixes_partition:
-        staged = newest.select(*keys).distinct()
-        homes = target.select(*dict.fromkeys([*keys, *by])).join(staged, list(keys), "left_semi")
+        held = target.select(*dict.fromkeys([*keys, *by]))
+        homes = held.join(newest.select(*keys), list(keys), "left_semi")
         concerned = concerned.unionAll(homes.select(*by))
     places = concerned.distinct().limit(max_partitions + 1).collect()
     if len(places) > max_partitions:

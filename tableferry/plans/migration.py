@@ -186,13 +186,16 @@ def export_tables(
     tables: Sequence[str],
     settings: Settings | None = None,
     specs: Mapping[str, Sequence[ColumnSpec]] | None = None,
+    split_keys: Mapping[str, str] | None = None,
 ) -> dict[str, T.StructType]:
     """Write every chosen table as CSV below ``folder``; returns the exported schemas."""
-    settings, specs = settings or Settings(), specs or {}
+    settings, specs, split_keys = settings or Settings(), specs or {}, split_keys or {}
     schemas: dict[str, T.StructType] = {}
 
     def export(table: str) -> None:
-        rows = conformed(spark, source, table, settings, specs.get(table))
+        rows = conformed(
+            spark, source, table, settings, specs.get(table), split_keys.get(table)
+        )
         schemas[table] = rows.schema
         write_export(rows, f"{folder}/{table}")
 

@@ -16,7 +16,11 @@ from tableferry.sources.ranges import equal_cuts, range_predicates
 
 @dataclass(frozen=True)
 class JdbcStore:
-    """``options`` holds user, password, driver and anything else the driver understands."""
+    """``options`` holds user, password, driver and anything else the driver understands.
+
+    ``quote`` is the database's identifier quote (``"`` or a backtick); without it names are used
+    as they are.
+    """
 
     url: str
     schema: str | None = None
@@ -24,9 +28,16 @@ class JdbcStore:
     fetch_size: int = 10000
     batch_size: int = 1000
     writers: int = 8
+    quote: str = ""
+
+    def _ident(self, name: str) -> str:
+        if not self.quote:
+            return name
+        return self.quote + name.replace(self.quote, self.quote * 2) + self.quote
 
     def _name(self, table: str) -> str:
-        return f"{self.schema}.{table}" if self.schema else table
+        parts = [self.schema, table] if self.schema else [table]
+        return ".".join(self._ident(part) for part in parts)
 
     def _reader(self, spark: SparkSession) -> DataFrameReader:
         return (
@@ -57,7 +68,8 @@ class JdbcStore:
         )
 
     def bounds_query(self, table: str, key: str) -> str:
-        return f"SELECT MIN({key}) AS low_key, MAX({key}) AS high_key FROM {self._name(table)}"
+        name = self._ident(key)
+        return f"SELECT MIN({name}) AS low_key, MAX({name}) AS high_key FROM {self._name(table)}"
 
     def read_partitioned(
         self,
@@ -84,7 +96,7 @@ class JdbcStore:
         df = spark.read.jdbc(
             self.url,
             self._name(table),
-            predicates=range_predicates(key, cuts),
+            predicates=range_predicates(self._ident(key), cuts),
             properties=properties,
         )
         return df.select(*columns) if columns is not None else df

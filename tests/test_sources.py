@@ -116,6 +116,9 @@ def test_jdbc_queries_and_secrets():
     assert "table_name = 'o''t'" in STORE.columns_query("o't")
     assert "secret" not in repr(STORE)
     assert JdbcStore("jdbc:any://host/db")._name("t") == "t"
+    quoted = JdbcStore("jdbc:any://host/db", "public", quote='"')
+    assert quoted.count_query('a"b') == 'SELECT COUNT(*) AS n_rows FROM "public"."a""b"'
+    assert 'MIN("Id")' in quoted.bounds_query("t", "Id")
 
 
 def test_work_folder_comes_from_the_session(spark):
