@@ -256,15 +256,15 @@ def describe(df: DataFrame, specs: Sequence[ColumnSpec]) -> DataFrame:
     by_name = {spec.name: spec for spec in specs}
 
     def described(name: str) -> Column:
-        spec = by_name.get(name)
+        spec, column = by_name.get(name), F.col("`" + name.replace("`", "``") + "`")
         if spec is None:
-            return F.col(name)
+            return column
         facts = {
             "source_type": spec.data_type, "udt_name": spec.udt_name, "length": spec.length,
             "precision": spec.precision, "scale": spec.scale, "nullable": spec.nullable,
             "default": spec.default,
         }
         known = {key: value for key, value in facts.items() if value is not None}
-        return F.col(name).alias(name, metadata=known)
+        return column.alias(name, metadata=known)
 
     return df.select(*[described(name) for name in df.columns])

@@ -227,12 +227,12 @@ def comparable(
     for name in columns:
         one, other = source.schema[name].dataType, target.schema[name].dataType
         if one == other:
-            left.append(F.col(name))
-            right.append(F.col(name))
+            left.append(quoted(name))
+            right.append(quoted(name))
             continue
         common = _common_type(one, other)
         for side, kind in ((left, one), (right, other)):
-            value = F.col(name)
+            value = F.col(quoted(name))
             text = F.expr(canonical_sql(quoted(name), kind))
             shared = text if common is None else value.cast(common)
             side.append(shared.alias(name))

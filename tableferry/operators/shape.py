@@ -110,7 +110,7 @@ def evolve_table(
         if field.name in expressions:
             value = expressions[field.name]
         elif renames.get(field.name, field.name) in df.columns:
-            value = F.col(renames.get(field.name, field.name))
+            value = F.col(quoted(renames.get(field.name, field.name)))
         else:
             spec = rules.spec_of_field(field)
             if not field.nullable and not rules.normalize_default(spec):

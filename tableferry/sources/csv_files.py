@@ -16,6 +16,7 @@ from tableferry.functions.text import (
     QUOTE,
     TIMESTAMP_FORMAT,
     export_text,
+    quoted,
     refuse_marker,
 )
 
@@ -26,7 +27,7 @@ def export_projection(df: DataFrame, null_marker: str | None = None) -> DataFram
     """The columns in their export form. With ``null_marker``, a text equal to it is an error."""
 
     def exported(field: T.StructField) -> Column:
-        value = F.col(field.name)
+        value = F.col(quoted(field.name))
         if null_marker is not None and isinstance(field.dataType, T.StringType):
             return refuse_marker(value, field.name, null_marker).alias(field.name)
         return export_text(value, field.dataType).alias(field.name)
@@ -101,7 +102,7 @@ def parse_export(texts: DataFrame, schema: T.StructType) -> DataFrame:
     """Typed columns from exported texts; a text that does not fit its type is an error."""
 
     def parsed(field: T.StructField) -> Column:
-        value, kind = F.col(field.name), field.dataType
+        value, kind = F.col(quoted(field.name)), field.dataType
         if isinstance(kind, T.BinaryType):
             value = F.unhex(value)
         elif isinstance(kind, T.TimestampNTZType):

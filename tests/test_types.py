@@ -4,6 +4,7 @@ from pyspark.sql import types as T
 
 from tableferry.functions import types as rules
 from tableferry.functions.types import ColumnSpec
+from tableferry.operators import reconcile
 from tableferry.operators.shape import (
     column_plan,
     conform_table,
@@ -12,6 +13,7 @@ from tableferry.operators.shape import (
     prune_unsupported,
     schema_changes,
 )
+from tableferry.sources.csv_files import export_projection
 
 
 def spec(data_type, **facts):
@@ -167,6 +169,10 @@ def test_odd_column_names(spark):
     done = conform_table(rows)
     assert done.columns == ["a.b", "c`d", "e f"]
     assert done.first()[1] == 1
+    assert rules.describe(rows, [ColumnSpec("a.b", "integer")]).columns == rows.columns
+    assert export_projection(rows).first()[1] == 1
+    assert evolve_table(rows, rows.schema).first() == rows.first()
+    assert reconcile.reconcile_checksums({"t": done}, {"t": done}, typed=True).first().matched
 
 
 def test_evolve(spark):
