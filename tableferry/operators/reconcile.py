@@ -22,7 +22,13 @@ Tables = Mapping[str, DataFrame]
 
 
 def _stack(frames: Sequence[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionAll, frames)
+    """Union in pairs, so that the plan over very many tables stays shallow."""
+    frames = list(frames)
+    while len(frames) > 1:
+        pairs = zip(frames[::2], frames[1::2])
+        odd = frames[-1:] if len(frames) % 2 else []
+        frames = [one.unionAll(other) for one, other in pairs] + odd
+    return frames[0]
 
 
 # -- whole tables ---------------------------------------------------------------------------

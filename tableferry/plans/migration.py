@@ -118,6 +118,8 @@ def migrate(
         rows = conformed(
             spark, source, table, settings, specs.get(table), split_keys.get(table)
         )
+        if not rows.columns:
+            raise ValueError(f"{table} has no column the target supports")
         target.reload(rows, table)
 
     return _run_tables(spark, chosen_tables(tables, settings), load, settings)
@@ -188,7 +190,8 @@ def export_tables(
     specs: Mapping[str, Sequence[ColumnSpec]] | None = None,
     split_keys: Mapping[str, str] | None = None,
 ) -> dict[str, T.StructType]:
-    """Write every chosen table as CSV below ``folder``; returns the exported schemas."""
+    """Write every chosen table as CSV below ``folder``; returns the exported schemas. Tables
+    without a column to export are skipped and have none."""
     settings, specs, split_keys = settings or Settings(), specs or {}, split_keys or {}
     schemas: dict[str, T.StructType] = {}
 
@@ -196,8 +199,9 @@ def export_tables(
         rows = conformed(
             spark, source, table, settings, specs.get(table), split_keys.get(table)
         )
-        schemas[table] = rows.schema
-        write_export(rows, f"{folder}/{table}")
+        if rows.columns:
+            write_export(rows, f"{folder}/{table}")
+            schemas[table] = rows.schema
 
     _run_tables(spark, chosen_tables(tables, settings), export, settings)
     return schemas

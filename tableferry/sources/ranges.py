@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -74,10 +75,11 @@ def balanced_cuts(df: DataFrame, key: str, parts: int, accuracy: int = 10000) ->
     return sorted(set(row[0] or []))
 
 
-def range_predicates(key: str, cuts: Sequence[int]) -> list[str]:
+def range_predicates(key: str, cuts: Sequence) -> list[str]:
     """WHERE clauses that cover every row exactly once, for ``spark.read.jdbc(predicates=...)``."""
     if not cuts:
         return ["1 = 1"]
+    cuts = [cut if isinstance(cut, (int, float, Decimal)) else f"'{cut}'" for cut in cuts]
     first = [f"({key} < {cuts[0]} OR {key} IS NULL)"]
     middle = [f"({key} >= {low} AND {key} < {high})" for low, high in zip(cuts, cuts[1:])]
     return first + middle + [f"{key} >= {cuts[-1]}"]

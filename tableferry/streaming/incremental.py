@@ -59,6 +59,9 @@ def incremental_load(
     The stage ends at the newest moment seen beforehand, so rows that arrive meanwhile wait for
     the next load. The mark is moved last: after a failure in between the same rows are staged
     again, so ``commit`` must be an upsert (``load.upsert_partitions``). Returns the rows staged.
+
+    A large table is better brought over once as a whole (``load.create_partitioned``) and given
+    its first mark by ``MarkStore.save``, since the first increment stages everything.
     """
     spark = source.sparkSession
     mark = marks.last_time(spark, table)

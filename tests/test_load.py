@@ -130,6 +130,39 @@ def test_upsert_partitions_by_two_columns_and_its_refusals(spark):
         load.upsert_partitions(spark, name, hidden, ["id"], ["a", "b"])
 
 
+def test_an_upsert_cut_off_half_way_is_finished_by_running_it_again(spark, monkeypatch):
+    name = "parts_cut"
+    start = spark.range(60).select("id", F.lit("old").alias("s"), (F.col("id") % 3).alias("p"))
+    load.create_partitioned(start, name, ["p"])
+    stage = spark.range(50, 70).select(
+        "id", F.lit("new").alias("s"), ((F.col("id") + 1) % 3).alias("p")
+    )
+    whole = load._point_to
+
+    def cut_off(spark, table, clauses, folders, depth):
+        whole(spark, table, clauses[:1], folders, depth)
+        raise RuntimeError("driver lost")
+
+    monkeypatch.setattr(load, "_point_to", cut_off)
+    with pytest.raises(RuntimeError):
+        load.upsert_partitions(spark, name, stage, ["id"], ["p"])
+    monkeypatch.undo()
+    load.upsert_partitions(spark, name, stage, ["id"], ["p"])
+    wanted = load.upsert(start, stage, ["id"])
+    assert rows(spark.table(name).select("id", "s", "p"), "id") == rows(wanted, "id")
+
+
+def test_tables_without_a_supported_column(spark):
+    source, target = FileStore(new_folder(spark, "source")), FileStore(new_folder(spark, "target"))
+    source.reload(spark.sql("SELECT array(1) AS a"), "vectors")
+    source.reload(spark.range(2), "t")
+    folder = new_folder(spark, "export")
+    assert list(migration.export_tables(spark, source, folder, ["vectors", "t"])) == ["t"]
+    settings = migration.Settings(continue_on_error=True)
+    errors = migration.migrate(spark, source, target, ["vectors", "t"], settings)
+    assert errors == {"vectors": "vectors has no column the target supports"}
+
+
 def test_migration_picks_tables_and_collects_errors(spark):
     source = FileStore(new_folder(spark, "source"))
     for name in ("a", "b", "c"):

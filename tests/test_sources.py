@@ -93,6 +93,12 @@ def test_cuts_cover_every_key_once(spark):
     assert max(keys.where(text).count() for text in balanced) < 160
 
 
+def test_cuts_that_are_no_numbers_are_quoted(spark):
+    days = spark.sql("SELECT explode(sequence(DATE'2024-01-01', DATE'2024-01-30')) AS day")
+    texts = ranges.range_predicates("day", ranges.balanced_cuts(days, "day", 3))
+    assert sum(days.where(text).count() for text in texts) == 30 and len(texts) == 3
+
+
 def test_split_number_agrees_with_the_cuts(spark):
     keys = spark.range(10, 110)
     cuts = ranges.equal_cuts(10, 109, 7)
