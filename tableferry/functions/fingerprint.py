@@ -12,8 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from tableferry.functions.text import canonical_sql, quoted
@@ -44,15 +43,16 @@ def row_text(
 
 def row_md5(
     df: DataFrame, columns: Sequence[str], double_scale: int = 4, micros: bool = False
-) -> Column:
-    return F.expr(f"md5({row_text(df, columns, double_scale, micros)})")
+) -> str:
+    """Expression for the MD5 of the canonical text."""
+    return f"md5({row_text(df, columns, double_scale, micros)})"
 
 
-def row_hash(columns: Sequence[str]) -> Column:
-    """64-bit hash of typed columns. ``xxhash64`` skips NULLs, so each column's NULL flag is
-    hashed along; otherwise (1, NULL) and (NULL, 1) would agree."""
+def row_hash(columns: Sequence[str]) -> str:
+    """Expression for a 64-bit hash of typed columns. ``xxhash64`` skips NULLs, so each column's
+    NULL flag is hashed along; otherwise (1, NULL) and (NULL, 1) would agree."""
     names = [quoted(name) for name in columns]
-    return F.expr(f"xxhash64({', '.join(f'{name}, {name} IS NULL' for name in names)})")
+    return f"xxhash64({', '.join(f'{name}, {name} IS NULL' for name in names)})"
 
 
 def md5_word(md5_text: str, start: int) -> str:
@@ -60,28 +60,37 @@ def md5_word(md5_text: str, start: int) -> str:
     return f"CAST(conv(substring({md5_text}, {start}, 8), 16, 10) AS BIGINT)"
 
 
-def checksum_of(df: DataFrame, fingerprint: Column) -> DataFrame:
-    """One row: ``n_rows`` and an order-free ``checksum``; a repeated row changes both.
+def word_sums(df: DataFrame, fingerprint: str, table_name: str) -> DataFrame:
+    """One row: the name, ``n_rows`` and the added-up words of the fingerprints.
 
-    ``fingerprint`` is a ``row_md5`` or a ``row_hash``; its first 64 bits are added up as two
-    words. Words are added in 16-bit halves: those sums stay within a bigint for 2**47 rows, and
-    the aggregate keeps to fixed-width buffers, so one small row per task reaches the shuffle.
+    The first 64 bits of a ``row_md5`` or ``row_hash`` are two words. Words are added in 16-bit
+    halves: those sums stay within a bigint for 2**47 rows, and the aggregate keeps to
+    fixed-width buffers, so one small row per task reaches the shuffle.
     """
-    marked = df.select(fingerprint.alias("h"))
-    if isinstance(marked.schema["h"].dataType, T.LongType):
-        words = marked.selectExpr("shiftrightunsigned(h, 32) AS a", "h & 4294967295L AS b")
+    if fingerprint.startswith("md5("):
+        words = [md5_word("_fingerprint", 1), md5_word("_fingerprint", 9)]
     else:
-        words = marked.selectExpr(f"{md5_word('h', 1)} AS a", f"{md5_word('h', 9)} AS b")
+        words = ["shiftrightunsigned(_fingerprint, 32)", "_fingerprint & 4294967295L"]
+    marked = df.selectExpr(
+        f"{fingerprint} AS _fingerprint", f"{words[0]} AS _word_a", f"{words[1]} AS _word_b"
+    )
     halves = [
         f"coalesce(sum({half}), 0) AS {word}_{part}"
         for word in ("a", "b")
-        for part, half in (("high", f"shiftright({word}, 16)"), ("low", f"{word} & 65535"))
+        for part, half in (
+            ("high", f"shiftright(_word_{word}, 16)"), ("low", f"_word_{word} & 65535")
+        )
     ]
-    summed = words.selectExpr("count(1) AS n_rows", *halves)
+    label = table_name.replace("\\", "\\\\").replace("'", "\\'")
+    return marked.selectExpr(f"'{label}' AS table_name", "count(1) AS n_rows", *halves)
+
+
+def checksums_of(sums: DataFrame) -> DataFrame:
+    """``table_name, n_rows, checksum`` from rows of ``word_sums``; a repeated row of a table
+    changes both, the order of its rows neither."""
     totals = [
         f"CAST(CAST({word}_high AS DECIMAL(28,0)) * 65536 + {word}_low AS DECIMAL(38,0))"
         for word in ("a", "b")
     ]
-    return summed.selectExpr(
-        "n_rows", f"md5(n_rows || '|' || {totals[0]} || '|' || {totals[1]}) AS checksum"
-    )
+    checksum = f"md5(n_rows || '|' || {totals[0]} || '|' || {totals[1]}) AS checksum"
+    return sums.selectExpr("table_name", "n_rows", checksum)

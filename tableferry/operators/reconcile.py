@@ -14,7 +14,13 @@ from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tableferry.functions.fingerprint import checksum_of, md5_word, row_hash, row_md5, row_text
+from tableferry.functions.fingerprint import (
+    checksums_of,
+    md5_word,
+    row_hash,
+    row_md5,
+    word_sums,
+)
 from tableferry.functions.text import canonical_sql, quoted, shown_sql
 from tableferry.sources.ranges import bounded_split_number, in_splits, key_bounds
 
@@ -62,12 +68,12 @@ def table_checksums(
     """
     columns = columns or {}
 
-    def checksum(name: str, df: DataFrame) -> DataFrame:
+    def sums(name: str, df: DataFrame) -> DataFrame:
         chosen = columns.get(name, df.columns)
         fingerprint = row_hash(chosen) if typed else row_md5(df, chosen, double_scale, micros)
-        return checksum_of(df, fingerprint)
+        return word_sums(df, fingerprint, name)
 
-    return labelled({name: checksum(name, df) for name, df in tables.items()})
+    return checksums_of(_stack([sums(name, df) for name, df in tables.items()]))
 
 
 def _both_ends(source: DataFrame, target: DataFrame, facts: Sequence[str]) -> DataFrame:
@@ -169,7 +175,7 @@ def rows_by_key_share(
 
     Decided row by row from the key's MD5: no sort, no shuffle, and as large as wanted.
     """
-    word = md5_word(f"md5({row_text(df, keys, double_scale)})", 1)
+    word = md5_word(row_md5(df, keys, double_scale), 1)
     return df.where(f"{word} < {int(share * (1 << 32))}")
 
 
@@ -290,7 +296,7 @@ def row_status(
     """
     columns = list(columns or [name for name in source.columns if name not in keys])
     left, right = comparable(source, target, [*keys, *columns])
-    digest = row_hash(columns) if columns else F.lit(0).cast("bigint")
+    digest = F.expr(row_hash(columns)) if columns else F.lit(0).cast("bigint")
     status = (
         F.when(F.col("n_target") == 0, "missing")
         .when(F.col("n_source") == 0, "extra")
@@ -334,7 +340,7 @@ def differing_ranges(
     number = bounded_split_number(key, low, high, parts)
 
     def sums(df: DataFrame, sign: int) -> DataFrame:
-        hashed = df.select(number.alias("part"), row_hash(df.columns).alias("h"))
+        hashed = df.select(number.alias("part"), F.expr(row_hash(df.columns)).alias("h"))
         return hashed.selectExpr(
             "part",
             f"{sign} AS n",
@@ -488,7 +494,7 @@ def multiset_suspects(
     """
     columns = list(columns or source.columns)
     left, right = comparable(source, target, columns)
-    hashed = [df.select(row_hash(columns).alias("row_hash")) for df in (left, right)]
+    hashed = [df.selectExpr(f"{row_hash(columns)} AS row_hash") for df in (left, right)]
     return _unequal(*hashed, ["row_hash"])
 
 
@@ -506,9 +512,11 @@ def multiset_diff(
     """
     columns = list(columns or source.columns)
     left, right = comparable(source, target, columns)
-    wanted = suspects.select("row_hash")
+    wanted = suspects.select(F.col("row_hash").alias("_row_hash"))
     found = [
-        df.withColumn("row_hash", row_hash(columns)).join(wanted, "row_hash", "left_semi")
+        df.withColumn("_row_hash", F.expr(row_hash(columns))).join(
+            wanted, "_row_hash", "left_semi"
+        )
         for df in (left, right)
     ]
     return _unequal(*found, columns)
@@ -525,7 +533,7 @@ def fingerprint_diff(
     compute as well, with doubles and timestamps at the precision of the checksums."""
     columns = list(columns or source.columns)
     marked = [
-        df.select(row_md5(df, columns, double_scale, micros).alias("fingerprint"))
+        df.selectExpr(f"{row_md5(df, columns, double_scale, micros)} AS fingerprint")
         for df in comparable(source, target, columns)
     ]
     return _unequal(*marked, ["fingerprint"])

@@ -144,6 +144,16 @@ def test_multiset_diff_counts_copies(spark):
     assert sorted(tuple(row) for row in found) == [("a", 1, 2, 1), ("c", 3, 0, 1)]
 
 
+def test_odd_names_of_tables_and_columns(spark):
+    rows = spark.sql("SELECT 1 AS row_hash, 2 AS h, 3 AS n_rows, 'x' AS `a b`")
+    for typed in (False, True):
+        found = reconcile.reconcile_checksums({"it's": rows}, {"it's": rows}, typed=typed).first()
+        assert found.table_name == "it's" and found.matched
+    other = rows.withColumn("a b", F.lit("y"))
+    suspects = written(reconcile.multiset_suspects(rows, other), "suspects")
+    assert reconcile.multiset_diff(rows, other, suspects).count() == 2
+
+
 def test_sample_is_drawn_alike(spark):
     source = spark.range(5000).select((F.col("id") * 7).alias("id"), F.lit(1).alias("v"))
     target = source.repartition(5).where("id <> 35000 - 7")
