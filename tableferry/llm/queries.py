@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tableferry.llm import exact_dedup
+from tableferry.llm import exact_dedup, language, quality, toxicity
 from tableferry.llm.common import table
 
 
@@ -11,8 +11,29 @@ def op4_exact_dedup(spark, sf_dir):
     return exact_dedup.assign(table(spark, sf_dir, "documents"), keep="largest")
 
 
+def op5_toxicity(spark, sf_dir):
+    """Toxicity of every document, with the probability of each category of the chain."""
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
+def op8_language_id(spark, sf_dir):
+    """The predicted language of every document."""
+    docs = table(spark, sf_dir, "documents")
+    return language.predict(docs, language.fit(docs))
+
+
+def op9_quality(spark, sf_dir):
+    """The quality score of every document."""
+    docs = table(spark, sf_dir, "documents")
+    return quality.score(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
+
+
 QUERIES = {
     "op4_exact_dedup": op4_exact_dedup,
+    "op5_toxicity": op5_toxicity,
+    "op8_language_id": op8_language_id,
+    "op9_quality": op9_quality,
 }
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
