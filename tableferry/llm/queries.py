@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from tableferry.llm import exact_dedup, language, quality, toxicity
+import public_tokenizers
+
+from tableferry.llm import bpe, exact_dedup, language, quality, toxicity, warc
 from tableferry.llm.common import table
 
 
@@ -17,6 +19,11 @@ def op5_toxicity(spark, sf_dir):
     return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
 
 
+def op7_bpe(spark, sf_dir):
+    """Token count and digests of the ids and of the decoded text of every document."""
+    return bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op8_language_id(spark, sf_dir):
     """The predicted language of every document."""
     docs = table(spark, sf_dir, "documents")
@@ -29,11 +36,18 @@ def op9_quality(spark, sf_dir):
     return quality.score(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
 
 
+def op10_warc(spark, sf_dir):
+    """Every page as read back from normalised WARC archives."""
+    return warc.archived(table(spark, sf_dir, "pages"))
+
+
 QUERIES = {
     "op4_exact_dedup": op4_exact_dedup,
     "op5_toxicity": op5_toxicity,
+    "op7_bpe": op7_bpe,
     "op8_language_id": op8_language_id,
     "op9_quality": op9_quality,
+    "op10_warc": op10_warc,
 }
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -45,4 +59,13 @@ SQL = {
         FROM (SELECT doc_id, {_LOWER} AS t FROM documents)
         WINDOW w AS (PARTITION BY t)
     """,
+    "op10_warc": """
+        SELECT page_id, octet_length(encode(h)) AS payload_bytes, sha256(h) AS payload_digest,
+               CASE WHEN octet_length(encode(h)) >= 100 AND page_id > min(page_id) OVER w
+                    THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN octet_length(encode(h)) >= 100 AND page_id > min(page_id) OVER w
+                    THEN min(page_id) OVER w END AS refers_to
+        FROM (SELECT page_id, coalesce(html, '') AS h FROM pages)
+        WINDOW w AS (PARTITION BY h)
+    """,
 }

@@ -56,7 +56,7 @@ def categories_of(words: set[bytes], toxic: int) -> list[int]:
 class Logistic:
     """Ridge logistic regression by Newton steps; constant where the labels are of one kind."""
 
-    def __init__(self, x: np.ndarray, y: np.ndarray, ridge: float = 1.0):
+    def __init__(self, x: np.ndarray, y: np.ndarray, ridge: float = 0.1):
         x = np.hstack([x, np.ones((len(x), 1))])
         self.weights = np.zeros(x.shape[1])
         if len(y) == 0 or y.min() == y.max():
