@@ -4,10 +4,20 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from tableferry.llm import bpe, exact_dedup, language, quality, toxicity, warc
+from tableferry.llm import bpe, decontaminate, exact_dedup, language, licenses, quality, toxicity, warc
 from tableferry.llm.common import table
 
 
+def op1_license_scan(spark, sf_dir):
+    """The license of every document, its own or that of the nearest directory."""
+    return licenses.scan(licenses.paths(table(spark, sf_dir, "documents")))
+
+
+def op2_decontaminate(spark, sf_dir):
+    """Documents that hold a benchmark item within its error budget."""
+    return decontaminate.hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op4_exact_dedup(spark, sf_dir):
     """Every document with the owner of its text: the largest doc_id of equal texts."""
     return exact_dedup.assign(table(spark, sf_dir, "documents"), keep="largest")
@@ -42,6 +52,8 @@ def op10_warc(spark, sf_dir):
 
 
 QUERIES = {
+    "op1_license_scan": op1_license_scan,
+    "op2_decontaminate": op2_decontaminate,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_toxicity": op5_toxicity,
     "op7_bpe": op7_bpe,
