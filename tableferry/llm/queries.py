@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from tableferry.llm import bpe, decontaminate, exact_dedup, language, licenses, quality, toxicity, warc
+from tableferry.llm import bpe, decontaminate, exact_dedup, language, licenses, ngram_join, quality, toxicity, warc
 from tableferry.llm.common import table
 
 
@@ -18,6 +18,11 @@ def op2_decontaminate(spark, sf_dir):
     return decontaminate.hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op3_ngram_join(spark, sf_dir):
+    """Every document with its number of shingles and its component of near copies."""
+    return ngram_join.linked(table(spark, sf_dir, "documents"))
+
+
 def op4_exact_dedup(spark, sf_dir):
     """Every document with the owner of its text: the largest doc_id of equal texts."""
     return exact_dedup.assign(table(spark, sf_dir, "documents"), keep="largest")
@@ -54,6 +59,7 @@ def op10_warc(spark, sf_dir):
 QUERIES = {
     "op1_license_scan": op1_license_scan,
     "op2_decontaminate": op2_decontaminate,
+    "op3_ngram_join": op3_ngram_join,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_toxicity": op5_toxicity,
     "op7_bpe": op7_bpe,
