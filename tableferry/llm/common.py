@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-import re
-from collections.abc import Iterable
+import pathlib
+import tempfile
+import zipfile
 
 import numpy as np
 import xxhash
@@ -23,9 +24,26 @@ _SHIFT = np.uint64(33)
 _ROUND = np.uint64(0x9E3779B97F4A7C15)
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> SparkSession:
+    """Send the package to the executors, once per application; they need not share its folder."""
+    context = spark.sparkContext
+    if context.applicationId not in _shipped:
+        package = pathlib.Path(__file__).resolve().parents[1]
+        target = pathlib.Path(tempfile.mkdtemp(prefix="tableferry-"), "tableferry.zip")
+        with zipfile.ZipFile(target, "w") as file:
+            for source in sorted(package.rglob("*.py")):
+                file.write(source, source.relative_to(package.parent))
+        context.addPyFile(str(target))
+        _shipped.add(context.applicationId)
+    return spark
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A table of the given folder."""
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return ship(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def lower_ascii(column):
@@ -139,23 +157,3 @@ def components(edges: DataFrame, label: str = "components") -> DataFrame:
     return pairs.select(F.col("a").alias("node"), F.col("b").alias("root")).unionAll(
         pairs.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()
     )
-
-
-_TOKEN = re.compile(r"[a-z0-9]+")
-
-
-def plain_words(text: str) -> list[str]:
-    """Lower-case runs of letters and digits."""
-    return _TOKEN.findall(text.lower())
-
-
-def batches(rows: Iterable, size: int):
-    """Lists of ``size`` rows, the last shorter."""
-    part: list = []
-    for row in rows:
-        part.append(row)
-        if len(part) == size:
-            yield part
-            part = []
-    if part:
-        yield part
