@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from tableferry.llm import bpe, decontaminate, exact_dedup, language, licenses, ngram_join, quality, toxicity, warc
+from tableferry.llm import bpe, decontaminate, exact_dedup, language, licenses, ngram_join, quality, substrings, toxicity, warc
 from tableferry.llm.common import table
 
 
@@ -34,6 +34,11 @@ def op5_toxicity(spark, sf_dir):
     return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
 
 
+def op6_substring_dedup(spark, sf_dir):
+    """Passages of at least 50 words that repeat, nearly or exactly, in other documents."""
+    return substrings.passages(table(spark, sf_dir, "documents"))
+
+
 def op7_bpe(spark, sf_dir):
     """Token count and digests of the ids and of the decoded text of every document."""
     return bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
@@ -62,6 +67,7 @@ QUERIES = {
     "op3_ngram_join": op3_ngram_join,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_toxicity": op5_toxicity,
+    "op6_substring_dedup": op6_substring_dedup,
     "op7_bpe": op7_bpe,
     "op8_language_id": op8_language_id,
     "op9_quality": op9_quality,
