@@ -19,6 +19,7 @@ from __future__ import annotations
 from operator import eq
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -214,3 +215,18 @@ def score(docs: DataFrame, model, accept: float = ACCEPT) -> DataFrame:
         "score",
         F.when(F.col("score") >= accept, 1).otherwise(0).alias("predicted"),
     )
+
+
+def accepted(docs: DataFrame, model, accept: float = ACCEPT) -> DataFrame:
+    """The rows of ``docs`` whose score is ``accept`` or more, with all their columns."""
+
+    @F.pandas_udf("boolean")
+    def good(texts: pd.Series) -> pd.Series:
+        out = np.empty(len(texts), bool)
+        for at in range(0, len(texts), 256):
+            part = [passages(x) for x in texts.iloc[at : at + 256]]
+            sizes = np.array([len(x) for x in part])
+            out[at : at + 256] = model.score(np.concatenate(part), np.cumsum(sizes) - sizes) >= accept
+        return pd.Series(out)
+
+    return docs.where(good(F.col("text")))
