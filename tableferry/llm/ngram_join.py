@@ -7,10 +7,11 @@ one bit of a sketch, so the Hamming distance of two sketches is at most their sy
 Candidates (pigeonhole per size band): a band's sketch is cut into more pieces than its largest d;
 equal pieces must remain. A piece is kept as the hash of its set bits. Of two documents' pieces at
 most d differ, so under any one order of all pieces the first d + 1 of each share one; a document
-joins on its first d + 1. The order is rare pieces first, by counts over all documents folded into
-2^20 counters (only the order depends on them, no result does); pieces without a bit come last and
-are used only if the others do not suffice. A band spans a factor of 4 in size; a document that
-may have partners in the band below joins there too.
+joins on its first d + 1. The order puts pieces with several bits first, for unrelated texts share
+single shingles but hardly two in one piece; then rare pieces, by counts over all documents folded
+into 2^20 counters (only the order depends on them, no result does). Pieces without a bit come
+last and are used only if the others do not suffice. A band spans a factor of 2 in size; a
+document that may have partners in the band below joins there too.
 
 Work stays linear in groups of copies: equal sets are one class, linked by one edge each; in a
 task, a set's pieces are sent once. Each bucket first links its members to its smallest one.
@@ -32,7 +33,8 @@ from pyspark.sql import functions as F
 from tableferry.llm.common import SIMILARITY, WordHashes, components, mixed, shingle_hashes, words_of
 from tableferry.session import written
 
-BAND = 4
+BAND = 2
+PIECES = 0.45  # pieces of a band's sketch, as a share of the band's largest size
 PIECE_BITS = np.uint64(12)
 COUNTERS = 1 << 20
 SEGMENT = 1 << 14
@@ -63,38 +65,46 @@ def bands(n: int, t: float = SIMILARITY) -> list[tuple[int, int]]:
     return out
 
 
-def pieces(hashes: np.ndarray, band: int) -> np.ndarray:
-    """Keys of the pieces that have a bit, of the sketch of a set in a band."""
-    count = np.uint64(BAND ** (band + 1))
+def bits_of(hashes: np.ndarray, band: int) -> np.ndarray:
+    """The set bits of a set's sketch in a band, as piece number and place within the piece."""
+    count = np.uint64(piece_count(band))
     place = mixed(hashes + np.uint64(band + 1))
     code = (((place >> PIECE_BITS) % count) << PIECE_BITS) | (place & np.uint64((1 << int(PIECE_BITS)) - 1))
     code, often = np.unique(code, return_counts=True)
-    code = code[often & 1 == 1]
+    return code[often & 1 == 1]
+
+
+def piece_count(band: int) -> int:
+    """More than any symmetric difference within the band."""
+    most = BAND ** (band + 1)
+    return max(int(PIECES * most), 2)
+
+
+def pieces(hashes: np.ndarray, band: int) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of the pieces that have a bit, and how many bits each has."""
+    code = bits_of(hashes, band)
     if len(code) == 0:
-        return code
+        return code, code.astype(np.int64)
     starts = np.flatnonzero(np.append(True, np.diff(code >> PIECE_BITS) != 0))
-    return mixed(np.add.reduceat(mixed(code + np.uint64(0x51)), starts) + np.uint64(band))
+    keys = mixed(np.add.reduceat(mixed(code + np.uint64(0x51)), starts) + np.uint64(band))
+    return keys, np.diff(np.append(starts, len(code)))
 
 
 def empty_pieces(hashes: np.ndarray, band: int, wanted: int) -> np.ndarray:
     """Keys of the first ``wanted`` pieces without a bit, in order of place."""
-    count = BAND ** (band + 1)
-    place = mixed(hashes + np.uint64(band + 1))
-    code = (((place >> PIECE_BITS) % np.uint64(count)) << PIECE_BITS) | (place & np.uint64((1 << int(PIECE_BITS)) - 1))
-    code, often = np.unique(code, return_counts=True)
-    held = np.unique(code[often & 1 == 1] >> PIECE_BITS)
-    free = np.setdiff1d(np.arange(count, dtype=np.uint64), held)[:wanted]
+    held = np.unique(bits_of(hashes, band) >> PIECE_BITS)
+    free = np.setdiff1d(np.arange(piece_count(band), dtype=np.uint64), held)[:wanted]
     return mixed(mixed(free + np.uint64(0x9999)) + np.uint64(band))
 
 
 def keys_of(hashes: np.ndarray, counts: np.ndarray, t: float = SIMILARITY) -> np.ndarray:
-    """The keys a document joins on: in each of its bands the first d + 1 pieces, rare ones first."""
+    """The keys a document joins on: in each of its bands the first d + 1 pieces in the order."""
     out = []
     for band, d in bands(len(hashes), t):
-        keys = pieces(hashes, band)
+        keys, bits = pieces(hashes, band)
         if len(keys) > d + 1:
             often = counts[keys & np.uint64(COUNTERS - 1)]
-            keys = keys[np.lexsort((keys, often))[: d + 1]]
+            keys = keys[np.lexsort((keys, often, bits == 1))[: d + 1]]
         elif len(keys) < d + 1:
             keys = np.concatenate([keys, empty_pieces(hashes, band, d + 1 - len(keys))])
         out.append(keys)
@@ -102,8 +112,8 @@ def keys_of(hashes: np.ndarray, counts: np.ndarray, t: float = SIMILARITY) -> np
 
 
 def sketch(hashes: np.ndarray) -> np.ndarray:
-    """Parity bits of a set, packed; at least twice as many bits as shingles, a power of two."""
-    bits = max(64, 1 << int(2 * len(hashes) - 1).bit_length())
+    """Parity bits of a set, packed; at least as many bits as shingles, a power of two."""
+    bits = max(64, 1 << int(len(hashes) - 1).bit_length())
     flips = np.bincount((hashes & np.uint64(bits - 1)).astype(np.int64), minlength=bits)
     return np.packbits((flips & 1).astype(np.uint8), bitorder="little")
 
@@ -135,7 +145,7 @@ def _prepare(batches):
                 continue
             f1, f2 = (int(x.sum(dtype=np.uint64).astype(np.int64)) for x in (own, mixed(own + np.uint64(7))))
             rows.append((doc_id, len(own), f1, f2, sketch(own).tobytes(), None, None))
-            every += [pieces(own, band) for band, _ in bands(len(own))]
+            every += [pieces(own, band)[0] for band, _ in bands(len(own))]
             if len(rows) == 1000:
                 yield batch(rows)
                 rows = []
@@ -222,10 +232,17 @@ def sifted(pairs: DataFrame, nodes: DataFrame, t: float) -> DataFrame:
             ]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    one = nodes.select(F.col("doc_id").alias("a"), F.col("n").alias("na"), F.col("f1").alias("fa"), F.col("f2").alias("ga"), F.col("sketch").alias("sa"))
-    two = nodes.select(F.col("doc_id").alias("b"), F.col("n").alias("nb"), F.col("f1").alias("fb"), F.col("f2").alias("gb"), F.col("sketch").alias("sb"))
+    def side(x: str) -> DataFrame:
+        return nodes.select(F.col("doc_id").alias(x), F.col("n").alias(f"n{x}"), F.struct("f1", "f2").alias(f"f{x}"))
+
+    def sketches(x: str) -> DataFrame:
+        return nodes.select(F.col("doc_id").alias(x), F.col("n").alias(f"n{x}"), F.col("sketch").alias(f"s{x}"))
+
     near = (F.col("na") >= t * F.col("nb") - 1e-9) & (F.col("nb") >= t * F.col("na") - 1e-9)
-    joined = pairs.join(one, "a").join(two, "b").where(near & ~((F.col("na") == F.col("nb")) & (F.col("fa") == F.col("fb")) & (F.col("ga") == F.col("gb"))))
+    equal = (F.col("na") == F.col("nb")) & (F.col("fa") == F.col("fb"))
+    # Sizes first: they drop many pairs before any sketch moves.
+    sized = pairs.join(side("a"), "a").join(side("b"), "b").where(near & ~equal).select("a", "b", "na", "nb")
+    joined = sized.join(sketches("a"), ["a", "na"]).join(sketches("b"), ["b", "nb"])
     return joined.select("a", "b", "na", "nb", "sa", "sb").mapInArrow(run, "a long, b long")
 
 
