@@ -22,7 +22,7 @@ _NULL_SQL = "char(92) || 'N'"
 
 
 def row_text(
-    df: DataFrame, columns: Sequence[str], double_scale: int = 4, micros: bool = False
+    df: DataFrame, columns: Sequence[str], double_scale: int | None = None, micros: bool = True
 ) -> str:
     """Expression for the canonical text of a row: fields joined by ``|``, NULL as the marker.
 
@@ -42,7 +42,7 @@ def row_text(
 
 
 def row_md5(
-    df: DataFrame, columns: Sequence[str], double_scale: int = 4, micros: bool = False
+    df: DataFrame, columns: Sequence[str], double_scale: int | None = None, micros: bool = True
 ) -> str:
     """Expression for the MD5 of the canonical text."""
     return f"md5({row_text(df, columns, double_scale, micros)})"

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tableferry.functions import types as rules
-from tableferry.functions.text import HEX_DIGITS, HEX_PATTERN
+from tableferry.functions.text import HEX_DIGITS, HEX_PATTERN, quoted
 from tableferry.functions.types import TYPE_MAP, ColumnSpec
 from tableferry.sources.csv_files import BAD_ROW
 
@@ -20,7 +20,7 @@ TIMESTAMP_LAST = "2038-01-19 03:14:07"
 
 
 def _any_null(names: Sequence[str]) -> Column:
-    return reduce(Column.__or__, [F.col(name).isNull() for name in names])
+    return reduce(Column.__or__, [F.col(quoted(name)).isNull() for name in names])
 
 
 def _unpivot(counted: DataFrame, labels: Sequence[Sequence[str]], names: Sequence[str]) -> DataFrame:
@@ -49,7 +49,7 @@ def duplicate_keys(
     rows = df if predicate is None else df.where(predicate)
     if not primary:
         rows = rows.where(~_any_null(keys))
-    counted = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows"))
+    counted = rows.groupBy(*map(quoted, keys)).agg(F.count(F.lit(1)).alias("n_rows"))
     broken = F.col("n_rows") > 1
     return counted.where(broken | _any_null(keys) if primary else broken)
 
@@ -72,19 +72,21 @@ def fk_orphans(
     """
     values = (
         child.where(~_any_null(foreign_key))
-        .groupBy(*foreign_key)
+        .groupBy(*map(quoted, foreign_key))
         .agg(F.count(F.lit(1)).alias("n_rows"))
     )
     return values.join(
-        parent.select(*[F.col(name).alias(f"_p{i}") for i, name in enumerate(parent_key)]),
-        [F.col(name) == F.col(f"_p{i}") for i, name in enumerate(foreign_key)],
+        parent.select(*[F.col(quoted(name)).alias(f"_p{i}") for i, name in enumerate(parent_key)]),
+        [F.col(quoted(name)) == F.col(f"_p{i}") for i, name in enumerate(foreign_key)],
         "left_anti",
     )
 
 
 def fk_orphan_rows(child: DataFrame, foreign_key: Sequence[str], orphans: DataFrame) -> DataFrame:
     """The child rows behind ``fk_orphans``; hand its result in written (``session.written``)."""
-    return child.join(orphans.select(*foreign_key), list(foreign_key), "left_semi")
+    values = orphans.select(*[F.col(quoted(name)).alias(f"_o{i}") for i, name in enumerate(foreign_key)])
+    tests = [F.col(quoted(name)) == F.col(f"_o{i}") for i, name in enumerate(foreign_key)]
+    return child.join(values, reduce(Column.__and__, tests), "left_semi")
 
 
 # -- values ---------------------------------------------------------------------------------
@@ -101,14 +103,14 @@ def null_audit(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame
         raise ValueError("no columns to audit: none is declared NOT NULL")
     counted = df.agg(
         F.count(F.lit(1)).alias("n_rows"),
-        *[F.count_if(F.col(name).isNull()).alias(f"_c{i}") for i, name in enumerate(columns)],
+        *[F.count_if(F.col(quoted(name)).isNull()).alias(f"_c{i}") for i, name in enumerate(columns)],
     )
     return _unpivot(counted, [[name] for name in columns], ["column_name", "n_null"])
 
 
 def _fit_checks(spec: ColumnSpec, kind: T.DataType, type_map: Mapping[str, str]) -> list:
     """``(rule, misfit test)`` of one column against its target type."""
-    value = F.col(spec.name)
+    value = F.col(quoted(spec.name))
     wanted = rules.spark_type(spec, type_map)
     declared = rules.target_type(spec, type_map).upper()
     if rules.is_unsized_decimal(spec):
@@ -170,7 +172,7 @@ def hex_fault(texts: DataFrame, hex_columns: Sequence[str]) -> Column:
     """
     fault = F.when(F.col(BAD_ROW).isNotNull(), "arity")
     for name in hex_columns:
-        value = F.col(name)
+        value = F.col(quoted(name))
         bad = value.isNotNull() & ~value.rlike(HEX_PATTERN)
         fault = (
             fault.when(bad & value.startswith("\\x"), "prefix")
@@ -181,17 +183,18 @@ def hex_fault(texts: DataFrame, hex_columns: Sequence[str]) -> Column:
 
 
 def _with_fault(texts: DataFrame, hex_columns: Sequence[str]) -> DataFrame:
-    if not hex_columns:
-        raise ValueError("the table has no binary column")
     return texts.withColumn("fault", hex_fault(texts, hex_columns))
 
 
 def hex_audit(texts: DataFrame, hex_columns: Sequence[str]) -> DataFrame:
-    """``total_rows, bad_rows`` and bad rows by fault, over the whole export in one pass."""
+    """``total_rows, bad_rows`` and bad rows by fault, over the whole export in one pass. A table
+    without hex columns is audited for its number of fields."""
     faults = ["arity", "prefix", "odd_length", "not_hex"]
-    checked = _with_fault(texts, hex_columns).select("fault")
+    first = quoted(next(name for name in texts.columns if name != BAD_ROW))
+    checked = _with_fault(texts, hex_columns).select("fault", first)
+    # The reader does not give the raw line alone, so the count looks at a field as well.
     return checked.agg(
-        F.count(F.lit(1)).alias("total_rows"),
+        F.count_if(F.length(F.coalesce(F.col(first), F.lit(""))) >= 0).alias("total_rows"),
         F.count("fault").alias("bad_rows"),
         *[F.count_if(F.col("fault") == name).alias(f"n_{name}") for name in faults],
     )
@@ -204,7 +207,7 @@ def hex_audit_samples(
     return (
         _with_fault(texts, hex_columns)
         .where(F.col("fault").isNotNull())
-        .orderBy(key, "fault")
+        .orderBy(quoted(key), "fault")
         .limit(max_errors)
-        .select(key, "fault", *hex_columns)
+        .select(quoted(key), "fault", *map(quoted, hex_columns))
     )

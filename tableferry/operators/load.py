@@ -10,16 +10,21 @@ from __future__ import annotations
 import datetime
 import uuid
 from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 from urllib.parse import unquote
 
+from pyspark import inheritable_thread_target
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tableferry.functions.text import quoted
 from tableferry.operators.audits import duplicate_keys
 from tableferry.operators.reconcile import row_diff
-from tableferry.session import work_root, written
+from tableferry.session import discard, written, written_at
+from tableferry.sources.ranges import either
 
 
 class LoadRefused(RuntimeError):
@@ -27,11 +32,11 @@ class LoadRefused(RuntimeError):
 
 
 def _in_order(df: DataFrame, like: DataFrame) -> DataFrame:
-    return df.select(*like.columns)
+    return df.select(*map(quoted, like.columns))
 
 
 def _null_in_key(keys: Sequence[str]) -> Column:
-    return reduce(Column.__or__, [F.col(name).isNull() for name in keys])
+    return reduce(Column.__or__, [F.col(quoted(name)).isNull() for name in keys])
 
 
 def _newest(stage: DataFrame, keys: Sequence[str], version: Sequence[str] | None) -> DataFrame:
@@ -42,7 +47,8 @@ def _newest(stage: DataFrame, keys: Sequence[str], version: Sequence[str] | None
         if field.name not in {*keys, *version}
         and not isinstance(field.dataType, (T.MapType, T.VariantType))
     ]
-    newest_first = Window.partitionBy(*keys).orderBy(*[F.desc(name) for name in version + rest])
+    order = [F.desc(quoted(name)) for name in version + rest]
+    newest_first = Window.partitionBy(*map(quoted, keys)).orderBy(*(order or [F.lit(1)]))
     return (
         stage.withColumn("_nth", F.row_number().over(newest_first)).where("_nth = 1").drop("_nth")
     )
@@ -61,15 +67,22 @@ def dedupe_stage(
 
 
 def _staged_keys(stage: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """The distinct staged keys, written: the planner broadcasts them only if the files are
-    small, and else can split a target key that holds very many rows (it does so only for joins
-    that read their shuffles directly, not through an aggregate)."""
-    return written(stage.select(*keys).distinct(), "staged-keys")
+    """The distinct keys of a written stage, written: the planner broadcasts them only if the
+    files are small, and else can split a target key that holds very many rows (it does so only
+    for joins that read their shuffles directly, not through an aggregate)."""
+    return written(stage.select(*map(quoted, keys)).distinct(), "staged-keys")
+
+
+def _matching(target: DataFrame, staged: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    """Semi- or anti-join by equal keys; names may hold any character."""
+    values = staged.select(*[F.col(quoted(name)).alias(f"_k{i}") for i, name in enumerate(keys)])
+    tests = [F.col(quoted(name)) == F.col(f"_k{i}") for i, name in enumerate(keys)]
+    return target.join(values, reduce(Column.__and__, tests), how)
 
 
 def _without(target: DataFrame, staged: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Target rows whose key is not among the (distinct) staged keys."""
-    return target.join(staged.select(*keys), list(keys), "left_anti").select(*target.columns)
+    return _matching(target, staged.select(*map(quoted, keys)), keys, "left_anti")
 
 
 def append_conflicts(target: DataFrame, stage: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -77,12 +90,14 @@ def append_conflicts(target: DataFrame, stage: DataFrame, keys: Sequence[str]) -
     they would have.
 
     Of the target only the rows with a staged key are counted; a small stage is broadcast to
-    find them, so the target is not shuffled.
+    find them, so the target is not shuffled. The stage is read once.
     """
-    held = target.select(*keys).join(_staged_keys(stage, keys), list(keys), "left_semi")
+    names = [quoted(name) for name in keys]
+    stage = written(stage.select(*names), "stage")
+    held = _matching(target.select(*names), _staged_keys(stage, keys), keys, "left_semi")
     return (
-        held.unionAll(stage.select(*keys))
-        .groupBy(*keys)
+        held.unionAll(stage)
+        .groupBy(*names)
         .agg(F.count(F.lit(1)).alias("n_rows"))
         .where((F.col("n_rows") > 1) | _null_in_key(keys))
     )
@@ -96,10 +111,16 @@ def append_load(target: DataFrame, stage: DataFrame) -> DataFrame:
 def append_checked(
     target: DataFrame, stage: DataFrame, keys: Sequence[str], commit: Callable[[DataFrame], None]
 ) -> None:
-    """Commit the stage by ``commit(stage)``, or refuse all of it when a key would repeat."""
-    if not append_conflicts(target, stage, keys).isEmpty():
-        raise LoadRefused(f"staged rows repeat a key {list(keys)}")
-    commit(_in_order(stage, target))
+    """Commit the stage by ``commit(stage)``, or refuse all of it when a key would repeat. The
+    stage is written once; what is checked is what is committed, whatever arrives meanwhile."""
+    spark = stage.sparkSession
+    held, folder = written_at(_in_order(stage, target), "stage")
+    try:
+        if not append_conflicts(target, held, keys).isEmpty():
+            raise LoadRefused(f"staged rows repeat a key {list(keys)}")
+        commit(held)
+    finally:
+        discard(spark, folder)
 
 
 def upsert(
@@ -111,8 +132,10 @@ def upsert(
     """Target with each staged row replacing the row of the same key, or added.
 
     Several staged rows of one key count once, the newest by ``version``. Applying the same
-    stage again changes nothing, unless it has NULL in a key: such a row matches no other.
+    stage again changes nothing, unless it has NULL in a key: such a row matches no other. The
+    stage is written once, below the work folder, and the result reads that copy.
     """
+    stage = written(stage, "stage")
     kept = _without(target, _staged_keys(stage, keys), keys)
     return kept.unionByName(dedupe_stage(stage, keys, version))
 
@@ -120,32 +143,37 @@ def upsert(
 def delete_insert(target: DataFrame, stage: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Target with all rows of the staged keys deleted, and all staged rows inserted.
 
-    Unlike ``upsert`` the key need not be unique: a staged group replaces the whole group.
+    Unlike ``upsert`` the key need not be unique: a staged group replaces the whole group. The
+    stage is written once, as in ``upsert``.
     """
+    stage = written(stage, "stage")
     return _without(target, _staged_keys(stage, keys), keys).unionByName(stage)
 
 
 def deleted_rows(target: DataFrame, stage: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The rows ``delete_insert`` deletes."""
     staged = _staged_keys(stage, keys)
-    return target.join(staged, list(keys), "left_semi").select(*target.columns)
+    return _matching(target, staged, keys, "left_semi")
 
 
 # -- tables ---------------------------------------------------------------------------------
 
 
 def create_partitioned(df: DataFrame, table: str, partition_by: Sequence[str]) -> None:
-    """Create an external parquet table in the catalog, partitioned, holding ``df``."""
-    path = f"{work_root(df.sparkSession)}/tableferry/tables/{table}-{uuid.uuid4().hex}"
+    """Create a parquet table in the catalog, partitioned, holding ``df``, at its own place."""
     (
         df.hint("rebalance", *partition_by)
         .write.format("parquet")
-        .option("path", path)
         .partitionBy(*partition_by)
         .saveAsTable(table)
     )
 
 
+def table_location(spark: SparkSession, table: str) -> str:
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Location'")
+    return rows.select("data_type").first()[0].rstrip("/")
+
+
 def _quoted(text: str) -> str:
     return text.replace("\\", "\\\\").replace("'", "\\'")
 
@@ -161,36 +189,78 @@ def _partition_clause(row: Row, fields: Sequence[T.StructField]) -> str:
 def _in_places(by: Sequence[str], places: Sequence[Row]) -> Column:
     """Filter on partition columns alone, so only these partitions are listed and read."""
     if len(by) == 1:
-        return F.col(by[0]).isin([place[by[0]] for place in places])
-    alike = [
-        reduce(Column.__and__, [F.col(name) == F.lit(place[name]) for name in by])
-        for place in places
-    ]
-    return reduce(Column.__or__, alike)
+        return F.col(quoted(by[0])).isin([place[by[0]] for place in places])
+    return either(
+        [
+            reduce(Column.__and__, [F.col(quoted(name)) == F.lit(place[name]) for name in by])
+            for place in places
+        ]
+    )
 
 
 def _point_to(
-    spark: SparkSession,
-    table: str,
-    clauses: Sequence[str],
-    folders: Mapping[str, str],
-    depth: int,
+    spark: SparkSession, table: str, clauses: Sequence[str], folders: Mapping[str, str]
 ) -> None:
-    """Make the catalog read partitions from new folders; those without a folder are dropped."""
-    listed = {row[0] for row in spark.sql(f"SHOW PARTITIONS {table}").collect()}
-    added = []
-    for clause in clauses:
+    """Make the catalog read partitions from new folders; those without a folder are dropped.
+    The partitions of the table are not listed: one that cannot be moved is new."""
+
+    def move(clause: str) -> str | None:
         if clause not in folders:
             spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({clause})")
-            continue
-        place = f"LOCATION '{_quoted(folders[clause])}'"
-        if "/".join(folders[clause].split("/")[-depth:]) in listed:
+            return None
+        try:
+            place = f"LOCATION '{_quoted(folders[clause])}'"
             spark.sql(f"ALTER TABLE {table} PARTITION ({clause}) SET {place}")
-        else:
-            added.append(f"PARTITION ({clause}) {place}")
-    for start in range(0, len(added), 500):
-        some = " ".join(added[start : start + 500])
-        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {some}")
+        except AnalysisException as error:
+            if error.getCondition() not in ("PARTITIONS_NOT_FOUND", "NO_SUCH_PARTITION"):
+                raise
+            return f"PARTITION ({clause}) {place}"
+        return None
+
+    with ThreadPoolExecutor(max_workers=8) as pool:
+        added = [new for new in pool.map(inheritable_thread_target(spark)(move), clauses) if new]
+    if added:
+        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {' '.join(added)}")
+
+
+def _folders_of(df: DataFrame, by: Sequence[str], fields: Sequence[T.StructField]) -> dict:
+    """Partition clause -> folder, of the partitions in which ``df`` has files."""
+    folder = F.regexp_replace("_metadata.file_path", "/[^/]*$", "").alias("_folder")
+    rows = df.select(*map(quoted, by), folder).distinct().collect()
+    return {_partition_clause(row, fields): unquote(row["_folder"]) for row in rows}
+
+
+def _rewrite(
+    spark: SparkSession,
+    table: str,
+    newest: DataFrame,
+    keys: Sequence[str],
+    fields: Sequence[T.StructField],
+    places: Sequence[Row],
+) -> None:
+    """Rewrite one group of partitions with the staged rows that belong there."""
+    by = [field.name for field in fields]
+    clauses = [_partition_clause(place, fields) for place in places]
+    target, wanted = spark.table(table), _in_places(by, places)
+    root = table_location(spark, table)
+    before = _folders_of(target.where(wanted), by, fields)
+    kept = _without(target.where(wanted), newest, keys)
+    folder = f"{root}/_loads/{uuid.uuid4().hex}"
+    (
+        kept.unionByName(newest.where(wanted))
+        .hint("rebalance", *by)
+        .write.format("parquet")
+        .partitionBy(*by)
+        .save(folder)
+    )
+    # A partition that lost all its rows has no folder.
+    found = spark.read.schema(T.StructType(list(fields))).parquet(folder)
+    folders = _folders_of(found, by, fields)
+    _point_to(spark, table, clauses, folders)
+    spark.catalog.refreshTable(table)
+    for old in before.values():
+        if old not in folders.values() and old.startswith(f"{root}/"):
+            discard(spark, old)
 
 
 def upsert_partitions(
@@ -201,59 +271,51 @@ def upsert_partitions(
     partition_by: Sequence[str],
     version: Sequence[str] | None = None,
     key_fixes_partition: bool = False,
-    max_partitions: int = 20_000,
+    group_size: int = 500,
 ) -> int:
     """Upsert into a partitioned catalog table; rewrites only the partitions concerned.
 
     Those are the partitions of the staged rows and, unless ``key_fixes_partition``, the ones in
-    which the staged keys live now (only keys are read to find them), so a row may move. The new
-    files go to a folder of their own and the catalog is pointed there partition by partition:
-    readers never see a half-written partition, a lost job leaves the old files in place, and
-    running it again gives the same table. A stage with NULL in a key is refused, for its rows
-    could not be found again. Returns the number of partitions rewritten.
-
-    The partition names (not rows) come to the driver, which issues one catalog change for each;
-    beyond ``max_partitions`` the call is refused in favour of ``staged_reload``.
+    which the staged keys live now (only keys are read to find them), so a row may move. They are
+    worked through in groups of about ``group_size``, however many they are. The new files go to
+    a folder of their own below the table's location and the catalog is pointed there partition
+    by partition; then the files they replace are removed. A stage with NULL in a key is refused,
+    for its rows could not be found again. Returns the number of partitions rewritten.
+
+    Readers never see a half-written partition, and a lost job leaves every partition old or new;
+    running it again gives the same table. Several partitions do not change at one moment: until
+    the call ends, a row that moves may be seen in both or in neither.
     """
     target = spark.table(table)
     by = list(partition_by)
     fields = [target.schema[name] for name in by]
-    newest = written(_in_order(_newest(stage, keys, version), target), f"{table}-stage")
-    if not newest.where(_null_in_key(keys)).isEmpty():
-        raise LoadRefused(f"staged rows have NULL in the key {list(keys)}")
-    concerned = newest.select(*by)
-    if not key_fixes_partition:
-        held = target.select(*dict.fromkeys([*keys, *by]))
-        homes = held.join(newest.select(*keys), list(keys), "left_semi")
-        concerned = concerned.unionAll(homes.select(*by))
-    places = concerned.distinct().limit(max_partitions + 1).collect()
-    if len(places) > max_partitions:
-        raise LoadRefused(f"more than {max_partitions} partitions concerned: use staged_reload")
-    if not places:
-        return 0
-    clauses = [_partition_clause(place, fields) for place in places]
-
-    kept = _without(target.where(_in_places(by, places)), newest, keys)
-    folder = f"{work_root(spark)}/tableferry/tables/{table}-{uuid.uuid4().hex}"
-    (
-        kept.unionByName(newest)
-        .hint("rebalance", *by)
-        .write.format("parquet")
-        .partitionBy(*by)
-        .save(folder)
+    newest, stage_folder = written_at(
+        _in_order(_newest(stage, keys, version), target), f"{table}-stage"
     )
-    # One row per partition written. A partition that lost all its rows has no folder.
-    found = (
-        spark.read.schema(T.StructType(fields))
-        .parquet(folder)
-        .select(*by, F.regexp_replace("_metadata.file_path", "/[^/]*$", "").alias("_folder"))
-        .distinct()
-        .collect()
-    )
-    folders = {_partition_clause(row, fields): unquote(row["_folder"]) for row in found}
-    _point_to(spark, table, clauses, folders, len(by))
-    spark.catalog.refreshTable(table)
-    return len(clauses)
+    places_folder = None
+    try:
+        if not newest.where(_null_in_key(keys)).isEmpty():
+            raise LoadRefused(f"staged rows have NULL in the key {list(keys)}")
+        if not newest.where(_null_in_key(by)).isEmpty():
+            raise ValueError(f"partition columns must not be NULL: {by}")
+        concerned = newest.select(*map(quoted, by))
+        if not key_fixes_partition:
+            held = target.select(*map(quoted, dict.fromkeys([*keys, *by])))
+            homes = _matching(held, newest.select(*map(quoted, keys)), keys, "left_semi")
+            concerned = concerned.unionAll(homes.select(*map(quoted, by)))
+        places, places_folder = written_at(concerned.distinct(), f"{table}-places")
+        n_places = places.count()
+        groups = -(-n_places // group_size)
+        number = F.pmod(F.xxhash64(*map(quoted, by)), F.lit(groups))
+        for group in range(groups):
+            chosen = places.where(number == group).collect()
+            if chosen:
+                _rewrite(spark, table, newest, keys, fields, chosen)
+        return n_places
+    finally:
+        for folder in (stage_folder, places_folder):
+            if folder:
+                discard(spark, folder)
 
 
 def stage_name(table: str, at: datetime.datetime | None = None) -> str:
@@ -277,31 +339,41 @@ def staged_reload(
     table: str,
     keys: Sequence[str],
     checks: Sequence[Callable[[DataFrame], None]] = (),
+    after_swap: Sequence[Callable[[DataFrame], None]] = (),
 ) -> str:
     """Replace a catalog table by a checked copy; returns the name the old one is kept under.
 
     The rows are written to a stage table, and only if its keys are sound and every check passes
-    (a check raises to refuse) are the two names exchanged. If the second rename fails the first
-    is undone. A refused stage is kept for inspection, the live table is untouched. The two
-    renames are not one atomic step; readers in between find no table.
+    (a check raises to refuse) are the two names exchanged. Then the table is read under its own
+    name: it must have the staged schema and as many rows, and pass every check of
+    ``after_swap``; if not, or if the second rename fails, the old table gets its name back. A
+    refused stage is kept for inspection. The two renames are not one atomic step; readers in
+    between find no table.
     """
     spark = df.sparkSession
     stage = stage_name(table)
-    path = f"{work_root(spark)}/tableferry/tables/{stage}"
-    df.write.format("parquet").option("path", path).saveAsTable(stage)
+    df.write.format("parquet").saveAsTable(stage)
     loaded = spark.table(stage)
     if not duplicate_keys(loaded, keys).isEmpty():
         raise LoadRefused(f"{stage}: key {list(keys)} is repeated or NULL")
     for check in checks:
         check(loaded)
-    if not spark.catalog.tableExists(table):
-        spark.sql(f"ALTER TABLE {stage} RENAME TO {table}")
-        return ""
-    backup = stage.replace("_tmp_", "_bak_")
-    spark.sql(f"ALTER TABLE {table} RENAME TO {backup}")
+    schema, n_rows = loaded.schema, loaded.count()
+    backup = stage.replace("_tmp_", "_bak_") if spark.catalog.tableExists(table) else ""
+    if backup:
+        spark.sql(f"ALTER TABLE {table} RENAME TO {backup}")
     try:
         spark.sql(f"ALTER TABLE {stage} RENAME TO {table}")
+        spark.catalog.refreshTable(table)
+        live = spark.table(table)
+        if live.schema != schema or live.count() != n_rows:
+            raise LoadRefused(f"{table} is not what was staged")
+        for check in after_swap:
+            check(live)
     except Exception:
-        spark.sql(f"ALTER TABLE {backup} RENAME TO {table}")
+        if spark.catalog.tableExists(table):
+            spark.sql(f"ALTER TABLE {table} RENAME TO {stage}")
+        if backup:
+            spark.sql(f"ALTER TABLE {backup} RENAME TO {table}")
         raise
     return backup

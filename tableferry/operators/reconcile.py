@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -57,8 +57,8 @@ def table_counts(tables: Tables) -> DataFrame:
 def table_checksums(
     tables: Tables,
     columns: Mapping[str, Sequence[str]] | None = None,
-    double_scale: int = 4,
-    micros: bool = False,
+    double_scale: int | None = None,
+    micros: bool = True,
     typed: bool = False,
 ) -> DataFrame:
     """``table_name, n_rows, checksum`` over all rows of each table, in any order.
@@ -113,11 +113,13 @@ def reconcile_checksums(
     sources: Tables,
     targets: Tables,
     columns: Mapping[str, Sequence[str]] | None = None,
-    double_scale: int = 4,
-    micros: bool = False,
+    double_scale: int | None = None,
+    micros: bool = True,
     typed: bool = False,
+    counts: bool = False,
 ) -> DataFrame:
-    """``table_name, source_checksum, target_checksum, matched``, over whole tables.
+    """``table_name, source_checksum, target_checksum, matched``, over whole tables; with
+    ``counts`` also ``source_n_rows, target_n_rows``, which the same pass yields.
 
     Hand in conformed tables, so that true and 1 have the same text. ``typed`` as in
     ``table_checksums``; the types of the two ends are brought together first.
@@ -134,7 +136,7 @@ def reconcile_checksums(
     both = _both_ends(
         table_checksums(sources, columns, double_scale, micros, typed),
         table_checksums(targets, columns, double_scale, micros, typed),
-        ["checksum"],
+        ["checksum", "n_rows"] if counts else ["checksum"],
     )
     matched = F.coalesce(F.col("source_checksum") == F.col("target_checksum"), F.lit(False))
     return both.withColumn("matched", matched)
@@ -143,33 +145,37 @@ def reconcile_checksums(
 # -- samples --------------------------------------------------------------------------------
 
 
-# More scan tasks than this are merged (without a shuffle) before each hands over its smallest
-# keys, so that the one task that picks among them gets a bounded number.
-_HANDOVERS = 20_000
+# Tasks hand their smallest keys to so many tasks, and these to the one that picks among them.
+_HANDOVERS = 128
 
 
 def last_sampled_key(df: DataFrame, keys: Sequence[str], size: int = 1000) -> Row | None:
-    """The ``size``-th smallest key. Only the key columns are read, and every task passes on its
-    ``size`` smallest keys without sorting; None for an empty table."""
-    smallest = df.select(*keys).coalesce(_HANDOVERS).orderBy(*keys).limit(size)
-    return smallest.agg(F.max(F.struct(*keys))).first()[0]
+    """The ``size``-th smallest key. Only the key columns are read; every task passes on its
+    ``size`` smallest keys, in two steps, so no task gets the keys of all. None for an empty
+    table."""
+    names = [quoted(name) for name in keys]
+    marked = df.select(*names).withColumn("_from", F.pmod(F.spark_partition_id(), F.lit(_HANDOVERS)))
+    rank = F.row_number().over(Window.partitionBy("_from").orderBy(*names))
+    smallest = marked.withColumn("_rank", rank).where(F.col("_rank") <= size).select(*names)
+    return smallest.orderBy(*names).limit(size).agg(F.max(F.struct(*names))).first()[0]
 
 
 def rows_up_to_key(df: DataFrame, keys: Sequence[str], last: Row | None) -> DataFrame:
     """The rows with keys up to ``last``, NULL keys first; the leading key filters the scan."""
     if last is None:
         return df
-    lead = F.col(keys[0])
+    lead = F.col(quoted(keys[0]))
     wanted = F.lit(True) if last[0] is None else lead <= F.lit(last[0])
     if len(keys) > 1:
         limit = F.struct(*[F.lit(value).cast(df.schema[k].dataType) for k, value in zip(keys, last)])
-        wanted = wanted & (F.struct(*keys) <= limit)
-        return df.where(wanted | (lead.isNull() & (F.struct(*keys) <= limit)))
+        together = F.struct(*map(quoted, keys))
+        wanted = wanted & (together <= limit)
+        return df.where(wanted | (lead.isNull() & (together <= limit)))
     return df.where(lead.isNull() if last[0] is None else wanted | lead.isNull())
 
 
 def rows_by_key_share(
-    df: DataFrame, keys: Sequence[str], share: float, double_scale: int = 4
+    df: DataFrame, keys: Sequence[str], share: float, double_scale: int | None = None
 ) -> DataFrame:
     """The rows whose key falls into a fixed share of all keys, the same keys at both ends.
 
@@ -185,11 +191,12 @@ def sampled_checksums(
     keys: Mapping[str, Sequence[str]],
     size: int = 1000,
     share: float | None = None,
+    typed: bool = False,
 ) -> DataFrame:
     """``reconcile_checksums`` over a sample that both ends draw alike.
 
-    By default the rows up to the ``size``-th key of the source (one small query per table finds
-    it); with ``share``, that share of all keys, which also suits very large samples.
+    By default each end's own first ``size`` keys (one small query per table and end finds the
+    last of them); with ``share``, that share of all keys, which also suits very large samples.
     """
     ours, theirs = {}, {}
     for name, df in sources.items():
@@ -198,10 +205,12 @@ def sampled_checksums(
             ours[name] = rows_by_key_share(df, key, share)
             theirs[name] = rows_by_key_share(targets[name], key, share)
         else:
-            last = last_sampled_key(df, key, size)
-            ours[name] = rows_up_to_key(df, key, last)
-            theirs[name] = rows_up_to_key(targets[name], key, last)
-    return reconcile_checksums(ours, theirs, {name: df.columns for name, df in sources.items()})
+            ours[name], theirs[name] = (
+                rows_up_to_key(end, key, last_sampled_key(end, key, size))
+                for end in (df, targets[name])
+            )
+    columns = {name: df.columns for name, df in sources.items()}
+    return reconcile_checksums(ours, theirs, columns, typed=typed)
 
 
 # -- rows and columns -----------------------------------------------------------------------
@@ -265,7 +274,7 @@ def _paired(
 
     def side(df: DataFrame, in_source: int) -> DataFrame:
         return df.select(
-            *keys,
+            *map(quoted, keys),
             F.lit(in_source).alias("_in_source"),
             F.lit(1 - in_source).alias("_in_target"),
             *[digest.alias(name) for name, digest in digests.items()],
@@ -274,7 +283,7 @@ def _paired(
     return (
         side(source, 1)
         .unionAll(side(target, 0))
-        .groupBy(*keys)
+        .groupBy(*map(quoted, keys))
         .agg(
             F.sum("_in_source").alias("n_source"),
             F.sum("_in_target").alias("n_target"),
@@ -305,7 +314,7 @@ def row_status(
         .otherwise("same")
     )
     return _paired(left, right, keys, {"_digest": digest}).select(
-        *keys, status.alias("status"), "n_source", "n_target"
+        *map(quoted, keys), status.alias("status"), "n_source", "n_target"
     )
 
 
@@ -379,6 +388,18 @@ def row_diff_by_range(
     return row_diff(source.where(wanted), target.where(wanted), [key], columns)
 
 
+def sampled_row_diff(
+    source: DataFrame,
+    target: DataFrame,
+    keys: Sequence[str],
+    size: int = 1000,
+    columns: Sequence[str] | None = None,
+) -> DataFrame:
+    """``row_diff`` of each end's own first ``size`` keys, field by field."""
+    ends = [rows_up_to_key(end, keys, last_sampled_key(end, keys, size)) for end in (source, target)]
+    return row_diff(*ends, keys, columns)
+
+
 def row_diff_summary(
     source: DataFrame,
     target: DataFrame,
@@ -402,7 +423,7 @@ def column_diff(
     """``column_name, n_compared, n_different`` over the keys held once by either end."""
     columns = list(columns or [name for name in source.columns if name not in keys])
     left, right = comparable(source, target, [*keys, *columns])
-    digests = {f"_d{index}": F.xxhash64(F.col(name)) for index, name in enumerate(columns)}
+    digests = {f"_d{index}": F.xxhash64(F.col(quoted(name))) for index, name in enumerate(columns)}
     pairs = _paired(left, right, keys, digests).where("n_source = 1 AND n_target = 1")
     different = [F.count_if(F.col(name) != 0).alias(name) for name in digests]
     counted = pairs.agg(F.count(F.lit(1)).alias("n_compared"), *different)
@@ -428,13 +449,13 @@ def changed_values(
     """
     columns = list(columns or [name for name in source.columns if name not in keys])
     left, right = comparable(source, target, [*keys, *columns])
-    changed = diff.where(F.col("status") == "changed").select(*keys)
+    changed = diff.where(F.col("status") == "changed").select(*map(quoted, keys))
 
     def renamed(df: DataFrame, prefix: str) -> DataFrame:
-        return df.select(*[F.col(name).alias(prefix + name) for name in df.columns])
+        return df.select(*[F.col(quoted(name)).alias(prefix + name) for name in df.columns])
 
     def same_key(one: str, other: str) -> Column:
-        tests = [F.col(one + name).eqNullSafe(F.col(other + name)) for name in keys]
+        tests = [F.col(quoted(one + name)).eqNullSafe(F.col(quoted(other + name))) for name in keys]
         return reduce(Column.__and__, tests)
 
     joined = (
@@ -452,10 +473,10 @@ def changed_values(
             f"'source_value', {shown[0]}, 'target_value', {shown[1]}))"
         )
     names = F.array(*[F.lit(name) for name in columns])
-    key_columns = [F.col("k_" + name).alias(name) for name in keys]
+    key_columns = [F.col(quoted("k_" + name)).alias(name) for name in keys]
     found = F.expr(f"explode(array_compact(array({', '.join(fields)})))")
     return joined.select(*key_columns, found.alias("field")).select(
-        *keys,
+        *map(quoted, keys),
         F.get(names, "field.column_index").alias("column_name"),
         "field.source_value",
         "field.target_value",
@@ -470,7 +491,7 @@ def _unequal(left: DataFrame, right: DataFrame, by: Sequence[str]) -> DataFrame:
 
     def side(df: DataFrame, in_source: int) -> DataFrame:
         return df.select(
-            *by,
+            *map(quoted, by),
             F.lit(in_source).alias("_in_source"),
             F.lit(1 - in_source).alias("_in_target"),
         )
@@ -478,7 +499,7 @@ def _unequal(left: DataFrame, right: DataFrame, by: Sequence[str]) -> DataFrame:
     return (
         side(left, 1)
         .unionAll(side(right, 0))
-        .groupBy(*by)
+        .groupBy(*map(quoted, by))
         .agg(F.sum("_in_source").alias("n_source"), F.sum("_in_target").alias("n_target"))
         .where("n_source <> n_target")
     )
@@ -526,8 +547,8 @@ def fingerprint_diff(
     source: DataFrame,
     target: DataFrame,
     columns: Sequence[str] | None = None,
-    double_scale: int = 4,
-    micros: bool = False,
+    double_scale: int | None = None,
+    micros: bool = True,
 ) -> DataFrame:
     """``fingerprint, n_source, n_target``: as ``multiset_suspects``, by MD5s other engines can
     compute as well, with doubles and timestamps at the precision of the checksums."""

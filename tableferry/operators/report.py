@@ -9,15 +9,20 @@ STATUSES = ["success", "partial", "failed", "skipped"]
 
 
 def load_report(counts: DataFrame) -> DataFrame:
-    """``table_name, status, migrated, failed, total`` from ``reconcile.reconcile_counts``.
+    """``table_name, status, migrated, failed, total`` from ``reconcile.reconcile_counts``, and
+    ``message`` where the counts come with one (``migration.validate``).
 
-    ``skipped``: nothing to load. ``failed``: rows to load and none arrived, or no such table at
-    the target. ``partial``: some are missing, or rows arrived that the source does not have.
+    ``skipped``: nothing to load. ``failed``: rows to load and none arrived, no such table at the
+    target, or a message. ``partial``: some are missing, or rows arrived that the source does not
+    have.
     """
+    noted = "message" in counts.columns
+    broken = F.col("message").isNotNull() if noted else F.lit(False)
     total = F.coalesce("source_count", F.lit(0))
     arrived = F.coalesce("target_count", F.lit(0))
     status = (
-        F.when((total == 0) & (arrived == 0), "skipped")
+        F.when(broken, "failed")
+        .when((total == 0) & (arrived == 0), "skipped")
         .when(arrived == 0, "failed")
         .when(total == arrived, "success")
         .otherwise("partial")
@@ -28,6 +33,7 @@ def load_report(counts: DataFrame) -> DataFrame:
         F.least(arrived, total).alias("migrated"),
         F.greatest(total - arrived, F.lit(0)).cast("bigint").alias("failed"),
         total.alias("total"),
+        *(["message"] if noted else []),
     )
 
 

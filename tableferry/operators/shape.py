@@ -102,7 +102,9 @@ def evolve_table(
     """The table in the desired schema: columns added with their default, cast, removed.
 
     Defaults are taken from the field metadata (``default``), as catalogs write them. A new
-    column that may not be NULL and has no default is an error.
+    column that may not be NULL and has no default is an error. A column that is there already
+    and may not be NULL gets its default where it is NULL; without a default the job fails on
+    such a row.
     """
     renames, expressions = renames or {}, expressions or {}
 
@@ -116,6 +118,12 @@ def evolve_table(
             if not field.nullable and not rules.normalize_default(spec):
                 raise ValueError(f"new column {field.name!r} needs a default or an expression")
             value = rules.default_column(spec)
-        return value.cast(field.dataType).alias(field.name)
+        value = value.cast(field.dataType)
+        if not field.nullable:
+            spec = rules.spec_of_field(field)
+            stop = F.raise_error(F.lit(f"column {field.name} must not be NULL"))
+            filled = rules.default_column(spec) if rules.normalize_default(spec) else stop
+            value = F.coalesce(value, filled.cast(field.dataType))
+        return value.alias(field.name)
 
     return df.select(*[aligned(field) for field in desired.fields])

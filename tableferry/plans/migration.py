@@ -7,21 +7,17 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tableferry.functions import types as rules
 from tableferry.functions.types import IGNORED_WORDS, TYPE_MAP, ColumnSpec
 from tableferry.operators.audits import hex_audit
-from tableferry.operators.reconcile import (
-    compare_counts,
-    labelled,
-    reconcile_checksums,
-    sampled_checksums,
-)
+from tableferry.operators.reconcile import reconcile_checksums, sampled_checksums
 from tableferry.operators.report import load_report
 from tableferry.operators.shape import conform_table, ignored_columns, prune_unsupported
-from tableferry.sources.csv_files import parse_export, read_export, write_export
+from tableferry.sources.csv_files import CsvForm, parse_export, read_export, write_export
 from tableferry.sources.files import FileStore
 from tableferry.sources.jdbc import JdbcStore
 
@@ -38,11 +34,13 @@ class Settings:
     type_map: Mapping[str, str] = field(default_factory=lambda: dict(TYPE_MAP))
     strict_decimal: bool = False
     parallel_tables: int = 4
-    partitions_per_table: int = 16
+    partitions_per_table: int | None = None
+    rows_per_task: int = 1_000_000
     sample_size: int | None = None
     check_count: bool = True
     check_checksum: bool = True
     continue_on_error: bool = False
+    csv: CsvForm = CsvForm()
 
 
 def chosen_tables(tables: Sequence[str], settings: Settings) -> list[str]:
@@ -55,9 +53,13 @@ def chosen_tables(tables: Sequence[str], settings: Settings) -> list[str]:
 def scan(
     spark: SparkSession, store: Store, table: str, settings: Settings, split_key: str | None
 ) -> DataFrame:
-    """A stored table; JDBC tables with a ``split_key`` are read over several connections."""
+    """A stored table; JDBC tables with a ``split_key`` are read over several connections, as many
+    as their rows need unless the settings name a number."""
     if isinstance(store, JdbcStore) and split_key:
-        return store.read_partitioned(spark, table, split_key, settings.partitions_per_table)
+        parts = settings.partitions_per_table
+        if parts is None:
+            parts = max(1, -(-store.count(spark, table).first()[0] // settings.rows_per_task))
+        return store.read_partitioned(spark, table, split_key, parts)
     return store.read(spark, table)
 
 
@@ -144,6 +146,12 @@ def ignored_by_table(
     return found
 
 
+_FACTS = (
+    "table_name string, source_count long, target_count long, source_checksum string, "
+    "target_checksum string, message string"
+)
+
+
 def validate(
     spark: SparkSession,
     source: Store,
@@ -153,31 +161,66 @@ def validate(
     specs: Mapping[str, Sequence[ColumnSpec]] | None = None,
     keys: Mapping[str, Sequence[str]] | None = None,
     split_keys: Mapping[str, str] | None = None,
+    errors: Mapping[str, str] | None = None,
 ) -> dict[str, DataFrame]:
     """``counts``, ``checksums`` and ``load`` reports, one row per table.
 
-    Each store counts its own rows. Checksums cover whole tables unless the settings name a
-    ``sample_size`` (which needs keys).
+    Spark reads both ends once: the pass that makes the (typed, exact) checksums also counts.
+    Without checksums each store counts its own rows. Checksums cover whole tables unless the
+    settings name a ``sample_size`` and the table has ``keys``; then each store counts as well.
+
+    Nothing that is wrong with a table raises: a table whose load failed (``errors``, from
+    ``migrate``), that is missing, unreadable or has other columns is reported as failed with its
+    message. The facts, one row per table, come to the driver.
     """
     settings, specs, split_keys = settings or Settings(), specs or {}, split_keys or {}
     chosen = chosen_tables(tables, settings)
+    keys, messages = keys or {}, dict(errors or {})
+
+    def counted(store: Store, table: str) -> int | None:
+        try:
+            return store.count(spark, table).first()[0]
+        except Exception as error:  # noqa: BLE001 - whatever a store raises is the finding
+            messages.setdefault(table, str(error).splitlines()[0])
+            return None
+
+    def checked(table: str) -> tuple:
+        ours = conformed(spark, source, table, settings, specs.get(table), split_keys.get(table))
+        theirs = scan(spark, target, table, settings, split_keys.get(table))
+        if settings.sample_size and table in keys:
+            found = sampled_checksums(
+                {table: ours}, {table: theirs}, keys, settings.sample_size, typed=True
+            ).first()
+            counts = counted(source, table), counted(target, table)
+        else:
+            found = reconcile_checksums({table: ours}, {table: theirs}, typed=True, counts=True).first()
+            counts = found["source_n_rows"], found["target_n_rows"]
+        return *counts, found["source_checksum"], found["target_checksum"]
+
+    def facts(table: str) -> tuple:
+        if settings.check_checksum and table not in messages:
+            try:
+                return table, *checked(table), None
+            except Exception as error:  # noqa: BLE001
+                messages[table] = str(error).splitlines()[0]
+        return table, counted(source, table), counted(target, table), None, None, messages.get(table)
+
+    guarded = inheritable_thread_target(spark)(facts)
+    with ThreadPoolExecutor(max_workers=settings.parallel_tables) as pool:
+        rows = spark.createDataFrame(list(pool.map(guarded, chosen)), _FACTS)
+
+    def agree(fact: str) -> Column:
+        return F.coalesce(F.col(f"source_{fact}") == F.col(f"target_{fact}"), F.lit(False))
+
     reports = {}
     if settings.check_count:
-        reports["counts"] = compare_counts(
-            labelled({t: source.count(spark, t) for t in chosen}),
-            labelled({t: target.count(spark, t) for t in chosen}),
+        counts = ["table_name", "source_count", "target_count"]
+        reports["counts"] = rows.select(*counts, agree("count").alias("matched"))
+        reports["load"] = load_report(rows.select(*counts, "message"))
+    if settings.check_checksum:
+        reports["checksums"] = rows.select(
+            "table_name", "source_checksum", "target_checksum", agree("checksum").alias("matched")
         )
-        reports["load"] = load_report(reports["counts"])
-    if not settings.check_checksum:
-        return reports
-    ours = {
-        t: conformed(spark, source, t, settings, specs.get(t), split_keys.get(t)) for t in chosen
-    }
-    theirs = {t: scan(spark, target, t, settings, split_keys.get(t)) for t in chosen}
-    if settings.sample_size and keys:
-        reports["checksums"] = sampled_checksums(ours, theirs, keys, settings.sample_size)
-    else:
-        reports["checksums"] = reconcile_checksums(ours, theirs)
     return reports
 
 
@@ -200,17 +243,20 @@ def export_tables(
             spark, source, table, settings, specs.get(table), split_keys.get(table)
         )
         if rows.columns:
-            write_export(rows, f"{folder}/{table}")
+            write_export(rows, f"{folder}/{table}", **vars(settings.csv))
             schemas[table] = rows.schema
 
     _run_tables(spark, chosen_tables(tables, settings), export, settings)
     return schemas
 
 
-def audit_export(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Hex audit of one exported table."""
+def audit_export(
+    spark: SparkSession, path: str, schema: T.StructType, settings: Settings | None = None
+) -> DataFrame:
+    """Audit of one exported table: the number of fields, and the hex text of binary columns."""
     hexes = [f.name for f in schema.fields if isinstance(f.dataType, T.BinaryType)]
-    return hex_audit(read_export(spark, path, schema.names), hexes)
+    form = vars((settings or Settings()).csv)
+    return hex_audit(read_export(spark, path, schema.names, **form), hexes)
 
 
 def import_tables(
@@ -225,10 +271,12 @@ def import_tables(
     A row with the wrong number of fields fails its table: nothing is padded or cut off.
     """
 
+    form = vars((settings or Settings()).csv)
+
     def load(table: str) -> None:
         schema = schemas[table]
         texts = read_export(
-            spark, f"{folder}/{table}", schema.names, keep_bad_rows=False
+            spark, f"{folder}/{table}", schema.names, **form, keep_bad_rows=False
         )
         target.reload(parse_export(texts, schema), table)
 

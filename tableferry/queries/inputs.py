@@ -88,11 +88,20 @@ def plain_sql(column: str) -> str:
 
 
 def double_sql(column: str) -> str:
-    return f"coalesce(CAST(floor({column} * 10000 + 0.5) AS BIGINT)::VARCHAR, '\\N')"
+    """The exact value as <sign><whole number>p<power of two>."""
+    power = f"floor(log2(abs({column})))::INT"
+    up = f"(52 - {power})"
+    scaled = f"(abs({column}) * pow(2.0::DOUBLE, {up} // 2) * pow(2.0::DOUBLE, {up} - {up} // 2))"
+    return (
+        f"coalesce(CASE WHEN {column} = 0 THEN '0' ELSE CASE WHEN {column} < 0 THEN '-' ELSE '' END || "
+        f"CASE WHEN {scaled} < {2**52} THEN ({scaled} * 2)::BIGINT || 'p' || ({power} - 53) "
+        f"WHEN {scaled} >= {2**53} THEN ({scaled} / 2)::BIGINT || 'p' || ({power} - 51) "
+        f"ELSE {scaled}::BIGINT || 'p' || ({power} - 52) END END, '\\N')"
+    )
 
 
 def moment_sql(column: str) -> str:
-    return f"coalesce(strftime({column}, '%Y-%m-%d %H:%M:%S'), '\\N')"
+    return f"coalesce(strftime({column}, '%Y-%m-%d %H:%M:%S.%f'), '\\N')"
 
 
 def md5_sql(fields: list[str]) -> str:

@@ -10,11 +10,20 @@ from pyspark.sql import types as T
 
 from tableferry.functions.types import describe
 from tableferry.operators import load
+from tableferry.operators.gate import TableRules, gate
 from tableferry.operators.shape import conform_table
 from tableferry.plans import migration
-from tableferry.queries.inputs import LINE_COLUMNS, ORDER_COLUMNS, faulty_orders, store, table
+from tableferry.queries.inputs import (
+    FAULTY_ORDERS,
+    LINE_COLUMNS,
+    ORDER_COLUMNS,
+    faulty_orders,
+    store,
+    table,
+)
 from tableferry.queries.shaping import EVENT_SPECS
-from tableferry.session import new_folder
+from tableferry.session import discard, new_folder
+from tableferry.sources.csv_files import CsvForm
 from tableferry.sources.files import FileStore
 from tableferry.streaming.incremental import incremental_load
 from tableferry.streaming.marks import MarkStore, latest_marks
@@ -83,19 +92,24 @@ def append_conflicts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def reload(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The reloaded rows, and how many the table held before."""
     orders = table(spark, sf_dir, "orders")
     target = FileStore(new_folder(spark, "target"))
     target.reload(faulty_orders(orders), "orders")
+    before = target.count(spark, "orders").first()[0]
     target.reload(orders, "orders")
-    return target.read(spark, "orders")
+    return target.read(spark, "orders").withColumn("n_before", F.lit(before).cast("long"))
 
 
 def staged_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The live table after the swap and the table it replaced, under its backup name."""
     orders = table(spark, sf_dir, "orders")
     name = _fresh("orders")
     load.staged_reload(faulty_orders(orders), name, KEY)
-    load.staged_reload(orders, name, KEY, [load.same_rows_as(orders, KEY)])
-    return spark.table(name)
+    backup = load.staged_reload(orders, name, KEY, [load.same_rows_as(orders, KEY)])
+    held = {"live": spark.table(name), "backup": spark.table(backup)}
+    live, old = (df.withColumn("held_by", F.lit(label)) for label, df in held.items())
+    return live.unionByName(old)
 
 
 def _daily_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -114,12 +128,13 @@ def upsert_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
         "user_id", "event_type", "value", "props",
     ).withColumn("event_day", F.to_date("ts"))
     stage = late.where("event_id % 2 = 1").unionByName(moved)
-    load.upsert_partitions(spark, name, stage, ["event_id"], ["event_day"])
-    return spark.table(name)
+    rewritten = load.upsert_partitions(spark, name, stage, ["event_id"], ["event_day"])
+    return spark.table(name).withColumn("n_rewritten", F.lit(rewritten).cast("long"))
 
 
 def incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Three loads by mark: up to the cut, the rest, and one that finds only the last moment."""
+    """Three loads by mark: up to the cut, the rest, and one that finds only the last moment. The
+    result shows the rows staged by each and the mark at the end."""
     events = _daily_events(spark, sf_dir)
     name = _fresh("events")
     load.create_partitioned(events.limit(0), name, ["event_day"])
@@ -131,9 +146,12 @@ def incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
 
     before = events.where(F.col("ts") < F.lit(CUT).cast("timestamp_ntz"))
-    for source in (before, events, events):
-        incremental_load(source, name, "ts", marks, commit)
-    return spark.table(name)
+    staged = [
+        incremental_load(source, name, "ts", marks, commit) for source in (before, events, events)
+    ]
+    mark = F.lit(marks.last_time(spark, name).isoformat(sep=" ")).cast("timestamp_ntz")
+    counts = {f"n_staged_{i}": F.lit(n).cast("long") for i, n in enumerate(staged, 1)}
+    return spark.table(name).withColumns({**counts, "mark": mark})
 
 
 def streamed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -165,17 +183,75 @@ def marks_of_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return latest_marks(log)
 
 
-MIGRATED = ["customer", "orders", "events", "embeddings", "documents"]
+MIGRATED = ["customer", "orders", "events", "embeddings", "documents", "lineitem"]
 
 
 def full_migration(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Five tables copied and validated: outcome and whether the checksums agree."""
+    """Six tables copied and validated: outcome and whether the checksums agree."""
     target = FileStore(new_folder(spark, "target"))
     specs = {"events": EVENT_SPECS}
     source = store(sf_dir)
     migration.migrate(spark, source, target, MIGRATED, specs=specs)
     reports = migration.validate(spark, source, target, MIGRATED, specs=specs)
-    return reports["load"].join(reports["checksums"].select("table_name", "matched"), "table_name")
+    load_rows = reports["load"].drop("message")
+    return load_rows.join(reports["checksums"].select("table_name", "matched"), "table_name")
+
+
+def failed_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Outcome of loads that went wrong: a table that is not at the source, one whose target lost
+    a column, one whose target file is gone, and one that is sound."""
+    target, source = FileStore(new_folder(spark, "target")), store(sf_dir)
+    tables = ["customer", "orders", "supplier", "absent"]
+    settings = migration.Settings(continue_on_error=True)
+    errors = migration.migrate(spark, source, target, tables, settings)
+    target.reload(table(spark, sf_dir, "orders").drop("o_orderpriority"), "orders")
+    discard(spark, target.path("supplier"))
+    reports = migration.validate(spark, source, target, tables, settings, errors=errors)
+    noted = F.col("message").isNotNull().alias("has_message")
+    return reports["load"].select("table_name", "status", "migrated", "failed", "total", noted)
+
+
+def load_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The gate over a sound table and four that fail at one step each."""
+    source = {n: table(spark, sf_dir, n) for n in ("customer", "orders", "supplier", "nation", "part")}
+    source["sample_orders"] = source["orders"]
+    first = F.col("o_orderkey") == F.lit(source["orders"].agg(F.min("o_orderkey")).first()[0])
+    target = dict(
+        source,
+        orders=faulty_orders(source["orders"]).where("o_orderkey < 10000000"),
+        sample_orders=source["orders"].withColumn(
+            "o_totalprice", F.when(first, F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice"))
+        ),
+        nation=source["nation"].where("n_nationkey % 2 = 0"),
+        supplier=source["supplier"],
+    )
+    source["nation"] = target["nation"]
+    rules = {
+        "customer": TableRules(["c_custkey"], foreign=[(["c_nationkey"], "nation", ["n_nationkey"])]),
+        "orders": TableRules(KEY),
+        "sample_orders": TableRules(KEY),
+        "supplier": TableRules(["s_suppkey"]),
+        "part": TableRules(["p_partkey"], unique=[["p_size"]]),
+        "nation": TableRules(["n_nationkey"]),
+    }
+    return gate(spark, source, target, rules).drop("message")
+
+
+def text_migration_marker(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents of which some hold a literal marker text, moved under another marker."""
+    documents = table(spark, sf_dir, "documents").withColumn(
+        "source", F.when(F.col("doc_id") % 7 == 0, "\\N").when(F.col("doc_id") % 11 == 0, None).otherwise(F.col("source"))
+    )
+    source, target = FileStore(new_folder(spark, "source")), FileStore(new_folder(spark, "target"))
+    source.reload(documents, "documents")
+    settings = migration.Settings(csv=CsvForm(delimiter="\t", null_marker="<none>"))
+    folder = new_folder(spark, "export")
+    schemas = migration.export_tables(spark, source, folder, ["documents"], settings)
+    audit = migration.audit_export(spark, f"{folder}/documents", schemas["documents"], settings)
+    if audit.first()["bad_rows"]:
+        raise load.LoadRefused("the export holds bad rows")
+    migration.import_tables(spark, folder, schemas, target, settings)
+    return target.read(spark, "documents").select("doc_id", "text", "lang", "source", "n_chars")
 
 
 def text_migration(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -210,7 +286,10 @@ QUERIES = {
     "stream_upsert": streamed,
     "latest_marks": marks_of_events,
     "full_migration": full_migration,
+    "failed_load": failed_load,
+    "load_gate": load_gate,
     "text_migration": text_migration,
+    "text_migration_marker": text_migration_marker,
 }
 
 _ORDERS = ", ".join(ORDER_COLUMNS)
@@ -249,8 +328,13 @@ SQL = {
     "append_conflicts": """
         SELECT o_orderkey, CASE WHEN o_orderkey % 100 = 0 THEN 3 ELSE 2 END::BIGINT AS n_rows
         FROM orders WHERE o_orderkey % 50 = 0""",
-    "reload": f"SELECT {_ORDERS} FROM orders",
-    "staged_reload": f"SELECT {_ORDERS} FROM orders",
+    "reload": f"""
+        WITH {FAULTY_ORDERS}
+        SELECT {_ORDERS}, (SELECT count(*) FROM faulty_orders) AS n_before FROM orders""",
+    "staged_reload": f"""
+        WITH {FAULTY_ORDERS}
+        SELECT {_ORDERS}, 'live' AS held_by FROM orders
+        UNION ALL SELECT {_ORDERS}, 'backup' FROM faulty_orders""",
     "upsert_partitions": """
         WITH changed AS (
           SELECT event_id,
@@ -260,8 +344,19 @@ SQL = {
                  CASE WHEN ts::DATE = DATE '2024-01-05' THEN value + 1 ELSE value END AS value,
                  props
           FROM events)
-        SELECT *, ts::DATE AS event_day FROM changed""",
-    "incremental_load": "SELECT *, ts::DATE AS event_day FROM events",
+        SELECT *, ts::DATE AS event_day,
+               1 + (SELECT count(DISTINCT ts::DATE) FROM changed WHERE event_id IN (
+                  SELECT event_id FROM events
+                  WHERE ts::DATE = DATE '2024-01-05' AND event_id % 2 = 0)) AS n_rewritten
+        FROM changed""",
+    "incremental_load": f"""
+        SELECT *, ts::DATE AS event_day,
+               (SELECT count(*) FROM events WHERE ts < TIMESTAMP '{CUT}') AS n_staged_1,
+               (SELECT count(*) FROM events WHERE ts >= (
+                  SELECT max(ts) FROM events WHERE ts < TIMESTAMP '{CUT}')) AS n_staged_2,
+               (SELECT count(*) FROM events WHERE ts = (SELECT max(ts) FROM events)) AS n_staged_3,
+               (SELECT max(ts) FROM events) AS mark
+        FROM events""",
     "stream_upsert": f"""
         SELECT * REPLACE (CASE WHEN ts < TIMESTAMP '{CUT}' AND event_id % 10 = 0
                                THEN value + 1 ELSE value END AS value),
@@ -277,5 +372,24 @@ SQL = {
         f"0::BIGINT AS failed, count(*) AS total, TRUE AS matched FROM {name}"
         for name in MIGRATED
     ),
+    "failed_load": """
+        SELECT 'customer' AS table_name, 'success' AS status, count(*) AS migrated,
+               0::BIGINT AS failed, count(*) AS total, FALSE AS has_message FROM customer
+        UNION ALL SELECT 'orders', 'failed', count(*), 0, count(*), TRUE FROM orders
+        UNION ALL SELECT 'supplier', 'failed', 0, count(*), count(*), TRUE FROM supplier
+        UNION ALL SELECT 'absent', 'failed', 0, 0, 0, TRUE""",
+    "load_gate": """
+        SELECT * FROM (VALUES
+          ('customer', TRUE, TRUE, TRUE, FALSE, FALSE),
+          ('orders', FALSE, NULL, NULL, NULL, FALSE),
+          ('sample_orders', TRUE, FALSE, NULL, NULL, FALSE),
+          ('supplier', TRUE, TRUE, TRUE, TRUE, TRUE),
+          ('part', TRUE, TRUE, FALSE, NULL, FALSE),
+          ('nation', TRUE, TRUE, TRUE, TRUE, TRUE))
+        AS t(table_name, counts, sample, keys, foreign_keys, passed)""",
     "text_migration": "SELECT doc_id, text, lang, source, n_chars FROM documents",
+    "text_migration_marker": """
+        SELECT doc_id, text, lang,
+               CASE WHEN doc_id % 7 = 0 THEN '\\N' WHEN doc_id % 11 = 0 THEN NULL ELSE source END
+               AS source, n_chars FROM documents""",
 }

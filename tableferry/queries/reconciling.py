@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tableferry.operators import reconcile
 from tableferry.operators.report import load_report, report_totals
@@ -142,6 +143,30 @@ def typed_checksum(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("table_name", "matched")
 
 
+def checksum_precision(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Checksums of events against copies in which one microsecond, or one millionth of one value,
+    or nothing differs; exact by default, and at the precision of seconds and four places."""
+    events = table(spark, sf_dir, "events")
+    one = F.col("event_id") == F.lit(events.agg(F.min("event_id")).first()[0])
+    later = F.when(one, F.col("ts") + F.expr("interval 1 microsecond")).otherwise(F.col("ts"))
+    more = F.when(one, F.col("value") + 1e-6).otherwise(F.col("value"))
+    copies = {
+        "same": events, "moment": events.withColumn("ts", later), "value": events.withColumn("value", more),
+    }
+    sources = dict.fromkeys(copies, events)
+    exact = reconcile.reconcile_checksums(sources, copies).select("table_name", "matched")
+    typed = reconcile.reconcile_checksums(sources, copies, typed=True)
+    return exact.join(typed.select("table_name", F.col("matched").alias("typed_matched")), "table_name")
+
+
+def sampled_short_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A sample larger than the source, whose target has further rows behind its last key."""
+    parts = table(spark, sf_dir, "part")
+    ends = [{"part": parts.where(f"p_partkey <= {n}")} for n in (50, 70)]
+    found = reconcile.sampled_checksums(*ends, {"part": ["p_partkey"]}, SAMPLE_ROWS)
+    return found.select("table_name", "matched")
+
+
 QUERIES = {
     "table_counts": table_counts,
     "reconcile_counts": reconcile_counts,
@@ -151,6 +176,8 @@ QUERIES = {
     "reconcile_checksum_typed": typed_checksum,
     "sampled_checksum": sampled_checksum,
     "sampled_checksum_by_key": sampled_checksum_by_key,
+    "sampled_checksum_short_source": sampled_short_source,
+    "checksum_precision": checksum_precision,
     "row_diff": row_diff,
     "row_diff_by_range": row_diff_by_range,
     "row_diff_summary": row_diff_summary,
@@ -269,13 +296,24 @@ SQL = {
     ),
     "sampled_checksum": _sampled_sql(
         f"SELECT * FROM orders ORDER BY o_orderkey LIMIT {SAMPLE_ROWS}",
-        "SELECT * FROM faulty_orders WHERE o_orderkey <= (SELECT max(o_orderkey) FROM "
-        f"(SELECT o_orderkey FROM orders ORDER BY o_orderkey LIMIT {SAMPLE_ROWS}))",
+        f"SELECT * FROM faulty_orders ORDER BY o_orderkey LIMIT {SAMPLE_ROWS}",
     ),
     "sampled_checksum_by_key": _sampled_sql(
         f"SELECT * FROM orders WHERE {_KEY_WORD} < {_SHARE_LIMIT}",
         f"SELECT * FROM faulty_orders WHERE {_KEY_WORD} < {_SHARE_LIMIT}",
     ),
+    "sampled_checksum_short_source": """
+        SELECT 'part' AS table_name,
+               count(*) FILTER (p_partkey <= 50) = count(*) FILTER (p_partkey <= 70) AS matched
+        FROM part""",
+    "checksum_precision": """
+        WITH one AS (SELECT * FROM events WHERE event_id = (SELECT min(event_id) FROM events))
+        SELECT 'same' AS table_name, TRUE AS matched, TRUE AS typed_matched
+        UNION ALL
+        SELECT 'moment', bool_and(ts = ts + INTERVAL 1 MICROSECOND),
+               bool_and(ts = ts + INTERVAL 1 MICROSECOND) FROM one
+        UNION ALL
+        SELECT 'value', bool_and(value = value + 1e-6), bool_and(value = value + 1e-6) FROM one""",
     "row_diff": _ROW_STATUS
     + "SELECT o_orderkey, status, n_source, n_target FROM pairs WHERE status <> 'same'",
     "row_diff_by_range": _ROW_STATUS

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,8 +17,6 @@ RECOMMENDED = {
     "spark.ui.enabled": "false",
 }
 
-_local_root: str | None = None
-
 
 def build_session(app: str, master: str | None = None, **settings: str) -> SparkSession:
     """A session with the recommended settings; ``settings`` use ``__`` for the dots."""
@@ -33,20 +30,19 @@ def build_session(app: str, master: str | None = None, **settings: str) -> Spark
 
 
 def work_root(spark: SparkSession) -> str:
-    """Folder for written intermediate tables: the one named in ``spark.checkpoint.dir``.
+    """Folder for written intermediate tables: the one named in ``spark.checkpoint.dir``, or else
+    given to ``setCheckpointDir``.
 
-    Only a local session may leave the setting out; on a cluster a machine-local folder would
-    not be seen by the other executors, so that is an error.
+    Only a local session may leave both out; it uses a folder below its warehouse. On a cluster
+    that could be machine-local and not seen by the other executors, so it is an error.
     """
-    global _local_root
-    shared = spark.conf.get("spark.checkpoint.dir", None)
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if shared:
         return shared.rstrip("/")
-    if not spark.conf.get("spark.master", "").startswith("local"):
+    master = spark.conf.get("spark.master", "")
+    if not master.startswith("local") or master.startswith("local-cluster"):
         raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-    if _local_root is None:
-        _local_root = tempfile.mkdtemp(prefix="tableferry-")
-    return _local_root
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_work"
 
 
 def new_folder(spark: SparkSession, label: str) -> str:
@@ -54,12 +50,23 @@ def new_folder(spark: SparkSession, label: str) -> str:
     return f"{work_root(spark)}/tableferry/{label}-{uuid.uuid4().hex}"
 
 
+def written_at(df: DataFrame, label: str) -> tuple[DataFrame, str]:
+    """``written``, with the folder, for a caller that removes it (``discard``) after use."""
+    path = new_folder(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
 def written(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` as parquet in the work folder and read it back.
 
     This ends the lineage in files that outlive lost executors, and the planner then knows the
     size: a later join is broadcast only if the files are below the broadcast threshold.
     """
-    path = new_folder(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return written_at(df, label)[0]
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a folder, in whichever store it is."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

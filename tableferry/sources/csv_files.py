@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,6 +24,17 @@ from tableferry.functions.text import (
 BAD_ROW = "_bad_row"
 
 
+@dataclass(frozen=True)
+class CsvForm:
+    """How an export is written and read: another marker carries tables that hold a literal
+    ``\\N``."""
+
+    delimiter: str = DELIMITER
+    null_marker: str = NULL_MARKER
+    quote: str = QUOTE
+    escape: str = ESCAPE
+
+
 def export_projection(df: DataFrame, null_marker: str | None = None) -> DataFrame:
     """The columns in their export form. With ``null_marker``, a text equal to it is an error."""
 
@@ -35,6 +47,16 @@ def export_projection(df: DataFrame, null_marker: str | None = None) -> DataFram
     return df.select(*[exported(field) for field in df.schema.fields])
 
 
+def rows_of_bytes(df: DataFrame, n_bytes: int) -> int:
+    """How many rows of a projection of texts have about ``n_bytes``, by the mean over all rows."""
+    names = [F.coalesce(F.octet_length(F.col(quoted(n)).cast("string")), F.lit(2)) for n in df.columns]
+    size = names[0]
+    for other in names[1:]:
+        size = size + other + 1
+    mean = df.agg(F.avg(size)).first()[0]
+    return max(1, int(n_bytes / max(1.0, mean or 1.0)))
+
+
 def write_export(
     df: DataFrame,
     path: str,
@@ -42,23 +64,24 @@ def write_export(
     null_marker: str = NULL_MARKER,
     quote: str = QUOTE,
     escape: str = ESCAPE,
-    max_rows_per_file: int = 1_000_000,
+    bytes_per_file: int = 256 << 20,
 ) -> None:
     """Write one table as CSV part files.
 
-    Files whose texts hold line breaks cannot be split when read, so ``max_rows_per_file`` bounds
-    the work of a reading task. Every row is written; a task simply starts another file.
+    Files whose texts hold line breaks cannot be split when read, so ``bytes_per_file`` (met on
+    the mean, by one more pass that measures the texts) bounds the work of a reading task. Every
+    row is written; a task simply starts another file.
     """
+    rows = export_projection(df, null_marker)
     (
-        export_projection(df, null_marker)
-        .write.option("sep", delimiter)
+        rows.write.option("sep", delimiter)
         .option("quote", quote)
         .option("escape", escape)
         .option("lineSep", LINE_END)
         .option("nullValue", null_marker)
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)
-        .option("maxRecordsPerFile", max_rows_per_file)
+        .option("maxRecordsPerFile", rows_of_bytes(export_projection(df), bytes_per_file))
         .csv(path)
     )
 

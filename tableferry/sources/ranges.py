@@ -41,26 +41,47 @@ def bounded_split_number(key: str, lower: int, upper: int, parts: int) -> Column
     )
 
 
+# A scan filter names at most so many ranges; more are merged where the gaps are smallest.
+SCAN_RANGES = 64
+
+
+def either(tests: Sequence[Column]) -> Column:
+    """OR of any number of tests, joined in pairs so that the expression stays shallow."""
+    tests = list(tests) or [F.lit(False)]
+    while len(tests) > 1:
+        odd = tests[-1:] if len(tests) % 2 else []
+        tests = [one | other for one, other in zip(tests[::2], tests[1::2])] + odd
+    return tests[0]
+
+
 def in_splits(key: str, lower: int, upper: int, parts: int, numbers: Sequence[int]) -> Column:
-    """Rows of the given intervals, as ranges of the key that filter a scan. Neighbouring
-    intervals make one range, so the filter stays short where the numbers are dense."""
+    """Rows of the given intervals. Ranges of the key filter the scan; where the numbers lie too
+    scattered for few ranges, a set of the numbers decides among the rows these let through."""
     width, value = interval_width(lower, upper, parts), F.col(key)
-    wanted = F.lit(False)
     chosen = sorted(set(numbers))
-    inside = [number for number in chosen if 0 <= number < parts]
-    first = None
-    for position, number in enumerate(inside):
-        first = number if first is None else first
-        if position + 1 < len(inside) and inside[position + 1] == number + 1:
-            continue
-        end = min(lower + (number + 1) * width - 1, upper)
-        wanted = wanted | value.between(lower + first * width, end)
-        first = None
+    runs: list[list[int]] = []
+    for number in (number for number in chosen if 0 <= number < parts):
+        if runs and runs[-1][1] + 1 == number:
+            runs[-1][1] = number
+        else:
+            runs.append([number, number])
+    exact = len(runs) <= SCAN_RANGES
+    if not exact:
+        gaps = sorted(range(1, len(runs)), key=lambda i: runs[i][0] - runs[i - 1][1])
+        kept = {0, *gaps[-(SCAN_RANGES - 1) :]}
+        starts = sorted(kept)
+        ends = [*starts[1:], len(runs)]
+        runs = [[runs[first][0], runs[end - 1][1]] for first, end in zip(starts, ends)]
+    tests = [
+        value.between(lower + first * width, min(lower + (last + 1) * width - 1, upper))
+        for first, last in runs
+    ]
     if -1 in chosen:
-        wanted = wanted | value.isNull() | (value < lower)
+        tests += [value.isNull(), value < lower]
     if parts in chosen:
-        wanted = wanted | (value > upper)
-    return wanted
+        tests.append(value > upper)
+    wanted = either(tests)
+    return wanted if exact else wanted & bounded_split_number(key, lower, upper, parts).isin(chosen)
 
 
 def balanced_cuts(df: DataFrame, key: str, parts: int, accuracy: int = 10000) -> list:

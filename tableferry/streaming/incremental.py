@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tableferry.operators.load import upsert
+from tableferry.session import discard, written_at
 from tableferry.streaming.marks import MarkStore
 
 
@@ -56,21 +57,24 @@ def incremental_load(
 ) -> int:
     """One increment: ``commit(stage)`` the rows from the mark on, then move the mark.
 
-    The stage ends at the newest moment seen beforehand, so rows that arrive meanwhile wait for
-    the next load. The mark is moved last: after a failure in between the same rows are staged
-    again, so ``commit`` must be an upsert (``load.upsert_partitions``). Returns the rows staged.
+    The stage is written once; its newest moment becomes the mark, so rows that arrive meanwhile
+    wait for the next load. The mark is moved last: after a failure in between the same rows are
+    staged again, so ``commit`` must be an upsert (``load.upsert_partitions``). Returns the rows
+    staged.
 
     A large table is better brought over once as a whole (``load.create_partitioned``) and given
     its first mark by ``MarkStore.save``, since the first increment stages everything.
     """
     spark = source.sparkSession
     mark = marks.last_time(spark, table)
-    waiting = newer_rows(source, changed_at, mark)
-    newest, n_rows = waiting.agg(
-        F.max(changed_at).cast("timestamp_ntz"), F.count(F.lit(1))
-    ).first()
-    if n_rows == 0:
-        return 0
-    commit(newer_rows(source, changed_at, mark, newest))
-    marks.save(spark, table, newest or mark, n_rows)
-    return n_rows
+    stage, folder = written_at(newer_rows(source, changed_at, mark), f"{table}-increment")
+    try:
+        newest, n_rows = stage.agg(
+            F.max(changed_at).cast("timestamp_ntz"), F.count(F.lit(1))
+        ).first()
+        if n_rows:
+            commit(stage)
+            marks.save(spark, table, newest or mark, n_rows)
+        return n_rows
+    finally:
+        discard(spark, folder)

@@ -89,5 +89,28 @@ def test_hex_audit(spark, line_breaks):
     assert counted == {f"n_{f}": faults.count(f) for f in set(faults)}
     first = audits.hex_audit_samples(texts, ["data"], "id", max_errors=2).collect()
     assert [r.id for r in first] == ["11", "3"]
-    with pytest.raises(ValueError, match="no binary"):
-        audits.hex_audit(texts, [])
+    plain = audits.hex_audit(texts, []).first()
+    assert plain.bad_rows == plain.n_arity == faults.count("arity")
+
+
+def test_names_with_dots(spark):
+    rows = spark.sql("SELECT 1 AS `a.b`, CAST(NULL AS INT) AS `c.d` UNION ALL SELECT 1, 5")
+    assert audits.duplicate_keys(rows, ["a.b"]).count() == 1
+    assert {r.column_name: r.n_null for r in audits.null_audit(rows, ["a.b", "c.d"]).collect()} == {"a.b": 0, "c.d": 1}
+    parent = spark.sql("SELECT 4 AS `p.q`")
+    orphans = audits.fk_orphans(rows, ["c.d"], parent, ["p.q"])
+    assert [r["c.d"] for r in orphans.collect()] == [5]
+    assert audits.fk_orphan_rows(rows, ["c.d"], orphans).count() == 1
+
+
+def test_not_null_holds_for_columns_that_are_there(spark):
+    from pyspark.sql import types as T
+
+    from tableferry.operators.shape import evolve_table
+
+    rows = spark.sql("SELECT 1 AS a, CAST(NULL AS STRING) AS b")
+    filled = T.StructType([T.StructField("a", T.IntegerType()), T.StructField("b", T.StringType(), False, {"source_type": "text", "default": "'x'"})])
+    assert evolve_table(rows, filled).first().b == "x"
+    bare = T.StructType([T.StructField("b", T.StringType(), False)])
+    with pytest.raises(Exception, match="must not be NULL"):
+        evolve_table(rows, bare).collect()

@@ -94,3 +94,25 @@ def test_a_stream_takes_up_where_it_stopped(spark):
     assert run() == 0
     found = [tuple(r) for r in spark.table(name).select("id", "s", "p").orderBy("id").collect()]
     assert found == [(1, "a", 0), (2, "B", 0), (3, "c", 1)]
+
+
+def test_no_clock_decides_which_mark_is_newest(spark, monkeypatch):
+    marks = MarkStore(new_folder(spark, "marks"))
+
+    hours = iter(range(20, 0, -1))
+
+    class Clock(datetime.datetime):
+        @classmethod
+        def now(cls, tz=None):
+            return datetime.datetime(2024, 1, 1, next(hours))
+
+    with monkeypatch.context() as patched:
+        patched.setattr("tableferry.streaming.marks.datetime.datetime", Clock)
+        for k in range(3):
+            marks.save(spark, "t", NOON + datetime.timedelta(days=k), k)
+    assert marks.last_time(spark, "t") == NOON + datetime.timedelta(days=2)
+    marks.save(spark, "t", NOON, 0, "failed")
+    marks.compact(spark)
+    assert marks.all_marks(spark).count() == 2
+    assert marks.last_time(spark, "t") == NOON + datetime.timedelta(days=2)
+    assert marks.latest(spark).first().status == "failed"

@@ -1,11 +1,16 @@
 import datetime
+import os
+import uuid
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from tableferry.operators import load
 from tableferry.plans import migration
-from tableferry.session import new_folder
+from tableferry.session import new_folder, work_root
 from tableferry.sources.files import FileStore
 
 
@@ -123,8 +128,6 @@ def test_upsert_partitions_by_two_columns_and_its_refusals(spark):
              spark.table(name).groupBy("a", "b").count().collect()}
     assert found == {(0, "2024-01-01"): 18, (1, "2024-01-01"): 18,
                      (0, "2024-02-01"): 2, (1, "2024-02-01"): 2}
-    with pytest.raises(load.LoadRefused, match="staged_reload"):
-        load.upsert_partitions(spark, name, stage, ["id"], ["a", "b"], max_partitions=1)
     hidden = stage.withColumn("a", F.lit(None).cast("int"))
     with pytest.raises(ValueError, match="NULL"):
         load.upsert_partitions(spark, name, hidden, ["id"], ["a", "b"])
@@ -139,8 +142,8 @@ def test_an_upsert_cut_off_half_way_is_finished_by_running_it_again(spark, monke
     )
     whole = load._point_to
 
-    def cut_off(spark, table, clauses, folders, depth):
-        whole(spark, table, clauses[:1], folders, depth)
+    def cut_off(spark, table, clauses, folders):
+        whole(spark, table, clauses[:1], folders)
         raise RuntimeError("driver lost")
 
     monkeypatch.setattr(load, "_point_to", cut_off)
@@ -152,6 +155,101 @@ def test_an_upsert_cut_off_half_way_is_finished_by_running_it_again(spark, monke
     assert rows(spark.table(name).select("id", "s", "p"), "id") == rows(wanted, "id")
 
 
+def test_upsert_partitions_in_groups(spark):
+    name = "parts_groups"
+    start = spark.range(400).select("id", F.lit("old").alias("s"), (F.col("id") % 40).alias("a"),
+                                    (F.col("id") % 2).alias("b"))
+    load.create_partitioned(start, name, ["a", "b"])
+    stage = start.where("id % 3 = 0").withColumn("s", F.lit("new")).withColumn(
+        "a", (F.col("a") + 7) % 50)
+    assert load.upsert_partitions(spark, name, stage, ["id"], ["a", "b"], group_size=6) > 6
+    wanted = load.upsert(start, stage, ["id"])
+    assert rows(spark.table(name).select("id", "s", "a", "b"), "id") == rows(
+        wanted.select("id", "s", "a", "b"), "id")
+
+
+def test_many_partitions_of_two_columns_make_a_flat_filter(spark):
+    places = [Row(a=i, b=str(i % 7)) for i in range(5000)]
+    wanted = load._in_places(["a", "b"], places)
+    found = spark.range(6000).select(F.col("id").alias("a"), (F.col("id") % 7).cast("string").alias("b"))
+    assert found.where(wanted).count() == 5000
+
+
+def test_the_work_folder_holds_no_live_rows(spark):
+    name = "parts_home"
+    start = spark.range(30).select("id", (F.col("id") % 3).alias("p"))
+    load.create_partitioned(start, name, ["p"])
+    load.upsert_partitions(spark, name, spark.range(30, 33).select("id", F.lit(0).cast("long").alias("p")), ["id"], ["p"])
+    root = load.table_location(spark, name)
+    files = [row[0] for row in spark.table(name).select(F.input_file_name()).distinct().collect()]
+    assert all(file.replace("///", "/").startswith(root.replace("///", "/")) for file in files)
+    staged = [f for f in os.listdir(f"{work_root(spark)}/tableferry") if f.startswith(name)]
+    assert staged == []
+    # The replaced files of the partition are gone.
+    assert not os.path.exists(f"{root.removeprefix('file:')}/p=0")
+    assert spark.table(name).count() == 33
+
+
+def _growing(spark, tmp_path):
+    """A stage that has more rows each time it is read."""
+    folder = str(tmp_path / "stage")
+    spark.range(3).write.parquet(folder)
+
+    @F.udf("long")
+    def grow(value):
+        path = f"{folder}/more-{uuid.uuid4().hex}.parquet"
+        if not os.path.exists(path):
+            pq.write_table(pa.table({"id": [0, 1, 2, 3]}), path)
+        return value
+
+    return spark.read.parquet(folder).select(grow("id").alias("id"))
+
+
+@pytest.mark.parametrize("operator", [load.upsert, load.delete_insert])
+def test_a_growing_stage_is_read_once(spark, tmp_path, operator):
+    stage = _growing(spark, tmp_path)
+    target = spark.range(2, 10)
+    found = operator(target, stage, ["id"])
+    first = rows(found, "id")
+    ids = [r[0] for r in first]
+    assert len(set(ids)) == len(ids) == 10
+    assert rows(found, "id") == first
+
+
+def test_a_growing_stage_is_appended_as_it_was_checked(spark, tmp_path):
+    target = FileStore(new_folder(spark, "target"))
+    target.append(spark.range(20, 25), "t")
+    load.append_checked(
+        target.read(spark, "t"), _growing(spark, tmp_path), ["id"], lambda df: target.append(df, "t")
+    )
+    ids = [r.id for r in target.read(spark, "t").collect()]
+    assert len(ids) == len(set(ids))
+
+
+def test_a_swap_that_fails_its_check_is_undone(spark):
+    name = "swap_case"
+    load.staged_reload(spark.range(5), name, ["id"])
+
+    def broken(live):
+        raise load.LoadRefused("not readable")
+
+    with pytest.raises(load.LoadRefused, match="not readable"):
+        load.staged_reload(spark.range(9), name, ["id"], after_swap=[broken])
+    assert spark.table(name).count() == 5
+    assert load.staged_reload(spark.range(9), name, ["id"])
+    assert spark.table(name).count() == 9
+
+
+def test_names_with_dots(spark):
+    target = spark.sql("SELECT 1 AS `k.a`, 'x' AS `v.b` UNION ALL SELECT 2, 'y'")
+    stage = spark.sql("SELECT 2 AS `k.a`, 'z' AS `v.b`")
+    key = ["k.a"]
+    assert rows(load.upsert(target, stage, key), "`k.a`") == [(1, "x"), (2, "z")]
+    assert rows(load.delete_insert(target, stage, key), "`k.a`") == [(1, "x"), (2, "z")]
+    assert load.append_conflicts(target, stage, key).count() == 1
+    assert rows(load.dedupe_stage(stage.unionAll(stage), key, ["v.b"]), "`k.a`") == [(2, "z")]
+
+
 def test_tables_without_a_supported_column(spark):
     source, target = FileStore(new_folder(spark, "source")), FileStore(new_folder(spark, "target"))
     source.reload(spark.sql("SELECT array(1) AS a"), "vectors")

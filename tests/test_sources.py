@@ -76,11 +76,29 @@ def test_a_short_row_fails_a_strict_read(spark):
 
 def test_large_exports_are_cut_into_files(spark):
     folder = new_folder(spark, "csv")
-    write_export(spark.range(1000).coalesce(1), folder, max_rows_per_file=100)
+    write_export(spark.range(1000).coalesce(1), folder, bytes_per_file=289)
     texts = read_export(spark, folder, ["id"])
     assert texts.select(F.input_file_name()).distinct().count() == 10
 
 
+def test_thousands_of_scattered_ranges(spark):
+    numbers = list(range(0, 8192, 2)) + [-1]
+    wanted = ranges.in_splits("id", 0, 8191, 8192, numbers)
+    keys = spark.range(-3, 8195).unionAll(spark.sql("SELECT CAST(NULL AS BIGINT)"))
+    found = [row.id for row in keys.where(wanted).collect()]
+    assert sorted(x for x in found if x is not None) == [-3, -2, -1, *range(0, 8192, 2)]
+    assert found.count(None) == 1
+
+
+def test_merged_ranges_still_filter_the_scan(spark):
+    folder = new_folder(spark, "ranges")
+    spark.range(100000).write.parquet(folder)
+    rows = spark.read.parquet(folder).where(ranges.in_splits("id", 0, 99999, 1000, range(0, 400, 3)))
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [" in plan and "GreaterThanOrEqual(id" in plan
+    assert rows.count() == sum(100 for _ in range(0, 400, 3))
+
+
 def test_cuts_cover_every_key_once(spark):
     keys = spark.range(1000).select((F.col("id") * F.col("id")).alias("id")).unionAll(
         spark.sql("SELECT CAST(NULL AS BIGINT)")
@@ -139,7 +157,14 @@ class _Conf:
         return self.values.get(key.replace(".", "_"), default)
 
 
+class _Context:
+    def getCheckpointDir(self):
+        return None
+
+
 class _Session:
+    sparkContext = _Context()
+
     def __init__(self, **values):
         self.conf = _Conf(**values)
 
@@ -149,7 +174,10 @@ def test_a_cluster_must_name_the_folder():
         session.work_root(_Session(spark_master="yarn"))
     shared = _Session(spark_master="yarn", spark_checkpoint_dir="hdfs://x/y/")
     assert session.work_root(shared) == "hdfs://x/y"
-    assert session.work_root(_Session(spark_master="local[2]")).startswith("/")
+    local = {"spark_sql_warehouse_dir": "file:/w"}
+    assert session.work_root(_Session(spark_master="local[2]", **local)) == "file:/w/_work"
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.work_root(_Session(spark_master="local-cluster[2,1,1024]", **local))
 
 
 def test_written_keeps_the_schema(spark):
