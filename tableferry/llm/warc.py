@@ -177,10 +177,15 @@ def _page(urn: str | None) -> int | None:
     return None if value == "none" else int(value)
 
 
-def rewrite(source: str, target: str) -> int:
-    """Normalise one archive; returns its records. The index is moved to its place last."""
+def rewrite(source: str, target: str, remove: bool = False) -> int:
+    """Normalise one archive; returns its records. The index is moved to its place last; where it
+    is there already, an earlier attempt of the task has done the work. ``remove`` then deletes
+    the stream."""
     system, path = _file_system(source)
     out_system, out = _file_system(target)
+    if out_system.get_file_info(f"{out}.cdxj").type == fs.FileType.File:
+        with out_system.open_input_stream(f"{out}.cdxj", compression=None) as index:
+            return index.read().count(b"\n")
     own = uuid.uuid4().hex
     offset = records = 0
     with (
@@ -202,11 +207,15 @@ def rewrite(source: str, target: str) -> int:
             records += 1
     out_system.move(f"{out}.{own}", out)
     out_system.move(f"{out}.cdxj.{own}", f"{out}.cdxj")
+    if remove:
+        system.delete_file(path)
     return records
 
 
-def normalise(spark: SparkSession, folder: str, target: str) -> int:
-    """Rewrite every archive of ``folder`` into ``target``, one task each; returns the records."""
+def normalise(spark: SparkSession, folder: str, target: str, remove: bool = False) -> int:
+    """Rewrite every archive of ``folder`` into ``target``, one task each; returns the records.
+    With ``remove`` each stream is deleted once it is rewritten, so the two copies of the corpus
+    never stand side by side."""
     listed = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(folder).select("path")
     files = listed.count()
     system, path = _file_system(target)
@@ -216,7 +225,7 @@ def normalise(spark: SparkSession, folder: str, target: str) -> int:
         for batch in batches:
             for source in batch.column(0).to_pylist():
                 name = source.rsplit("/", 1)[-1].replace(".txt.gz", ".warc.gz")
-                n = rewrite(source, f"{target}/{name}")
+                n = rewrite(source, f"{target}/{name}", remove)
                 yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64())], ["records"])
 
     done = listed.repartition(max(1, files)).mapInArrow(run, "records long")
@@ -272,5 +281,5 @@ def archived(pages: DataFrame) -> DataFrame:
     spark = pages.sparkSession
     folder = new_folder(spark, "warc")
     write_monolithic(marked(pages), f"{folder}/streams")
-    normalise(spark, f"{folder}/streams", f"{folder}/records")
+    normalise(spark, f"{folder}/streams", f"{folder}/records", remove=True)
     return read_records(index_of(spark, f"{folder}/records"))

@@ -71,6 +71,17 @@ def test_members_and_index(spark, pages):
             assert a.read() == b.read()
 
 
+def test_a_repeated_task_finds_its_work_done(spark, pages):
+    folder = new_folder(spark, "warc-again")
+    warc.write_monolithic(warc.marked(pages), f"{folder}/one")
+    streams = [f"{folder}/one/{n}" for n in os.listdir(f"{folder}/one") if n.endswith(".gz")]
+    os.makedirs(f"{folder}/two")
+    for stream in streams:
+        n = warc.rewrite(stream, f"{folder}/two/{os.path.basename(stream)}", remove=True)
+        assert not os.path.exists(stream)
+        assert warc.rewrite(stream, f"{folder}/two/{os.path.basename(stream)}", remove=True) == n
+
+
 def test_inflate_takes_any_number_of_members():
     data = os.urandom(3_000_000)
     packed = b"".join(gzip.compress(data[i : i + 700_000]) for i in range(0, len(data), 700_000))
