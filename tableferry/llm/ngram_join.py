@@ -7,11 +7,12 @@ one bit of a sketch, so the Hamming distance of two sketches is at most their sy
 Candidates (pigeonhole per size band): a band's sketch is cut into more pieces than its largest d;
 equal pieces must remain. A piece is kept as the hash of its set bits. Of two documents' pieces at
 most d differ, so under any one order of all pieces the first d + 1 of each share one; a document
-joins on its first d + 1. The order puts pieces with several bits first, for unrelated texts share
-single shingles but hardly two in one piece; then rare pieces, by counts over all documents folded
-into 2^20 counters (only the order depends on them, no result does). Pieces without a bit come
-last and are used only if the others do not suffice. A band spans a factor of 2 in size; a
-document that may have partners in the band below joins there too.
+joins on its first d + 1. The order puts pieces last whose shingles all stand in very many
+documents, by counts over all documents folded into 2^20 counters, and else begins with those that
+are least likely by chance: the sum of their words' log frequencies, counted likewise over all
+texts. It is part of a piece's key, so both documents order it alike; only the order depends on
+the counts, no result does. Pieces without a bit come last and are used only if the others do not suffice. A band spans
+a factor of 2 in size; a document that may have partners in the band below joins there too.
 
 Work stays linear in groups of copies: equal sets are one class, linked by one edge each; in a
 task, a set's pieces are sent once. Each bucket first links its members to its smallest one.
@@ -30,17 +31,20 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tableferry.llm.common import SIMILARITY, WordHashes, components, mixed, shingle_hashes, words_of
+from tableferry.llm.common import SHINGLE_WORDS, SIMILARITY, WordHashes, components, mixed, shingle_hashes, words_of
 from tableferry.session import written
 
 BAND = 2
-PIECES = 0.45  # pieces of a band's sketch, as a share of the band's largest size
+PIECES = 0.6  # pieces of a band's sketch, as a share of the band's largest size
 PIECE_BITS = np.uint64(12)
 COUNTERS = 1 << 20
 SEGMENT = 1 << 14
 SEEN_SETS = 200_000
+CERTAIN = 5 * 255  # the largest sum of ranks, so that more shingles make a piece rarer
+LAST = 1 << 40  # added to what comes last in the order
 
 _PREP = "doc_id long, n long, f1 long, f2 long, sketch binary, segment int, counters binary"
+_LOW = np.uint64(COUNTERS - 1)
 
 
 def shingle_set(text: str | None, hashes: WordHashes) -> np.ndarray:
@@ -48,6 +52,19 @@ def shingle_set(text: str | None, hashes: WordHashes) -> np.ndarray:
     return np.unique(shingle_hashes(hashes.of(words_of(text))))
 
 
+def ranked_set(words: np.ndarray, ranks: np.ndarray, frequent: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct hashes of the shingles of a text's word hashes, and for each its place in
+    the order: the sum of its words' ranks, or ``LAST`` and more if it is frequent."""
+    own, first = np.unique(shingle_hashes(words), return_index=True)
+    each = ranks[words & _LOW].astype(np.int64)
+    if len(words) < SHINGLE_WORDS:
+        rank = np.full(len(own), each.sum())
+    else:
+        total = np.concatenate(([0], np.cumsum(each)))
+        rank = (total[SHINGLE_WORDS:] - total[:-SHINGLE_WORDS])[first]
+    return own, rank + frequent[own & _LOW] * LAST
+
+
 def band_of(n: int) -> int:
     band = 0
     while n >= BAND ** (band + 1):
@@ -65,13 +82,15 @@ def bands(n: int, t: float = SIMILARITY) -> list[tuple[int, int]]:
     return out
 
 
-def bits_of(hashes: np.ndarray, band: int) -> np.ndarray:
-    """The set bits of a set's sketch in a band, as piece number and place within the piece."""
+def bits_of(hashes: np.ndarray, band: int) -> tuple[np.ndarray, np.ndarray]:
+    """The set bits of a set's sketch in a band, as piece number and place within the piece, and
+    for each the index of a shingle that sets it."""
     count = np.uint64(piece_count(band))
     place = mixed(hashes + np.uint64(band + 1))
     code = (((place >> PIECE_BITS) % count) << PIECE_BITS) | (place & np.uint64((1 << int(PIECE_BITS)) - 1))
-    code, often = np.unique(code, return_counts=True)
-    return code[often & 1 == 1]
+    code, first, often = np.unique(code, return_index=True, return_counts=True)
+    odd = often & 1 == 1
+    return code[odd], first[odd]
 
 
 def piece_count(band: int) -> int:
@@ -80,31 +99,37 @@ def piece_count(band: int) -> int:
     return max(int(PIECES * most), 2)
 
 
-def pieces(hashes: np.ndarray, band: int) -> tuple[np.ndarray, np.ndarray]:
-    """Keys of the pieces that have a bit, and how many bits each has."""
-    code = bits_of(hashes, band)
+def pieces(hashes: np.ndarray, rank: np.ndarray, band: int) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of the pieces that have a bit, and their place in the order.
+
+    The place is hashed into the key: documents that disagree on it hold different shingles
+    there, which counts as a difference of the piece.
+    """
+    code, first = bits_of(hashes, band)
     if len(code) == 0:
         return code, code.astype(np.int64)
     starts = np.flatnonzero(np.append(True, np.diff(code >> PIECE_BITS) != 0))
-    keys = mixed(np.add.reduceat(mixed(code + np.uint64(0x51)), starts) + np.uint64(band))
-    return keys, np.diff(np.append(starts, len(code)))
+    own = rank[first]
+    # Last only if every shingle is frequent; else the more shingles, the earlier.
+    order = np.add.reduceat(own % LAST - CERTAIN, starts) + np.minimum.reduceat(own // LAST, starts) * LAST
+    bits = np.add.reduceat(mixed(code + np.uint64(0x51)), starts)
+    return mixed(bits + mixed(order.view(np.uint64)) + np.uint64(band)), order
 
 
 def empty_pieces(hashes: np.ndarray, band: int, wanted: int) -> np.ndarray:
     """Keys of the first ``wanted`` pieces without a bit, in order of place."""
-    held = np.unique(bits_of(hashes, band) >> PIECE_BITS)
+    held = np.unique(bits_of(hashes, band)[0] >> PIECE_BITS)
     free = np.setdiff1d(np.arange(piece_count(band), dtype=np.uint64), held)[:wanted]
     return mixed(mixed(free + np.uint64(0x9999)) + np.uint64(band))
 
 
-def keys_of(hashes: np.ndarray, counts: np.ndarray, t: float = SIMILARITY) -> np.ndarray:
+def keys_of(hashes: np.ndarray, rank: np.ndarray, t: float = SIMILARITY) -> np.ndarray:
     """The keys a document joins on: in each of its bands the first d + 1 pieces in the order."""
     out = []
     for band, d in bands(len(hashes), t):
-        keys, bits = pieces(hashes, band)
+        keys, order = pieces(hashes, rank, band)
         if len(keys) > d + 1:
-            often = counts[keys & np.uint64(COUNTERS - 1)]
-            keys = keys[np.lexsort((keys, often, bits == 1))[: d + 1]]
+            keys = keys[np.lexsort((keys, order))[: d + 1]]
         elif len(keys) < d + 1:
             keys = np.concatenate([keys, empty_pieces(hashes, band, d + 1 - len(keys))])
         out.append(keys)
@@ -128,39 +153,41 @@ def distance(a: np.ndarray, b: np.ndarray) -> int:
 
 
 def _prepare(batches):
-    """A row per document (size, fingerprint, sketch) and the task's piece counts at the end."""
-    hashes, counts = WordHashes(), np.zeros(COUNTERS, np.int64)
+    """A row per document (size, fingerprint, sketch); at the end the task's counts of words and
+    of documents per shingle."""
+    hashes = WordHashes()
+    counts = np.zeros((2, COUNTERS), np.int64)
     names = ["doc_id", "n", "f1", "f2", "sketch", "segment", "counters"]
     types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.binary()]
 
     def batch(rows):
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names)
 
+    def count(kind, parts):
+        if parts:
+            places = (np.concatenate(parts) & _LOW).astype(np.int64)
+            counts[kind] += np.bincount(places, minlength=COUNTERS)
+
     for given in batches:
-        rows, every = [], []
-        for doc_id, text in zip(given.column(0).to_pylist(), given.column(1).to_pylist()):
-            own = shingle_set(text, hashes)
-            if len(own) == 0:
-                rows.append((doc_id, 0, 0, 0, None, None, None))
-                continue
-            f1, f2 = (int(x.sum(dtype=np.uint64).astype(np.int64)) for x in (own, mixed(own + np.uint64(7))))
-            rows.append((doc_id, len(own), f1, f2, sketch(own).tobytes(), None, None))
-            every += [pieces(own, band)[0] for band, _ in bands(len(own))]
-            if len(rows) == 1000:
-                yield batch(rows)
-                rows = []
-            if len(every) >= 500:
-                counts += np.bincount(np.concatenate(every).astype(np.int64) & (COUNTERS - 1), minlength=COUNTERS)
-                every = []
-        if rows:
+        ids, texts = given.column(0), given.column(1)
+        for at in range(0, given.num_rows, 1000):
+            rows, every_word, every_set = [], [], []
+            for doc_id, text in zip(ids.slice(at, 1000).to_pylist(), texts.slice(at, 1000).to_pylist()):
+                words = hashes.of(words_of(text))
+                own = np.unique(shingle_hashes(words))
+                if len(own) == 0:
+                    rows.append((doc_id, 0, 0, 0, None, None, None))
+                    continue
+                f1, f2 = (int(x.sum(dtype=np.uint64).astype(np.int64)) for x in (own, mixed(own + np.uint64(7))))
+                rows.append((doc_id, len(own), f1, f2, sketch(own).tobytes(), None, None))
+                every_word.append(words)
+                every_set.append(own)
             yield batch(rows)
-        if every:
-            counts += np.bincount(np.concatenate(every).astype(np.int64) & (COUNTERS - 1), minlength=COUNTERS)
+            count(0, every_word)
+            count(1, every_set)
     if counts.any():
-        small = np.minimum(counts, 65_535).astype(np.uint16)
-        yield batch(
-            [(None, None, None, None, None, i, small[i * SEGMENT : (i + 1) * SEGMENT].tobytes()) for i in range(COUNTERS // SEGMENT)]
-        )
+        small = np.minimum(counts, 65_535).astype(np.uint16).reshape(-1, SEGMENT)
+        yield batch([(None, None, None, None, None, i, part.tobytes()) for i, part in enumerate(small)])
 
 
 def _summed(batches):
@@ -176,35 +203,39 @@ def _summed(batches):
         )
 
 
-def piece_counts(prepared: DataFrame) -> np.ndarray:
-    """Piece counts over all documents, on a scale of one byte that keeps their order roughly."""
+def order_tables(prepared: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Rank of the words of each counter (8 times the log of its count), and whether the shingles
+    of each counter are frequent: well above what chance folds into one counter."""
     rows = prepared.where("segment is not null").select("segment", "counters")
     rows = rows.repartition("segment").mapInArrow(_summed, "segment int, counters binary").collect()
-    total = np.zeros(COUNTERS, np.int64)
+    total = np.zeros((2 * COUNTERS // SEGMENT, SEGMENT), np.int64)
     for row in rows:
-        total[row["segment"] * SEGMENT : (row["segment"] + 1) * SEGMENT] = np.frombuffer(row["counters"], np.int64)
-    return np.minimum(8 * np.log2(1 + total), 255).astype(np.uint8)
+        total[row["segment"]] = np.frombuffer(row["counters"], np.int64)
+    words, sets = total.reshape(2, COUNTERS)
+    return np.minimum(8 * np.log2(1 + words), 255).astype(np.uint8), sets > 16 + 3 * sets.mean()
 
 
-def buckets(docs: DataFrame, counts: np.ndarray, t: float) -> DataFrame:
+def buckets(docs: DataFrame, tables: tuple[np.ndarray, np.ndarray], t: float) -> DataFrame:
     """(key, id, low) of every bucket with several members; low is its smallest member."""
-    shared = docs.sparkSession.sparkContext.broadcast(counts)  # 1 MB, whatever the tables hold
+    shared = docs.sparkSession.sparkContext.broadcast(tables)  # 2 MB, whatever the texts are
 
     def emitted(batches):
         hashes, seen = WordHashes(), set()
+        ranks, frequent = shared.value
         for batch in batches:
             ids, keys = [], []
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                own = shingle_set(text, hashes)
-                if len(own) == 0:
+                words = hashes.of(words_of(text))
+                if len(words) == 0:
                     continue
+                own, rank = ranked_set(words, ranks, frequent)
                 print_ = (len(own), int(own.sum(dtype=np.uint64)), int(mixed(own + np.uint64(7)).sum(dtype=np.uint64)))
                 if print_ in seen:
                     continue
                 if len(seen) >= SEEN_SETS:
                     seen.clear()
                 seen.add(print_)
-                found = keys_of(own, shared.value, t).view(np.int64)
+                found = keys_of(own, rank, t).view(np.int64)
                 ids.append(np.full(len(found), doc_id, np.int64))
                 keys.append(found)
                 if len(ids) == 500:
@@ -289,7 +320,7 @@ def linked(docs: DataFrame, t: float = SIMILARITY) -> DataFrame:
     owners = nodes.groupBy("n", "f1", "f2").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high")
     copies = nodes.join(owners, ["n", "f1", "f2"]).where("doc_id <> low").select(F.col("doc_id").alias("a"), F.col("low").alias("b"))
 
-    groups = written(buckets(docs, piece_counts(prepared), t), "buckets")
+    groups = written(buckets(docs, order_tables(prepared), t), "buckets")
     stars = groups.where("id <> low").select(F.col("id").alias("a"), F.col("low").alias("b")).distinct()
     tried = written(stars, "stars")
     links = verified(sifted(tried, nodes, t), docs, t)

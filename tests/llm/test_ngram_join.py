@@ -101,7 +101,8 @@ def test_sketch_distance_is_a_lower_bound():
 
 def test_linked_sets_share_a_key():
     rng = np.random.default_rng(5)
-    counts = rng.integers(0, 255, ngram_join.COUNTERS).astype(np.uint8)
+    ranks = rng.integers(0, 255, ngram_join.COUNTERS).astype(np.int64)
+    rank_of = lambda x: ranks[x & np.uint64(ngram_join.COUNTERS - 1)] + (x % np.uint64(3) == 0) * ngram_join.LAST
     for _ in range(400):
         n = int(rng.integers(1, 300))
         a = np.unique(rng.integers(0, 1 << 63, n).astype(np.uint64))
@@ -109,14 +110,19 @@ def test_linked_sets_share_a_key():
         b = np.unique(np.concatenate([a[off:], rng.integers(0, 1 << 63, int(rng.integers(0, off + 1))).astype(np.uint64)]))
         both = len(np.intersect1d(a, b))
         if 100 * both >= 75 * (len(a) + len(b) - both):
-            assert len(np.intersect1d(ngram_join.keys_of(a, counts), ngram_join.keys_of(b, counts)))
+            assert len(np.intersect1d(ngram_join.keys_of(a, rank_of(a)), ngram_join.keys_of(b, rank_of(b))))
 
 
 def test_pieces_without_a_bit_are_used_if_needed():
-    counts = np.zeros(ngram_join.COUNTERS, np.uint8)
     a = np.array([7], np.uint64)
     assert len(ngram_join.empty_pieces(a, 3, 5)) == 5
-    assert len(ngram_join.keys_of(a, counts)) >= 1
+    assert len(ngram_join.keys_of(a, np.zeros(1, np.int64))) >= 1
+
+
+def test_a_bands_pieces_outnumber_its_differences():
+    for n in range(1, 40_000):
+        for band, d in ngram_join.bands(n):
+            assert d < ngram_join.piece_count(band)
 
 
 def test_components(spark):
