@@ -16,8 +16,11 @@ a factor of 2 in size; a document that may have partners in the band below joins
 
 Work stays linear in groups of copies: equal sets are one class, linked by one edge each; in a
 task, a set's pieces are sent once. Each bucket first links its members to its smallest one.
-Those pairs are sifted by sketch and verified, components are formed, and only buckets that still
-span several components have their pairs across components verified, all of them.
+Those pairs are sifted by sketch and verified, and components are formed. Buckets that still span
+several components are led by other members in turn as long as their pairs across components are
+many and links are found; then all pairs across components that are left are compared: small
+buckets by a join, large ones in blocks of members whose sketches are compared in place, so that
+only pairs that may hold are ever written.
 
 Cases: a null or empty text, or one without words, has an empty set and links with nothing. Rows
 of one doc_id count as one document for the components. A null doc_id links with nothing and has
@@ -41,6 +44,8 @@ COUNTERS = 1 << 20
 SEGMENT = 1 << 14
 SEEN_SETS = 200_000
 CERTAIN = 5 * 255  # the largest sum of ranks, so that more shingles make a piece rarer
+BLOCK = 4096  # members of a bucket that one task compares with as many others
+ACROSS = 8  # pairs per row up to which buckets are tried in all pairs
 LAST = 1 << 40  # added to what comes last in the order
 
 _PREP = "doc_id long, n long, f1 long, f2 long, sketch binary, segment int, counters binary"
@@ -137,8 +142,8 @@ def keys_of(hashes: np.ndarray, rank: np.ndarray, t: float = SIMILARITY) -> np.n
 
 
 def sketch(hashes: np.ndarray) -> np.ndarray:
-    """Parity bits of a set, packed; at least as many bits as shingles, a power of two."""
-    bits = max(64, 1 << int(len(hashes) - 1).bit_length())
+    """Parity bits of a set, packed; at least twice as many bits as shingles, a power of two."""
+    bits = max(64, 1 << int(2 * len(hashes) - 1).bit_length())
     flips = np.bincount((hashes & np.uint64(bits - 1)).astype(np.int64), minlength=bits)
     return np.packbits((flips & 1).astype(np.uint8), bitorder="little")
 
@@ -311,6 +316,96 @@ def verified(pairs: DataFrame, docs: DataFrame, t: float) -> DataFrame:
         spark.conf.set(knob, before)
 
 
+def spanning(groups: DataFrame, found: DataFrame) -> DataFrame:
+    """(key, id, root) of the buckets whose members are of several components."""
+    of = groups.join(found, groups["id"] == found["node"], "left").select(
+        "key", "id", F.coalesce("root", "id").alias("root")
+    )
+    keys = of.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("key")
+    return written(of.join(keys, "key", "left_semi"), "live")
+
+
+def across_size(live: DataFrame) -> tuple[int, int]:
+    """Rows of the buckets, and pairs of their members that are of different components."""
+    parts = live.groupBy("key", "root").agg(F.count("*").alias("n"))
+    sizes = parts.groupBy("key").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("own"))
+    total = sizes.agg(F.sum("n").alias("n"), F.sum((F.col("n") * F.col("n") - F.col("own")) / 2).alias("pairs")).first()
+    return total["n"] or 0, total["pairs"] or 0
+
+
+def folded(sketches: np.ndarray, length: int) -> np.ndarray:
+    """Sketches, one a row, folded to a shorter length."""
+    while sketches.shape[1] > length:
+        half = sketches.shape[1] // 2
+        sketches = sketches[:, :half] ^ sketches[:, half:]
+    return sketches
+
+
+def near_members(members: list[tuple], t: float):
+    """(a, b), a > b, of the members (id, root, n, sketch, side) of one block that are of different
+    components and that size and sketch let through; of two sides, one of each."""
+    share = (1 - t) / (1 + t)
+    ids, roots, sizes, sides = (np.array([m[i] for m in members], np.int64) for i in (0, 1, 2, 4))
+    lengths = np.array([len(m[3]) for m in members])
+    mixed_sides = len(np.unique(sides)) > 1
+    by_length = {
+        x: (np.flatnonzero(lengths == x), np.stack([np.frombuffer(m[3], np.uint8) for m in members if len(m[3]) == x]))
+        for x in np.unique(lengths).tolist()
+    }
+    for i in range(len(members)):
+        own = np.frombuffer(members[i][3], np.uint8)[None]
+        for length, (places, sketches) in by_length.items():
+            fits = (roots[places] != roots[i]) & (sizes[places] >= t * sizes[i] - 1e-9) & (t * sizes[places] - 1e-9 <= sizes[i])
+            fits &= (sides[places] > sides[i]) if mixed_sides else (places > i)
+            if fits.any():
+                common = min(length, own.shape[1])
+                far = np.bitwise_count(folded(sketches[fits], common) ^ folded(own, common)).sum(1)
+                chosen = places[fits]
+                for other in ids[chosen[far <= share * (sizes[chosen] + sizes[i]) + 1e-9]].tolist():
+                    yield max(int(ids[i]), other), min(int(ids[i]), other)
+
+
+def across_pairs(live: DataFrame, nodes: DataFrame, t: float) -> DataFrame:
+    """Distinct pairs (a, b) of members of one bucket and different components, all that may hold."""
+    sized = live.selectExpr("*", "count(*) over (partition by key) members")
+    small = sized.where(F.col("members") <= 2 * ACROSS)
+    left = small.select("key", F.col("id").alias("a"), F.col("root").alias("ra"))
+    right = small.select("key", F.col("id").alias("b"), F.col("root").alias("rb"))
+    pairs = left.join(right, "key").where("ra > rb").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+
+    # Members of a large bucket are dealt into blocks; each two blocks meet in a task of their own.
+    large = sized.where(F.col("members") > 2 * ACROSS).join(nodes.select(F.col("doc_id").alias("id"), "n", "sketch"), "id")
+    blocks = F.ceil(F.col("members") / BLOCK).cast("int")
+    large = large.withColumn("blocks", blocks).withColumn("side", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    met = large.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    met = met.select(
+        "key", F.least("side", "other").alias("x"), F.greatest("side", "other").alias("y"),
+        "id", "root", "n", "sketch", "side",
+    )
+    dealt = met.repartition("key", "x", "y").sortWithinPartitions("key", "x", "y")
+
+    def run(batches):
+        held, last, out = [], None, []
+
+        def batch():
+            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], ["a", "b"])
+
+        for given in batches:
+            for key, x, y, *member in zip(*(c.to_pylist() for c in given.columns)):
+                if (key, x, y) != last:
+                    out += near_members(held, t)
+                    held, last = [], (key, x, y)
+                    if len(out) > 50_000:
+                        yield batch()
+                        out = []
+                held.append(tuple(member))
+        out += near_members(held, t)
+        if out:
+            yield batch()
+
+    return pairs.unionAll(dealt.mapInArrow(run, "a long, b long")).distinct()
+
+
 def linked(docs: DataFrame, t: float = SIMILARITY) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles, component_id."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
@@ -327,15 +422,27 @@ def linked(docs: DataFrame, t: float = SIMILARITY) -> DataFrame:
     edges = written(links.unionAll(copies), "edges")
     found = written(components(edges), "components")
 
-    # Buckets that still span several components: every pair across them, but those tried above.
-    of = groups.join(found, groups["id"] == found["node"], "left").select(
-        "key", "id", F.coalesce("root", "id").alias("root")
-    )
-    open_keys = of.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("key")
-    live = written(of.join(open_keys, "key", "left_semi"), "live")
-    left = live.select("key", F.col("id").alias("a"), F.col("root").alias("ra"))
-    right = live.select("key", F.col("id").alias("b"), F.col("root").alias("rb"))
-    across = left.join(right, "key").where("ra > rb").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+    # Buckets that still span several components: while the pairs across them are many, more
+    # members are led, each bucket by another one; what is left is tried in all pairs.
+    live, turn = spanning(groups, found), 1
+    while True:
+        n_rows, n_pairs = across_size(live)
+        if n_pairs <= ACROSS * n_rows:
+            break
+        draw = F.xxhash64("id", "key", F.lit(turn))
+        lead = live.groupBy("key").agg(F.min(F.struct(draw.alias("draw"), "id", "root")).alias("lead"))
+        led = live.join(lead, "key").where(F.col("root") != F.col("lead.root"))
+        led = led.select(F.greatest("id", "lead.id").alias("a"), F.least("id", "lead.id").alias("b")).distinct()
+        led = written(led.join(tried, ["a", "b"], "left_anti"), "stars")
+        more = verified(sifted(led, nodes, t), docs, t)
+        tried = written(tried.unionAll(led), "stars")
+        few = more.count() * 100 < led.count()
+        edges = written(edges.unionAll(more), "edges")
+        found = written(components(edges), "components")
+        live, turn = spanning(groups, found), turn + 1
+        if few:
+            break
+    across = across_pairs(live, nodes, t)
     across = across.join(tried, ["a", "b"], "left_anti")
     more = verified(sifted(across, nodes, t), docs, t)
     if not more.isEmpty():

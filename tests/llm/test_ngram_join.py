@@ -149,3 +149,29 @@ def test_hashes_follow_the_words():
     one = ngram_join.shingle_set("a b c d e f a b c d e", hashes)
     two = ngram_join.shingle_set("A  b\tc\nd e F a b c d e", hashes)
     assert len(one) == len(plain_set("a b c d e f a b c d e")) and (one == two).all()
+
+
+def test_blocks_of_a_large_bucket(spark, monkeypatch):
+    """A bucket far above a block's size, of which hardly any pair is linked."""
+    monkeypatch.setattr(ngram_join, "BLOCK", 7)
+    rng = random.Random(8)
+    base = [f"w{i}" for i in range(60)]
+    rows = [(i, " ".join(edited(rng, base, rng.randint(0, 5)))) for i in range(90)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert found(ngram_join.linked(docs)) == expected(rows)
+
+
+def test_near_members_are_all_pairs_that_may_hold():
+    rng = np.random.default_rng(9)
+    base = np.unique(rng.integers(0, 1 << 63, 90).astype(np.uint64))
+    sets = [np.unique(np.concatenate([rng.permutation(base)[: rng.integers(40, 90)], rng.integers(0, 1 << 63, 9).astype(np.uint64)])) for _ in range(40)]
+    members = [(i, i % 5, len(x), ngram_join.sketch(x).tobytes(), 0) for i, x in enumerate(sets)]
+    got = set(ngram_join.near_members(members, 0.75))
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets[:i]):
+            both = len(np.intersect1d(a, b))
+            if i % 5 != j % 5 and both >= 0.75 * (len(a) + len(b) - both):
+                assert (i, j) in got
+    assert all(i > j and i % 5 != j % 5 for i, j in got)
+    sides = [(*m[:4], i % 2) for i, m in enumerate(members)]
+    assert {p for p in got if p[0] % 2 != p[1] % 2} == set(ngram_join.near_members(sides, 0.75))
