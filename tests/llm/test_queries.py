@@ -64,7 +64,7 @@ def test_pipeline_stages_by_brute_force(spark):
             hit = {r["doc_id"] for r in decontaminate.hits(docs, bench).collect()}
             want = set(before) - hit
             # What goes holds an item; what stays holds none, not even whole.
-            for i in sorted(hit)[:3]:
+            for i in sorted(hit)[:1]:
                 text = decontaminate.normal(before[i]["text"])
                 assert any(edits(x, text) <= int(0.1 * len(x) + 1e-9) for x in items)
             assert not any(x in decontaminate.normal(before[i]["text"]) for i in want for x in items)
