@@ -45,6 +45,8 @@ SEGMENT = 1 << 14
 SEEN_SETS = 200_000
 CERTAIN = 5 * 255  # the largest sum of ranks, so that more shingles make a piece rarer
 BLOCK = 4096  # members of a bucket that one task compares with as many others
+TASK_ROWS = 50_000
+TASK_PAIRS = 200_000
 ACROSS = 8  # pairs per row up to which buckets are tried in all pairs
 LAST = 1 << 40  # added to what comes last in the order
 
@@ -365,41 +367,45 @@ def near_members(members: list[tuple], t: float):
                     yield max(int(ids[i]), other), min(int(ids[i]), other)
 
 
-def across_pairs(live: DataFrame, nodes: DataFrame, t: float) -> DataFrame:
-    """Distinct pairs (a, b) of members of one bucket and different components, all that may hold."""
+def across_pairs(live: DataFrame, n_rows: int, nodes: DataFrame, t: float) -> DataFrame:
+    """Distinct pairs (a, b) of members of one bucket and different components, all that may hold.
+    ``live`` has ``n_rows`` rows."""
     sized = live.selectExpr("*", "count(*) over (partition by key) members")
     small = sized.where(F.col("members") <= 2 * ACROSS)
     left = small.select("key", F.col("id").alias("a"), F.col("root").alias("ra"))
     right = small.select("key", F.col("id").alias("b"), F.col("root").alias("rb"))
     pairs = left.join(right, "key").where("ra > rb").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
 
-    # Members of a large bucket are dealt into blocks; each two blocks meet in a task of their own.
+    # Members of a large bucket are dealt into blocks; two blocks meet at a time. Buckets are
+    # compared one after the other in tasks of about TASK_ROWS rows: the same pairs meet in many
+    # buckets, and a task writes a pair once.
     large = sized.where(F.col("members") > 2 * ACROSS).join(nodes.select(F.col("doc_id").alias("id"), "n", "sketch"), "id")
     blocks = F.ceil(F.col("members") / BLOCK).cast("int")
     large = large.withColumn("blocks", blocks).withColumn("side", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
     met = large.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    task = F.pmod(F.xxhash64("key"), F.lit(max(1, n_rows // TASK_ROWS)))
     met = met.select(
-        "key", F.least("side", "other").alias("x"), F.greatest("side", "other").alias("y"),
+        task.alias("task"), "key", F.least("side", "other").alias("x"), F.greatest("side", "other").alias("y"),
         "id", "root", "n", "sketch", "side",
     )
-    dealt = met.repartition("key", "x", "y").sortWithinPartitions("key", "x", "y")
+    dealt = met.repartition("task", "x", "y").sortWithinPartitions("key", "x", "y")
 
     def run(batches):
-        held, last, out = [], None, []
+        held, last, out = [], None, set()
 
         def batch():
             return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], ["a", "b"])
 
         for given in batches:
-            for key, x, y, *member in zip(*(c.to_pylist() for c in given.columns)):
+            for _, key, x, y, *member in zip(*(c.to_pylist() for c in given.columns)):
                 if (key, x, y) != last:
-                    out += near_members(held, t)
+                    out.update(near_members(held, t))
                     held, last = [], (key, x, y)
-                    if len(out) > 50_000:
+                    if len(out) > TASK_PAIRS:
                         yield batch()
-                        out = []
+                        out = set()
                 held.append(tuple(member))
-        out += near_members(held, t)
+        out.update(near_members(held, t))
         if out:
             yield batch()
 
@@ -442,7 +448,7 @@ def linked(docs: DataFrame, t: float = SIMILARITY) -> DataFrame:
         live, turn = spanning(groups, found), turn + 1
         if few:
             break
-    across = across_pairs(live, nodes, t)
+    across = across_pairs(live, n_rows, nodes, t)
     across = across.join(tried, ["a", "b"], "left_anti")
     more = verified(sifted(across, nodes, t), docs, t)
     if not more.isEmpty():
