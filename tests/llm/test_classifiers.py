@@ -2,6 +2,7 @@ import binascii
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tableferry.llm import language, quality, toxicity
 from tableferry.llm.common import table
@@ -134,3 +135,14 @@ def test_spherical_centres_are_units():
     points /= np.linalg.norm(points, axis=1, keepdims=True)
     centres, own = language.spherical(points, 3)
     assert np.allclose(np.linalg.norm(centres, axis=1), 1) and set(own) <= {0, 1, 2}
+
+
+def test_a_document_on_most_rows_leaves_room_for_rare_languages(spark):
+    ids = spark.range(1, 50_000).where(~language.held_out(F.col("id")))
+    often = ids.orderBy(F.pmod(F.xxhash64("id"), F.lit(1 << 20))).first()["id"]
+    rows = [(often, "the quick brown fox jumps over the dog", "en")] * 3000
+    rows += [(100_000 + i, f"le petit renard numero {i} saute par dessus le chien", "fr") for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    one, two = language.fit(docs.coalesce(1), bound=40), language.fit(docs.repartition(5), bound=40)
+    assert set(one.langs) == {"en", "fr"} and one.langs == two.langs
+    assert np.array_equal(one.centers, two.centers)
