@@ -19,7 +19,7 @@ import re
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tableferry.llm.common import held_out
@@ -121,13 +121,17 @@ def fit(docs: DataFrame, bound: int = SAMPLE_BOUND, k: int = CENTROIDS) -> Centr
         return None
     idf = np.log((1 + total[-1]) / (1 + total[:-1])).astype(np.float32) + 0.05
 
-    per_lang = {r["lang"]: r["count"] for r in usable.groupBy("lang").count().collect()}
-    share = bound / max(1, len(per_lang))
-    draw = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20))
+    # Of each language the rows with the smallest hashes of id and text, equal rows once.
+    hashed = usable.withColumn("h", F.xxhash64("doc_id", "text"))
+    places = hashed.select("lang", "h").distinct()
+    langs_known = usable.select("lang").distinct().count()
+    place = F.row_number().over(Window.partitionBy("lang").orderBy("h"))
+    share = max(1, bound // max(1, langs_known))
+    last = places.withColumn("place", place).where(F.col("place") <= share).groupBy("lang").agg(F.max("h").alias("last"))
     wanted = F.lit(False)
-    for lang, n in sorted(per_lang.items()):
-        wanted = wanted | ((F.col("lang") == lang) & (draw < int(min(1.0, 0.9 * share / n) * (1 << 20))))
-    drawn = usable.where(wanted).limit(bound)
+    for row in last.collect():
+        wanted = wanted | ((F.col("lang") == row["lang"]) & (F.col("h") <= row["last"]))
+    drawn = hashed.where(wanted).groupBy("lang", "h").agg(F.min("text").alias("text"))
 
     def sampled(batches):
         for batch in batches:
