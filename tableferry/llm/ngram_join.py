@@ -290,8 +290,8 @@ def verified(pairs: DataFrame, docs: DataFrame, t: float) -> DataFrame:
     spark = pairs.sparkSession
     involved = written(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "involved")
     # A semi-join with a filter on a small written table lets Spark put a Bloom filter before the
-    # shuffle of the texts, so only texts of candidates move.
-    texts = docs.join(involved.where(F.col("doc_id") >= -(1 << 62)), "doc_id", "left_semi")
+    # shuffle of the texts, so only texts of candidates move. The filter holds for every id.
+    texts = docs.join(involved.where(F.col("doc_id") >= F.lit(-(1 << 63))), "doc_id", "left_semi")
     one = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("ta"))
     two = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("tb"))
     joined = pairs.join(two, "b").join(one, "a")

@@ -175,3 +175,13 @@ def test_near_members_are_all_pairs_that_may_hold():
     assert all(i > j and i % 5 != j % 5 for i, j in got)
     sides = [(*m[:4], i % 2) for i, m in enumerate(members)]
     assert {p for p in got if p[0] % 2 != p[1] % 2} == set(ngram_join.near_members(sides, 0.75))
+
+
+def test_ids_at_the_lower_end_are_linked(spark):
+    rng = random.Random(10)
+    base = [f"w{i}" for i in range(200)]
+    low = -(1 << 63)
+    rows = [(low + i, " ".join(edited(rng, base, 2))) for i in range(4)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert found(ngram_join.linked(docs)) == expected(rows)
+    assert {r["component_id"] for r in ngram_join.linked(docs).collect()} == {low}
