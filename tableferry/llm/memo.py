@@ -1,0 +1,59 @@
+"""Texts in slices of bounded size, and tokenizers that encode equal words once per task."""
+
+from __future__ import annotations
+
+from collections.abc import Callable, Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+
+#: Bytes of text that are taken from an Arrow batch at a time.
+SLICE_BYTES = 1 << 20
+
+
+def text_slices(batch: pa.RecordBatch, column: int, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """Parts of ``batch`` of about ``most`` bytes of text each; a longer text is alone."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+    ends = np.cumsum(sizes, dtype=np.int64)
+    at = 0
+    while at < batch.num_rows:
+        before = ends[at - 1] if at else 0
+        stop = max(at + 1, int(np.searchsorted(ends, before + most, "right")))
+        yield batch.slice(at, stop - at)
+        at = stop
+
+
+class Memo:
+    """Values of words, made by ``encode`` for a list of new ones.
+
+    Two generations: a word that is used moves to the younger one; when that holds ``most`` words
+    or 16 MB of them, it becomes the older one and the former older one goes. So frequent words
+    stay and memory is bounded; long words (over ``longest``) are not kept for long.
+    """
+
+    def __init__(self, encode: Callable[[list], list], most: int = 60_000, longest: int = 80):
+        self.encode, self.most, self.longest = encode, most, longest
+        self.young: dict = {}
+        self.old: dict = {}
+        self.held = 0
+
+    def of(self, words: list) -> list:
+        young, old = self.young, self.old
+        unknown = set(words).difference(young)
+        if unknown:
+            todo = []
+            for word in unknown:
+                value = old.get(word)
+                if value is None:
+                    todo.append(word)
+                else:
+                    young[word] = value
+            if todo:
+                young.update(zip(todo, self.encode(todo)))
+                self.held += sum(map(len, todo))
+        found = list(map(young.__getitem__, words))
+        if len(young) > self.most or self.held > 16 << 20:
+            self.old = {word: value for word, value in young.items() if len(word) <= self.longest}
+            self.young, self.held = {}, 0
+        return found

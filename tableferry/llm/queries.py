@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from tableferry.llm import bpe, decontaminate, exact_dedup, language, licenses, ngram_join, quality, substrings, toxicity, warc
+from tableferry.llm import alignment, bpe, decontaminate, exact_dedup, language, licenses, ngram_join
+from tableferry.llm import packing, quality, spelling, substrings, toxicity, warc
 from tableferry.llm.common import table
 
 
@@ -61,6 +62,22 @@ def op10_warc(spark, sf_dir):
     return warc.archived(table(spark, sf_dir, "pages"))
 
 
+def op11_spelling_variants(spark, sf_dir):
+    """Every frequent word with the near word that is its form, and the root of that chain."""
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
+def op12_best_fit_packing(spark, sf_dir):
+    """Every piece of every document with its place in a training sequence of 2048 tokens."""
+    return packing.packed(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op13_cross_alignment(spark, sf_dir):
+    """How the tokens of two tokenizers group and link in every document."""
+    paths = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    return alignment.linked(table(spark, sf_dir, "documents"), *paths)
+
+
 QUERIES = {
     "op1_license_scan": op1_license_scan,
     "op2_decontaminate": op2_decontaminate,
@@ -72,6 +89,9 @@ QUERIES = {
     "op8_language_id": op8_language_id,
     "op9_quality": op9_quality,
     "op10_warc": op10_warc,
+    "op11_spelling_variants": op11_spelling_variants,
+    "op12_best_fit_packing": op12_best_fit_packing,
+    "op13_cross_alignment": op13_cross_alignment,
 }
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"

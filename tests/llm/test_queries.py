@@ -31,7 +31,7 @@ def test_query_against_sql(spark, name):
 
 
 def test_there_is_a_query_for_each_operator():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
 
 
 def test_pipeline_stages_by_brute_force(spark):
