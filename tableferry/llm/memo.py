@@ -40,10 +40,10 @@ class Memo:
 
     def of(self, words: list) -> list:
         young, old = self.young, self.old
-        unknown = set(words).difference(young)
-        if unknown:
+        found = list(map(young.get, words))
+        if None in found:
             todo = []
-            for word in unknown:
+            for word in {word for word, value in zip(words, found) if value is None}:
                 value = old.get(word)
                 if value is None:
                     todo.append(word)
@@ -52,7 +52,7 @@ class Memo:
             if todo:
                 young.update(zip(todo, self.encode(todo)))
                 self.held += sum(map(len, todo))
-        found = list(map(young.__getitem__, words))
+            found = [young[word] if value is None else value for word, value in zip(words, found)]
         if len(young) > self.most or self.held > 16 << 20:
             self.old = {word: value for word, value in young.items() if len(word) <= self.longest}
             self.young, self.held = {}, 0

@@ -29,19 +29,25 @@ columns are not looked at. An empty table gives no rows.
 from __future__ import annotations
 
 import bisect
+import itertools
+import json
 import re
+import unicodedata
 import zlib
 from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tableferry.llm.memo import SLICE_BYTES, Memo, text_slices
+from tableferry.llm.bpe import byte_signs
+from tableferry.llm.memo import text_slices
 from tableferry.session import written
 
 CAPACITY = 2048
@@ -51,6 +57,9 @@ RATE = 0.2  # how far prices fall in the first round
 #: Configurations of the linear program that are rounded; pieces of others are left to best fit.
 MOST_CONFIGURATIONS = 8_192
 
+#: Bytes of text whose words are looked at together: the more, the fewer words are encoded again.
+WORDS_BYTES = 8 << 20
+
 _BLANK = re.compile(rb"[ \t-\r]")
 
 
@@ -221,63 +230,170 @@ def slots(plan: Plan, capacity: int = CAPACITY) -> dict[str, np.ndarray]:
 # -- the pieces -------------------------------------------------------------------------------
 
 
-@lru_cache(maxsize=2)
-def _tokenizer(path: str) -> Tokenizer:
-    tokenizer = Tokenizer.from_file(path)
-    tokenizer.no_truncation()
-    tokenizer.no_padding()
-    return tokenizer
+def _of_category(letter: str) -> str:
+    """The plain signs whose Unicode category begins with ``letter``, for a character class."""
+    return "".join(re.escape(c) for c in map(chr, _PLAIN_SIGNS) if unicodedata.category(c)[0] == letter)
+
+
+#: Latin signs that lower-case sign by sign and that no normal form changes, but for white space.
+_PLAIN_SIGNS = [*range(0x21, 0x7F), *range(0xA1, 0x130), *range(0x131, 0x180)]
+_PLAIN = re.compile("[\n!-~\u00a1-\u012f\u0131-\u017f]*")
+_LETTERS, _NUMBERS = _of_category("L"), _of_category("N")
+#: The tokenizer's pattern on such words, and line breaks between them.
+_CUT = re.compile(rf"\n|'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[{_NUMBERS}]|[^\s{_LETTERS}{_NUMBERS}]+")
+_END = "\x01"  # stands for the suffix that ends a word; no plain word has it
 
 
-def word_encoder(path: str) -> Memo:
-    """Ids of words between white space as bytes of unsigned 32-bit numbers, little-endian.
+class WordCoder:
+    """Ids of words between white space, for a tokenizer that drops white space, lower-cases and
+    ends words by a suffix: a text's ids are those of its words.
 
-    A tokenizer that drops white space before it cuts gives a text's ids as those of its words.
+    Words of plain Latin signs are cut by the tokenizer's pattern and merged by tiktoken, many at a
+    time. It is given the same merges, with the suffix as one byte. Other words, and those with a
+    special token, go through the tokenizers library.
     """
-    tokenizer = _tokenizer(path)
 
-    def encode(words: list[bytes]) -> list[bytes]:
-        made = tokenizer.encode_batch_fast([w.decode("utf-8") for w in words], add_special_tokens=False)
+    def __init__(self, path: str):
+        self.whole = Tokenizer.from_file(path)
+        self.whole.no_truncation()
+        self.whole.no_padding()
+        with open(path, encoding="utf-8") as file:
+            spec = json.load(file)
+        self.special = [token["content"].encode() for token in spec["added_tokens"]]
+        self.core = None
+        if self.known(spec):
+            self.core, self.ids = self.merged(spec["model"])
+
+    def known(self, spec: dict) -> bool:
+        """Whether the file is of the kind that the fast way repeats."""
+        kinds = [n["type"] for n in (spec["normalizer"] or {}).get("normalizers", [])]
+        cuts = [p.get("pattern", {}).get("Regex") for p in (spec["pre_tokenizer"] or {}).get("pretokenizers", [])]
+        pattern = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
+        model = spec["model"]
+        return kinds == ["NFC", "Replace", "Lowercase"] and cuts == [pattern, None] and model["type"] == "BPE" and bool(
+            model["end_of_word_suffix"]
+        )
+
+    def merged(self, model: dict) -> tuple[tiktoken.Encoding, np.ndarray]:
+        """The merges as ranks, and the id of each rank."""
+        signs, suffix, end = byte_signs(), model["end_of_word_suffix"], _END.encode()
+
+        def data(token: str) -> bytes:
+            last = token.endswith(suffix)
+            return bytes(signs[c] for c in (token[: -len(suffix)] if last else token)) + (end if last else b"")
+
+        ranks = {bytes([b]): b for b in range(256)}
+        ids = np.zeros(512 + len(model["merges"]), "<u4")
+        names = {b: c for c, b in signs.items()}
+        for b in range(256):
+            ids[b] = model["vocab"].get(names[b], 0)
+            ranks[bytes([b]) + end] = 256 + b
+            ids[256 + b] = model["vocab"].get(names[b] + suffix, 0)
+        for i, merge in enumerate(model["merges"]):
+            left, right = merge.split(" ") if isinstance(merge, str) else merge
+            ranks[data(left) + data(right)] = 512 + i
+            ids[512 + i] = model["vocab"][left + right]
+        pattern = f"[^{_END}]+{_END}"
+        return tiktoken.Encoding("words", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}), ids
+
+    def fast(self, words: list[bytes]) -> list[bytes] | None:
+        """Ids of plain words; None if one of them is not plain."""
+        text = b"\n".join(words).decode("utf-8")
+        if not _PLAIN.fullmatch(text):
+            return None
+        cut = _CUT.findall(text.lower())
+        ranks = np.array(self.core.encode_ordinary(_END.join([*cut, "\n", ""])), np.int64)
+        breaks = np.flatnonzero(ranks == 256 + ord("\n"))
+        data = self.ids[ranks].tobytes()
+        ends = (4 * breaks).tolist()
+        starts = [0, *(end + 4 for end in ends[:-1])]
+        return [data[a:b] for a, b in zip(starts, ends)]
+
+    def slow(self, words: list[bytes]) -> list[bytes]:
+        made = self.whole.encode_batch_fast([w.decode("utf-8") for w in words], add_special_tokens=False)
         return [np.array(one.ids, "<u4").tobytes() for one in made]
 
-    return Memo(encode)
+    def encode(self, words: list[bytes]) -> list[bytes]:
+        """Ids of each word as bytes of unsigned 32-bit numbers, little-endian."""
+        if self.core is None:
+            return self.slow(words)
+        plain = [w.isascii() or _PLAIN.fullmatch(w.decode("utf-8")) is not None for w in words]
+        plain = [fits and not (b"<" in w and any(t in w for t in self.special)) for fits, w in zip(plain, words)]
+        found = self.fast([w for w, fits in zip(words, plain) if fits])
+        if found is None:  # an ASCII word with a control sign
+            plain = [fits and _PLAIN.fullmatch(w.decode("utf-8")) is not None for fits, w in zip(plain, words)]
+            found = self.fast([w for w, fits in zip(words, plain) if fits])
+        rest = iter(self.slow([w for w, fits in zip(words, plain) if not fits]))
+        quick = iter(found)
+        return [next(quick) if fits else next(rest) for fits in plain]
 
 
-def id_parts(memo: Memo, text: str | None):
-    """The ids of a text, as bytes, slice by slice; the end id last."""
-    data, at = (text or "").encode("utf-8"), 0
+@lru_cache(maxsize=2)
+def word_coder(path: str) -> WordCoder:
+    return WordCoder(path)
+
+
+def ids_of(coder: WordCoder, texts: pa.Array) -> list[bytes]:
+    """The ids of each text as bytes. Equal words of the texts are encoded once."""
+    split = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
+    coded = split.flatten().dictionary_encode()
+    made = coder.encode(coded.dictionary.cast(pa.binary()).to_pylist())
+    each = np.array([len(ids) // 4 for ids in made], np.int64)
+    flat = np.frombuffer(b"".join(made), "<u4")
+    word = coded.indices.to_numpy(zero_copy_only=False)
+    size = each[word]
+    ends = np.cumsum(size)
+    first = np.cumsum(each)[word] - ends  # where a word's ids are, less where they go
+    ids = flat[np.repeat(first, size) + np.arange(len(word) and int(ends[-1]))]
+    last = np.cumsum(pc.list_value_length(split).to_numpy(zero_copy_only=False))
+    stops = [0, *np.append(0, ends)[last].tolist()]
+    return [ids[x:y].tobytes() for x, y in zip(stops, stops[1:])]
+
+
+def long_ids(coder: WordCoder, text: str):
+    """The ids of a long text, slice by slice."""
+    data, at = text.encode("utf-8"), 0
     while at < len(data):
-        cut = _BLANK.search(data, at + SLICE_BYTES) if len(data) - at > SLICE_BYTES else None
+        cut = _BLANK.search(data, at + WORDS_BYTES) if len(data) - at > WORDS_BYTES else None
         stop = cut.start() if cut else len(data)
-        yield b"".join(memo.of(data[at:stop].split()))
+        yield from ids_of(coder, pa.array([data[at:stop].decode("utf-8")], pa.string()))
         at = stop
-    yield END_ID.to_bytes(4, "little")
 
 
-def id_pieces(memo: Memo, text: str | None, capacity: int):
-    """The bytes of a text's pieces: whole if it fits in a sequence, else cut at its length."""
+def cut_pieces(parts, capacity: int):
+    """The bytes of a document's pieces: whole if it fits in a sequence, else cut at its length."""
     held, size = b"", 4 * capacity
-    for part in id_parts(memo, text):
+    for part in parts:
         held += part
-        full = (len(held) - 1) // size  # the last piece waits for more
+        full = max(0, (len(held) - 1) // size)  # the last piece waits for more
         for k in range(full):
             yield held[k * size : (k + 1) * size]
-        held = held[full * size :] if full > 0 else held
+        held = held[full * size :]
     yield held
 
 
+def id_pieces(coder: WordCoder, texts: pa.Array, capacity: int):
+    """For each text the bytes of its pieces; the end id comes last."""
+    end = END_ID.to_bytes(4, "little")
+    if len(texts) == 1 and texts[0].is_valid and len(texts[0].as_py()) > WORDS_BYTES:
+        yield cut_pieces(itertools.chain(long_ids(coder, texts[0].as_py()), [end]), capacity)
+    else:
+        for ids in ids_of(coder, texts):
+            yield cut_pieces([ids + end], capacity)
+
+
 def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY) -> DataFrame:
     """task, nth, doc_id, piece, start, length, ids_crc32: every piece with its number among the
     pieces of its length in its task."""
 
     def cut(batches):
-        memo, task = word_encoder(path), TaskContext.get().partitionId()
+        coder, task = word_coder(path), TaskContext.get().partitionId()
         seen = [0] * (capacity + 1)
         for batch in batches:
-            for part in text_slices(batch, 1):
+            for part in text_slices(batch, 1, WORDS_BYTES):
                 rows = []
-                for doc_id, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
-                    for piece, data in enumerate(id_pieces(memo, text, capacity)):
+                for doc_id, made in zip(part.column(0).to_pylist(), id_pieces(coder, part.column(1), capacity)):
+                    for piece, data in enumerate(made):
                         length = len(data) // 4
                         rows.append((task, seen[length], doc_id, piece, piece * capacity, length, zlib.crc32(data)))
                         seen[length] += 1

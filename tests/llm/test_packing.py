@@ -6,6 +6,7 @@ from collections import defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -148,12 +149,27 @@ def test_words_are_encoded_as_the_whole_text(spark):
     check(packing.packed(docs, PATH), list(enumerate(texts)))
 
 
+def test_the_fast_way_is_the_librarys():
+    """Random words of plain Latin signs, control signs, contractions and special tokens."""
+    coder = packing.WordCoder(PATH)
+    assert coder.core is not None
+    rng = random.Random(8)
+    signs = "abcdefghijklmnopqrstuvwxyzABCDEÀÉßÿĿſŁłĳŉı0123'.,-<|>\x01\x7f\x1c¹½ªº×÷¡İ日e\u0301"
+    words = ["".join(rng.choices(signs, k=rng.randint(1, 12))) for _ in range(4_000)]
+    words += ["it's", "'SS", "we'LL've", "<|endoftext|>", "a<|endoftext|>b", "x" * 500, "0" * 50, "<|startoftext|"]
+    data = [w.encode() for word in words for w in [word.encode().decode()] if w.encode().split() == [w.encode()]]
+    assert coder.encode(data) == coder.slow(data)
+    found = coder.fast([b"plain", b"it's.", "Éà½".encode()])
+    assert found == coder.slow([b"plain", b"it's.", "Éà½".encode()]) and coder.fast([b"a\x01"]) is None
+
+
 def test_slices_change_nothing(monkeypatch):
-    memo = packing.word_encoder(PATH)
+    coder = packing.word_coder(PATH)
     text = "some words of a text\nthat is cut \t often " * 200
-    whole = list(packing.id_pieces(memo, text, 64))
-    monkeypatch.setattr(packing, "SLICE_BYTES", 37)
-    assert list(packing.id_pieces(memo, text, 64)) == whole
+    made = lambda texts: [list(p) for p in packing.id_pieces(coder, pa.array(texts, pa.string()), 64)]
+    (whole,) = made([text])
+    monkeypatch.setattr(packing, "WORDS_BYTES", 37)
+    assert made([text]) == [whole] and made([text, None, text]) == [whole, [bytes(4)], whole]
     assert all(len(p) == 256 for p in whole[:-1]) and 0 < len(whole[-1]) <= 256
 
 
