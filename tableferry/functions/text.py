@@ -29,25 +29,38 @@ def hex_text(value: Column) -> Column:
     return F.lower(F.hex(value))
 
 
-def exact_double_sql(value: str) -> str:
+def double_power_sql(value: str) -> str:
+    """Expression for the power of two of a double's leading digit, off by one at the most; 0 for
+    zero, infinities and NaN."""
+    size = f"abs(CAST({value} AS DOUBLE))"
+    return f"IF({size} > 0 AND {size} < CAST('Infinity' AS DOUBLE), CAST(floor(log2({size})) AS INT), 0)"
+
+
+def double_scaled_sql(value: str, power: str) -> str:
+    """Expression for a double's size scaled by that power, about 2**52 to 2**53. Only scaling by
+    powers of two, in two steps that stay finite, which every engine does without rounding."""
+    up = f"(52 - {power})"
+    return f"(abs(CAST({value} AS DOUBLE)) * pow(2D, floor({up} / 2)) * pow(2D, {up} - floor({up} / 2)))"
+
+
+def exact_double_sql(value: str, power: str | None = None, scaled: str | None = None) -> str:
     """Expression for a double's exact value as ``<sign><whole number>p<power of two>``, the
     whole number between 2**52 and 2**53; zero (of either sign) is ``0``.
 
-    Only scaling by powers of two, which every engine does without rounding. The logarithm may
-    be off by one next to a power of two; the scaled value shows that and it is put right.
+    The logarithm may be off by one next to a power of two; the scaled value shows that and it is
+    put right. ``power`` and ``scaled`` name columns that hold these; without them the steps are
+    written out again wherever they are needed, which is many times slower.
     """
     d = f"CAST({value} AS DOUBLE)"
-    size = f"abs({d})"
-    power = f"CAST(floor(log2({size})) AS INT)"
-    up = f"(52 - {power})"
-    scaled = f"({size} * pow(2D, floor({up} / 2)) * pow(2D, {up} - floor({up} / 2)))"
+    power = power or double_power_sql(value)
+    scaled = scaled or double_scaled_sql(value, power)
 
     def written(number: str, power_of_two: str) -> str:
         return f"CAST(CAST({number} AS BIGINT) AS STRING) || 'p' || CAST({power_of_two} AS STRING)"
 
     return (
         f"CASE WHEN isnan({d}) THEN 'NaN' WHEN {d} = 0 THEN '0' "
-        f"WHEN {size} = CAST('Infinity' AS DOUBLE) THEN IF({d} > 0, 'Infinity', '-Infinity') "
+        f"WHEN abs({d}) = CAST('Infinity' AS DOUBLE) THEN IF({d} > 0, 'Infinity', '-Infinity') "
         f"ELSE IF({d} < 0, '-', '') || CASE "
         f"WHEN {scaled} < {2**52}D THEN {written(f'{scaled} * 2', f'{power} - 53')} "
         f"WHEN {scaled} >= {2**53}D THEN {written(f'{scaled} / 2', f'{power} - 51')} "
@@ -56,22 +69,26 @@ def exact_double_sql(value: str) -> str:
 
 
 def canonical_sql(
-    value: str, kind: T.DataType, double_scale: int | None = None, micros: bool = True
+    value: str,
+    kind: T.DataType,
+    double_scale: int | None = None,
+    micros: bool = True,
+    steps: tuple[str, str] | tuple[()] = (),
 ) -> str:
     """Expression for one text per value, the same whichever engine or type width holds it.
 
     Exact by default: doubles by ``exact_double_sql``, timestamps with microseconds. With
     ``double_scale`` doubles become a whole number of units of ``10**-double_scale``, and only
     those too large for that keep the exact form; ``micros=False`` cuts timestamps to seconds.
-    NULL stays NULL.
+    NULL stays NULL. ``steps`` as in ``exact_double_sql``.
     """
     if isinstance(kind, T.BooleanType):
         return f"CAST(CAST({value} AS TINYINT) AS STRING)"
     if isinstance(kind, (T.FloatType, T.DoubleType)):
         if double_scale is None:
-            return exact_double_sql(value)
+            return exact_double_sql(value, *steps)
         units = f"CAST(floor(CAST({value} AS DOUBLE) * 1e{double_scale}D + 0.5D) AS STRING)"
-        return f"IF(abs({value}) < 1e{18 - double_scale}D, {units}, {exact_double_sql(value)})"
+        return f"IF(abs({value}) < 1e{18 - double_scale}D, {units}, {exact_double_sql(value, *steps)})"
     if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
         pattern = TIMESTAMP_FORMAT + (".SSSSSS" if micros else "")
         return f"date_format({value}, '{pattern}')"

@@ -161,6 +161,22 @@ def fit_audit(df: DataFrame, type_map: Mapping[str, str] = TYPE_MAP) -> DataFram
     return _unpivot(counted, labels, ["column_name", "rule", "n_misfit"])
 
 
+def misfits(
+    df: DataFrame, type_map: Mapping[str, str] = TYPE_MAP, keys: Sequence[str] = ()
+) -> Column:
+    """Per row the reasons why the target could not hold it, as ``column: rule`` texts; empty for a
+    row that fits. The rules of ``fit_audit`` that single out rows (not ``unmapped`` and
+    ``unsized_decimal``, which are about the column), and ``not_null`` for columns that are
+    declared so and for ``keys``."""
+    reasons = []
+    for spec, field in zip(rules.specs_of(df), df.schema.fields):
+        checks = [c for c in _fit_checks(spec, field.dataType, type_map) if c[0] not in ("unmapped", "unsized_decimal")]
+        if spec.name in keys or not spec.nullable:
+            checks.append(("not_null", F.col(quoted(spec.name)).isNull()))
+        reasons += [F.when(F.coalesce(test, F.lit(False)), F.lit(f"{spec.name}: {rule}")) for rule, test in checks]
+    return F.array_compact(F.array(*reasons)) if reasons else F.array().cast("array<string>")
+
+
 # -- hex text in exports --------------------------------------------------------------------
 
 

@@ -12,6 +12,7 @@ import uuid
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
+from typing import Protocol
 from urllib.parse import unquote
 
 from pyspark import inheritable_thread_target
@@ -140,6 +141,23 @@ def upsert(
     return kept.unionByName(dedupe_stage(stage, keys, version))
 
 
+def guarded_upsert(
+    target: DataFrame, stage: DataFrame, keys: Sequence[str], version: Sequence[str]
+) -> DataFrame:
+    """``upsert`` in which a staged row replaces only a row that is not newer by ``version``.
+
+    Deliveries may come late or in any order: the result is the newest row of each key. Of equal
+    versions the staged row stands; a NULL version is older than any other. Only target rows with
+    a staged key meet the stage; the others are not shuffled where the stage's keys are few.
+    """
+    stage = written(stage, "stage")
+    staged_keys = _staged_keys(stage, keys)
+    current = _matching(target, staged_keys, keys, "left_semi").withColumn("_staged", F.lit(0))
+    staged = _in_order(dedupe_stage(stage, keys, version), target).withColumn("_staged", F.lit(1))
+    winners = dedupe_stage(current.unionByName(staged), keys, [*version, "_staged"])
+    return _without(target, staged_keys, keys).unionByName(winners.drop("_staged"))
+
+
 def delete_insert(target: DataFrame, stage: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Target with all rows of the staged keys deleted, and all staged rows inserted.
 
@@ -230,6 +248,44 @@ def _folders_of(df: DataFrame, by: Sequence[str], fields: Sequence[T.StructField
     return {_partition_clause(row, fields): unquote(row["_folder"]) for row in rows}
 
 
+class Tombstones(Protocol):
+    """Remembers deleted keys (``tombstones.TombstoneStore``)."""
+
+    def newer(self, stage: DataFrame, deleted: str | None) -> DataFrame: ...
+
+    def bury(self, rows: DataFrame) -> None: ...
+
+
+def _retire(spark: SparkSession, root: str, folders: Sequence[str]) -> None:
+    """Note replaced folders, for ``clean_replaced``: readers may still have their files open."""
+    if folders:
+        rows = spark.createDataFrame([(folder,) for folder in folders], "value string")
+        stamp = datetime.datetime.now(datetime.UTC).strftime("%Y%m%d%H%M%S")
+        rows.coalesce(1).write.text(f"{root}/_replaced/{stamp}-{uuid.uuid4().hex}")
+
+
+def clean_replaced(
+    spark: SparkSession, table: str, grace: datetime.timedelta = datetime.timedelta(hours=1)
+) -> int:
+    """Delete the files that loads of a table replaced at least ``grace`` ago; returns how many
+    folders. A reader that began before a load has that long to finish."""
+    root = table_location(spark, table)
+    place = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/_replaced")
+    store = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not store.exists(place):
+        return 0
+    now, removed = datetime.datetime.now(datetime.UTC).replace(tzinfo=None), 0
+    for status in store.listStatus(place):
+        note = status.getPath()
+        replaced_at = datetime.datetime.strptime(note.getName().split("-")[0], "%Y%m%d%H%M%S")
+        if now - replaced_at >= grace:
+            for row in spark.read.text(note.toString()).collect():
+                discard(spark, row["value"])
+                removed += 1
+            store.delete(note, True)
+    return removed
+
+
 def _rewrite(
     spark: SparkSession,
     table: str,
@@ -237,6 +293,7 @@ def _rewrite(
     keys: Sequence[str],
     fields: Sequence[T.StructField],
     places: Sequence[Row],
+    deleted: str | None,
 ) -> None:
     """Rewrite one group of partitions with the staged rows that belong there."""
     by = [field.name for field in fields]
@@ -245,9 +302,12 @@ def _rewrite(
     root = table_location(spark, table)
     before = _folders_of(target.where(wanted), by, fields)
     kept = _without(target.where(wanted), newest, keys)
+    staged = newest.where(wanted)
+    if deleted:
+        staged = _in_order(staged.where(~F.col(quoted(deleted))), target)
     folder = f"{root}/_loads/{uuid.uuid4().hex}"
     (
-        kept.unionByName(newest.where(wanted))
+        kept.unionByName(staged)
         .hint("rebalance", *by)
         .write.format("parquet")
         .partitionBy(*by)
@@ -258,9 +318,21 @@ def _rewrite(
     folders = _folders_of(found, by, fields)
     _point_to(spark, table, clauses, folders)
     spark.catalog.refreshTable(table)
-    for old in before.values():
-        if old not in folders.values() and old.startswith(f"{root}/"):
-            discard(spark, old)
+    gone = set(before.values()) - set(folders.values())
+    _retire(spark, root, sorted(old for old in gone if old.startswith(f"{root}/")))
+
+
+def _newer_than(target: DataFrame, newest: DataFrame, keys: Sequence[str], version: Sequence[str]) -> DataFrame:
+    """The staged rows whose key the target holds in no newer version. Of the target only keys
+    and versions are read, and shuffled only for the staged keys."""
+    names = [f"_k{i}" for i in range(len(keys))]
+    held = _matching(target.select(*map(quoted, dict.fromkeys([*keys, *version]))), newest.select(*map(quoted, keys)), keys, "left_semi")
+    current = held.groupBy(*[F.col(quoted(key)).alias(name) for key, name in zip(keys, names)]).agg(
+        F.max(F.struct(*map(quoted, version))).alias("_held")
+    )
+    same = reduce(Column.__and__, [F.col(quoted(key)) == F.col(name) for key, name in zip(keys, names)])
+    fits = F.col("_held").isNull() | (F.struct(*map(quoted, version)) >= F.col("_held"))
+    return newest.join(current, same, "left").where(fits).drop("_held", *names)
 
 
 def upsert_partitions(
@@ -272,6 +344,9 @@ def upsert_partitions(
     version: Sequence[str] | None = None,
     key_fixes_partition: bool = False,
     group_size: int = 500,
+    guarded: bool = False,
+    deleted: str | None = None,
+    tombstones: Tombstones | None = None,
 ) -> int:
     """Upsert into a partitioned catalog table; rewrites only the partitions concerned.
 
@@ -279,43 +354,110 @@ def upsert_partitions(
     which the staged keys live now (only keys are read to find them), so a row may move. They are
     worked through in groups of about ``group_size``, however many they are. The new files go to
     a folder of their own below the table's location and the catalog is pointed there partition
-    by partition; then the files they replace are removed. A stage with NULL in a key is refused,
-    for its rows could not be found again. Returns the number of partitions rewritten.
+    by partition. The files they replace stay, for readers that have them open, until
+    ``clean_replaced`` removes them. A stage with NULL in a key is refused, for its rows could not
+    be found again. Returns the number of partitions rewritten.
+
+    ``guarded``: a staged row replaces only a row that is not newer by ``version``, so deliveries
+    may come late or in any order, and partitions that only get older rows are left alone.
+    ``deleted`` names a boolean column of the stage: its true rows delete their key (of equal
+    versions the deletion counts). ``tombstones`` remembers deleted keys with their versions, so
+    that an older row of such a key that comes later is not taken for new.
 
     Readers never see a half-written partition, and a lost job leaves every partition old or new;
     running it again gives the same table. Several partitions do not change at one moment: until
     the call ends, a row that moves may be seen in both or in neither.
     """
+    if (guarded or tombstones) and not version:
+        raise ValueError("a guarded upsert needs a version")
     target = spark.table(table)
     by = list(partition_by)
     fields = [target.schema[name] for name in by]
-    newest, stage_folder = written_at(
-        _in_order(_newest(stage, keys, version), target), f"{table}-stage"
-    )
-    places_folder = None
+    names = target.columns + ([deleted] if deleted else [])
+    order = [*(version or []), *([deleted] if deleted else [])]
+    if deleted:
+        stage = stage.withColumn(deleted, F.coalesce(F.col(quoted(deleted)), F.lit(False)))
+    newest = _newest(stage, keys, order or None).select(*map(quoted, names))
+    if tombstones:
+        newest = tombstones.newer(newest, deleted)
+    if guarded:
+        newest, raw_folder = written_at(newest, f"{table}-raw")
+        folders = [raw_folder]
+        newest = _newer_than(target, newest, keys, version)
+    else:
+        folders = []
+    newest, stage_folder = written_at(newest, f"{table}-stage")
+    folders.append(stage_folder)
     try:
         if not newest.where(_null_in_key(keys)).isEmpty():
             raise LoadRefused(f"staged rows have NULL in the key {list(keys)}")
-        if not newest.where(_null_in_key(by)).isEmpty():
+        living = newest.where(~F.col(quoted(deleted))) if deleted else newest
+        if not living.where(_null_in_key(by)).isEmpty():
             raise ValueError(f"partition columns must not be NULL: {by}")
-        concerned = newest.select(*map(quoted, by))
+        if tombstones and deleted:
+            # Before the table changes: a load that is cut off and repeated finds the same rows.
+            tombstones.bury(newest.where(F.col(quoted(deleted))))
+        concerned = living.select(*map(quoted, by))
+        if key_fixes_partition and deleted:
+            homes = newest.where(F.col(quoted(deleted)) & ~_null_in_key(by))
+            concerned = concerned.unionAll(homes.select(*map(quoted, by)))
         if not key_fixes_partition:
             held = target.select(*map(quoted, dict.fromkeys([*keys, *by])))
             homes = _matching(held, newest.select(*map(quoted, keys)), keys, "left_semi")
             concerned = concerned.unionAll(homes.select(*map(quoted, by)))
         places, places_folder = written_at(concerned.distinct(), f"{table}-places")
+        folders.append(places_folder)
         n_places = places.count()
         groups = -(-n_places // group_size)
         number = F.pmod(F.xxhash64(*map(quoted, by)), F.lit(groups))
         for group in range(groups):
             chosen = places.where(number == group).collect()
             if chosen:
-                _rewrite(spark, table, newest, keys, fields, chosen)
+                _rewrite(spark, table, newest, keys, fields, chosen, deleted)
         return n_places
     finally:
-        for folder in (stage_folder, places_folder):
-            if folder:
-                discard(spark, folder)
+        for folder in folders:
+            discard(spark, folder)
+
+
+def replace_partitions(
+    spark: SparkSession,
+    table: str,
+    rows: DataFrame,
+    partition_by: Sequence[str],
+    places: DataFrame,
+    group_size: int = 500,
+) -> int:
+    """Give the partitions ``places`` (one row each, written) of a catalog table the content that
+    ``rows`` (written) has for them; a partition without rows is dropped.
+
+    New files go to folders of their own and the catalog is pointed there, as in
+    ``upsert_partitions``; replaced files stay until ``clean_replaced``. Returns the number of
+    partitions replaced.
+    """
+    target = spark.table(table)
+    by = list(partition_by)
+    fields = [target.schema[name] for name in by]
+    root = table_location(spark, table)
+    n_places = places.count()
+    groups = -(-n_places // group_size)
+    number = F.pmod(F.xxhash64(*map(quoted, by)), F.lit(groups))
+    for group in range(groups):
+        chosen = places.where(number == group).select(*map(quoted, by)).collect()
+        if not chosen:
+            continue
+        clauses = [_partition_clause(place, fields) for place in chosen]
+        wanted = _in_places(by, chosen)
+        before = _folders_of(spark.table(table).where(wanted), by, fields)
+        folder = f"{root}/_loads/{uuid.uuid4().hex}"
+        staged = _in_order(rows.where(wanted), target)
+        staged.hint("rebalance", *by).write.format("parquet").partitionBy(*by).save(folder)
+        folders = _folders_of(spark.read.schema(T.StructType(fields)).parquet(folder), by, fields)
+        _point_to(spark, table, clauses, folders)
+        spark.catalog.refreshTable(table)
+        gone = set(before.values()) - set(folders.values())
+        _retire(spark, root, sorted(old for old in gone if old.startswith(f"{root}/")))
+    return n_places
 
 
 def stage_name(table: str, at: datetime.datetime | None = None) -> str:

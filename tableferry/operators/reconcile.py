@@ -19,6 +19,8 @@ from tableferry.functions.fingerprint import (
     md5_word,
     row_hash,
     row_md5,
+    with_row_hash,
+    with_row_md5,
     word_sums,
 )
 from tableferry.functions.text import canonical_sql, quoted, shown_sql
@@ -70,8 +72,9 @@ def table_checksums(
 
     def sums(name: str, df: DataFrame) -> DataFrame:
         chosen = columns.get(name, df.columns)
-        fingerprint = row_hash(chosen) if typed else row_md5(df, chosen, double_scale, micros)
-        return word_sums(df, fingerprint, name)
+        if typed:
+            return word_sums(with_row_hash(df, chosen), typed, name)
+        return word_sums(with_row_md5(df, chosen, "__fingerprint", double_scale, micros), typed, name)
 
     return checksums_of(_stack([sums(name, df) for name, df in tables.items()]))
 
@@ -554,7 +557,7 @@ def fingerprint_diff(
     compute as well, with doubles and timestamps at the precision of the checksums."""
     columns = list(columns or source.columns)
     marked = [
-        df.selectExpr(f"{row_md5(df, columns, double_scale, micros)} AS fingerprint")
+        with_row_md5(df, columns, "_row_md5", double_scale, micros).selectExpr("_row_md5 AS fingerprint")
         for df in comparable(source, target, columns)
     ]
     return _unequal(*marked, ["fingerprint"])

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Mapping, MutableMapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
@@ -14,7 +14,12 @@ from pyspark.sql import types as T
 from tableferry.functions import types as rules
 from tableferry.functions.types import IGNORED_WORDS, TYPE_MAP, ColumnSpec
 from tableferry.operators.audits import hex_audit
-from tableferry.operators.reconcile import reconcile_checksums, sampled_checksums
+from tableferry.operators.observed import LoadFacts, Watch
+from tableferry.operators.reconcile import (
+    reconcile_checksums,
+    sampled_checksums,
+    table_checksums,
+)
 from tableferry.operators.report import load_report
 from tableferry.operators.shape import conform_table, ignored_columns, prune_unsupported
 from tableferry.sources.csv_files import CsvForm, parse_export, read_export, write_export
@@ -109,10 +114,15 @@ def migrate(
     settings: Settings | None = None,
     specs: Mapping[str, Sequence[ColumnSpec]] | None = None,
     split_keys: Mapping[str, str] | None = None,
+    facts: MutableMapping[str, LoadFacts] | None = None,
 ) -> dict[str, str]:
     """Load every chosen table, replacing its rows; returns errors by table.
 
     A load that Spark repeats after a failure starts from an empty table, so no row is doubled.
+    ``facts`` receives, per table written to files, the count and checksum of the rows as they
+    were written. ``validate`` then compares the target with them and leaves the source alone,
+    so a source that changes meanwhile is no difference. (Through JDBC Spark does not hand the
+    facts on; such tables have none.)
     """
     settings, specs, split_keys = settings or Settings(), specs or {}, split_keys or {}
 
@@ -122,7 +132,12 @@ def migrate(
         )
         if not rows.columns:
             raise ValueError(f"{table} has no column the target supports")
-        target.reload(rows, table)
+        if facts is None or not isinstance(target, FileStore):
+            target.reload(rows, table)
+            return
+        watch = Watch(rows)
+        target.reload(watch.rows, table)
+        facts[table] = watch.facts()
 
     return _run_tables(spark, chosen_tables(tables, settings), load, settings)
 
@@ -162,11 +177,13 @@ def validate(
     keys: Mapping[str, Sequence[str]] | None = None,
     split_keys: Mapping[str, str] | None = None,
     errors: Mapping[str, str] | None = None,
+    facts: Mapping[str, LoadFacts] | None = None,
 ) -> dict[str, DataFrame]:
     """``counts``, ``checksums`` and ``load`` reports, one row per table.
 
     Spark reads both ends once: the pass that makes the (typed, exact) checksums also counts.
-    Without checksums each store counts its own rows. Checksums cover whole tables unless the
+    Tables with ``facts`` (from ``migrate``) are read at the target only, if that holds the types
+    that were written. Without checksums each store counts its own rows. Checksums cover whole tables unless the
     settings name a ``sample_size`` and the table has ``keys``; then each store counts as well.
 
     Nothing that is wrong with a table raises: a table whose load failed (``errors``, from
@@ -175,7 +192,7 @@ def validate(
     """
     settings, specs, split_keys = settings or Settings(), specs or {}, split_keys or {}
     chosen = chosen_tables(tables, settings)
-    keys, messages = keys or {}, dict(errors or {})
+    keys, messages, facts = keys or {}, dict(errors or {}), facts or {}
 
     def counted(store: Store, table: str) -> int | None:
         try:
@@ -184,7 +201,20 @@ def validate(
             messages.setdefault(table, str(error).splitlines()[0])
             return None
 
+    def arrived(table: str) -> tuple | None:
+        """Facts of the load and of the target, or None where the load left none to compare."""
+        if table not in facts or settings.sample_size and table in keys:
+            return None
+        written, theirs = facts[table], target.read(spark, table)
+        if not written.comparable_with(theirs.schema):
+            return None
+        found = table_checksums({table: theirs}, {table: written.schema.names}, typed=True).first()
+        return written.n_rows, found["n_rows"], written.checksum, found["checksum"]
+
     def checked(table: str) -> tuple:
+        found = arrived(table)
+        if found is not None:
+            return found
         ours = conformed(spark, source, table, settings, specs.get(table), split_keys.get(table))
         theirs = scan(spark, target, table, settings, split_keys.get(table))
         if settings.sample_size and table in keys:
@@ -197,15 +227,16 @@ def validate(
             counts = found["source_n_rows"], found["target_n_rows"]
         return *counts, found["source_checksum"], found["target_checksum"]
 
-    def facts(table: str) -> tuple:
+    def outcome(table: str) -> tuple:
         if settings.check_checksum and table not in messages:
             try:
                 return table, *checked(table), None
             except Exception as error:  # noqa: BLE001
                 messages[table] = str(error).splitlines()[0]
-        return table, counted(source, table), counted(target, table), None, None, messages.get(table)
+        n_source = facts[table].n_rows if table in facts else counted(source, table)
+        return table, n_source, counted(target, table), None, None, messages.get(table)
 
-    guarded = inheritable_thread_target(spark)(facts)
+    guarded = inheritable_thread_target(spark)(outcome)
     with ThreadPoolExecutor(max_workers=settings.parallel_tables) as pool:
         rows = spark.createDataFrame(list(pool.map(guarded, chosen)), _FACTS)
 

@@ -8,11 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tableferry.functions.types import describe
-from tableferry.operators import load
+from tableferry.functions.types import ColumnSpec, describe
+from tableferry.operators import generations, load
 from tableferry.operators.gate import TableRules, gate
 from tableferry.operators.shape import conform_table
 from tableferry.plans import migration
+from tableferry.plans.quarantine import load_with_quarantine
+from tableferry.plans.resume import RangeLedger, ResumableLoad
 from tableferry.queries.inputs import (
     FAULTY_ORDERS,
     LINE_COLUMNS,
@@ -25,9 +27,11 @@ from tableferry.queries.shaping import EVENT_SPECS
 from tableferry.session import discard, new_folder
 from tableferry.sources.csv_files import CsvForm
 from tableferry.sources.files import FileStore
+from tableferry.streaming.buckets import BucketStore, bucket_load
 from tableferry.streaming.incremental import incremental_load
 from tableferry.streaming.marks import MarkStore, latest_marks
 from tableferry.streaming.stream import stream_upsert
+from tableferry.streaming.tombstones import TombstoneStore
 
 KEY = ["o_orderkey"]
 CUT = "2024-01-20 00:00:00"
@@ -55,6 +59,82 @@ def upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load.upsert(orders, _staged_orders(orders), KEY, ["o_totalprice"])
 
 
+def _price_versions(orders: DataFrame) -> list[DataFrame]:
+    """Two deliveries of order prices with rising versions: the second one, which brings the older
+    versions of most keys, comes late. Some versions are NULL."""
+    key, price = F.col("o_orderkey"), F.col("o_totalprice")
+    newer = orders.where(key % 5 < 2).withColumns({"o_totalprice": price + 20, "version": F.lit(20) + key % 2})
+    older = orders.where(key % 5 < 3).withColumns(
+        {"o_totalprice": price + 10, "version": F.when(key % 7 == 0, None).otherwise(F.lit(5) + key % 11)}
+    )
+    return [newer, older]
+
+
+def guarded_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders at version 10, then a delivery at version 20 and a late one at versions 5 to 15."""
+    orders = table(spark, sf_dir, "orders")
+    held = orders.withColumn("version", F.lit(10).cast("bigint"))
+    for stage in _price_versions(orders):
+        stage = stage.withColumn("version", F.col("version").cast("bigint"))
+        held = load.guarded_upsert(held, stage, KEY, ["version"])
+    return held.select("o_orderkey", "o_totalprice", "version")
+
+
+def _event_versions(events: DataFrame) -> list[DataFrame]:
+    """Deliveries of events in the wrong order: corrections at version 3 that move events to
+    another day, deletions at version 4, late corrections at version 2 of both, and late rows at
+    version 5 that bring some deleted events back."""
+    number = F.col("event_id") % 10
+    daily = events.withColumn("event_day", F.to_date("ts"))
+
+    def sent(rows: DataFrame, version: int, gone: bool = False) -> DataFrame:
+        return rows.withColumns({"version": F.lit(version), "value": F.col("value") + version, "gone": F.lit(gone)})
+
+    moved = daily.where(number < 3).withColumn("event_day", F.date_add("event_day", 1))
+    deletions = sent(daily.where((number > 1) & (number < 5)), 4, True).withColumn(
+        "event_day", F.lit(None).cast("date")
+    )
+    late = sent(daily.where(number < 6), 2)
+    again = sent(daily.where(number == 4), 5)
+    return [sent(moved, 3), deletions, late, again]
+
+
+def out_of_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table after deliveries that come in the wrong order, with deletions."""
+    events = table(spark, sf_dir, "events").select("event_id", "ts", "value")
+    name = _fresh("events")
+    first = events.withColumns({"event_day": F.to_date("ts"), "version": F.lit(1)})
+    load.create_partitioned(first, name, ["event_day"])
+    stones = TombstoneStore(new_folder(spark, "tombstones"), ["event_id"], ["version"])
+    for stage in _event_versions(events):
+        load.upsert_partitions(
+            spark, name, stage, ["event_id"], ["event_day"], ["version"],
+            guarded=True, deleted="gone", tombstones=stones,
+        )
+    return spark.table(name)
+
+
+def stream_out_of_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same deliveries as files of a stream, each taken up by a run of its own; the deletions
+    are noted before the second half of the files arrives."""
+    events = table(spark, sf_dir, "events").select("event_id", "ts", "value")
+    name = _fresh("events")
+    first = events.withColumns({"event_day": F.to_date("ts"), "version": F.lit(1)})
+    load.create_partitioned(first, name, ["event_day"])
+    arrivals, checkpoint = new_folder(spark, "arrivals"), new_folder(spark, "stream")
+    stones = TombstoneStore(new_folder(spark, "tombstones"), ["event_id"], ["version"])
+    deliveries = _event_versions(events)
+    for some in (deliveries[:2], deliveries[2:]):
+        for delivery in some:
+            delivery.write.mode("append").parquet(arrivals)
+        stream = spark.readStream.schema(deliveries[0].schema).parquet(arrivals)
+        stream_upsert(
+            stream, name, ["event_id"], ["event_day"], checkpoint, ["version"],
+            guarded=True, deleted="gone", tombstones=stones,
+        ).awaitTermination()
+    return spark.table(name)
+
+
 def _staged_lines(lines: DataFrame) -> DataFrame:
     """Whole orders sent anew: every line at double quantity, their last lines left out."""
     return lines.where("l_orderkey % 20 = 0 AND l_linenumber < 4").withColumn(
@@ -112,6 +192,58 @@ def staged_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
     return live.unionByName(old)
 
 
+def swapped_generations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table published twice and taken back once: what a reader that was opened before the second
+    publication reads after it, what the table held then, and what it holds in the end."""
+    orders = table(spark, sf_dir, "orders")
+    name = _fresh("orders")
+    generations.publish(faulty_orders(orders), name, KEY)
+    reader = spark.table(name)
+    generations.publish(orders, name, KEY, [load.same_rows_as(orders, KEY)], [load.same_rows_as(orders, KEY)])
+    generations.clean_generations(spark, name)
+    held = {"open reader": reader, "live": spark.table(name).where("o_orderkey % 2 = 0")}
+    generations.roll_back(spark, name)
+    held["taken back"] = spark.table(name).where("o_orderkey % 2 = 1")
+    one, other, last = (df.withColumn("held_by", F.lit(label)) for label, df in held.items())
+    return one.unionByName(other).unionByName(last)
+
+
+def quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders against a tight schema: the rows that fit, those set aside by reason, and a second
+    load that is refused for its error rate."""
+    specs = [
+        ColumnSpec("o_orderkey", "bigint", nullable=False),
+        ColumnSpec("o_orderpriority", "character varying", length=8),
+        ColumnSpec("o_totalprice", "numeric", precision=7, scale=2),
+    ]
+    price = F.col("o_totalprice")
+    orders = describe(
+        table(spark, sf_dir, "orders").where("o_orderkey % 10 = 0")
+        .withColumn("o_totalprice", F.round(price % 120000, 2)),
+        specs,
+    )
+    target, aside = FileStore(new_folder(spark, "target")), FileStore(new_folder(spark, "aside"))
+    more = {"blocked customer": F.col("o_custkey") % 50 == 0}
+    found = load_with_quarantine(orders, "orders", target, aside, 100.0, keys=KEY, more=more)
+    refused = False
+    try:
+        load_with_quarantine(orders, "orders", FileStore(new_folder(spark, "target")), aside, 0.5, keys=KEY)
+    except load.LoadRefused:
+        refused = True
+    loaded = target.read(spark, "orders").select(
+        "o_orderkey", F.col("o_totalprice").cast("double").alias("o_totalprice"), F.lit("").alias("reasons")
+    )
+    load_with_quarantine(orders, "orders", FileStore(new_folder(spark, "target")), aside, 100.0, keys=KEY, more=more)
+    bad = aside.read(spark, "orders").select("o_orderkey", "o_totalprice", F.array_join("reasons", "; ").alias("reasons"))
+    counts = {
+        "n_rows": F.lit(found.n_rows).cast("long"),
+        "n_loaded": F.lit(found.n_loaded).cast("long"),
+        "n_bad": F.lit(found.n_bad).cast("long"),
+        "refused": F.lit(refused),
+    }
+    return loaded.unionByName(bad).withColumns(counts)
+
+
 def _daily_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").withColumn("event_day", F.to_date("ts"))
 
@@ -171,6 +303,59 @@ def streamed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(name)
 
 
+def late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two loads by fingerprints of days. Between them the source gets rows below its newest moment,
+    one day's values change, some rows and a whole day go. The result shows what each load took."""
+    events = _daily_events(spark, sf_dir)
+    number, day = F.col("event_id") % 100, F.col("event_day")
+    first = events.where((number != 0) | (day != F.lit("2024-01-03").cast("date")))
+    gone = (day == F.lit("2024-01-09").cast("date")) | (
+        (day == F.lit("2024-01-11").cast("date")) & (number < 3)
+    )
+    second = events.where(~gone).withColumn(
+        "value", F.when(day == F.lit("2024-01-06").cast("date"), F.col("value") * 2).otherwise(F.col("value"))
+    )
+    name = _fresh("events")
+    load.create_partitioned(events.limit(0), name, ["event_day"])
+    store_of = BucketStore(new_folder(spark, "buckets"), ["event_day"])
+
+    def commit(stage: DataFrame, places: DataFrame) -> None:
+        load.replace_partitions(spark, name, stage, ["event_day"], places)
+
+    taken = [bucket_load(source, store_of, commit) for source in (first, second, second)]
+    counts = {
+        f"{what}_{i}": F.lit(found[what]).cast("long")
+        for i, found in enumerate(taken, 1) for what in ("new", "changed", "gone", "rows")
+    }
+    return spark.table(name).withColumns(counts)
+
+
+def resumed_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines loaded by key ranges: a first call that ends after two of four groups, one that does
+    the rest and reads nothing twice, and one that has nothing to do. Then the source changes in
+    three places, and a last call reads only the ranges concerned."""
+    lines = table(spark, sf_dir, "lineitem")
+    job = ResumableLoad(
+        FileStore(new_folder(spark, "target")), "lineitem", ["l_orderkey", "l_linenumber"],
+        RangeLedger(new_folder(spark, "ledger")), parts=8, ranges_per_job=2,
+    )
+    calls = [job.run(lines, most_groups=2), job.run(lines), job.run(lines)]
+    low, high = lines.agg(F.min("l_orderkey"), F.max("l_orderkey")).first()
+    changed = lines.where(F.col("l_orderkey") != low).withColumn(
+        "l_quantity", F.when(F.col("l_orderkey") == high, F.col("l_quantity") + 1).otherwise(F.col("l_quantity"))
+    )
+    reopened = job.reopen_changed(changed)
+    calls.append(job.run(changed))
+    facts = {
+        "ranges_loaded": F.array(*[F.lit(call.n_loaded) for call in calls]).cast("string"),
+        "ranges_open": F.array(*[F.lit(call.n_open) for call in calls]).cast("string"),
+        "rows_read_before": F.lit(sum(call.rows_read for call in calls[:3])).cast("long"),
+        "reread_share_below_half": F.lit(0 < calls[3].rows_read < calls[1].rows_read),
+        "reopened": F.lit(len(reopened)).cast("long"),
+    }
+    return job.read(spark).withColumns(facts)
+
+
 def marks_of_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as a log of marks, one table per event type."""
     log = table(spark, sf_dir, "events").select(
@@ -191,12 +376,37 @@ def full_migration(spark: SparkSession, sf_dir: str) -> DataFrame:
     target = FileStore(new_folder(spark, "target"))
     specs = {"events": EVENT_SPECS}
     source = store(sf_dir)
-    migration.migrate(spark, source, target, MIGRATED, specs=specs)
-    reports = migration.validate(spark, source, target, MIGRATED, specs=specs)
+    facts: dict = {}
+    migration.migrate(spark, source, target, MIGRATED, specs=specs, facts=facts)
+    reports = migration.validate(spark, source, target, MIGRATED, specs=specs, facts=facts)
     load_rows = reports["load"].drop("message")
     return load_rows.join(reports["checksums"].select("table_name", "matched"), "table_name")
 
 
+def growing_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A source that gets rows between load and validation: compared with what was loaded, and with
+    the source as it is by then. One of the targets loses a row as well."""
+    source, target = FileStore(new_folder(spark, "source")), FileStore(new_folder(spark, "target"))
+    tables = ["orders", "customer"]
+    for name in tables:
+        source.append(table(spark, sf_dir, name), name)
+    facts: dict = {}
+    migration.migrate(spark, source, target, tables, facts=facts)
+    source.append(table(spark, sf_dir, "orders").where("o_orderkey % 10 = 0"), "orders")
+    lost = table(spark, sf_dir, "customer").where("c_custkey <> 7")
+    target.reload(lost, "customer")
+    told = {"loaded": facts, "read again": None}
+    reports = [
+        migration.validate(spark, source, target, tables, facts=taken) for taken in told.values()
+    ]
+    rows = [
+        report["load"].drop("message").join(report["checksums"].select("table_name", "matched"), "table_name")
+        .withColumn("compared_with", F.lit(label))
+        for label, report in zip(told, reports)
+    ]
+    return rows[0].unionByName(rows[1])
+
+
 def failed_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Outcome of loads that went wrong: a table that is not at the source, one whose target lost
     a column, one whose target file is gone, and one that is sound."""
@@ -275,17 +485,25 @@ def text_migration(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "dedupe_stage": dedupe_stage,
     "upsert": upsert,
+    "guarded_upsert": guarded_upsert,
+    "out_of_order": out_of_order,
+    "stream_out_of_order": stream_out_of_order,
     "delete_insert": delete_insert,
     "deleted_rows": deleted_rows,
     "append_load": append_load,
     "append_conflicts": append_conflicts,
     "reload": reload,
     "staged_reload": staged_reload,
+    "swapped_generations": swapped_generations,
+    "quarantine": quarantine,
     "upsert_partitions": upsert_partitions,
     "incremental_load": incremental,
     "stream_upsert": streamed,
+    "late_rows": late_rows,
+    "resumed_load": resumed_load,
     "latest_marks": marks_of_events,
     "full_migration": full_migration,
+    "growing_source": growing_source,
     "failed_load": failed_load,
     "load_gate": load_gate,
     "text_migration": text_migration,
@@ -304,7 +522,34 @@ WITH stage AS (
 _LINES = ", ".join(LINE_COLUMNS)
 _SENT = "SELECT l_orderkey FROM lineitem WHERE l_orderkey % 20 = 0 AND l_linenumber < 4"
 
+_VERSIONS = """
+WITH sent AS (
+  SELECT o_orderkey, o_totalprice, 10 AS version FROM orders
+  UNION ALL SELECT o_orderkey, o_totalprice + 20, 20 + o_orderkey % 2 FROM orders WHERE o_orderkey % 5 < 2
+  UNION ALL SELECT o_orderkey, o_totalprice + 10,
+                   CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE 5 + o_orderkey % 11 END
+            FROM orders WHERE o_orderkey % 5 < 3)
+SELECT o_orderkey, o_totalprice, version::BIGINT AS version FROM (
+  SELECT *, row_number() OVER (
+    PARTITION BY o_orderkey ORDER BY version DESC NULLS LAST, o_totalprice DESC) AS nth FROM sent)
+WHERE nth = 1
+"""
+_EVENT_VERSIONS = """
+WITH sent AS (
+  SELECT event_id, ts, value, ts::DATE AS event_day, 1 AS version, FALSE AS gone FROM events
+  UNION ALL SELECT event_id, ts, value + 3, ts::DATE + 1, 3, FALSE FROM events WHERE event_id % 10 < 3
+  UNION ALL SELECT event_id, ts, value + 4, NULL, 4, TRUE FROM events WHERE event_id % 10 IN (2, 3, 4)
+  UNION ALL SELECT event_id, ts, value + 2, ts::DATE, 2, FALSE FROM events WHERE event_id % 10 < 6
+  UNION ALL SELECT event_id, ts, value + 5, ts::DATE, 5, FALSE FROM events WHERE event_id % 10 = 4)
+SELECT event_id, ts, value, event_day::DATE AS event_day, version FROM (
+  SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY version DESC) AS nth FROM sent)
+WHERE nth = 1 AND NOT gone
+"""
+
 SQL = {
+    "guarded_upsert": _VERSIONS,
+    "out_of_order": _EVENT_VERSIONS,
+    "stream_out_of_order": _EVENT_VERSIONS,
     "dedupe_stage": """
         SELECT event_id, ts, user_id, event_type, value, props FROM (
           SELECT *, row_number() OVER (
@@ -335,6 +580,27 @@ SQL = {
         WITH {FAULTY_ORDERS}
         SELECT {_ORDERS}, 'live' AS held_by FROM orders
         UNION ALL SELECT {_ORDERS}, 'backup' FROM faulty_orders""",
+    "swapped_generations": f"""
+        WITH {FAULTY_ORDERS}
+        SELECT {_ORDERS}, 'open reader' AS held_by FROM faulty_orders
+        UNION ALL SELECT {_ORDERS}, 'live' FROM orders WHERE o_orderkey % 2 = 0
+        UNION ALL SELECT {_ORDERS}, 'taken back' FROM faulty_orders WHERE o_orderkey % 2 = 1""",
+    "quarantine": """
+        WITH rows AS (
+          SELECT * REPLACE (round(o_totalprice % 120000, 2) AS o_totalprice)
+          FROM orders WHERE o_orderkey % 10 = 0),
+        tested AS (
+          SELECT o_orderkey, o_totalprice, concat_ws('; ',
+                   CASE WHEN o_totalprice >= 99999.995 THEN 'o_totalprice: decimal_misfit' END,
+                   CASE WHEN length(o_orderpriority) > 8 THEN 'o_orderpriority: too_long' END,
+                   CASE WHEN o_custkey % 50 = 0 THEN 'blocked customer' END) AS reasons
+          FROM rows)
+        SELECT o_orderkey, o_totalprice, reasons,
+               (SELECT count(*) FROM tested) AS n_rows,
+               (SELECT count(*) FROM tested WHERE reasons = '') AS n_loaded,
+               (SELECT count(*) FROM tested WHERE reasons <> '') AS n_bad,
+               (SELECT count(*) FROM tested WHERE reasons LIKE '%:%') * 200 > (SELECT count(*) FROM tested) AS refused
+        FROM tested""",
     "upsert_partitions": """
         WITH changed AS (
           SELECT event_id,
@@ -362,6 +628,32 @@ SQL = {
                                THEN value + 1 ELSE value END AS value),
                ts::DATE AS event_day
         FROM events""",
+    "late_rows": """
+        WITH e AS (SELECT *, ts::DATE AS event_day FROM events),
+        first AS (SELECT * FROM e WHERE event_id % 100 <> 0 OR event_day <> DATE '2024-01-03'),
+        second AS (
+          SELECT * REPLACE (CASE WHEN event_day = DATE '2024-01-06' THEN value * 2 ELSE value END AS value)
+          FROM e WHERE NOT (event_day = DATE '2024-01-09'
+                            OR event_day = DATE '2024-01-11' AND event_id % 100 < 3)),
+        a AS (SELECT event_day, count(*) AS n, sum(hash(e1)::HUGEINT) AS h FROM first AS e1 GROUP BY 1),
+        b AS (SELECT event_day, count(*) AS n, sum(hash(e2)::HUGEINT) AS h FROM second AS e2 GROUP BY 1),
+        c AS (SELECT a.n AS na, b.n AS nb, a.n IS DISTINCT FROM b.n OR a.h IS DISTINCT FROM b.h AS differs
+              FROM a FULL JOIN b USING (event_day))
+        SELECT *, (SELECT count(*) FROM a) AS new_1, 0::BIGINT AS changed_1, 0::BIGINT AS gone_1,
+               (SELECT count(*) FROM first) AS rows_1,
+               (SELECT count(*) FROM c WHERE na IS NULL) AS new_2,
+               (SELECT count(*) FROM c WHERE na IS NOT NULL AND nb IS NOT NULL AND differs) AS changed_2,
+               (SELECT count(*) FROM c WHERE nb IS NULL) AS gone_2,
+               (SELECT sum(nb) FROM c WHERE differs)::BIGINT AS rows_2,
+               0::BIGINT AS new_3, 0::BIGINT AS changed_3, 0::BIGINT AS gone_3, 0::BIGINT AS rows_3
+        FROM second""",
+    "resumed_load": f"""
+        SELECT {_LINES}, '[4, 4, 0, 2]' AS ranges_loaded, '[4, 0, 0, 0]' AS ranges_open,
+               (SELECT count(*) FROM lineitem) AS rows_read_before,
+               TRUE AS reread_share_below_half, 2::BIGINT AS reopened
+        FROM (SELECT * REPLACE (CASE WHEN l_orderkey = (SELECT max(l_orderkey) FROM lineitem)
+                                     THEN l_quantity + 1 ELSE l_quantity END AS l_quantity)
+              FROM lineitem WHERE l_orderkey <> (SELECT min(l_orderkey) FROM lineitem))""",
     "latest_marks": """
         SELECT event_type AS table_name, max(ts) AS last_sync_time,
                arg_max(event_id, ts) AS last_sync_count, 'success' AS status,
@@ -372,6 +664,19 @@ SQL = {
         f"0::BIGINT AS failed, count(*) AS total, TRUE AS matched FROM {name}"
         for name in MIGRATED
     ),
+    "growing_source": """
+        WITH n AS (
+          SELECT 'orders' AS table_name, count(*) AS loaded,
+                 count(*) + count(*) FILTER (o_orderkey % 10 = 0) AS held, count(*) AS target
+          FROM orders
+          UNION ALL
+          SELECT 'customer', count(*), count(*), count(*) FILTER (c_custkey <> 7) FROM customer)
+        SELECT table_name, CASE WHEN target = loaded THEN 'success' ELSE 'partial' END AS status,
+               target AS migrated, loaded - target AS failed, loaded AS total,
+               target = loaded AS matched, 'loaded' AS compared_with FROM n
+        UNION ALL
+        SELECT table_name, CASE WHEN target = held THEN 'success' ELSE 'partial' END,
+               target, held - target, held, target = held, 'read again' FROM n""",
     "failed_load": """
         SELECT 'customer' AS table_name, 'success' AS status, count(*) AS migrated,
                0::BIGINT AS failed, count(*) AS total, FALSE AS has_message FROM customer

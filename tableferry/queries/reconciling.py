@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tableferry.operators import reconcile
 from tableferry.operators.report import load_report, report_totals
+from tableferry.operators.sketch_diff import sketch_diff
 from tableferry.queries.inputs import (
     CUSTOMER_MD5,
     FAULTY_LINEITEM,
@@ -94,6 +95,11 @@ def row_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reconcile.row_diff(*_orders(spark, sf_dir), KEY)
 
 
+def row_diff_by_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """By sketches that are too small at first and have to grow."""
+    return sketch_diff(*_orders(spark, sf_dir), KEY, first_cells=96)
+
+
 def row_diff_by_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reconcile.row_diff_by_range(*_orders(spark, sf_dir), KEY[0])
 
@@ -179,6 +185,7 @@ QUERIES = {
     "sampled_checksum_short_source": sampled_short_source,
     "checksum_precision": checksum_precision,
     "row_diff": row_diff,
+    "row_diff_by_sketch": row_diff_by_sketch,
     "row_diff_by_range": row_diff_by_range,
     "row_diff_summary": row_diff_summary,
     "row_diff_repeated_keys": row_diff_repeated_keys,
@@ -316,6 +323,8 @@ SQL = {
         SELECT 'value', bool_and(value = value + 1e-6), bool_and(value = value + 1e-6) FROM one""",
     "row_diff": _ROW_STATUS
     + "SELECT o_orderkey, status, n_source, n_target FROM pairs WHERE status <> 'same'",
+    "row_diff_by_sketch": _ROW_STATUS
+    + "SELECT o_orderkey, status, n_source, n_target FROM pairs WHERE status <> 'same'",
     "row_diff_by_range": _ROW_STATUS
     + "SELECT o_orderkey, status, n_source, n_target FROM pairs WHERE status <> 'same'",
     "row_diff_summary": _ROW_STATUS

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -17,6 +19,7 @@ from tableferry.sources.csv_files import (
     write_export,
 )
 from tableferry.sources.files import FileStore
+from tableferry.sources.key_ranges import in_key_range, key_cuts, key_ranges, range_number
 from tableferry.sources.ranges import key_bounds, split_number
 
 SPLITS = 8
@@ -61,6 +64,39 @@ WITH bounds AS (SELECT min(o_orderkey) AS low, max(o_orderkey) AS high FROM orde
 """
 
 
+def _range_sizes(df: DataFrame, keys: list[str], parts: int) -> DataFrame:
+    """Rows that the ranges hold together, by filter and by number, how many ranges there are, and
+    whether none is more than a fifth larger or smaller than the mean."""
+    cuts = key_cuts(df, keys, parts)
+    numbered = df.select(range_number(keys, cuts).alias("part"), *keys)
+    held = reduce(
+        Column.__or__,
+        [(F.col("part") == n) & in_key_range(keys, *ends) for n, ends in enumerate(key_ranges(cuts))],
+    )
+    sizes = numbered.where(held).groupBy("part").agg(F.count(F.lit(1)).alias("n"))
+    mean = F.sum("n") / F.lit(parts)
+    return sizes.agg(
+        F.count(F.lit(1)).alias("n_ranges"),
+        F.sum("n").alias("n_rows"),
+        ((F.max("n") <= mean * 1.2) & (F.min("n") >= mean * 0.8)).alias("balanced"),
+    )
+
+
+def range_split_composite(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines cut into sixteen ranges of (order, line number), and customers into eight of (market
+    segment, name), both texts; NULL segments first."""
+    lines = table(spark, sf_dir, "lineitem")
+    customers = table(spark, sf_dir, "customer").withColumn(
+        "c_mktsegment", F.when(F.col("c_custkey") % 9 == 0, None).otherwise(F.col("c_mktsegment"))
+    )
+    sizes = {
+        "lineitem": _range_sizes(lines, ["l_orderkey", "l_linenumber"], 16),
+        "customer": _range_sizes(customers, ["c_mktsegment", "c_name"], 8),
+    }
+    one, other = (df.withColumn("table_name", F.lit(name)) for name, df in sizes.items())
+    return one.unionByName(other)
+
+
 def target_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     target = FileStore(new_folder(spark, "target"))
     target.reload(table(spark, sf_dir, "supplier"), "supplier")
@@ -144,6 +180,7 @@ def csv_roundtrip_types(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "partitioned_scan": partitioned_scan,
     "range_split": range_split,
+    "range_split_composite": range_split_composite,
     "target_scan": target_scan,
     "prune_unsupported": prune_json,
     "prune_unsupported_arrays": prune_arrays,
@@ -164,6 +201,10 @@ _CONFORMED = """
 """
 
 SQL = {
+    "range_split_composite": """
+        SELECT 16::BIGINT AS n_ranges, count(*) AS n_rows, TRUE AS balanced, 'lineitem' AS table_name
+        FROM lineitem
+        UNION ALL SELECT 8, count(*), TRUE, 'customer' FROM customer""",
     "partitioned_scan": _BOUNDED + "SELECT * FROM scan",
     "range_split": _BOUNDED + """
         SELECT split_id, count(*) AS n_rows, min(o_orderkey) AS first_key,
