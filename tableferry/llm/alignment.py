@@ -6,10 +6,10 @@ before a text; A is given the text with that blank. Every token has a range of b
 covers it, from A to B and from B to A. The union of both directions holds every overlapping pair.
 Where both tokens of an overlap end alike, a group ends; all A and B tokens of a group are linked.
 
-Words are encoded once per task and remembered (``memo``): a text is cut before a blank or line
-break that stands alone between two visible signs. Neither tokenizer's tokens span such a place,
-so the ids are those of the whole text, and it is a common end of both sides. Longer texts are
-worked on in slices between such places.
+A text is cut into words before each blank or line break that stands alone between two visible
+signs. Neither tokenizer's tokens span such a place, so the ids are those of the whole text, and it
+is a common end of both sides. The different words of some megabytes of text are encoded once, in
+one run of each tokenizer. Longer texts are worked on in slices between such places.
 
 Corpus counts: per document, equal links are one pair with its number of links, written once. A
 pair's count is the number of documents (rows) that hold it. The ``FREQUENT`` pairs of the largest
@@ -32,14 +32,15 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import sentencepiece
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tableferry.llm.bpe import byte_signs
-from tableferry.llm.memo import SLICE_BYTES, Memo, text_slices
+from tableferry.llm.bpe import byte_signs, coder
+from tableferry.llm.slices import SLICE_BYTES, spread, text_slices
 from tableferry.session import written
 
 #: Pairs that every task gets, whatever the corpus.
@@ -49,24 +50,71 @@ BLOCK = 1 << 20
 #: Pairs in a row, so that Arrow batches of rows stay small.
 ROW_PAIRS = 1024
 _BITS = 20  # a pair is A's id << _BITS | B's id
+#: Bytes of text whose words are encoded together, words a tokenizer gets in one text, and bytes of
+#: text that are aligned at a time.
+WORDS_BYTES = 4 << 20
+RUN_WORDS = 20_000
+ALIGNED_BYTES = 1 << 19
+
 _PLACE = re.compile(r"(?<=\S)(?=[ \n]\S)")
+#: Texts in which not every blank and line break is such a place, or that hold the sign of a cut.
+_ODD = re.compile(r"\s\s|\s\Z|\0")
+#: Words that keep their ids among others: no white space but the sign in front.
+_WORD = re.compile(r"[ \n]\S+")
 
 
 # -- the two tokenizers -----------------------------------------------------------------------
 
 
 class Side:
-    """One tokenizer: ids of a text's words, bytes of every id."""
+    """One tokenizer: the ids of words, and the bytes of every id.
+
+    ``together`` encodes a text that many words make up, ``alone`` each text of a list.
+    """
 
-    def __init__(self, pieces: list[bytes], encode):
-        self.pieces = pieces
+    def __init__(self, pieces: list[bytes], together, alone):
+        self.pieces, self.together, self.alone = pieces, together, alone
         self.sizes = np.array([len(p) for p in pieces], np.int64)
         if len(pieces) > 1 << _BITS:
             raise ValueError(f"a vocabulary of more than {1 << _BITS} entries")
-        self.memo = Memo(encode)
 
-    def ids(self, words: list[str]) -> np.ndarray:
-        return np.frombuffer(b"".join(self.memo.of(words)), np.int32)
+    def spells(self, ids: list[int], text: str) -> bool:
+        return b"".join(map(self.pieces.__getitem__, ids)) == text.encode()
+
+    def run(self, words: list[str]) -> list[bytes] | None:
+        """The ids of words that stand one after the other; None if they do not spell them."""
+        text = "".join(words)
+        ids = self.together(text)
+        if not self.spells(ids, text):
+            return None
+        ids = np.array(ids, np.int32)
+        ends = np.cumsum(self.sizes[ids])
+        stops = np.cumsum([len(w.encode()) for w in words])
+        last = np.searchsorted(ends, stops)
+        if (ends[last] != stops).any():
+            return None
+        data, cuts = ids.tobytes(), [0, *(4 * (last + 1)).tolist()]
+        return [data[x:y] for x, y in zip(cuts, cuts[1:])]
+
+    def encode(self, words: list[str]) -> tuple[list[bytes], np.ndarray]:
+        """The ids of each word (32-bit numbers as bytes), and whether their bytes spell it."""
+        made: list = [b""] * len(words)
+        spelt = np.ones(len(words), bool)
+        joined, rest = [], []
+        for i, word in enumerate(words):
+            if word:
+                (joined if _WORD.fullmatch(word) else rest).append(i)
+        for at in range(0, len(joined), RUN_WORDS):
+            part = joined[at : at + RUN_WORDS]
+            found = self.run([words[i] for i in part])
+            if found is None:
+                rest += part
+            else:
+                for i, ids in zip(part, found):
+                    made[i] = ids
+        for i, ids in zip(rest, self.alone([words[i] for i in rest])):
+            made[i], spelt[i] = np.array(ids, np.int32).tobytes(), self.spells(ids, words[i])
+        return made, spelt
 
 
 @lru_cache(maxsize=1)
@@ -80,19 +128,19 @@ def byte_side(path: str) -> Side:
     names = [tokenizer.id_to_token(i) or "" for i in range(max(tokenizer.get_vocab().values()) + 1)]
     pieces = [bytes(signs[c] for c in name) if all(c in signs for c in name) else name.encode() for name in names]
 
-    def encode(words: list[str]) -> list[bytes]:
-        made = tokenizer.encode_batch_fast(words, add_special_tokens=False)
-        return [np.array(one.ids, np.int32).tobytes() for one in made]
+    def alone(texts: list[str]) -> list[list[int]]:
+        return [one.ids for one in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    return Side(pieces, encode)
+    # The same merges in tiktoken, which takes special tokens' strings for plain text here.
+    return Side(pieces, coder(path).core.encode_ordinary, alone)
 
 
 @lru_cache(maxsize=1)
 def piece_side(path: str) -> Side:
     """Piece model with byte fallback; it puts a blank before each text, written as U+2581.
 
-    A word that begins with its blank is encoded without it. One that begins with a line break
-    has the model's own blank as a token of its own in front, which goes.
+    A text that begins with its blank is encoded without it. One that begins with a line break has
+    the model's own blank as a token of its own in front, which goes.
     """
     model = sentencepiece.SentencePieceProcessor(model_file=path)
     names = [model.id_to_piece(i) for i in range(model.vocab_size())]
@@ -107,18 +155,11 @@ def piece_side(path: str) -> Side:
         for i, name in enumerate(names)
     ]
 
-    def encode(words: list[str]) -> list[bytes]:
-        made = model.encode([w[1:] if w[0] == " " else w for w in words], num_threads=1)
-        out = []
-        for word, ids in zip(words, made):
-            if word[0] != " ":
-                if not ids or ids[0] != own:
-                    raise AssertionError("the blank in front is no token of its own")
-                ids = ids[1:]
-            out.append(np.array(ids, np.int32).tobytes())
-        return out
+    def alone(texts: list[str]) -> list[list[int]]:
+        made = model.encode([t[1:] if t[0] == " " else t for t in texts], num_threads=1)
+        return [ids if text[0] == " " else ids[1:] if ids[:1] == [own] else [] for text, ids in zip(texts, made)]
 
-    return Side(pieces, encode)
+    return Side(pieces, lambda text: alone([text])[0], alone)
 
 
 # -- one batch --------------------------------------------------------------------------------
@@ -136,24 +177,46 @@ def parts(text: str, most: int = SLICE_BYTES):
     yield whole[at:]
 
 
-def encoded(side: Side, texts: list[str]) -> tuple[list[np.ndarray], np.ndarray]:
-    """The ids of each text, and whether their bytes spell it."""
-    made = [side.ids(_PLACE.split(text) if text else []) for text in texts]
-    spelt = np.array(
-        [b"".join(map(side.pieces.__getitem__, ids.tolist())) == text.encode() for ids, text in zip(made, texts)], bool
-    )
-    return made, spelt
-
-
-def frame(side: Side, made: list[np.ndarray], good: np.ndarray, starts: np.ndarray) -> pd.DataFrame:
-    """(doc, start, end, id) of the tokens of the ``good`` texts, in order; positions run on over
-    the texts, so that they are sorted."""
-    made = [ids if kept else ids[:0] for ids, kept in zip(made, good)]
+def cut_words(texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """(different words, number of each word of the texts in order, words of each text)."""
+    plain = [not _ODD.search(text) for text in texts]
+    marked = [t.replace(" ", "\0 ").replace("\n", "\0\n") for t, fits in zip(texts, plain) if fits]
+    split = pc.split_pattern(pa.array(marked, pa.string()), "\0")
+    others = [_PLACE.split(text) for text, fits in zip(texts, plain) if not fits]
+    words = pa.chunked_array([split.flatten(), pa.array([w for ws in others for w in ws], pa.string())])
+    coded = words.combine_chunks().dictionary_encode()
+    # In the order of the texts, those of either kind come one after the other.
+    counts = np.zeros(len(texts), np.int64)
+    kind = np.array(plain, bool)
+    counts[kind] = pc.list_value_length(split).to_numpy(zero_copy_only=False)
+    counts[~kind] = [len(ws) for ws in others]
+    starts = np.zeros(len(texts), np.int64)
+    order = np.concatenate([np.flatnonzero(kind), np.flatnonzero(~kind)])
+    starts[order] = np.cumsum(counts[order]) - counts[order]
+    index = np.repeat(starts - (np.cumsum(counts) - counts), counts) + np.arange(int(counts.sum()))
+    return coded.dictionary.to_pylist(), coded.indices.to_numpy(zero_copy_only=False)[index], counts
+
+
+def encoded(sides: tuple[Side, Side], texts: list[str]) -> list[tuple[np.ndarray, np.ndarray, bool]]:
+    """For each text its ids on both sides, and whether the bytes of both spell it."""
+    different, word, counts = cut_words(texts)
+    ids, good = [], np.ones(len(texts), bool)
+    for side in sides:
+        made, spelt = side.encode(different)
+        ids.append(spread(word, counts, made, "<i4"))
+        ends = np.cumsum(counts)
+        wrong = np.append(0, np.cumsum(~spelt[word]))
+        good &= wrong[ends] == wrong[ends - counts]
+    return list(zip(*ids, good.tolist()))
+
+
+def frame(side: Side, made: list[np.ndarray], starts: np.ndarray) -> pd.DataFrame:
+    """(doc, start, end, id) of the tokens of texts, in order; positions run on over the texts, so
+    that they are sorted. ``starts``: where each text begins, whether or not it has tokens."""
     doc = np.repeat(np.arange(len(made)), [len(ids) for ids in made])
     ids = np.concatenate(made)
     sizes = side.sizes[ids]
     ends = np.cumsum(sizes)
-    # A text begins at its own place, whether or not those before it have tokens.
     before = np.concatenate([[0], np.cumsum(np.bincount(doc, sizes, len(made)))[:-1]]).astype(np.int64)
     ends = ends + (starts - before)[doc]
     return pd.DataFrame({"doc": doc.astype(np.int64), "start": ends - sizes, "end": ends, "id": ids.astype(np.int64)})
@@ -173,8 +236,10 @@ def overlaps(a: pd.DataFrame, b: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
     if not len(a):
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
     in_b, in_a = covering(a, b), covering(b, a)
-    keys = np.concatenate([np.arange(len(a)) << 32 | in_b, in_a << 32 | np.arange(len(b))])
-    keys = np.unique(keys)
+    # Pairs that start together are found from both sides and taken once.
+    inner = np.flatnonzero(a["start"].to_numpy()[in_a] != b["start"].to_numpy())
+    keys = np.concatenate([np.arange(len(a)) << 32 | in_b, in_a[inner] << 32 | inner])
+    keys.sort(kind="stable")  # two sorted runs
     return keys >> 32, keys & 0xFFFFFFFF
 
 
@@ -190,18 +255,15 @@ class Aligned:
     n_groups: int
 
 
-def aligned(side_a: Side, side_b: Side, texts: list[str]) -> tuple[Aligned, np.ndarray]:
-    """The alignment of the texts that both sides spell, and which ones those are."""
-    made_a, good_a = encoded(side_a, texts)
-    made_b, good_b = encoded(side_b, texts)
-    good = good_a & good_b
-    starts = np.cumsum([0] + [len(t.encode()) for t in texts])[:-1]
-    a, b = (frame(side, made, good, starts) for side, made in ((side_a, made_a), (side_b, made_b)))
+def aligned(sides: tuple[Side, Side], texts: list[tuple[int, np.ndarray, np.ndarray]]) -> Aligned:
+    """The alignment of texts given by their number of bytes and their ids on both sides."""
+    starts = np.cumsum([0] + [size for size, _, _ in texts])[:-1]
+    a, b = (frame(side, [t[i] for t in texts], starts) for i, side in enumerate(sides, 1))
     row_a, row_b = overlaps(a, b)
     end_a, end_b = a["end"].to_numpy(), b["end"].to_numpy()
     ends = end_a[row_a][end_a[row_a] == end_b[row_b]]  # once each, rising
     group_a, group_b = np.searchsorted(ends, end_a), np.searchsorted(ends, end_b)
-    return Aligned(a, b, (row_a, row_b), group_a, group_b, len(ends)), good
+    return Aligned(a, b, (row_a, row_b), group_a, group_b, len(ends))
 
 
 def linked_pairs(found: Aligned):
@@ -300,51 +362,59 @@ class Document:
         return summed(np.zeros(len(pairs), np.int64), pairs, links)[1:]
 
 
-def _documents(rows, sides: tuple[Side, Side], shown: Spelling):
-    """A finished Document for each (doc_id, text), in order, worked on in batches of texts."""
-    waiting: list[tuple[Document, str, bool]] = []  # document, slice, whether it is its last
-    held = 0
+_NONE = np.zeros(0, np.int32)
+
 
-    def flush():
-        found, good = aligned(*sides, [text for _, text, _ in waiting])
-        n_texts = len(waiting)
-        counts = np.stack(
-            [
-                np.bincount(found.a["doc"], minlength=n_texts),
-                np.bincount(found.b["doc"], minlength=n_texts),
-                np.bincount(found.a["doc"].to_numpy()[np.append(found.group_a[1:] != found.group_a[:-1], True)[: len(found.a)]], minlength=n_texts),
-            ],
-            axis=1,
-        )
-        made = [summed(*part) for part in linked_pairs(found)]
-        docs, pairs, links = summed(*(np.concatenate(x) for x in zip(*made))) if made else (np.zeros(0, np.int64),) * 3
+def _finished(waiting: list[tuple[Document, str, bool]], sides: tuple[Side, Side], shown: Spelling):
+    """The documents that end among the slices ``waiting`` (document, slice, whether its last)."""
+    made = encoded(sides, [text for _, text, _ in waiting])
+    at = 0
+    while at < len(waiting):
+        # Some slices at a time are aligned; their words were encoded together.
+        stop, held = at, 0
+        while stop < len(waiting) and (stop == at or held < ALIGNED_BYTES):
+            held += len(waiting[stop][1])
+            stop += 1
+        part = waiting[at:stop]
+        texts = [
+            (len(text.encode()), ids_a, ids_b) if good else (0, _NONE, _NONE)
+            for (_, text, _), (ids_a, ids_b, good) in zip(part, made[at:stop])
+        ]
+        found, n_texts = aligned(sides, texts), len(part)
+        first = np.append(found.group_a[1:] != found.group_a[:-1], True)[: len(found.a)]
+        owners = found.a["doc"].to_numpy(), found.b["doc"].to_numpy(), found.a["doc"].to_numpy()[first]
+        counts = np.stack([np.bincount(owner, minlength=n_texts) for owner in owners], axis=1)
+        sums = [summed(*links) for links in linked_pairs(found)]
+        docs, pairs, links = summed(*(np.concatenate(x) for x in zip(*sums))) if sums else (np.zeros(0, np.int64),) * 3
         ends = np.searchsorted(docs, np.arange(n_texts + 1))
-        texts = shown.texts(found, n_texts)
-        for i, (document, _, last) in enumerate(waiting):
-            document.good &= bool(good[i])
+        groups = shown.texts(found, n_texts)
+        for i, (document, _, last) in enumerate(part):
+            document.good &= made[at + i][2]
             if document.good:
-                document.add(counts[i], texts[i], pairs[ends[i] : ends[i + 1]], links[ends[i] : ends[i + 1]])
+                document.add(counts[i], groups[i], pairs[ends[i] : ends[i + 1]], links[ends[i] : ends[i + 1]])
             if last:
                 yield document
+        at = stop
 
+
+def _documents(rows, sides: tuple[Side, Side], shown: Spelling):
+    """A finished Document for each (doc_id, text), in order."""
+    waiting: list[tuple[Document, str, bool]] = []
+    held = 0
     for doc_id, text in rows:
-        document = Document(doc_id)
-        if not text:
-            waiting.append((document, "", True))
-            document.good = False
-            continue
-        slices = parts(text)
+        document = Document(doc_id, bool(text))
+        slices = parts(text) if text else iter([""])
         part = next(slices)
         while part is not None:
             after = next(slices, None)
             waiting.append((document, part, after is None))
             held += len(part)
             part = after
-            if held > SLICE_BYTES // 2:
-                yield from flush()
+            if held > WORDS_BYTES:
+                yield from _finished(waiting, sides, shown)
                 waiting, held = [], 0
     if waiting:
-        yield from flush()
+        yield from _finished(waiting, sides, shown)
 
 
 _DOCS = pa.schema(
@@ -373,7 +443,7 @@ def documents(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
         shown = Spelling(len(sides[0].pieces), len(sides[1].pieces))
         row = TaskContext.get().partitionId() << 40
         for batch in batches:
-            for part in text_slices(batch, 1, 4 * SLICE_BYTES):
+            for part in text_slices(batch, 1, WORDS_BYTES):
                 out = []
                 for document in _documents(zip(part.column(0).to_pylist(), part.column(1).to_pylist()), sides, shown):
                     good = document.good
@@ -403,11 +473,11 @@ def token_overlaps(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
         sides = byte_side(path_a), piece_side(path_b)
         for batch in batches:
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                if not text or not all(aligned(*sides, [part])[1][0] for part in parts(text)):
+                if not text or not all(good for part in parts(text) for _, _, good in encoded(sides, [part])):
                     continue
                 at = groups = 0
                 for part in parts(text):
-                    found, _ = aligned(*sides, [part])
+                    found = aligned(sides, [(len(part.encode()), *encoded(sides, [part])[0][:2])])
                     a, b = found.a.iloc[found.pairs[0]], found.b.iloc[found.pairs[1]]
                     columns = [a["id"], a["start"] + at, a["end"] + at, b["id"], b["start"] + at, b["end"] + at, found.group_a[found.pairs[0]] + groups]
                     owner = pa.array([doc_id] * len(a), pa.int64())

@@ -47,7 +47,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tableferry.llm.bpe import byte_signs
-from tableferry.llm.memo import text_slices
+from tableferry.llm.slices import spread, text_slices
 from tableferry.session import written
 
 CAPACITY = 2048
@@ -338,16 +338,9 @@ def ids_of(coder: WordCoder, texts: pa.Array) -> list[bytes]:
     split = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
     coded = split.flatten().dictionary_encode()
     made = coder.encode(coded.dictionary.cast(pa.binary()).to_pylist())
-    each = np.array([len(ids) // 4 for ids in made], np.int64)
-    flat = np.frombuffer(b"".join(made), "<u4")
     word = coded.indices.to_numpy(zero_copy_only=False)
-    size = each[word]
-    ends = np.cumsum(size)
-    first = np.cumsum(each)[word] - ends  # where a word's ids are, less where they go
-    ids = flat[np.repeat(first, size) + np.arange(len(word) and int(ends[-1]))]
-    last = np.cumsum(pc.list_value_length(split).to_numpy(zero_copy_only=False))
-    stops = [0, *np.append(0, ends)[last].tolist()]
-    return [ids[x:y].tobytes() for x, y in zip(stops, stops[1:])]
+    sizes = pc.list_value_length(split).to_numpy(zero_copy_only=False)
+    return [ids.tobytes() for ids in spread(word, sizes, made, "<u4")]
 
 
 def long_ids(coder: WordCoder, text: str):

@@ -26,9 +26,14 @@ from pyspark.sql import functions as F
 
 from tableferry.llm.common import held_out
 from tableferry.llm.samples import labelled_sample, one_label
+from tableferry.llm.slices import text_slices
 
 PASSAGE_BYTES = 800
+#: Bytes of a text whose passages are held at a time.
+BLOCK_BYTES = 1 << 16
 SAMPLE_BOUND = 4000
+#: Passages that the fit takes of a document (a score takes all).
+SAMPLE_PASSAGES = 4096
 ACCEPT = 0.7
 
 
@@ -64,7 +69,11 @@ WIDTH = N_FINE + N_COARSE * N_COARSE + 3
 
 def passages(text: str | None) -> np.ndarray:
     """One row of features per passage of the whole text."""
-    raw = (text or "").encode("utf-8", "surrogatepass")
+    return np.concatenate(list(blocks(text)))
+
+
+def features(raw: bytes) -> np.ndarray:
+    """One row of features per passage of some lines."""
     data = np.frombuffer(raw, np.uint8)
     if len(data) == 0:
         return np.zeros((1, WIDTH), np.float32)
@@ -94,6 +103,31 @@ def passages(text: str | None) -> np.ndarray:
     return out
 
 
+def blocks(text: str | None, most: int = BLOCK_BYTES):
+    """Features of the passages of a text, block by block: a block ends at a line's end, or at a
+    passage's end within a long line, so the passages are those of the whole text."""
+    raw = (text or "").encode("utf-8", "surrogatepass")
+    at = 0
+    while len(raw) - at > most:
+        cut = raw.rfind(b"\n", at, at + most) + 1
+        if cut <= at:
+            cut = at + most // PASSAGE_BYTES * PASSAGE_BYTES
+        yield features(raw[at:cut])
+        at = cut
+    yield features(raw[at:])
+
+
+def thinned(text: str | None, most: int = SAMPLE_PASSAGES) -> np.ndarray:
+    """Features of a document of the sample: at most ``most`` passages, evenly spread over the whole
+    text (each block gives its share, so no more than a block's are held besides)."""
+    parts = []
+    size = max(1, len((text or "").encode("utf-8", "surrogatepass")))
+    for rows in blocks(text):
+        share = max(1, int(most * min(1.0, BLOCK_BYTES / size)))
+        parts.append(rows[np.unique(np.linspace(0, len(rows) - 1, min(share, len(rows))).astype(int))])
+    return np.concatenate(parts)
+
+
 def _sigmoid(x):
     return 1.0 / (1.0 + np.exp(-np.clip(x, -30, 30)))
 
@@ -119,6 +153,18 @@ class AttentionModel:
     def score(self, rows: np.ndarray, starts: np.ndarray) -> np.ndarray:
         return self.forward(rows, starts)[-1]
 
+    def score_long(self, parts) -> float:
+        """The score of one document whose passages come in parts; only sums are held."""
+        p, top, total, z = self.parts, -np.inf, 0.0, 0.0
+        for rows in parts:
+            x = np.clip((rows - self.mean) / self.scale, -6, 6)
+            e = np.tanh(x @ p["We"] + p["be"])
+            weight = (np.tanh(e @ p["V"]) * _sigmoid(e @ p["U"])) @ p["w"]
+            higher = max(top, float(weight.max()))
+            own, faded = np.exp(weight - higher), np.exp(top - higher)
+            total, z, top = total * faded + own.sum(), z * faded + own @ e, higher
+        return float(_sigmoid(z / total @ p["c"] + p["c0"])[0])
+
 
 class ConstantModel:
     """The same score for every document."""
@@ -129,6 +175,9 @@ class ConstantModel:
     def score(self, rows, starts):
         return np.full(len(starts), self.value)
 
+    def score_long(self, parts):
+        return self.value
+
 
 def train(bags: list[np.ndarray], labels: np.ndarray, epochs: int = 20, hidden: int = 24, seed: int = 7):
     """Adam on the logistic loss, by hand-written gradients."""
@@ -183,9 +232,8 @@ def fit(docs: DataFrame, labels: DataFrame, bound: int = SAMPLE_BOUND):
     def features(batches):
         for batch in batches:
             for text, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([passages(text).tobytes()], pa.binary()), pa.array([label], pa.int32())], ["bag", "label"]
-                )
+                bag = thinned(text).tobytes()
+                yield pa.RecordBatch.from_arrays([pa.array([bag], pa.binary()), pa.array([label], pa.int32())], ["bag", "label"])
 
     rows = sample.select("text", "label").mapInArrow(features, "bag binary, label int").collect()
     # The order of the tasks' rows must not change the fit.
@@ -194,19 +242,39 @@ def fit(docs: DataFrame, labels: DataFrame, bound: int = SAMPLE_BOUND):
     return train(bags, np.array([float(r["label"] > 0) for r in rows]))
 
 
+def scores_of(model, texts: list[str | None]) -> np.ndarray:
+    """The score of each text. Texts are taken together up to a block's bytes; a longer one is
+    scored block by block, so memory does not depend on the texts."""
+    out, group, held = np.empty(len(texts)), [], 0
+
+    def flush():
+        if group:
+            part = [passages(texts[i]) for i in group]
+            sizes = np.array([len(x) for x in part])
+            out[group] = model.score(np.concatenate(part), np.cumsum(sizes) - sizes)
+
+    for i, text in enumerate(texts):
+        size = len(text or "")
+        if size > BLOCK_BYTES // 4:
+            out[i] = model.score_long(blocks(text))
+            continue
+        if held + size > BLOCK_BYTES:
+            flush()
+            group, held = [], 0
+        group.append(i)
+        held += size + 64
+    flush()
+    return out
+
+
 def score(docs: DataFrame, model, accept: float = ACCEPT) -> DataFrame:
     """One row per row of ``docs``: doc_id, held_out, score (0 to 1), predicted."""
 
     def scored(batches):
         for batch in batches:
-            ids, texts = batch.column(0), batch.column(1)
-            for at in range(0, batch.num_rows, 256):
-                part = [passages(x) for x in texts.slice(at, 256).to_pylist()]
-                sizes = np.array([len(x) for x in part])
-                values = model.score(np.concatenate(part), np.cumsum(sizes) - sizes)
-                yield pa.RecordBatch.from_arrays(
-                    [ids.slice(at, 256), pa.array(values, pa.float64())], ["doc_id", "score"]
-                )
+            for part in text_slices(batch, 1):
+                values = scores_of(model, part.column(1).to_pylist())
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(values, pa.float64())], ["doc_id", "score"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     return rows.mapInArrow(scored, "doc_id long, score double").select(
@@ -222,11 +290,6 @@ def accepted(docs: DataFrame, model, accept: float = ACCEPT) -> DataFrame:
 
     @F.pandas_udf("boolean")
     def good(texts: pd.Series) -> pd.Series:
-        out = np.empty(len(texts), bool)
-        for at in range(0, len(texts), 256):
-            part = [passages(x) for x in texts.iloc[at : at + 256]]
-            sizes = np.array([len(x) for x in part])
-            out[at : at + 256] = model.score(np.concatenate(part), np.cumsum(sizes) - sizes) >= accept
-        return pd.Series(out)
+        return pd.Series(scores_of(model, texts.tolist()) >= accept)
 
     return docs.where(good(F.col("text")))

@@ -2,9 +2,11 @@
 
 import hashlib
 import json
+import random
 from collections import Counter, defaultdict
 from functools import cache
 
+import numpy as np
 import public_tokenizers
 import pytest
 import sentencepiece
@@ -133,14 +135,27 @@ def test_slices_and_blocks_change_nothing(monkeypatch):
         ]
 
     whole = made()
-    monkeypatch.setattr(alignment, "SLICE_BYTES", 50)
-    monkeypatch.setattr(alignment, "BLOCK", 3)
+    for name, value in (("WORDS_BYTES", 60), ("ALIGNED_BYTES", 40), ("BLOCK", 3), ("RUN_WORDS", 2)):
+        monkeypatch.setattr(alignment, name, value)
     monkeypatch.setattr(alignment.parts, "__defaults__", (50,))
     assert sum(1 for _ in alignment.parts(texts[2])) > 5
     assert made() == whole
     assert [w[1][2] for w in whole] == [len(groups_of(t)) for t in texts]
 
 
+def test_words_keep_their_ids_among_others():
+    """Random words, encoded in one text and alone."""
+    rng = random.Random(12)
+    signs = "abcABC é日▁'.,-0123<|>\t\x00\x01\u00a0\u0301s"
+    words = [rng.choice(" \n") + "".join(rng.choices(signs, k=rng.randint(1, 9))) for _ in range(3_000)]
+    words += [" <|endoftext|>", " <s>", "\n<0x41>", " " + "z" * 400, "\n" + "中" * 90]
+    for side in (alignment.byte_side(A), alignment.piece_side(B)):
+        made, spelt = side.encode(words)
+        alone = side.alone(words)
+        assert [np.frombuffer(x, np.int32).tolist() for x in made] == alone
+        assert spelt.tolist() == [side.spells(ids, word) for ids, word in zip(alone, words)]
+
+
 def test_overlaps(spark):
     ship(spark)
     docs = spark.createDataFrame(list(enumerate(TEXTS)), "doc_id long, text string")
