@@ -125,5 +125,11 @@ def refuse_marker(value: Column, name: str, marker: str = NULL_MARKER) -> Column
     return F.when(value == F.lit(marker), F.raise_error(message).cast("string")).otherwise(value)
 
 
+def refuse_sign(value: Column, name: str, sign: str) -> Column:
+    """Fail the job on a text that holds the sign which ends lines."""
+    message = F.lit(f"column {name} holds the sign {sign!r}, which ends the lines of the export")
+    return F.when(F.contains(value, F.lit(sign)), F.raise_error(message).cast("string")).otherwise(value)
+
+
 def marker_to_null(value: Column, marker: str = NULL_MARKER) -> Column:
     return F.nullif(value, F.lit(marker))

@@ -347,6 +347,7 @@ def upsert_partitions(
     guarded: bool = False,
     deleted: str | None = None,
     tombstones: Tombstones | None = None,
+    prepared: bool = False,
 ) -> int:
     """Upsert into a partitioned catalog table; rewrites only the partitions concerned.
 
@@ -362,7 +363,8 @@ def upsert_partitions(
     may come late or in any order, and partitions that only get older rows are left alone.
     ``deleted`` names a boolean column of the stage: its true rows delete their key (of equal
     versions the deletion counts). ``tombstones`` remembers deleted keys with their versions, so
-    that an older row of such a key that comes later is not taken for new.
+    that an older row of such a key that comes later is not taken for new. ``prepared``: the stage
+    is written already and holds each key once, so it is not written again.
 
     Readers never see a half-written partition, and a lost job leaves every partition old or new;
     running it again gives the same table. Several partitions do not change at one moment: until
@@ -377,7 +379,8 @@ def upsert_partitions(
     order = [*(version or []), *([deleted] if deleted else [])]
     if deleted:
         stage = stage.withColumn(deleted, F.coalesce(F.col(quoted(deleted)), F.lit(False)))
-    newest = _newest(stage, keys, order or None).select(*map(quoted, names))
+    newest = stage if prepared else _newest(stage, keys, order or None)
+    newest = newest.select(*map(quoted, names))
     if tombstones:
         newest = tombstones.newer(newest, deleted)
     if guarded:
@@ -386,8 +389,9 @@ def upsert_partitions(
         newest = _newer_than(target, newest, keys, version)
     else:
         folders = []
-    newest, stage_folder = written_at(newest, f"{table}-stage")
-    folders.append(stage_folder)
+    if guarded or tombstones or not prepared:
+        newest, stage_folder = written_at(newest, f"{table}-stage")
+        folders.append(stage_folder)
     try:
         if not newest.where(_null_in_key(keys)).isEmpty():
             raise LoadRefused(f"staged rows have NULL in the key {list(keys)}")

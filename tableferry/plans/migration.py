@@ -41,6 +41,7 @@ class Settings:
     parallel_tables: int = 4
     partitions_per_table: int | None = None
     rows_per_task: int = 1_000_000
+    find_split_keys: bool = True
     sample_size: int | None = None
     check_count: bool = True
     check_checksum: bool = True
@@ -58,8 +59,11 @@ def chosen_tables(tables: Sequence[str], settings: Settings) -> list[str]:
 def scan(
     spark: SparkSession, store: Store, table: str, settings: Settings, split_key: str | None
 ) -> DataFrame:
-    """A stored table; JDBC tables with a ``split_key`` are read over several connections, as many
-    as their rows need unless the settings name a number."""
+    """A stored table; JDBC tables are read over several connections by ``split_key``, or else by
+    the primary key that their catalog names, as many as their rows need unless the settings name
+    a number."""
+    if isinstance(store, JdbcStore) and split_key is None and settings.find_split_keys:
+        split_key = store.split_key(spark, table)
     if isinstance(store, JdbcStore) and split_key:
         parts = settings.partitions_per_table
         if parts is None:
@@ -132,7 +136,10 @@ def migrate(
         )
         if not rows.columns:
             raise ValueError(f"{table} has no column the target supports")
-        if facts is None or not isinstance(target, FileStore):
+        if isinstance(target, JdbcStore):
+            target.reload(rows, table, source.count(spark, table).first()[0])
+            return
+        if facts is None:
             target.reload(rows, table)
             return
         watch = Watch(rows)

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from tableferry.functions.types import ColumnSpec, describe
 from tableferry.operators import generations, load
 from tableferry.operators.gate import TableRules, gate
+from tableferry.operators.report import write_report
 from tableferry.operators.shape import conform_table
 from tableferry.plans import migration
 from tableferry.plans.quarantine import load_with_quarantine
@@ -24,8 +25,8 @@ from tableferry.queries.inputs import (
     table,
 )
 from tableferry.queries.shaping import EVENT_SPECS
-from tableferry.session import discard, new_folder
-from tableferry.sources.csv_files import CsvForm
+from tableferry.session import discard, new_folder, written
+from tableferry.sources.csv_files import CsvForm, parse_export, read_export, write_export
 from tableferry.sources.files import FileStore
 from tableferry.streaming.buckets import BucketStore, bucket_load
 from tableferry.streaming.incremental import incremental_load
@@ -274,12 +275,13 @@ def incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     def commit(stage: DataFrame) -> None:
         load.upsert_partitions(
-            spark, name, stage, ["event_id"], ["event_day"], key_fixes_partition=True
+            spark, name, stage, ["event_id"], ["event_day"], key_fixes_partition=True, prepared=True
         )
 
     before = events.where(F.col("ts") < F.lit(CUT).cast("timestamp_ntz"))
     staged = [
-        incremental_load(source, name, "ts", marks, commit) for source in (before, events, events)
+        incremental_load(source, name, "ts", marks, commit, ["event_id"])
+        for source in (before, events, events)
     ]
     mark = F.lit(marks.last_time(spark, name).isoformat(sep=" ")).cast("timestamp_ntz")
     counts = {f"n_staged_{i}": F.lit(n).cast("long") for i, n in enumerate(staged, 1)}
@@ -383,6 +385,19 @@ def full_migration(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load_rows.join(reports["checksums"].select("table_name", "matched"), "table_name")
 
 
+def written_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report of a migration of which one table did not arrive whole, as read back from the file
+    it was written to."""
+    target, source = FileStore(new_folder(spark, "target")), store(sf_dir)
+    tables = ["customer", "orders", "nation"]
+    migration.migrate(spark, source, target, tables)
+    target.reload(faulty_orders(table(spark, sf_dir, "orders")).where("o_orderkey < 10000000"), "orders")
+    report = migration.validate(spark, source, target, tables)["load"].drop("message")
+    folder = new_folder(spark, "report")
+    write_report(report, folder)
+    return spark.read.schema(report.schema).json(folder)
+
+
 def growing_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A source that gets rows between load and validation: compared with what was loaded, and with
     the source as it is by then. One of the targets loses a row as well."""
@@ -464,6 +479,25 @@ def text_migration_marker(spark: SparkSession, sf_dir: str) -> DataFrame:
     return target.read(spark, "documents").select("doc_id", "text", "lang", "source", "n_chars")
 
 
+def csv_split_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents, whose texts hold line breaks, in a single file whose lines end with a sign of their
+    own: read back in splits of 64 KB, by several tasks."""
+    documents = table(spark, sf_dir, "documents")
+    folder, form = new_folder(spark, "export"), CsvForm(line_end="\x1e")
+    write_export(documents.coalesce(1), folder, **vars(form))
+    knob = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(knob)
+    spark.conf.set(knob, "64k")
+    try:
+        texts = read_export(spark, folder, documents.columns, **vars(form), keep_bad_rows=False)
+        numbered = parse_export(texts, documents.schema).withColumn("task", F.spark_partition_id())
+        back = written(numbered, "split-read")
+    finally:
+        spark.conf.set(knob, before)
+    most = back.groupBy("task").count().agg(F.max("count")).first()[0]
+    return back.drop("task").withColumn("in_one_task", F.lit(most) == F.lit(back.count()))
+
+
 def text_migration(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents through CSV, their language as bytes; audited on the way, then read back."""
     documents = table(spark, sf_dir, "documents").withColumn(
@@ -504,8 +538,10 @@ QUERIES = {
     "latest_marks": marks_of_events,
     "full_migration": full_migration,
     "growing_source": growing_source,
+    "written_report": written_report,
     "failed_load": failed_load,
     "load_gate": load_gate,
+    "csv_split_read": csv_split_read,
     "text_migration": text_migration,
     "text_migration_marker": text_migration_marker,
 }
@@ -664,6 +700,15 @@ SQL = {
         f"0::BIGINT AS failed, count(*) AS total, TRUE AS matched FROM {name}"
         for name in MIGRATED
     ),
+    "written_report": f"""
+        WITH {FAULTY_ORDERS},
+        n AS (
+          SELECT 'customer' AS table_name, count(*) AS held, count(*) AS total FROM customer
+          UNION ALL SELECT 'nation', count(*), count(*) FROM nation
+          UNION ALL SELECT 'orders', (SELECT count(*) FROM faulty_orders WHERE o_orderkey < 10000000),
+                           count(*) FROM orders)
+        SELECT table_name, CASE WHEN held = total THEN 'success' ELSE 'partial' END AS status,
+               held AS migrated, total - held AS failed, total FROM n""",
     "growing_source": """
         WITH n AS (
           SELECT 'orders' AS table_name, count(*) AS loaded,
@@ -683,15 +728,39 @@ SQL = {
         UNION ALL SELECT 'orders', 'failed', count(*), 0, count(*), TRUE FROM orders
         UNION ALL SELECT 'supplier', 'failed', 0, count(*), count(*), TRUE FROM supplier
         UNION ALL SELECT 'absent', 'failed', 0, 0, 0, TRUE""",
-    "load_gate": """
-        SELECT * FROM (VALUES
-          ('customer', TRUE, TRUE, TRUE, FALSE, FALSE),
-          ('orders', FALSE, NULL, NULL, NULL, FALSE),
-          ('sample_orders', TRUE, FALSE, NULL, NULL, FALSE),
-          ('supplier', TRUE, TRUE, TRUE, TRUE, TRUE),
-          ('part', TRUE, TRUE, FALSE, NULL, FALSE),
-          ('nation', TRUE, TRUE, TRUE, TRUE, TRUE))
-        AS t(table_name, counts, sample, keys, foreign_keys, passed)""",
+    "load_gate": f"""
+        WITH {FAULTY_ORDERS},
+        kept AS (SELECT * FROM faulty_orders WHERE o_orderkey < 10000000),
+        dearer AS (
+          SELECT * REPLACE (CASE WHEN o_orderkey = (SELECT min(o_orderkey) FROM orders)
+                                 THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice)
+          FROM orders),
+        half AS (SELECT * FROM nation WHERE n_nationkey % 2 = 0),
+        tested AS (
+          SELECT 'customer' AS table_name, TRUE AS counts, TRUE AS sample,
+                 (SELECT count(*) = count(DISTINCT c_custkey) FROM customer) AS keys,
+                 NOT EXISTS (SELECT * FROM customer
+                             WHERE c_nationkey NOT IN (SELECT n_nationkey FROM half)) AS foreign_keys
+          UNION ALL
+          SELECT 'orders', (SELECT count(*) FROM orders) = (SELECT count(*) FROM kept), TRUE, TRUE, TRUE
+          UNION ALL
+          SELECT 'sample_orders', (SELECT count(*) FROM orders) = (SELECT count(*) FROM dearer),
+                 NOT EXISTS (SELECT * FROM (SELECT * FROM orders ORDER BY o_orderkey LIMIT 1000) o
+                             JOIN dearer d USING (o_orderkey) WHERE o.o_totalprice <> d.o_totalprice),
+                 TRUE, TRUE
+          UNION ALL
+          SELECT 'supplier', TRUE, TRUE, (SELECT count(*) = count(DISTINCT s_suppkey) FROM supplier), TRUE
+          UNION ALL
+          SELECT 'part', TRUE, TRUE, (SELECT count(*) = count(DISTINCT p_partkey)
+                                             AND count(*) = count(DISTINCT p_size) FROM part), TRUE
+          UNION ALL
+          SELECT 'nation', TRUE, TRUE, (SELECT count(*) = count(DISTINCT n_nationkey) FROM half), TRUE)
+        SELECT table_name, counts, CASE WHEN counts THEN sample END AS sample,
+               CASE WHEN counts AND sample THEN keys END AS keys,
+               CASE WHEN counts AND sample AND keys THEN foreign_keys END AS foreign_keys,
+               counts AND sample AND keys AND foreign_keys AS passed
+        FROM tested""",
+    "csv_split_read": "SELECT *, FALSE AS in_one_task FROM documents",
     "text_migration": "SELECT doc_id, text, lang, source, n_chars FROM documents",
     "text_migration_marker": """
         SELECT doc_id, text, lang,

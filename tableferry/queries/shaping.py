@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tableferry.functions.types import ColumnSpec, describe
+from tableferry.operators.renames import proposed_renames
 from tableferry.operators.shape import conform_table, evolve_table, prune_unsupported
 from tableferry.queries.inputs import store, table, with_flag
 from tableferry.session import new_folder
@@ -140,6 +141,23 @@ def evolve_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return evolve_table(orders, DESIRED_ORDERS, renames={"ordered_at": "o_orderdate"})
 
 
+def rename_proposal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders in a new schema: three columns renamed, two of them retyped as well, among columns
+    that hold other values of the same kinds."""
+    orders = table(spark, sf_dir, "orders")
+    after = orders.select(
+        "o_orderkey",
+        F.col("o_custkey").cast("string").alias("customer"),
+        F.col("o_totalprice").cast("decimal(14,2)").alias("amount"),
+        F.col("o_orderdate").alias("ordered_at"),
+        (F.col("o_custkey") * 3 + 5_000_000).alias("supplier"),
+        (F.col("o_totalprice") / 2).alias("discounted"),
+        F.concat(F.col("o_orderpriority"), F.lit("!")).alias("note"),
+    )
+    before = orders.drop("o_orderpriority", "o_orderstatus")
+    return proposed_renames(before, after).select("removed", "added", "type_before", "type_after")
+
+
 def export_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = with_flag(table(spark, sf_dir, "orders"))
     day = F.col("o_orderdate").cast("date")
@@ -186,6 +204,7 @@ QUERIES = {
     "prune_unsupported_arrays": prune_arrays,
     "conform_table": conform_orders,
     "evolve_table": evolve_orders,
+    "rename_proposal": rename_proposal,
     "export_projection": export_orders,
     "export_projection_events": export_events,
     "export_hex": export_hex,
@@ -200,7 +219,30 @@ _CONFORMED = """
             WHEN o_orderstatus IS NULL THEN NULL ELSE 0 END AS TINYINT) AS is_final
 """
 
+_SIMILAR = """
+SELECT '{0}' AS removed, '{1}' AS added, '{2}' AS type_before, '{3}' AS type_after
+WHERE (SELECT count(*) FROM (SELECT {4} FROM orders INTERSECT SELECT {5} FROM orders)) * 2
+   >= (SELECT count(*) FROM (SELECT {4} FROM orders UNION SELECT {5} FROM orders))
+"""
+_BEFORE = {
+    "o_custkey": ("bigint", "o_custkey::DECIMAL(38,9)::VARCHAR"),
+    "o_totalprice": ("double", "o_totalprice::DECIMAL(38,9)::VARCHAR"),
+    "o_orderdate": ("timestamp_ntz", "o_orderdate::VARCHAR"),
+}
+_AFTER = {
+    "customer": ("string", "o_custkey::DECIMAL(38,9)::VARCHAR"),
+    "amount": ("decimal(14,2)", "o_totalprice::DECIMAL(38,9)::VARCHAR"),
+    "ordered_at": ("timestamp_ntz", "o_orderdate::VARCHAR"),
+    "supplier": ("bigint", "(o_custkey * 3 + 5000000)::DECIMAL(38,9)::VARCHAR"),
+    "discounted": ("double", "(o_totalprice / 2)::DECIMAL(38,9)::VARCHAR"),
+    "note": ("string", "o_orderpriority || '!'"),
+}
+
 SQL = {
+    "rename_proposal": " UNION ALL ".join(
+        _SIMILAR.format(old, new, one[0], other[0], one[1], other[1])
+        for old, one in _BEFORE.items() for new, other in _AFTER.items()
+    ),
     "range_split_composite": """
         SELECT 16::BIGINT AS n_ranges, count(*) AS n_rows, TRUE AS balanced, 'lineitem' AS table_name
         FROM lineitem

@@ -19,6 +19,7 @@ from tableferry.functions.text import (
     export_text,
     quoted,
     refuse_marker,
+    refuse_sign,
 )
 
 BAD_ROW = "_bad_row"
@@ -27,28 +28,42 @@ BAD_ROW = "_bad_row"
 @dataclass(frozen=True)
 class CsvForm:
     """How an export is written and read: another marker carries tables that hold a literal
-    ``\\N``."""
+    ``\\N``, another ``line_end`` makes files with line breaks in their texts splittable."""
 
     delimiter: str = DELIMITER
     null_marker: str = NULL_MARKER
     quote: str = QUOTE
     escape: str = ESCAPE
+    line_end: str = LINE_END
 
 
-def export_projection(df: DataFrame, null_marker: str | None = None) -> DataFrame:
-    """The columns in their export form. With ``null_marker``, a text equal to it is an error."""
+def export_projection(
+    df: DataFrame, null_marker: str | None = None, line_end: str = LINE_END
+) -> DataFrame:
+    """The columns in their export form. With ``null_marker``, a text equal to it is an error, and
+    so is one that holds a ``line_end`` other than the usual."""
 
     def exported(field: T.StructField) -> Column:
         value = F.col(quoted(field.name))
-        if null_marker is not None and isinstance(field.dataType, T.StringType):
-            return refuse_marker(value, field.name, null_marker).alias(field.name)
+        if isinstance(field.dataType, T.StringType):
+            if null_marker is not None:
+                value = refuse_marker(value, field.name, null_marker)
+            if line_end != LINE_END:
+                value = refuse_sign(value, field.name, line_end)
+            return value.alias(field.name)
         return export_text(value, field.dataType).alias(field.name)
 
     return df.select(*[exported(field) for field in df.schema.fields])
 
 
+# Rows whose texts are measured before an export.
+MEASURED_ROWS = 20_000
+
+
 def rows_of_bytes(df: DataFrame, n_bytes: int) -> int:
-    """How many rows of a projection of texts have about ``n_bytes``, by the mean over all rows."""
+    """How many rows of a projection of texts have about ``n_bytes``, by the mean of the first
+    ``MEASURED_ROWS``: a limit reads the first partitions only, so the table is not read twice."""
+    df = df.limit(MEASURED_ROWS)
     names = [F.coalesce(F.octet_length(F.col(quoted(n)).cast("string")), F.lit(2)) for n in df.columns]
     size = names[0]
     for other in names[1:]:
@@ -64,20 +79,25 @@ def write_export(
     null_marker: str = NULL_MARKER,
     quote: str = QUOTE,
     escape: str = ESCAPE,
+    line_end: str = LINE_END,
     bytes_per_file: int = 256 << 20,
 ) -> None:
     """Write one table as CSV part files.
 
-    Files whose texts hold line breaks cannot be split when read, so ``bytes_per_file`` (met on
-    the mean, by one more pass that measures the texts) bounds the work of a reading task. Every
-    row is written; a task simply starts another file.
+    Files whose texts hold line breaks cannot be split when read, so ``bytes_per_file`` (met as
+    far as the rows are as long as the first ones) bounds the work of a reading task. Every row is
+    written; a task simply starts another file.
+
+    With a ``line_end`` that no text holds (one sign, such as the record separator x1E; a text that
+    holds it is an error) the lines are found without regard to quotes, so files of any size are
+    read by as many tasks as one likes.
     """
-    rows = export_projection(df, null_marker)
+    rows = export_projection(df, null_marker, line_end)
     (
         rows.write.option("sep", delimiter)
         .option("quote", quote)
         .option("escape", escape)
-        .option("lineSep", LINE_END)
+        .option("lineSep", line_end)
         .option("nullValue", null_marker)
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)
@@ -94,12 +114,14 @@ def read_export(
     null_marker: str = NULL_MARKER,
     quote: str = QUOTE,
     escape: str = ESCAPE,
+    line_end: str = LINE_END,
     line_breaks: bool = True,
     keep_bad_rows: bool = True,
 ) -> DataFrame:
     """All columns as text, plus the raw line of rows with a wrong number of fields.
 
-    ``line_breaks=False`` is for tables without free text: their files can be split freely.
+    ``line_breaks=False`` is for tables without free text: their files can be split freely, as can
+    those written with a ``line_end`` of their own.
     ``keep_bad_rows=False`` fails on the first such row instead.
     """
     schema = T.StructType([T.StructField(name, T.StringType()) for name in columns])
@@ -108,9 +130,9 @@ def read_export(
         .option("quote", quote)
         .option("escape", escape)
         .option("nullValue", null_marker)
-        .option("multiLine", line_breaks)
+        .option("multiLine", line_breaks and line_end == LINE_END)
         # Named, because otherwise the parser guesses it and rewrites other breaks within texts.
-        .option("lineSep", LINE_END)
+        .option("lineSep", line_end)
         # Fields are counted only while all columns are parsed.
         .option("columnPruning", False)
         .option("mode", "PERMISSIVE" if keep_bad_rows else "FAILFAST")

@@ -27,7 +27,9 @@ class JdbcStore:
     options: Mapping[str, str] = field(default_factory=dict, repr=False)
     fetch_size: int = 10000
     batch_size: int = 1000
-    writers: int = 8
+    writers: int | None = None
+    rows_per_writer: int = 250_000
+    most_writers: int = 64
     quote: str = ""
 
     def _ident(self, name: str) -> str:
@@ -116,26 +118,66 @@ class JdbcStore:
         rows = self.query(spark, self.columns_query(table)).orderBy("ordinal_position").collect()
         return [ColumnSpec.from_catalog(row.asDict()) for row in rows]
 
-    def _write(self, df: DataFrame, table: str, mode: str, **extra: str) -> None:
+    def key_query(self, table: str) -> str:
+        """The columns of the primary key, in order, from the catalog."""
+        where = f"c.constraint_type = 'PRIMARY KEY' AND c.table_name = '{_literal(table)}'"
+        if self.schema:
+            where += f" AND c.table_schema = '{_literal(self.schema)}'"
+        return (
+            "SELECT k.column_name, k.ordinal_position, t.data_type "
+            "FROM information_schema.table_constraints c "
+            "JOIN information_schema.key_column_usage k ON k.constraint_name = c.constraint_name "
+            "AND k.table_schema = c.table_schema AND k.table_name = c.table_name "
+            "JOIN information_schema.columns t ON t.table_schema = k.table_schema "
+            f"AND t.table_name = k.table_name AND t.column_name = k.column_name WHERE {where}"
+        )
+
+    def split_key(self, spark: SparkSession, table: str) -> str | None:
+        """The leading column of the primary key, if it holds whole numbers: what to read the table
+        by over several connections. None if there is no such key."""
+        rows = self.query(spark, self.key_query(table)).collect()
+        first = min(rows, key=lambda row: row["ordinal_position"], default=None)
+        if first is None or base_type(first["data_type"]) not in WHOLE_NUMBERS:
+            return None
+        return first["column_name"]
+
+    def writers_for(self, n_rows: int | None) -> int:
+        """Connections to write so many rows over; ``writers`` if that is set."""
+        if self.writers is not None:
+            return self.writers
+        if n_rows is None:
+            return 8
+        return min(self.most_writers, max(1, -(-n_rows // self.rows_per_writer)))
+
+    def _write(self, df: DataFrame, table: str, mode: str, n_rows: int | None, **extra: str) -> None:
         (
             df.write.format("jdbc")
             .options(**dict(self.options), **extra)
             .option("url", self.url)
             .option("dbtable", self._name(table))
             .option("batchsize", self.batch_size)
-            .option("numPartitions", self.writers)
+            .option("numPartitions", self.writers_for(n_rows))
             .mode(mode)
             .save()
         )
 
-    def append(self, df: DataFrame, table: str) -> None:
-        """Insert in batches. Spark commits per partition, so a failed job can leave a part of
+    def append(self, df: DataFrame, table: str, n_rows: int | None = None) -> None:
+        """Insert in batches, over as many connections as ``n_rows`` (if known) are worth. Spark commits per partition, so a failed job can leave a part of
         the rows behind: load into an empty stage table where that matters."""
-        self._write(df, table, "append")
+        self._write(df, table, "append", n_rows)
 
-    def reload(self, df: DataFrame, table: str) -> None:
+    def reload(self, df: DataFrame, table: str, n_rows: int | None = None) -> None:
         """Empty the table, keeping its definition, then insert."""
-        self._write(df, table, "overwrite", truncate="true")
+        self._write(df, table, "overwrite", n_rows, truncate="true")
+
+
+#: Catalog names of whole-number types.
+WHOLE_NUMBERS = {"smallint", "integer", "bigint", "int", "tinyint", "mediumint"}
+
+
+def base_type(name: str) -> str:
+    """A catalog type without its size, in lower case."""
+    return name.lower().partition("(")[0].strip()
 
 
 def _literal(text: str) -> str:

@@ -8,7 +8,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tableferry.operators.load import upsert
+from tableferry.operators.load import dedupe_stage, upsert
 from tableferry.session import discard, written_at
 from tableferry.streaming.marks import MarkStore
 
@@ -54,20 +54,25 @@ def incremental_load(
     changed_at: str,
     marks: MarkStore,
     commit: Callable[[DataFrame], None],
+    keys: Sequence[str] | None = None,
 ) -> int:
     """One increment: ``commit(stage)`` the rows from the mark on, then move the mark.
 
     The stage is written once; its newest moment becomes the mark, so rows that arrive meanwhile
     wait for the next load. The mark is moved last: after a failure in between the same rows are
-    staged again, so ``commit`` must be an upsert (``load.upsert_partitions``). Returns the rows
-    staged.
+    staged again, so ``commit`` must be an upsert (``load.upsert_partitions``). With ``keys`` the
+    stage holds the newest row of each key only, and the upsert may take it as ``prepared``.
+    Returns the rows staged.
 
     A large table is better brought over once as a whole (``load.create_partitioned``) and given
     its first mark by ``MarkStore.save``, since the first increment stages everything.
     """
     spark = source.sparkSession
     mark = marks.last_time(spark, table)
-    stage, folder = written_at(newer_rows(source, changed_at, mark), f"{table}-increment")
+    rows = newer_rows(source, changed_at, mark)
+    if keys:
+        rows = dedupe_stage(rows, keys, [changed_at])
+    stage, folder = written_at(rows, f"{table}-increment")
     try:
         newest, n_rows = stage.agg(
             F.max(changed_at).cast("timestamp_ntz"), F.count(F.lit(1))

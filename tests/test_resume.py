@@ -9,9 +9,9 @@ from pyspark.sql import types as T
 
 from tableferry.operators.observed import Watch
 from tableferry.operators.reconcile import table_checksums
-from tableferry.plans import migration
+from tableferry.plans import migration, resume
 from tableferry.plans.resume import RangeLedger, ResumableLoad
-from tableferry.session import new_folder
+from tableferry.session import discard, new_folder
 from tableferry.sources import key_ranges
 from tableferry.sources.files import FileStore
 
@@ -52,8 +52,6 @@ def test_the_source_is_read_once(spark, lines):
     source.append(lines, "lineitem")
     facts = {}
     migration.migrate(spark, source, target, ["lineitem"], facts=facts)
-    from tableferry.session import discard
-
     discard(spark, source.path("lineitem"))
     reports = migration.validate(spark, source, target, ["lineitem"], facts=facts)
     assert reports["load"].first()["status"] == "success"
@@ -194,16 +192,7 @@ def test_what_a_broken_attempt_left_is_overwritten(spark, lines):
 
 
 def test_a_target_that_differs_is_not_verified(spark, lines, monkeypatch):
-    job = job_of(spark)
-    real = FileStore.path
-    seen = []
-
-    def tampering(self, table):
-        place = real(self, table)
-        return place
-
-    from tableferry.plans import resume
-
+    job, seen = job_of(spark), []
     sums = resume.range_sums
 
     def short(df, number, columns):
