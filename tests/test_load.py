@@ -185,7 +185,9 @@ def test_the_work_folder_holds_no_live_rows(spark):
     assert all(file.replace("///", "/").startswith(root.replace("///", "/")) for file in files)
     staged = [f for f in os.listdir(f"{work_root(spark)}/tableferry") if f.startswith(name)]
     assert staged == []
-    # The replaced files of the partition are gone.
+    # The replaced files of the partition stay for open readers, and go when they are cleaned up.
+    assert os.path.exists(f"{root.removeprefix('file:')}/p=0")
+    assert load.clean_replaced(spark, name, datetime.timedelta(0)) == 1
     assert not os.path.exists(f"{root.removeprefix('file:')}/p=0")
     assert spark.table(name).count() == 33
 
