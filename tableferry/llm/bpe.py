@@ -36,6 +36,11 @@ MEMO_CHUNKS = 2_000
 
 _GEAR = np.random.default_rng(20).integers(0, 1 << 32, 256, dtype=np.uint32)
 _SAFE = re.compile(rb"(?<=[\x21-\x7e]) (?=[\x21-\x7e])")
+#: White space as the pattern below has it. Of a run, all but the last sign are one piece if
+#: something visible follows, else all of it is; longer runs than this are cut so beforehand, for
+#: the pattern matcher keeps a place for every sign and gives up on millions.
+LONG_RUN = 4096
+_RUN = re.compile(rf"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{{{LONG_RUN},}}")
 _PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 
@@ -72,7 +77,16 @@ class Coder:
 
     def plain(self, data: bytes) -> list[int]:
         """Ids of text that holds no special token."""
-        return self.core.encode_ordinary(data.decode("utf-8"))
+        text, at, out = data.decode("utf-8"), 0, []
+        if len(data) < LONG_RUN:
+            return self.core.encode_ordinary(text)
+        for run in _RUN.finditer(text):
+            last = run.end() if run.end() == len(text) else run.end() - 1
+            if run.start() > at:
+                out += self.core.encode_ordinary(text[at : run.start()])
+            out += self.core._encode_single_piece(text[run.start() : last])
+            at = last
+        return out + self.core.encode_ordinary(text[at:])
 
     def decode(self, ids: list[int]) -> bytes:
         """The decoded text in UTF-8; bytes that are no UTF-8 become the replacement sign."""
@@ -118,19 +132,21 @@ def segments(code: Coder, text: str):
 
 
 class Encoder:
-    """Encodes texts chunk by chunk; ``known`` maps chunk hashes to the ids made once for all."""
+    """Encodes texts chunk by chunk; ``known`` maps chunk hashes to the ids made once for all, as
+    bytes of 32-bit numbers."""
 
-    def __init__(self, code: Coder, known: dict[bytes, list[int]] | None = None):
+    def __init__(self, code: Coder, known: dict[bytes, bytes] | None = None):
         self.code, self.known, self.memo = code, known or {}, {}
 
     def chunk(self, data: bytes) -> list[int]:
         key = xxhash.xxh3_128_digest(data)
-        ids = self.known.get(key) or self.memo.get(key)
-        if ids is None:
-            ids = self.code.plain(data)
-            if len(self.memo) >= MEMO_CHUNKS:
-                self.memo.clear()
-            self.memo[key] = ids
+        packed = self.known.get(key) or self.memo.get(key)
+        if packed is not None:
+            return np.frombuffer(packed, np.int32).tolist()
+        ids = self.code.plain(data)
+        if len(self.memo) >= MEMO_CHUNKS:
+            self.memo.clear()
+        self.memo[key] = np.array(ids, np.int32).tobytes()
         return ids
 
     def segment(self, data: bytes) -> list[int]:
@@ -199,8 +215,8 @@ def after(ids: list[int], skip: int, pieces: list[bytes]) -> list[int]:
     return ids[at:]
 
 
-def dictionary(docs: DataFrame, path: str, most_bytes: int = DICTIONARY_BYTES) -> dict[bytes, list[int]]:
-    """Ids of the shared chunks that save the most work, each encoded once; bounded in size."""
+def dictionary(docs: DataFrame, path: str, most_bytes: int = DICTIONARY_BYTES) -> dict[bytes, bytes]:
+    """Ids (32-bit numbers as bytes) of the shared chunks that save the most work, each encoded once; bounded in size."""
 
     def counted(batches):
         for batch in batches:
@@ -248,17 +264,15 @@ def dictionary(docs: DataFrame, path: str, most_bytes: int = DICTIONARY_BYTES) -
                     if key in wanted and key not in done and not (code.split and code.split.search(data[start:end].decode())):
                         done.add(key)
                         keys.append(key)
-                        ids.append(code.plain(data[start:end]))
+                        ids.append(np.array(code.plain(data[start:end]), np.int32).tobytes())
                     start = end
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys, pa.binary()), pa.array(ids, pa.list_(pa.int32()))], ["key", "ids"]
-                )
+                yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array(ids, pa.binary())], ["key", "ids"])
 
     # The list has at most most_bytes / 256 rows, so it may be broadcast.
     owned = texts.join(F.broadcast(listed), "owner", "left_semi").select("text").dropDuplicates()
-    rows = owned.mapInArrow(encoded, "key binary, ids array<int>")
+    rows = owned.mapInArrow(encoded, "key binary, ids binary")
     rows = rows.groupBy("key").agg(F.first("ids").alias("ids"))
-    return {bytes(r["key"]): list(r["ids"]) for r in rows.collect()}
+    return {bytes(r["key"]): bytes(r["ids"]) for r in rows.collect()}
 
 
 def _run(docs: DataFrame, path: str, known, columns, schema: str) -> DataFrame:

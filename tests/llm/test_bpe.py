@@ -79,3 +79,31 @@ def test_ids_and_round_trip(spark, odd):
 
 def test_empty(none):
     assert bpe.digests(none, PATH).count() == 0
+
+
+@pytest.mark.parametrize("text", [" " * 3_000_000, "\n" * 2_000_000 + "end", "a" + "\t \n" * 500_000 + " b  c", "x \u3000" * 9 + "\u2003" * 5_000 + "y"])
+def test_long_runs_of_white_space(library, text):
+    """Millions of blanks, which the pattern matcher of the fast library gives up on."""
+    ids = bpe.Encoder(bpe.coder(PATH)).text(text)
+    assert bpe.coder(PATH).decode(ids) == text.encode()
+    if len(text) < 1_600_000:
+        assert ids == library.encode(text, add_special_tokens=False).ids
+
+
+def test_runs_around_the_limit(library):
+    rng = random.Random(9)
+    coder = bpe.coder(PATH)
+    for size in (bpe.LONG_RUN - 1, bpe.LONG_RUN, bpe.LONG_RUN + 1):
+        for last in ("", "a", "'s", "\x1c", "é", "1"):
+            run = "".join(rng.choice(" \n\t\u00a0") for _ in range(size))
+            text = rng.choice(["", "b", "9 b"]) + run + last + " tail"
+            assert coder.plain(text.encode()) == library.encode(text, add_special_tokens=False).ids
+
+
+def test_chunks_are_shared_in_texts_without_blanks(library):
+    """Ids of a text without any safe place, whose chunks are known already."""
+    rng = random.Random(10)
+    text = "".join(chr(0x4E00 + rng.randrange(3_000)) for _ in range(9_000))
+    encoder = bpe.Encoder(bpe.coder(PATH))
+    want = library.encode(text, add_special_tokens=False).ids
+    assert encoder.text(text) == want and encoder.text("文" + text)[-500:] == want[-500:]
