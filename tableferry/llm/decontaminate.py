@@ -99,9 +99,10 @@ class Matcher:
         if found:
             self.automaton.make_automaton()
 
-    def grows(self, text: str, begin: int, i: int, k: int) -> bool:
+    def grows(self, text: str, begin: int, i: int, k: int, tested: dict) -> bool:
         """Whether the groups of 2, 4, ... pieces around piece ``k``, found at ``begin``, are there
-        too, each with fewer errors than pieces."""
+        too, each with fewer errors than pieces. ``tested`` keeps what was found for equal
+        stretches, of which repetitive texts have many."""
         offsets, item = self.offsets[i], self.items[i][1]
         n, width = len(offsets) - 1, 2
         while width < n:
@@ -114,7 +115,15 @@ class Matcher:
                 if where is None:
                     where = self.groups[i, first, after] = masks(item[a:b])
                 low = begin - (offsets[k] - a) - errors
-                if myers(where, b - a, text[max(0, low) : low + b - a + 2 * errors])[0] > errors:
+                stretch = text[max(0, low) : low + b - a + 2 * errors]
+                fits = tested.get((i, first, after, stretch))
+                if fits is None:
+                    fits = myers(where, b - a, stretch)[0] <= errors
+                    if len(stretch) <= 256:
+                        if len(tested) >= 20_000:
+                            tested.clear()
+                        tested[i, first, after, stretch] = fits
+                if not fits:
                     return False
             width *= 2
         return True
@@ -124,14 +133,20 @@ class Matcher:
         out: dict[int, list[list[int]]] = {}
         if not self.items:
             return out
+        tested: dict = {}
         for last, (size, places) in self.automaton.iter(text):
             begin = last - size + 1
             for i, k in places:
                 _, item, errors, _ = self.items[i]
-                if not self.grows(text, begin, i, k):
-                    continue
                 low = begin - self.offsets[i][k] - errors
-                out.setdefault(i, []).append([max(0, low), min(len(text), low + len(item) + 2 * errors)])
+                high = min(len(text), low + len(item) + 2 * errors)
+                low = max(0, low)
+                spans = out.get(i)
+                if spans and low <= spans[-1][1] and spans[-1][0] <= high:
+                    # Next to a stretch that is verified anyway: it grows, and no test is needed.
+                    spans[-1] = [min(low, spans[-1][0]), max(high, spans[-1][1])]
+                elif self.grows(text, begin, i, k, tested):
+                    out.setdefault(i, []).append([low, high])
         for spans in out.values():
             spans.sort()
             kept = [spans[0]]

@@ -99,3 +99,26 @@ def test_odd_rows(spark, odd, none):
     assert D.hits(none, bench).count() == 0
     assert D.hits(odd, bench.limit(0)).count() == 0
     assert D.clean(odd, bench.limit(0)).count() == odd.count()
+
+
+def test_repetitive_texts_take_linear_time():
+    """Every sign is a hit of many pieces; stretches are verified once."""
+    import time
+
+    items = [(1, "a" * 200), (2, "na " * 60), (3, "a" * 20 + "bcdefghij " * 12)]
+    matcher = D.Matcher(items, 0.1)
+    for text, found in (("a" * 100_000, {1}), ("na " * 30_000, {2}), ("b" * 50 + "a" * 30_000, {1})):
+        begin = time.perf_counter()
+        assert {m[0] for m in matcher.matches(text)} == found
+        assert time.perf_counter() - begin < 20  # minutes and more without that
+
+
+def test_repetitive_texts_by_brute_force():
+    rng = random.Random(11)
+    items = [(i, "".join(rng.choice("ab") for _ in range(rng.randint(5, 30))) * rng.randint(1, 3)) for i in range(12)]
+    matcher = D.Matcher(items, 0.15)
+    for _ in range(60):
+        text = "".join(rng.choice(["ab", "a", "bba", "aaaa"]) * rng.randint(1, 9) for _ in range(rng.randint(1, 9)))
+        want = {i: edits(D.normal(x), text) for i, x in items}
+        want = {i: n for i, n in want.items() if n <= int(0.15 * len(D.normal(items[i][1])) + 1e-9)}
+        assert {m[0]: m[1] for m in matcher.matches(text)} == want
