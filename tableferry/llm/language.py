@@ -15,10 +15,9 @@ cosines the first in order of name. Repeated rows are predicted each; other colu
 
 from __future__ import annotations
 
-import re
-
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -29,7 +28,7 @@ SAMPLE_BOUND = 2000
 CENTROIDS = 3
 UNKNOWN = "und"
 
-_LETTER = re.compile(r"[^\W\d_]")
+_LETTER = regex.compile(r"\p{L}")
 _KEEP = np.array([b if b >= 0x80 or chr(b).isalpha() else 32 for b in range(256)], np.uint8)
 
 
