@@ -23,8 +23,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, bound: int) -> DataFrame
     """(doc_id, text, label) of at most ``bound`` labelled documents that are not held out.
 
     Chosen by a hash of the id, so that the same tables give the same sample. The sample of the
-    labels has at most ``bound`` rows; that makes it safe to broadcast. A repeated doc_id counts
-    once for each of its rows.
+    labels has at most ``bound`` rows; that makes it safe to broadcast. Of rows that repeat a
+    doc_id, the one whose text has the smallest hash is taken.
     """
     usable = labels.where(~held_out(F.col("doc_id")))
     total = usable.count()
@@ -32,4 +32,5 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, bound: int) -> DataFrame
     drawn = usable.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int(share * (1 << 20)))
     drawn = drawn.orderBy(F.xxhash64("doc_id"), "doc_id").limit(bound)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return texts.join(F.broadcast(drawn), "doc_id")
+    found = texts.join(F.broadcast(drawn), "doc_id").groupBy("doc_id", "label")
+    return found.agg(F.min_by("text", F.xxhash64("text")).alias("text")).select("doc_id", "text", "label")

@@ -146,3 +146,67 @@ def test_a_document_on_most_rows_leaves_room_for_rare_languages(spark):
     one, two = language.fit(docs.coalesce(1), bound=40), language.fit(docs.repartition(5), bound=40)
     assert set(one.langs) == {"en", "fr"} and one.langs == two.langs
     assert np.array_equal(one.centers, two.centers)
+
+
+def test_scores_of_many_short_lines_and_of_long_texts_are_those_of_the_whole():
+    """A megabyte of line breaks is a million passages; they are never held together."""
+    import tracemalloc
+
+    rng = np.random.default_rng(4)
+    bags = [rng.normal(0, 1, (3, quality.WIDTH)).astype(np.float32) for _ in range(40)]
+    model = quality.train(bags, np.arange(40) % 2.0, epochs=2)
+    texts = ["\n" * 50_000, "some words\n" * 9_000, "x" * 200_000, None, "short", "é line\n\n" * 3_000 + "end" * 30_000]
+    plain = [model.score(quality.passages(t), np.array([0]))[0] for t in texts]
+    assert np.allclose(quality.scores_of(model, texts), plain, atol=1e-6)
+    tracemalloc.start()
+    quality.scores_of(model, ["\n" * 1_000_000])
+    assert tracemalloc.get_traced_memory()[1] < 250e6
+    tracemalloc.stop()
+
+
+def test_attention_by_a_plain_loop():
+    """The model's scores, passage by passage in plain Python."""
+    import math
+
+    rng = np.random.default_rng(5)
+    bags = [rng.normal(0, 2, (int(rng.integers(1, 6)), quality.WIDTH)).astype(np.float32) for _ in range(60)]
+    model = quality.train(bags, np.arange(60) % 2.0, epochs=3)
+    p = model.parts
+    sigmoid = lambda v: 1 / (1 + math.exp(-max(-30, min(30, v))))
+
+    def loop(bag):
+        encoded, weights = [], []
+        for row in bag:
+            x = [max(-6, min(6, (float(v) - m) / s)) for v, m, s in zip(row, model.mean, model.scale)]
+            e = [math.tanh(sum(x[i] * p["We"][i, j] for i in range(len(x))) + p["be"][j]) for j in range(len(p["be"]))]
+            gate = [
+                math.tanh(sum(e[i] * p["V"][i, j] for i in range(len(e)))) * sigmoid(sum(e[i] * p["U"][i, j] for i in range(len(e))))
+                for j in range(len(p["w"]))
+            ]
+            encoded.append(e)
+            weights.append(math.exp(sum(g * w for g, w in zip(gate, p["w"]))))
+        total = sum(weights)
+        z = [sum(w * e[j] for w, e in zip(weights, encoded)) / total for j in range(len(p["c"]))]
+        return sigmoid(sum(a * b for a, b in zip(z, p["c"])) + p["c0"][0])
+
+    for bag in bags[:10]:
+        assert model.score(bag, np.array([0]))[0] == pytest.approx(loop(bag), abs=1e-6)
+        assert model.score_long([bag[:1], bag[1:]] if len(bag) > 1 else [bag]) == pytest.approx(loop(bag), abs=1e-6)
+
+
+def test_a_sample_is_bounded_in_rows(spark):
+    """A labelled document that stands on very many rows counts once."""
+    from tableferry.llm.samples import labelled_sample
+
+    docs = spark.range(5_000).select(F.lit(1).cast("long").alias("doc_id"), F.col("id").cast("string").alias("text"))
+    docs = docs.unionAll(spark.range(2, 40).select("id", F.lit("text")))
+    labels = spark.range(1, 40).select(F.col("id").alias("doc_id"), F.lit(1).alias("label"))
+    one = labelled_sample(docs, labels, 100).collect()
+    assert len(one) == len({r["doc_id"] for r in one}) <= 100
+    assert sorted(map(tuple, one)) == sorted(map(tuple, labelled_sample(docs.repartition(7), labels, 100).collect()))
+
+
+@pytest.mark.parametrize("text", ["² ½ ① Ⅷ", "12 ٣ !?", "\u0301 \u20dd", "_ __"])
+def test_numbers_and_marks_are_no_letters(spark, odd, text):
+    docs = spark.createDataFrame([(1, text, None)], "doc_id long, text string, lang string")
+    assert language.predict(docs, language.fit(odd)).first()["lang_pred"] == "und"
