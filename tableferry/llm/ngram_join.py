@@ -42,7 +42,8 @@ PIECES = 0.6  # pieces of a band's sketch, as a share of the band's largest size
 PIECE_BITS = np.uint64(12)
 COUNTERS = 1 << 20
 SEGMENT = 1 << 14
-SEEN_SETS = 200_000
+SEEN_SETS = 50_000
+WORDS = 100_000  # word hashes that a task remembers
 CERTAIN = 5 * 255  # the largest sum of ranks, so that more shingles make a piece rarer
 BLOCK = 4096  # members of a bucket that one task compares with as many others
 TASK_ROWS = 50_000
@@ -162,7 +163,7 @@ def distance(a: np.ndarray, b: np.ndarray) -> int:
 def _prepare(batches):
     """A row per document (size, fingerprint, sketch); at the end the task's counts of words and
     of documents per shingle."""
-    hashes = WordHashes()
+    hashes = WordHashes(WORDS)
     counts = np.zeros((2, COUNTERS), np.int64)
     names = ["doc_id", "n", "f1", "f2", "sketch", "segment", "counters"]
     types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.binary()]
@@ -227,7 +228,7 @@ def buckets(docs: DataFrame, tables: tuple[np.ndarray, np.ndarray], t: float) ->
     shared = docs.sparkSession.sparkContext.broadcast(tables)  # 2 MB, whatever the texts are
 
     def emitted(batches):
-        hashes, seen = WordHashes(), set()
+        hashes, seen = WordHashes(WORDS), set()
         ranks, frequent = shared.value
         for batch in batches:
             ids, keys = [], []
@@ -297,7 +298,7 @@ def verified(pairs: DataFrame, docs: DataFrame, t: float) -> DataFrame:
     joined = pairs.join(two, "b").join(one, "a")
 
     def run(batches):
-        hashes, last, other = WordHashes(), None, None
+        hashes, last, other = WordHashes(WORDS), None, None
         for batch in batches:
             keep = []
             for ta, tb in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
