@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tableferry.functions.text import quoted
 from tableferry.functions.types import ColumnSpec, describe
 from tableferry.operators import generations, load
 from tableferry.operators.gate import TableRules, gate
@@ -479,23 +480,45 @@ def text_migration_marker(spark: SparkSession, sf_dir: str) -> DataFrame:
     return target.read(spark, "documents").select("doc_id", "text", "lang", "source", "n_chars")
 
 
+# Bytes of a split of ``csv_split_read``.
+SPLIT = 64 << 10
+
+
 def csv_split_read(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents, whose texts hold line breaks, in a single file whose lines end with a sign of their
-    own: read back in splits of 64 KB, by several tasks."""
+    """Documents, whose texts hold line breaks, in files whose lines end with a sign of their own:
+    each read back in splits of 64 KB, by several tasks. Every task that reads documents writes
+    files of its own, so none moves the whole table; in_one_task tells whether all rows, or all
+    of a file whose last row begins after its first split, came from one task."""
     documents = table(spark, sf_dir, "documents")
     folder, form = new_folder(spark, "export"), CsvForm(line_end="\x1e")
-    write_export(documents.coalesce(1), folder, **vars(form))
+    write_export(documents, folder, **vars(form))
+    back = split_read(spark, folder, documents.schema, form)
+    parts = back.groupBy("file", "file_size", "task").agg(F.max("row_size").alias("longest"))
+    files = parts.groupBy("file", "file_size").agg(F.count("*").alias("tasks"), F.max("longest").alias("longest"))
+    whole = files.where((F.col("tasks") == 1) & (F.col("file_size") > SPLIT + F.col("longest")))
+    most = back.groupBy("task").count().agg(F.max("count")).first()[0]
+    alone = most == back.count() or not whole.isEmpty()
+    return back.drop("task", "file", "file_size", "row_size").withColumn("in_one_task", F.lit(alone))
+
+
+def split_read(spark: SparkSession, folder: str, schema: T.StructType, form: CsvForm) -> DataFrame:
+    """The rows of an export, read in splits of ``SPLIT`` bytes, with the number of the task, the
+    file, its size and the most bytes that the row may have there."""
     knob = "spark.sql.files.maxPartitionBytes"
     before = spark.conf.get(knob)
-    spark.conf.set(knob, "64k")
+    spark.conf.set(knob, str(SPLIT))
     try:
-        texts = read_export(spark, folder, documents.columns, **vars(form), keep_bad_rows=False)
-        numbered = parse_export(texts, documents.schema).withColumn("task", F.spark_partition_id())
-        back = written(numbered, "split-read")
+        texts = read_export(spark, folder, schema.names, **vars(form), keep_bad_rows=False)
+        row_size = F.lit(4 * len(schema.names))  # quotes and separators; every sign may be escaped
+        for name in schema.names:
+            row_size = row_size + F.coalesce(2 * F.octet_length(quoted(name)), F.lit(0))
+        place = {"file": F.col("_metadata.file_path"), "file_size": F.col("_metadata.file_size"), "row_size": row_size}
+        texts = texts.select("*", *[value.cast("string").alias(name) for name, value in place.items()])
+        places = [T.StructField("file", T.StringType())] + [T.StructField(name, T.LongType()) for name in ("file_size", "row_size")]
+        parsed = parse_export(texts, T.StructType([*schema.fields, *places]))
+        return written(parsed.withColumn("task", F.spark_partition_id()), "split-read")
     finally:
         spark.conf.set(knob, before)
-    most = back.groupBy("task").count().agg(F.max("count")).first()[0]
-    return back.drop("task").withColumn("in_one_task", F.lit(most) == F.lit(back.count()))
 
 
 def text_migration(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -4,12 +4,14 @@ from pyspark.sql import types as T
 
 from tableferry import session
 from tableferry.functions.text import marker_to_null
+from tableferry.queries import loading
 from tableferry.session import new_folder
 from tableferry.sources import ranges
 from tableferry.sources.csv_files import (
     export_projection,
     parse_export,
     read_export,
+    rows_of_bytes,
     write_export,
 )
 from tableferry.sources.jdbc import JdbcStore
@@ -81,6 +83,29 @@ def test_large_exports_are_cut_into_files(spark):
     assert texts.select(F.input_file_name()).distinct().count() == 10
 
 
+def test_a_split_read_is_written_by_every_task(spark, tmp_path, monkeypatch):
+    text = F.concat(F.lit('a "line"\n'), F.repeat(F.lit("word "), 60))
+    rows = spark.range(4000).select(F.col("id").alias("doc_id"), text.alias("text"))
+    rows.repartition(4).write.parquet(str(tmp_path / "documents.parquet"))
+    exported = []
+
+    def write(df, path, **form):
+        write_export(df, path, **form)
+        exported.append(df.sparkSession.read.text(path, lineSep="\x1e").select("_metadata.file_path"))
+
+    monkeypatch.setattr(loading, "write_export", write)
+    back = loading.csv_split_read(spark, str(tmp_path))
+    assert exported[0].distinct().count() == 4
+    assert back.select("in_one_task").distinct().collect() == [(False,)]
+    assert back.drop("in_one_task").exceptAll(rows).isEmpty() and back.count() == 4000
+
+
+def test_rows_of_bytes_takes_sizes_of_the_first_rows_only(spark):
+    rows = spark.range(4, numPartitions=2).select(F.repeat(F.lit("x"), F.col("id").cast("int")).alias("t"))
+    assert rows_of_bytes(rows, 300) == 200
+    assert rows_of_bytes(rows.limit(0), 300) == 300
+
+
 def test_thousands_of_scattered_ranges(spark):
     numbers = list(range(0, 8192, 2)) + [-1]
     wanted = ranges.in_splits("id", 0, 8191, 8192, numbers)
