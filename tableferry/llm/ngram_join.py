@@ -15,10 +15,10 @@ the counts, no result does. Pieces without a bit come last and are used only if
 a factor of 2 in size; a document that may have partners in the band below joins there too.
 
 Work stays linear in groups of copies: equal sets are one class, linked by one edge each; in a
-task, a set's pieces are sent once. Each bucket first links its members to its smallest one.
-Those pairs are sifted by sketch and verified, and components are formed. Buckets that still span
-several components are led by other members in turn as long as their pairs across components are
-many and links are found; then all pairs across components that are left are compared: small
+task, a set's pieces are sent once. Each document first meets the smallest members of its buckets,
+those ``LEADERS`` with which it shares most. Those pairs are sifted by sketch and verified, and components are formed. Buckets that still span
+several components are led by other members in turn, a member again meeting few, as long as their
+pairs across components are many and links are found; then all pairs across components that are left are compared: small
 buckets by a join, large ones in blocks of members whose sketches are compared in place, so that
 only pairs that may hold are ever written.
 
@@ -31,7 +31,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tableferry.llm.common import SHINGLE_WORDS, SIMILARITY, WordHashes, components, mixed, shingle_hashes, words_of
@@ -48,6 +48,7 @@ CERTAIN = 5 * 255  # the largest sum of ranks, so that more shingles make a piec
 BLOCK = 4096  # members of a bucket that one task compares with as many others
 TASK_ROWS = 50_000
 TASK_PAIRS = 200_000
+LEADERS = 2  # leaders that a member meets in one turn
 ACROSS = 8  # pairs per row up to which buckets are tried in all pairs
 LAST = 1 << 40  # added to what comes last in the order
 
@@ -319,6 +320,25 @@ def verified(pairs: DataFrame, docs: DataFrame, t: float) -> DataFrame:
         spark.conf.set(knob, before)
 
 
+def most_shared(pairs: DataFrame) -> DataFrame:
+    """Distinct pairs (a, b) of a member a and a leader b, from one row per bucket they share; of
+    each member's the ``LEADERS`` with which it shares most buckets. Members of a group of near
+    copies stand in many buckets with different leaders, so all such pairs are many per member;
+    the others of a bucket are met later if it still spans several components."""
+    often = pairs.groupBy("a", "b").agg(F.count("*").alias("n"))
+    ranked = often.withColumn("place", F.row_number().over(Window.partitionBy("a").orderBy(F.desc("n"), "b")))
+    return ranked.where(F.col("place") <= LEADERS).select("a", "b")
+
+
+def led_pairs(live: DataFrame, turn: int) -> DataFrame:
+    """Distinct pairs (a, b), a > b, of members and another leader of their bucket, of different
+    components. Documents lead in the same order everywhere, so few lead many buckets."""
+    lead = live.groupBy("key").agg(F.min(F.struct(F.xxhash64("id", F.lit(turn)).alias("draw"), "id", "root")).alias("lead"))
+    met = live.join(lead, "key").where(F.col("root") != F.col("lead.root"))
+    met = most_shared(met.select(F.col("id").alias("a"), F.col("lead.id").alias("b")))
+    return met.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+
+
 def spanning(groups: DataFrame, found: DataFrame) -> DataFrame:
     """(key, id, root) of the buckets whose members are of several components."""
     of = groups.join(found, groups["id"] == found["node"], "left").select(
@@ -423,8 +443,8 @@ def linked(docs: DataFrame, t: float = SIMILARITY) -> DataFrame:
     copies = nodes.join(owners, ["n", "f1", "f2"]).where("doc_id <> low").select(F.col("doc_id").alias("a"), F.col("low").alias("b"))
 
     groups = written(buckets(docs, order_tables(prepared), t), "buckets")
-    stars = groups.where("id <> low").select(F.col("id").alias("a"), F.col("low").alias("b")).distinct()
-    tried = written(stars, "stars")
+    stars = groups.where("id <> low").select(F.col("id").alias("a"), F.col("low").alias("b"))
+    tried = written(most_shared(stars), "stars")
     links = verified(sifted(tried, nodes, t), docs, t)
     edges = written(links.unionAll(copies), "edges")
     found = written(components(edges), "components")
@@ -436,11 +456,7 @@ def linked(docs: DataFrame, t: float = SIMILARITY) -> DataFrame:
         n_rows, n_pairs = across_size(live)
         if n_pairs <= ACROSS * n_rows:
             break
-        draw = F.xxhash64("id", "key", F.lit(turn))
-        lead = live.groupBy("key").agg(F.min(F.struct(draw.alias("draw"), "id", "root")).alias("lead"))
-        led = live.join(lead, "key").where(F.col("root") != F.col("lead.root"))
-        led = led.select(F.greatest("id", "lead.id").alias("a"), F.least("id", "lead.id").alias("b")).distinct()
-        led = written(led.join(tried, ["a", "b"], "left_anti"), "stars")
+        led = written(led_pairs(live, turn).join(tried, ["a", "b"], "left_anti"), "stars")
         more = verified(sifted(led, nodes, t), docs, t)
         tried = written(tried.unionAll(led), "stars")
         few = more.count() * 100 < led.count()

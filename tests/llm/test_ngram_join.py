@@ -185,3 +185,19 @@ def test_ids_at_the_lower_end_are_linked(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     assert found(ngram_join.linked(docs)) == expected(rows)
     assert {r["component_id"] for r in ngram_join.linked(docs).collect()} == {low}
+
+
+def test_a_member_meets_the_leaders_it_shares_most_with(spark):
+    shared = [(9, 1)] * 3 + [(9, 2)] + [(9, 3)] * 2 + [(8, 4)] * 2 + [(8, 1)] * 2 + [(8, 2)] * 2
+    got = ngram_join.most_shared(spark.createDataFrame(shared, "a long, b long")).collect()
+    assert sorted(map(tuple, got)) == [(8, 1), (8, 2), (9, 1), (9, 3)]
+
+
+def test_few_documents_lead_many_buckets(spark):
+    """60 buckets, each of 40 out of 50 members that are no copies of each other."""
+    rng = random.Random(11)
+    live = [(key, i, i) for key in range(60) for i in rng.sample(range(50), 40)]
+    pairs = ngram_join.led_pairs(spark.createDataFrame(live, "key long, id long, root long"), 1).collect()
+    assert all(r.a > r.b for r in pairs) and len(set(pairs)) == len(pairs)
+    assert {x for r in pairs for x in r} == set(range(50))
+    assert len(pairs) <= ngram_join.LEADERS * 50
