@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tableferry.llm import bpe, decontaminate, exact_dedup, ngram_join, quality
-from tableferry.llm.common import ship, table
+from tableferry.llm.common import ship, small_batches, table
 from tableferry.session import written
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -19,31 +19,31 @@ TOKENIZER = "byte_bpe_50k.json"
 
 def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier accepts."""
-    ship(spark)
+    small_batches(ship(spark))
     return quality.accepted(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
 
 
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts (but for A-Z case) the row with the largest doc_id."""
-    ship(spark)
+    small_batches(ship(spark))
     return exact_dedup.deduplicated(docs, keep="largest")
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near copies the document with the smallest doc_id."""
-    ship(spark)
+    small_batches(ship(spark))
     return ngram_join.one_per_group(docs)
 
 
 def benchmark_free(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item."""
-    ship(spark)
+    small_batches(ship(spark))
     return decontaminate.clean(docs, table(spark, sf_dir, "benchmark"))
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token count and digests of every remaining document."""
-    ship(spark)
+    small_batches(ship(spark))
     return bpe.digests(docs, public_tokenizers.path(TOKENIZER))
 
 

@@ -30,6 +30,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tableferry.llm.common import small_batches
+
 DICTIONARY_BYTES = 8 << 20
 CHUNK_MASK = np.uint32((1 << 10) - 1)  # a cut every 1,024 bytes on average
 MEMO_CHUNKS = 2_000
@@ -235,6 +237,7 @@ def dictionary(docs: DataFrame, path: str, most_bytes: int = DICTIONARY_BYTES) -
                     ["key", "size", "owner"],
                 )
 
+    small_batches(docs.sparkSession)
     texts = docs.select(F.xxhash64("text").alias("owner"), "text")
     chunks = texts.mapInArrow(counted, "key binary, size int, owner long")
     shared = chunks.groupBy("key").agg(F.count("*").alias("n"), F.max("size").alias("size"), F.min("owner").alias("owner"))

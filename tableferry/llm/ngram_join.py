@@ -15,7 +15,7 @@ the counts, no result does. Pieces without a bit come last and are used only if
 a factor of 2 in size; a document that may have partners in the band below joins there too.
 
 Work stays linear in groups of copies: equal sets are one class, linked by one edge each; in a
-task, a set's pieces are sent once. Each document first meets the smallest members of its buckets,
+task, a set's pieces are sent once. Pieces with the same members are one bucket. Each document first meets the smallest members of its buckets,
 those ``LEADERS`` with which it shares most. Those pairs are sifted by sketch and verified, and components are formed. Buckets that still span
 several components are led by other members in turn, a member again meeting few, as long as their
 pairs across components are many and links are found; then all pairs across components that are left are compared: small
@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tableferry.llm.common import SHINGLE_WORDS, SIMILARITY, WordHashes, components, mixed, shingle_hashes, words_of
+from tableferry.llm.common import SHINGLE_WORDS, SIMILARITY, WordHashes, components, mixed, shingle_hashes, small_batches, word_hashes, words_of
 from tableferry.session import written
 
 BAND = 2
@@ -43,28 +43,38 @@ PIECE_BITS = np.uint64(12)
 COUNTERS = 1 << 20
 SEGMENT = 1 << 14
 SEEN_SETS = 50_000
-WORDS = 100_000  # word hashes that a task remembers
 CERTAIN = 5 * 255  # the largest sum of ranks, so that more shingles make a piece rarer
 BLOCK = 4096  # members of a bucket that one task compares with as many others
 TASK_ROWS = 50_000
 TASK_PAIRS = 200_000
 LEADERS = 2  # leaders that a member meets in one turn
-ACROSS = 8  # pairs per row up to which buckets are tried in all pairs
+ACROSS = 16  # pairs per row of the buckets up to which they are tried in all pairs
+SMALL = 16  # members of a bucket up to which its pairs are joined
 LAST = 1 << 40  # added to what comes last in the order
 
 _PREP = "doc_id long, n long, f1 long, f2 long, sketch binary, segment int, counters binary"
 _LOW = np.uint64(COUNTERS - 1)
 
 
-def shingle_set(text: str | None, hashes: WordHashes) -> np.ndarray:
-    """Sorted distinct hashes of the text's shingles."""
-    return np.unique(shingle_hashes(hashes.of(words_of(text))))
+def distinct(values: np.ndarray) -> np.ndarray:
+    """The distinct values, sorted; a plain sort is faster than numpy's ``unique``."""
+    values = np.sort(values)
+    return values[np.append(True, values[1:] != values[:-1])] if len(values) else values
+
+
+def shingle_set(text: str | None, hashes: WordHashes | None = None) -> np.ndarray:
+    """Sorted distinct hashes of the text's shingles; ``hashes`` are those of words, if given."""
+    return distinct(shingle_hashes(word_hashes(text) if hashes is None else hashes.of(words_of(text))))
 
 
 def ranked_set(words: np.ndarray, ranks: np.ndarray, frequent: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Sorted distinct hashes of the shingles of a text's word hashes, and for each its place in
     the order: the sum of its words' ranks, or ``LAST`` and more if it is frequent."""
-    own, first = np.unique(shingle_hashes(words), return_index=True)
+    own = shingle_hashes(words)
+    first = np.argsort(own)  # equal shingles have equal words, so any of them gives the rank
+    own = own[first]
+    new = np.append(True, own[1:] != own[:-1])
+    own, first = own[new], first[new]
     each = ranks[words & _LOW].astype(np.int64)
     if len(words) < SHINGLE_WORDS:
         rank = np.full(len(own), each.sum())
@@ -97,9 +107,13 @@ def bits_of(hashes: np.ndarray, band: int) -> tuple[np.ndarray, np.ndarray]:
     count = np.uint64(piece_count(band))
     place = mixed(hashes + np.uint64(band + 1))
     code = (((place >> PIECE_BITS) % count) << PIECE_BITS) | (place & np.uint64((1 << int(PIECE_BITS)) - 1))
-    code, first, often = np.unique(code, return_index=True, return_counts=True)
-    odd = often & 1 == 1
-    return code[odd], first[odd]
+    room = len(hashes).bit_length()
+    # Code and index in one number, so that one plain sort does.
+    both = np.sort((code << np.uint64(room)) | np.arange(len(hashes), dtype=np.uint64))
+    code = both >> np.uint64(room)
+    starts = np.flatnonzero(np.append(True, code[1:] != code[:-1]))
+    odd = starts[np.diff(np.append(starts, len(code))) & 1 == 1]
+    return code[odd], (both[odd] & np.uint64((1 << room) - 1)).astype(np.int64)
 
 
 def piece_count(band: int) -> int:
@@ -138,7 +152,10 @@ def keys_of(hashes: np.ndarray, rank: np.ndarray, t: float = SIMILARITY) -> np.n
     for band, d in bands(len(hashes), t):
         keys, order = pieces(hashes, rank, band)
         if len(keys) > d + 1:
-            keys = keys[np.lexsort((keys, order))[: d + 1]]
+            last = np.partition(order, d)[d]
+            ties = np.sort(keys[order == last])
+            before = keys[order < last]
+            keys = np.concatenate([before, ties[: d + 1 - len(before)]])
         elif len(keys) < d + 1:
             keys = np.concatenate([keys, empty_pieces(hashes, band, d + 1 - len(keys))])
         out.append(keys)
@@ -164,7 +181,6 @@ def distance(a: np.ndarray, b: np.ndarray) -> int:
 def _prepare(batches):
     """A row per document (size, fingerprint, sketch); at the end the task's counts of words and
     of documents per shingle."""
-    hashes = WordHashes(WORDS)
     counts = np.zeros((2, COUNTERS), np.int64)
     names = ["doc_id", "n", "f1", "f2", "sketch", "segment", "counters"]
     types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.binary()]
@@ -182,8 +198,8 @@ def _prepare(batches):
         for at in range(0, given.num_rows, 1000):
             rows, every_word, every_set = [], [], []
             for doc_id, text in zip(ids.slice(at, 1000).to_pylist(), texts.slice(at, 1000).to_pylist()):
-                words = hashes.of(words_of(text))
-                own = np.unique(shingle_hashes(words))
+                words = word_hashes(text)
+                own = distinct(shingle_hashes(words))
                 if len(own) == 0:
                     rows.append((doc_id, 0, 0, 0, None, None, None))
                     continue
@@ -225,16 +241,21 @@ def order_tables(prepared: DataFrame) -> tuple[np.ndarray, np.ndarray]:
 
 
 def buckets(docs: DataFrame, tables: tuple[np.ndarray, np.ndarray], t: float) -> DataFrame:
-    """(key, id, low) of every bucket with several members; low is its smallest member."""
+    """(key, id, low, pieces) of every bucket with several members; low is its smallest member.
+
+    Near copies share most of their pieces, and documents with a passage in common those within it,
+    so very many pieces have the same members. They are one bucket: its key is a hash of the
+    members, ``pieces`` the number of those it stands for. Two sets of members with one hash make
+    a larger bucket, which loses no pair."""
     shared = docs.sparkSession.sparkContext.broadcast(tables)  # 2 MB, whatever the texts are
 
     def emitted(batches):
-        hashes, seen = WordHashes(WORDS), set()
+        seen = set()
         ranks, frequent = shared.value
         for batch in batches:
             ids, keys = [], []
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                words = hashes.of(words_of(text))
+                words = word_hashes(text)
                 if len(words) == 0:
                     continue
                 own, rank = ranked_set(words, ranks, frequent)
@@ -255,8 +276,14 @@ def buckets(docs: DataFrame, tables: tuple[np.ndarray, np.ndarray], t: float) ->
 
     rows = docs.where("doc_id is not null").mapInArrow(emitted, "key long, id long")
     # One shuffle by key; a set of copies sends one row per task, so a bucket holds different sets.
-    dealt = rows.selectExpr("key", "id", "min(id) over (partition by key) low", "max(id) over (partition by key) high")
-    return dealt.where("low < high").select("key", "id", "low")
+    dealt = rows.selectExpr(
+        "id",
+        "min(id) over (partition by key) low",
+        "max(id) over (partition by key) high",
+        "sum(shiftright(xxhash64(id), 24)) over (partition by key) total",  # 40 bits each: no overflow
+    )
+    dealt = dealt.where("low < high").selectExpr("xxhash64(total, low, high) key", "id", "low")
+    return dealt.groupBy("key", "id").agg(F.min("low").alias("low"), F.count("*").alias("pieces"))
 
 
 def sifted(pairs: DataFrame, nodes: DataFrame, t: float) -> DataFrame:
@@ -299,13 +326,13 @@ def verified(pairs: DataFrame, docs: DataFrame, t: float) -> DataFrame:
     joined = pairs.join(two, "b").join(one, "a")
 
     def run(batches):
-        hashes, last, other = WordHashes(WORDS), None, None
+        last, other = None, None
         for batch in batches:
             keep = []
             for ta, tb in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
                 if tb != last:
-                    last, other = tb, shingle_set(tb, hashes)
-                own = shingle_set(ta, hashes)
+                    last, other = tb, shingle_set(tb)
+                own = shingle_set(ta)
                 both = len(np.intersect1d(own, other, assume_unique=True))
                 keep.append(both >= t * (len(own) + len(other) - both) - 1e-9 and both > 0)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
@@ -321,11 +348,12 @@ def verified(pairs: DataFrame, docs: DataFrame, t: float) -> DataFrame:
 
 
 def most_shared(pairs: DataFrame) -> DataFrame:
-    """Distinct pairs (a, b) of a member a and a leader b, from one row per bucket they share; of
-    each member's the ``LEADERS`` with which it shares most buckets. Members of a group of near
-    copies stand in many buckets with different leaders, so all such pairs are many per member;
-    the others of a bucket are met later if it still spans several components."""
-    often = pairs.groupBy("a", "b").agg(F.count("*").alias("n"))
+    """Distinct pairs (a, b) of a member a and a leader b, from one row per bucket they share (with
+    the number of its ``pieces``, or else each counts once); of each member's the ``LEADERS`` with
+    which it shares most. Members of a group of near copies stand in many buckets with different
+    leaders, so all such pairs are many per member; the others of a bucket are met later if it
+    still spans several components."""
+    often = pairs.groupBy("a", "b").agg((F.sum("pieces") if "pieces" in pairs.columns else F.count("*")).alias("n"))
     ranked = often.withColumn("place", F.row_number().over(Window.partitionBy("a").orderBy(F.desc("n"), "b")))
     return ranked.where(F.col("place") <= LEADERS).select("a", "b")
 
@@ -335,17 +363,16 @@ def led_pairs(live: DataFrame, turn: int) -> DataFrame:
     components. Documents lead in the same order everywhere, so few lead many buckets."""
     lead = live.groupBy("key").agg(F.min(F.struct(F.xxhash64("id", F.lit(turn)).alias("draw"), "id", "root")).alias("lead"))
     met = live.join(lead, "key").where(F.col("root") != F.col("lead.root"))
-    met = most_shared(met.select(F.col("id").alias("a"), F.col("lead.id").alias("b")))
+    met = most_shared(met.select(F.col("id").alias("a"), F.col("lead.id").alias("b"), *(["pieces"] if "pieces" in live.columns else [])))
     return met.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
 
 
 def spanning(groups: DataFrame, found: DataFrame) -> DataFrame:
-    """(key, id, root) of the buckets whose members are of several components."""
-    of = groups.join(found, groups["id"] == found["node"], "left").select(
-        "key", "id", F.coalesce("root", "id").alias("root")
-    )
-    keys = of.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("key")
-    return written(of.join(keys, "key", "left_semi"), "live")
+    """(key, id, pieces, root) of the buckets whose members are of several components."""
+    of = groups.select("key", "id", "pieces").join(found, F.col("id") == F.col("node"), "left")
+    of = of.select("key", "id", "pieces", F.coalesce("root", "id").alias("root"))
+    ends = of.selectExpr("*", "min(root) over (partition by key) low", "max(root) over (partition by key) high")
+    return written(ends.where("low < high").drop("low", "high"), "live")
 
 
 def across_size(live: DataFrame) -> tuple[int, int]:
@@ -392,7 +419,7 @@ def across_pairs(live: DataFrame, n_rows: int, nodes: DataFrame, t: float) -> Da
     """Distinct pairs (a, b) of members of one bucket and different components, all that may hold.
     ``live`` has ``n_rows`` rows."""
     sized = live.selectExpr("*", "count(*) over (partition by key) members")
-    small = sized.where(F.col("members") <= 2 * ACROSS)
+    small = sized.where(F.col("members") <= SMALL)
     left = small.select("key", F.col("id").alias("a"), F.col("root").alias("ra"))
     right = small.select("key", F.col("id").alias("b"), F.col("root").alias("rb"))
     pairs = left.join(right, "key").where("ra > rb").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
@@ -400,7 +427,7 @@ def across_pairs(live: DataFrame, n_rows: int, nodes: DataFrame, t: float) -> Da
     # Members of a large bucket are dealt into blocks; two blocks meet at a time. Buckets are
     # compared one after the other in tasks of about TASK_ROWS rows: the same pairs meet in many
     # buckets, and a task writes a pair once.
-    large = sized.where(F.col("members") > 2 * ACROSS).join(nodes.select(F.col("doc_id").alias("id"), "n", "sketch"), "id")
+    large = sized.where(F.col("members") > SMALL).join(nodes.select(F.col("doc_id").alias("id"), "n", "sketch"), "id")
     blocks = F.ceil(F.col("members") / BLOCK).cast("int")
     large = large.withColumn("blocks", blocks).withColumn("side", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
     met = large.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
@@ -435,6 +462,7 @@ def across_pairs(live: DataFrame, n_rows: int, nodes: DataFrame, t: float) -> Da
 
 def linked(docs: DataFrame, t: float = SIMILARITY) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles, component_id."""
+    small_batches(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     prepared = written(docs.mapInArrow(_prepare, _PREP), "sets")
     rows = prepared.where("segment is null").select("doc_id", "n", "f1", "f2", "sketch")
@@ -443,7 +471,7 @@ def linked(docs: DataFrame, t: float = SIMILARITY) -> DataFrame:
     copies = nodes.join(owners, ["n", "f1", "f2"]).where("doc_id <> low").select(F.col("doc_id").alias("a"), F.col("low").alias("b"))
 
     groups = written(buckets(docs, order_tables(prepared), t), "buckets")
-    stars = groups.where("id <> low").select(F.col("id").alias("a"), F.col("low").alias("b"))
+    stars = groups.where("id <> low").select(F.col("id").alias("a"), F.col("low").alias("b"), "pieces")
     tried = written(most_shared(stars), "stars")
     links = verified(sifted(tried, nodes, t), docs, t)
     edges = written(links.unionAll(copies), "edges")
@@ -462,7 +490,7 @@ def linked(docs: DataFrame, t: float = SIMILARITY) -> DataFrame:
         few = more.count() * 100 < led.count()
         edges = written(edges.unionAll(more), "edges")
         found = written(components(edges), "components")
-        live, turn = spanning(groups, found), turn + 1
+        live, turn = spanning(live, found), turn + 1  # components only grow, so no other bucket can span several
         if few:
             break
     across = across_pairs(live, n_rows, nodes, t)

@@ -3,7 +3,7 @@ import random
 import numpy as np
 import pytest
 
-from tableferry.llm import ngram_join
+from tableferry.llm import common, ngram_join
 from tableferry.llm.common import WordHashes, components
 
 from tests.llm.conftest import ODD
@@ -201,3 +201,67 @@ def test_few_documents_lead_many_buckets(spark):
     assert all(r.a > r.b for r in pairs) and len(set(pairs)) == len(pairs)
     assert {x for r in pairs for x in r} == set(range(50))
     assert len(pairs) <= ngram_join.LEADERS * 50
+
+
+def test_pieces_with_the_same_members_are_one_bucket(spark):
+    rng = random.Random(12)
+    rows = [(i, " ".join(f"w{rng.randrange(10**6)}" for _ in range(300))) for i in range(6)]
+    rows += [(10 + i, text + " end") for i, text in rows[:3]] + [(20, rows[0][1] + " other end"), (20, rows[0][1] + " third end")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    tables = (np.zeros(ngram_join.COUNTERS, np.uint8), np.zeros(ngram_join.COUNTERS, bool))
+    got = ngram_join.buckets(docs, tables, 0.75).collect()
+    members = {}
+    for r in got:
+        members.setdefault(r.key, set()).add(r.id)
+        assert r.low == min(x.id for x in got if x.key == r.key)
+    assert sum(r.pieces for r in got) > 300 and len(got) <= 24  # before: a row per piece and member
+    assert {1, 11} in members.values() and {0, 10, 20} in members.values()
+
+
+def test_bucket_members_beyond_several_turns(spark):
+    """What a turn leaves is looked for in what the turn before left."""
+    live = spark.createDataFrame([(1, 1, 5), (1, 2, 5), (2, 2, 1), (2, 3, 1)], "key long, id long, pieces long")
+    found = spark.createDataFrame([(1, 1), (2, 1)], "node long, root long")
+    assert sorted(map(tuple, ngram_join.spanning(live, found).select("key", "id", "pieces", "root").collect())) == [(2, 2, 1, 1), (2, 3, 1, 3)]
+    assert "LeftSemi" not in ngram_join.spanning(live, found)._jdf.queryExecution().toString()
+
+
+def test_first_pieces_are_those_of_a_full_sort():
+    rng = np.random.default_rng(13)
+    for n in (1, 3, 40, 900):
+        own = np.unique(rng.integers(0, 1 << 63, n).astype(np.uint64))
+        rank = rng.integers(0, 5, len(own)).astype(np.int64)
+        want = []
+        for band, d in ngram_join.bands(len(own)):
+            keys, order = ngram_join.pieces(own, rank, band)
+            keys = keys[np.lexsort((keys, order))[: d + 1]]
+            want += [*keys.tolist(), *ngram_join.empty_pieces(own, band, d + 1 - len(keys)).tolist()]
+        assert sorted(ngram_join.keys_of(own, rank).tolist()) == sorted(want)
+
+
+def test_texts_cross_in_small_batches(spark, odd):
+    knob = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(knob)
+    try:
+        for given, then in (("10000", "1000"), ("0", "1000"), ("50", "50")):
+            spark.conf.set(knob, given)
+            ngram_join.linked(odd)
+            assert spark.conf.get(knob) == then
+    finally:
+        spark.conf.set(knob, before)
+
+
+@pytest.mark.parametrize("block", [1, 7, 1 << 20])
+def test_word_hashes_follow_the_words(monkeypatch, block):
+    monkeypatch.setattr(common, "HASHED_BYTES", block)
+    rng = random.Random(14)
+    texts = ["", " ", "a", "Ab aB\tAB\x0bab\x0c\x0dé É \x1f x\x00 \x85y", "x" * 3000 + " " + "x" * 2999, "\ud800 a"]
+    texts += ["".join(rng.choice("abAB \n") for _ in range(rng.randrange(60))) for _ in range(300)]
+    of = {}
+    for text in texts:
+        words, hashes = common.words_of(text), common.word_hashes(text).tolist()
+        assert len(words) == len(hashes)
+        for word, value in zip(words, hashes):
+            assert of.setdefault(word, value) == value
+    assert len(set(of.values())) == len(of)
+    assert len(common.word_hashes(None)) == 0
