@@ -15,7 +15,8 @@ the counts, no result does. Pieces without a bit come last and are used only if
 a factor of 2 in size; a document that may have partners in the band below joins there too.
 
 Work stays linear in groups of copies: equal sets are one class, linked by one edge each; in a
-task, a set's pieces are sent once. Pieces with the same members are one bucket. Each document first meets the smallest members of its buckets,
+task, a set's pieces are sent once. Pieces with the same members are one bucket, and buckets with one smallest member
+are joined if that makes no more pairs. Each document first meets the smallest members of its buckets,
 those ``LEADERS`` with which it shares most. Those pairs are sifted by sketch and verified, and components are formed. Buckets that still span
 several components are led by other members in turn, a member again meeting few, as long as their
 pairs across components are many and links are found; then all pairs across components that are left are compared: small
@@ -246,7 +247,7 @@ def buckets(docs: DataFrame, tables: tuple[np.ndarray, np.ndarray], t: float) ->
     Near copies share most of their pieces, and documents with a passage in common those within it,
     so very many pieces have the same members. They are one bucket: its key is a hash of the
     members, ``pieces`` the number of those it stands for. Two sets of members with one hash make
-    a larger bucket, which loses no pair."""
+    a larger bucket, which loses no pair. ``joined_buckets`` then joins those that are nearly alike."""
     shared = docs.sparkSession.sparkContext.broadcast(tables)  # 2 MB, whatever the texts are
 
     def emitted(batches):
@@ -281,9 +282,25 @@ def buckets(docs: DataFrame, tables: tuple[np.ndarray, np.ndarray], t: float) ->
         "min(id) over (partition by key) low",
         "max(id) over (partition by key) high",
         "sum(shiftright(xxhash64(id), 24)) over (partition by key) total",  # 40 bits each: no overflow
+        "count(*) over (partition by key) members",
     )
-    dealt = dealt.where("low < high").selectExpr("xxhash64(total, low, high) key", "id", "low")
-    return dealt.groupBy("key", "id").agg(F.min("low").alias("low"), F.count("*").alias("pieces"))
+    dealt = dealt.where("low < high").selectExpr("xxhash64(total, low, high) key", "id", "low", "members")
+    alike = dealt.groupBy("key", "id").agg(F.min("low").alias("low"), F.count("*").alias("pieces"), F.max("members").alias("members"))
+    return joined_buckets(written(alike, "buckets"))
+
+
+def joined_buckets(groups: DataFrame) -> DataFrame:
+    """(key, id, low, pieces) from buckets (key, id, low, pieces, members), where those of one
+    smallest member are a single bucket if its pairs are no more than theirs together.
+
+    Each piece that a few of many near copies lack has other members than the next, so such a group
+    stands in about as many buckets as it has pieces, with all its members in each. A bucket of
+    all their members holds every pair of theirs, once."""
+    led = written(groups.groupBy("low", "id").agg(F.sum("pieces").alias("pieces"), F.sum("members").alias("pairs")), "led")
+    sizes = led.groupBy("low").agg(F.count("*").alias("n"), F.sum("pairs").alias("pairs"))
+    whole = written(sizes.where("n * n <= pairs").select("low"), "whole")
+    own = groups.join(whole, "low", "left_anti").select("key", "id", "low", "pieces")
+    return led.join(whole, "low").selectExpr("xxhash64(low) key", "id", "low", "pieces").unionAll(own)
 
 
 def sifted(pairs: DataFrame, nodes: DataFrame, t: float) -> DataFrame:

@@ -218,6 +218,22 @@ def test_pieces_with_the_same_members_are_one_bucket(spark):
     assert {1, 11} in members.values() and {0, 10, 20} in members.values()
 
 
+def test_buckets_that_are_nearly_alike_are_one(spark):
+    """60 buckets, each of 40 out of 50 members, and two that have but their smallest member in common."""
+    rng = random.Random(13)
+    held = {key: rng.sample(range(50), 40) for key in range(60)} | {100: [100, *range(110, 140)], 101: [100, *range(140, 170)]}
+    rows = [(key, i, min(ids), 2, len(ids)) for key, ids in held.items() for i in ids]
+    got = ngram_join.joined_buckets(spark.createDataFrame(rows, "key long, id long, low long, pieces long, members long")).collect()
+    members = {}
+    for r in got:
+        members.setdefault(r.key, set()).add(r.id)
+        assert r.low == min(x.id for x in got if x.key == r.key)
+    assert all(any(set(ids) <= x for x in members.values()) for ids in held.values())  # no pair is lost
+    assert sum(r.pieces for r in got) == 2 * len(rows)
+    assert set(held[100]) in members.values() and set(held[101]) in members.values()
+    assert len(got) < 400 < len(rows) and sum(len(x) ** 2 for x in members.values()) <= sum(len(x) ** 2 for x in held.values())
+
+
 def test_bucket_members_beyond_several_turns(spark):
     """What a turn leaves is looked for in what the turn before left."""
     live = spark.createDataFrame([(1, 1, 5), (1, 2, 5), (2, 2, 1), (2, 3, 1)], "key long, id long, pieces long")
